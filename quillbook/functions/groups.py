@@ -17,6 +17,7 @@ them. Both ways give the same result.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -40,8 +41,16 @@ def _group_id(keys: list[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def large_groups(df: DataFrame, keys: list[str]) -> tuple[list[int], int]:
-    """Ids of the groups with more rows than a task may hold, and their rows.
+@dataclass(frozen=True)
+class Large:
+    """Ids of the groups that are too large for one task, and their rows."""
+
+    ids: tuple[int, ...] = ()
+    rows: int = 0
+
+
+def find_large(df: DataFrame, keys: list[str]) -> Large:
+    """The groups with more rows than a task may hold.
 
     A frequent-items sketch merged map-side: no shuffle of the keys and at most
     ``TOP`` ids on the driver, whatever the number of groups.
@@ -53,9 +62,9 @@ def large_groups(df: DataFrame, keys: list[str]) -> tuple[list[int], int]:
     )
     row = found.first()
     if row["rows"] <= limit:
-        return [], 0
-    large = [(t["item"], t["count"]) for t in row["top"] if t["count"] > limit]
-    return [i for i, _ in large], sum(n for _, n in large)
+        return Large()
+    found = [t for t in row["top"] if t["count"] > limit]
+    return Large(tuple(t["item"] for t in found), sum(t["count"] for t in found))
 
 
 def _slices(df: DataFrame, keys: list[str], order: list[str], rows: int) -> DataFrame:
@@ -71,22 +80,27 @@ def _matches(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     return reduce(lambda a, b: a & b, [left[n].eqNullSafe(right[n]) for n in names])
 
 
-def _split(df: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame | None, int]:
-    large, rows = large_groups(df, keys)
-    if not large:
-        return df, None, 0
-    is_large = _group_id(keys).isin(large)
-    return df.where(~is_large), df.where(is_large), rows
+def _split(df: DataFrame, keys: list[str], large: Large) -> tuple[DataFrame, DataFrame | None]:
+    if not large.ids:
+        return df, None
+    is_large = _group_id(keys).isin(*large.ids)
+    return df.where(~is_large), df.where(is_large)
 
 
-def number_rows(df: DataFrame, keys: list[str], order: list[str], name: str) -> DataFrame:
-    """``row_number`` per key, ascending, nulls first. Rows that tie are interchangeable."""
-    plain, large, rows = _split(df, keys)
+def number_rows(
+    df: DataFrame, keys: list[str], order: list[str], name: str, large: Large | None = None
+) -> DataFrame:
+    """``row_number`` per key, ascending, nulls first. Rows that tie are interchangeable.
+
+    ``large`` is the result of :func:`find_large` where the caller has it already.
+    """
+    large = find_large(df, keys) if large is None else large
+    plain, split = _split(df, keys, large)
     numbered = plain.withColumn(
         name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint"))
-    if large is None:
+    if split is None:
         return numbered
-    sliced = _slices(large, keys, order, rows)
+    sliced = _slices(split, keys, order, large.rows)
     local = sliced.withColumn(
         "_local", F.row_number().over(Window.partitionBy("_slice", *keys).orderBy(*order, "_tie")))
     sizes = sliced.groupBy("_slice", *keys).agg(F.count(F.lit(1)).alias("_rows"))
@@ -106,6 +120,7 @@ def neighbour(
     value: Column,
     following: bool = False,
     among: Column | None = None,
+    large: Large | None = None,
 ) -> DataFrame:
     """``lag`` (or ``lead`` if ``following``) of ``value`` per key.
 
@@ -123,11 +138,12 @@ def neighbour(
         window = Window.partitionBy(*by).orderBy(*sort).rowsBetween(Window.unboundedPreceding, -1)
         return F.last(of, ignorenulls=True).over(window)
 
-    plain, large, rows = _split(df, keys)
+    large = find_large(df, keys) if large is None else large
+    plain, split = _split(df, keys, large)
     result = plain.withColumn(name, nearest(keys, ordered(), boxed)["v"])
-    if large is None:
+    if split is None:
         return result
-    sliced = _slices(large, keys, order, rows).withColumn("_box", boxed)
+    sliced = _slices(split, keys, order, large.rows).withColumn("_box", boxed)
     local = sliced.withColumn("_near", nearest(["_slice", *keys], ordered(("_tie",)), F.col("_box")))
     # The outermost neighbour of each group and slice, passed on to the next slices.
     position = F.struct(*order, "_tie")

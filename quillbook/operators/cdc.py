@@ -77,8 +77,12 @@ def one_per_document(rows: DataFrame, keys: list[str], order: list[str]) -> Data
 
 
 def dropped_copies(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows beyond one per key, as keys: what a removal of duplicates takes away."""
-    return rows.select(*keys).exceptAll(rows.select(*keys).dropDuplicates(keys))
+    """Keys of the rows beyond one per key, with how many there are of each.
+
+    The rows that ``exceptAll(dropDuplicates)`` would list, kept as counts: a
+    key with very many copies stays a single row.
+    """
+    return rows.groupBy(*keys).agg((F.count(F.lit(1)) - 1).alias("dropped")).where(F.col("dropped") > 0)
 
 
 def newly_expired(expired: DataFrame, seen: DataFrame, batch: Batch) -> DataFrame:
