@@ -49,13 +49,18 @@ class Large:
     rows: int = 0
 
 
-def find_large(df: DataFrame, keys: list[str]) -> Large:
+def find_large(df: DataFrame, keys: list[str], within: list[DataFrame] | None = None) -> Large:
     """The groups with more rows than a task may hold.
 
+    ``within`` names tables that ``df`` has no more rows than. Where these are
+    small, their count settles the matter; for files it is read off the footers.
+
     A frequent-items sketch merged map-side: no shuffle of the keys and at most
     ``TOP`` ids on the driver, whatever the number of groups.
     """
     limit = group_rows(df)
+    if within is not None and sum(w.count() for w in within) <= limit:
+        return Large()
     found = df.select(_group_id(keys).alias("gid")).agg(
         F.count(F.lit(1)).alias("rows"),
         F.expr(f"approx_top_k(gid, {TOP}, {TRACKED})").alias("top"),

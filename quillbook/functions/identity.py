@@ -21,6 +21,15 @@ def row_hash(columns: Iterable[str], separator: str = "|") -> Column:
     return F.sha2(joined(columns, separator), 256)
 
 
+def header_key(columns: list[str], complete: Column, spread: Column) -> Column:
+    """One text that stands for a header in joins and windows.
+
+    Rows without a complete header get a text of their own instead: it matches
+    nothing, and the rows do not all meet in one task as they would under null.
+    """
+    return F.when(complete, F.md5(joined(columns))).otherwise(F.concat(F.lit("-"), spread.cast("string")))
+
+
 def accounting_id(columns: list[str], run_ts: datetime, outbound: bool, part: Column | None = None) -> Column:
     """Run date, outbound digit, sign digit and twenty hash digits as one text.
 

@@ -28,6 +28,17 @@ GRAIN = [
     "original_batch_id",
 ]
 OPTIONAL_GRAIN = "gl_reversal_date_drvd"
+KEY = "_header_key"
+
+HEADER_CONTENT = [
+    "transaction_date",
+    "gl_reversal_date",
+    "gl_application_area_code",
+    "gl_source_code",
+    "secondary_ledger_code",
+    "orig_gl_center",
+    "data_type",
+]
 
 # The columns that order the lines of a transaction.
 LINE_ORDER = [
@@ -181,12 +192,12 @@ def _outcome(rows: DataFrame, batch: Batch) -> DataFrame:
     return rows.withColumn("error_cleared", label(batch))
 
 
-def _same_header(left: DataFrame, right: DataFrame) -> Column:
-    tests = [
-        left[c].eqNullSafe(right[f"_k_{c}"]) if c == OPTIONAL_GRAIN else left[c] == right[f"_k_{c}"]
-        for c in GRAIN
-    ]
-    return reduce(lambda a, b: a & b, tests)
+def _complete() -> Column:
+    return reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in GRAIN if c != OPTIONAL_GRAIN])
+
+
+def _with_key(rows: DataFrame, spread: Column) -> DataFrame:
+    return rows.withColumn(KEY, identity.header_key(GRAIN, _complete(), spread))
 
 
 def prepare_headers(
@@ -210,24 +221,25 @@ def header_groups(prepared: DataFrame) -> DataFrame:
     date errors are read off the same result.
     """
     row_ok = ~date_error() & ~area_error()
-    complete = reduce(
-        lambda a, b: a & b, [F.col(c).isNotNull() for c in GRAIN if c != OPTIONAL_GRAIN])
     grouped = prepared.groupBy(*GRAIN).agg(
         F.max(F.when(F.col("reinsuranceassumedcededflag_drvd") == codes.MISSING, 1).otherwise(0)).alias("_bad"),
         F.bool_or(row_ok).alias("_ok"),
         F.bool_or(date_error()).alias("_date_error"),
     )
-    return grouped.withColumn("_valid", complete & F.col("_ok") & (F.col("_bad") == 0)).drop("_bad", "_ok")
+    return grouped.withColumn("_valid", _complete() & F.col("_ok") & (F.col("_bad") == 0)).drop("_bad", "_ok")
+
 
+def number_headers(grouped: DataFrame, batch: Batch) -> DataFrame:
+    """Transaction numbers: event prefix, run time, sequence within the prefix.
 
-def number_headers(valid: DataFrame, batch: Batch) -> DataFrame:
-    """Transaction numbers: event prefix, run time, sequence within the prefix."""
-    numbered = groups.number_rows(
-        valid.select(*GRAIN).withColumn("_event", F.substring("event_type_code_drvd", 1, 6)),
-        ["_event"], GRAIN, "_sequence")
+    There are few prefixes, so each is a large group of its own.
+    """
+    valid = grouped.where("_valid").select(*GRAIN).withColumn("_event", F.substring("event_type_code_drvd", 1, 6))
+    large = groups.find_large(valid, ["_event"], within=[grouped])
+    numbered = groups.number_rows(valid, ["_event"], GRAIN, "_sequence", large)
     run = batch.run_ts.strftime("%Y%m%d%H%M%S") + f"{batch.run_ts.microsecond // 1000:03d}"
     number = F.concat(F.col("_event"), F.lit(run + "_"), F.col("_sequence").cast("string"))
-    return numbered.select(*[F.col(c).alias(f"_k_{c}") for c in GRAIN], number.alias("transaction_number_drvd"))
+    return _with_key(numbered, F.lit("")).select(KEY, number.alias("transaction_number_drvd"))
 
 
 def forced_pairs(grouped: DataFrame, batch: Batch) -> DataFrame:
@@ -264,9 +276,11 @@ def _forced_message(source: str) -> Column:
 def classify_headers(prepared: DataFrame, batch: Batch) -> DataFrame:
     """Messages, transaction number and outcome of every header row."""
     grouped = materialise(header_groups(prepared), "header-groups")
-    keys = number_headers(grouped.where("_valid"), batch)
-    rows = prepared.join(keys, _same_header(prepared, keys), "left").drop(*[f"_k_{c}" for c in GRAIN])
-    rows = _with_forced(rows, forced_pairs(grouped, batch), batch)
+    keys = number_headers(grouped, batch)
+    # Header rows are distinct, so their content spreads the incomplete ones.
+    rows = _with_key(prepared, F.xxhash64(*HEADER_CONTENT)).join(keys, KEY, "left").drop(KEY)
+    # Written, so that Spark knows how small the pairs are and need not shuffle the rows for them.
+    rows = _with_forced(rows, materialise(forced_pairs(grouped, batch), "forced-pairs"), batch)
 
     rows = rows.withColumn("_hard", messages(*date_messages(), *field_messages("is invalid from source;")))
     clean = F.length("_hard") == 0
@@ -368,12 +382,13 @@ def run_headers(headers: DataFrame, batch: Batch) -> DataFrame:
         "gl_reversal_date_drvd": "gl_reversal_date",
         "secondary_ledger_code_drvd": "secondary_ledger_code",
     }
-    return own.select(
-        *[F.col(c).alias(f"_k_{n}") for n, c in names.items()],
-        F.coalesce("original_cycle_date", "cycle_date").alias("_k_original_cycle_date"),
-        F.coalesce("original_batch_id", "batch_id").alias("_k_original_batch_id"),
+    keyed = own.select(
+        *[F.col(c).alias(n) for n, c in names.items()],
+        F.coalesce("original_cycle_date", "cycle_date").alias("original_cycle_date"),
+        F.coalesce("original_batch_id", "batch_id").alias("original_batch_id"),
         "transaction_number",
     )
+    return _with_key(keyed, F.lit("")).select(KEY, "transaction_number")
 
 
 def forced_header_pairs(header_rows: DataFrame, batch: Batch) -> DataFrame:
@@ -398,13 +413,30 @@ def prepare_lines(
         c for c in reinsurance.columns if c not in ("legal_entity", "geac_centers")])
 
 
-def classify_lines(prepared: DataFrame, headers: DataFrame, pairs: DataFrame, batch: Batch) -> DataFrame:
-    """Messages, transaction number and outcome of every line row.
+def classify_lines(
+    prepared: DataFrame, headers: DataFrame, pairs: DataFrame, batch: Batch, within: list[DataFrame] | None = None
+) -> DataFrame:
+    """Messages, transaction number, outcome and line number of every line row.
 
     ``headers`` are the batch's headers from :func:`run_headers` and ``pairs``
-    the forced ones from :func:`forced_header_pairs`.
+    the forced ones from :func:`forced_header_pairs`. Lines are shuffled once:
+    the line number's window runs over the key the header join has placed them
+    by. Only where a header has more lines than a task may hold are the joined
+    rows written, and such headers numbered apart.
     """
-    rows = prepared.join(headers, _same_header(prepared, headers), "left").drop(*[f"_k_{c}" for c in GRAIN])
+    keyed = _with_key(prepared, F.col("random_counter"))
+    large = groups.find_large(keyed, [KEY], within)
+    rows = _with_messages(keyed.join(headers, KEY, "left"), pairs, batch)
+    if large.ids:
+        rows = materialise(rows, "large-headers")
+    numbered = groups.number_rows(rows.withColumn("_clean", F.length("error_message") == 0),
+                                  [KEY, "_clean"], LINE_ORDER, "line_number",
+                                  None if large.ids else large)
+    number = F.when(F.col("_clean"), F.col("line_number"))
+    return numbered.withColumn("line_number", number).drop(KEY, "_clean")
+
+
+def _with_messages(rows: DataFrame, pairs: DataFrame, batch: Batch) -> DataFrame:
     rows = _with_forced(rows, pairs, batch).withColumn("_forceable", ~date_error())
     hard = messages(
         _when(date_error(), "Header Errored for Date Validation;"),
@@ -421,21 +453,16 @@ def classify_lines(prepared: DataFrame, headers: DataFrame, pairs: DataFrame, ba
     return _outcome(rows.drop("_forced", "_forceable"), batch)
 
 
-def number_lines(rows: DataFrame, transaction: str = "transaction_number", name: str = "line_number") -> DataFrame:
-    """Line numbers within each transaction, in the order of the line's content."""
-    return groups.number_rows(rows, [transaction], LINE_ORDER, name)
-
-
 # Columns that do not enter the accounting id.
 NOT_HASHED = ("recorded_timestamp", "cycle_date", "batch_id", "original_batch_id", "original_cycle_date",
               "activity_accounting_id")
 
 
 def valid_lines(rows: DataFrame, batch: Batch, outbound: bool = False) -> DataFrame:
-    """Clean lines with line number, derived attributes and accounting id."""
+    """Clean lines with derived attributes and accounting id."""
     attributes = rules.derived_attributes() | {n: F.col(f"{n}_drvd") for n in REINSURANCE}
     clean = rows.where(F.length("error_message") == 0)
-    numbered = number_lines(clean).withColumns(attributes | {"source_system_name": F.lit(batch.source_system)})
+    numbered = clean.withColumns(attributes | {"source_system_name": F.lit(batch.source_system)})
     hashed = [c for c in LINE_TABLE if c not in NOT_HASHED]
     # The line number keeps copies apart, so no second numbering is needed.
     amounts = numbered.withColumnRenamed("default_amount", "_raw_amount").withColumnRenamed(

@@ -39,9 +39,7 @@ def pairs_to_columns(
     values = sorted(c for c in df.columns if c.startswith(prefix) and c.endswith("_value"))
 
     def normalised(c: str) -> Column:
-        tail = F.expr(f"substring({c}, instr({c}, '-') + 1)")
-        key = F.lower(F.when(F.substring(F.col(c), 4, 1) == "-", tail).otherwise(F.col(c)))
-        return F.when(F.endswith(F.col(c), F.lit(key_suffix)), key) if key_suffix else key
+        return F.when(F.endswith(F.col(c), F.lit(key_suffix)), normal_key(c)) if key_suffix else normal_key(c)
 
     def value_of(key: str) -> Column:
         found = [F.when(normalised(n) == key, F.col(v).cast("string")) for n, v in zip(names, values)]

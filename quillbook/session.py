@@ -16,6 +16,9 @@ SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.session.timeZone": "UTC",
+    # The JVM interprets methods above this size, so generated code that gets
+    # longer is better split than fused. Wide rows and long rule lists reach it.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
@@ -52,3 +55,12 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its scan has fewer splits than that.
+
+    A table of any size has more splits than cores and is left alone.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

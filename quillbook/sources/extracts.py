@@ -51,6 +51,8 @@ def line_rows(extracts: list[DataFrame], cycle_date: int) -> DataFrame:
         *_canonical(LINE_FIELDS),
         codes.debit_credit(F.trim("fsi_gl_pt_dr_cr_code")).alias("debit_credit_indicator"),
         *[codes.ascii_only(F.trim(raw)).alias(name) for name, raw in DESCRIPTIONS.items()],
+        # Taken at the scan, where a repeated task numbers its rows alike.
+        F.monotonically_increasing_id().alias("random_counter"),
     ]
     return reduce(DataFrame.unionByName, [e.select(*columns) for e in _cycle(extracts, cycle_date)])
 
