@@ -1 +1,505 @@
-ORACLE = {}
+"""The same results in ANSI SQL, written apart from the Spark operators.
+
+Only the derivation of the ledger inputs is shared, so that both sides start
+from the same rows.
+"""
+
+from __future__ import annotations
+
+from quillbook.functions.rules import ATTRIBUTES, Rule, Take
+from quillbook.operators import errors
+from quillbook.plans import queries as q
+from quillbook.plans import workload as w
+from quillbook.sources.tables import HEADER_VIEW
+
+ORACLE: dict[str, str] = {}
+
+# Ledger classification.
+
+BASE = f"""
+raw as ({w.RAW_SQL}),
+subledgers as ({w.SUBLEDGER_SQL}),
+ledgers as ({w.LEDGER_SQL}),
+reins_all as ({w.REINSURANCE_SQL}),
+reins as (select * from reins_all qualify row_number() over (
+  partition by treaty_name, legal_entity, geac_centers order by rcd_crtd_dt desc) = 1),
+lines0 as (select
+  trim(fsi_gl_pt_effective_date) as transaction_date, trim(fsi_gl_bh_rev_effective_date) as gl_reversal_date,
+  trim(fsi_gl_bh_application_area) as gl_application_area_code, trim(fsi_gl_pt_source_code) as gl_source_code,
+  trim(fsi_gl_pt_company) as secondary_ledger_code, trim(fsi_gl_pt_source_code) as gl_full_source_code,
+  trim(fsi_gl_pt_center) as orig_gl_center, trim(fsi_gl_pt_amount) as default_amount,
+  trim(fsi_gl_pt_source_document_id) as orig_gl_source_document_id, trim(fsi_gl_pt_company) as orig_gl_company,
+  trim(fsi_gl_pt_account) as orig_gl_account, trim(fsi_gl_pt_project_code) as orig_gl_project_code,
+  case when trim(fsi_gl_pt_account) like '9%' and trim(fsi_gl_pt_account) not like '99%' then 'Statistical' else 'Financial' end as data_type,
+  case when trim(fsi_gl_pt_dr_cr_code) in ('10','13','DR') then 'Debit'
+       when trim(fsi_gl_pt_dr_cr_code) in ('60','63','CR') then 'Credit' end as debit_credit_indicator,
+  replace(trim(fsi_gl_pt_description_1), 'é', '') as orig_gl_description_1,
+  trim(fsi_gl_pt_description_2) as orig_gl_description_2, trim(fsi_gl_pt_description_3) as orig_gl_description_3
+  from raw),
+headers0 as (select distinct transaction_date, gl_reversal_date, gl_application_area_code, gl_source_code,
+  secondary_ledger_code, gl_full_source_code, orig_gl_center, data_type from lines0)"""
+
+_DERIVED = """
+  case when length(substr(gl_source_code,1,3)) = 3 and substr(gl_source_code,1,3) not like '% %' then substr(gl_source_code,1,3) end as src,
+  case when length(trim(substr(secondary_ledger_code,3,2))) = 2 then substr(secondary_ledger_code,3,2) end as ldg,
+  cast(try_strptime(transaction_date, '%Y%j') as date) as tdate,
+  cast(try_strptime(gl_reversal_date, '%Y%j') as date) as rdate,
+  try_strptime(transaction_date, '%Y%j') is not null as tchk,
+  (gl_reversal_date is null or gl_reversal_date in ('', '0') or try_strptime(gl_reversal_date, '%Y%j') is not null) as rchk,
+  coalesce(try_cast(gl_reversal_date as int), 0) > 0 and coalesce(try_cast(transaction_date as int), 0) > coalesce(try_cast(gl_reversal_date as int), 0) as early"""
+
+
+def _joined(name: str, reins: str, attributes: str) -> str:
+    return f"""
+  select a.*, {_DERIVED}, c.oracle_fah_ldgr_nm as ledger, b.src_sys_nm_desc as sys, b.evnt_typ_cd as evt, b.oracle_fah_subldgr_nm as sub,
+   {attributes}, b.include_exclude as s_flag, c.include_exclude as l_flag
+  from {name} a
+  left join (select * from subledgers where date '2025-12-05' between eff_strt_dt and eff_stop_dt) b
+    on a.gl_application_area_code = b.actvty_gl_app_area_cd and substr(a.gl_source_code,1,3) = b.actvty_gl_src_cd
+  left join ledgers c on substr(a.secondary_ledger_code,3,2) = c.actvty_gl_ldgr_cd and a.secondary_ledger_code = c.sec_ldgr_cd
+  left join {reins} d on substr(a.secondary_ledger_code,1,2) = d.legal_entity and a.orig_gl_center = d.geac_centers"""
+
+
+_FLAG = """case when substr(gl_full_source_code,1,3) in ('903','851','444') then coalesce(d.{0}, '@') end as {1}"""
+_HEADER_FLAG = _FLAG.format("reinsurance_assumed_ceded_flag", "flag")
+_GRAIN = "ledger, sys, evt, sub, src, gl_application_area_code, tdate, data_type, rdate, ldg"
+_ORDER = ", ".join(f"{c} nulls first" for c in _GRAIN.split(", "))
+_SAME = " and ".join(
+    f"a.{c} is not distinct from b.{c}" if c == "rdate" else f"a.{c} = b.{c}" for c in _GRAIN.split(", "))
+_LEDGER_BAD = "coalesce(length(secondary_ledger_code) < 4 or substr(secondary_ledger_code,3,2) like '% %', true)"
+_PAIR = "'gl_application_area_code (' || coalesce(gl_application_area_code,'') || ') and gl_source_code (' || coalesce(substr(gl_source_code,1,3),'') || ');'"
+
+HEADERS = BASE + f""",
+flags as (select distinct legal_entity, geac_centers, reinsurance_assumed_ceded_flag from reins),
+h1 as ({_joined('headers0', 'flags', _HEADER_FLAG)}),
+h2 as (select * from h1 where coalesce(s_flag,'Include') = 'Include' and coalesce(l_flag,'Include') = 'Include'),
+h3 as (select *, max(case when flag = '@' then 1 else 0 end) over (partition by {_GRAIN}) as bad,
+  not tchk or not rchk or early as dated from h2),
+keys as (select *, substr(evt,1,6) || '20251208095822000_' || row_number() over (partition by substr(evt,1,6) order by {_ORDER}) as txn
+  from (select distinct {_GRAIN} from h3 where ledger is not null and sys is not null and evt is not null and sub is not null
+    and src is not null and ldg is not null and tdate is not null and not dated and bad = 0 and length(gl_application_area_code) > 0)),
+h4 as (select a.*, b.txn,
+  case when not tchk then coalesce(transaction_date,'') || ' transaction_date is in invalid format, expected yyyyjjj;' else '' end
+  || case when not rchk then coalesce(gl_reversal_date,'') || ' gl_reversal_date is in invalid format, expected yyyyjjj;' else '' end
+  || case when early then case when a.tdate is null then 'null' else transaction_date end || ' > '
+       || case when a.rdate is null then 'null' else gl_reversal_date end || ' transaction_date is greater than gl_reversal_date;' else '' end
+  || case when coalesce(length(a.gl_application_area_code),0) = 0 then coalesce(a.gl_application_area_code,'blank/null') || ' gl_application_area_code is invalid from source;' else '' end
+  || case when a.src is null then coalesce(gl_source_code,'blank/null') || ' gl_source_code is invalid from source;' else '' end
+  || case when {_LEDGER_BAD} then coalesce(secondary_ledger_code,'blank/null') || ' secondary_ledger_code is invalid from source;' else '' end as own_raw
+  from h3 a left join keys b on {_SAME}),
+h5 as (select *, trim(own_raw) as own, trim(case when trim(own_raw) <> '' then '' else
+  case when sys is null or evt is null then 'source_system_nm/event_type_code is missing in rdm table lkp_actvty_gl_sblgdr_nm for key combination ' || {_PAIR} else '' end
+  || case when ledger is null then 'ledger_name is missing in rdm table lkp_actvty_gl_ldgr_nm for key combination actvty_gl_ldgr_cd/secondary_ledger_code_drvd ('
+      || coalesce(substr(secondary_ledger_code,3,2),'') || ') and secondary_ledger_code (' || coalesce(secondary_ledger_code,'') || ');' else '' end
+  || case when sub is null then 'subledger_short_name is missing in rdm table lkp_actvty_gl_sblgdr_nm for key combination ' || {_PAIR} else '' end
+  || case when txn is null then 'transaction_number is invalid;' else '' end
+  || case when flag = '@' then 'reinsuranceassumedcededflag is missing in rdm table lkp_reinsurance_attributes for key combination secondary_ledger_code ('
+      || coalesce(substr(secondary_ledger_code,1,2),'') || ') and orig_gl_center (' || coalesce(orig_gl_center,'') || ');' else '' end
+  end) as soft from h4),
+hpairs as (select gl_application_area_code as f_area, src as f_src from h5 where gl_application_area_code is not null and src is not null
+  group by 1, 2 having bool_or(dated) and bool_or(own = '' and soft = '')),
+h6 as (select h5.*, trim(case when f_area is not null and own = '' then 'Forced Error. Date Errors Present in Other Headers for combination of gl_application_area_code ('
+  || coalesce(gl_application_area_code,'') || ') and gl_source_code (' || coalesce(src,'') || ');' else '' end || own) as hard
+  from h5 left join hpairs on gl_application_area_code = f_area and src = f_src),
+hfinal as (select *, case when hard <> '' then 'N' when soft <> '' then 'Y' end as flag_out,
+  case when hard <> '' then 'Hard Error' when soft <> '' then 'Soft Error' else 'Good' end as outcome from h6)"""
+
+# Rows of a batch without a number count as one transaction; any lookup error in it turns the others hard.
+FORCED_HEADERS = HEADERS + """,
+w5 as (select *, contains(upper(hard || soft), 'RDM') as own_rdm, bool_or(contains(upper(hard || soft), 'RDM')) over (partition by txn) as any_rdm from hfinal),
+hforced as (select * exclude (hard, soft, flag_out, outcome),
+  case when any_rdm and not own_rdm then msg else '' end || hard as hard, case when any_rdm and not own_rdm then msg else '' end || soft as soft,
+  case when any_rdm and not own_rdm then 'N' else flag_out end as flag_out, case when any_rdm and not own_rdm then 'Hard Error' else outcome end as outcome
+  from (select *, 'XForced Error. Hard Errors - Missing RDM Lookup for transaction_number ' || coalesce(txn, 'UNKNOWN') || ';' as msg from w5))"""
+
+_REINS_COLUMNS = {"reinsuranceassumedcededflag": "reinsurance_assumed_ceded_flag", "reinsurancetreatybasis": "reinsurance_basis",
+                  "reinsurancetreatynumber": "treaty_name", "typeofbusinessreinsured": "type_of_business_reinsured",
+                  "reinsurancegroupindividualflag": "reinsurance_group_individual_flag", "reinsuranceaccountflag": "reinsurance_account_flag"}
+_LINE_FLAGS = ", ".join(_FLAG.format(v, k) for k, v in _REINS_COLUMNS.items())
+_CENTS = "coalesce(try_cast(default_amount as decimal(20,0)), 0)"
+_LINE_ORDER = """default_amount, debit_credit_indicator, gl_full_source_code, orig_gl_source_document_id, orig_gl_company, orig_gl_account,
+ orig_gl_center, orig_gl_description_1, orig_gl_description_2, orig_gl_description_3, orig_gl_project_code""".split(",")
+_LINE_ORDER = ", ".join(c.strip() + " nulls first" for c in _LINE_ORDER)
+
+LINES = FORCED_HEADERS + f""",
+good_headers as (select distinct txn, {_GRAIN} from hforced where outcome = 'Good'),
+line_pairs as (select distinct gl_application_area_code as f_area, src as f_src from hforced
+  where contains(hard, 'Forced Error. Date Errors Present in Other Headers')),
+l1 as ({_joined('lines0', 'reins', _LINE_FLAGS)}),
+l2 as (select *, not tchk or not rchk or early as dated,
+  case when {_CENTS} > 0 then cast({_CENTS} as double) / 100 else 0 end as amount
+  from l1 where coalesce(s_flag,'Include') = 'Include' and coalesce(l_flag,'Include') = 'Include'),
+l3 as (select a.*, b.txn, f_area is not null as forced from l2 a left join good_headers b on {_SAME}
+  left join line_pairs on a.gl_application_area_code = f_area and a.src = f_src),
+l4 as (select *, trim(case when dated then 'Header Errored for Date Validation;' else '' end
+  || case when forced and not dated then 'Forced Error. Date Errors Present in Other Headers for combination of gl_application_area_code ('
+      || coalesce(gl_application_area_code,'') || ') and gl_source_code (' || coalesce(gl_source_code,'') || ');' else '' end
+  || case when coalesce(length(gl_application_area_code),0) = 0 then coalesce(gl_application_area_code,'BLANK/NULL') || ' gl_application_area_code is Invalid from Source;' else '' end
+  || case when src is null then coalesce(gl_source_code,'BLANK/NULL') || ' gl_source_code is Invalid from Source;' else '' end
+  || case when {_LEDGER_BAD} then coalesce(secondary_ledger_code,'BLANK/NULL') || ' secondary_ledger_code is Invalid from Source;' else '' end) as hard from l3),
+l5 as (select *, case when hard = '' and (txn is null or sys is null or ledger is null or evt is null or sub is null
+  or coalesce(reinsuranceassumedcededflag,'') = '@') then 'Header Errored for RDM Lookup;' else '' end as soft from l4),
+lfinal as (select *, case when hard <> '' then 'Hard Error' when soft <> '' then 'Soft Error' else 'Good' end as outcome,
+  case when hard = '' and soft = '' then cast(row_number() over (partition by txn, hard = '' and soft = '' order by {_LINE_ORDER}) as bigint) end as line_number from l5)"""
+
+LINES_FORCED = LINES + """,
+lw5 as (select *, contains(upper(hard || soft), 'RDM') as own_rdm, bool_or(contains(upper(hard || soft), 'RDM')) over (partition by txn) as any_rdm from lfinal),
+lforced as (select * exclude (hard, soft, outcome),
+  case when any_rdm and not own_rdm then msg else '' end || hard as hard, case when any_rdm and not own_rdm then msg else '' end || soft as soft,
+  case when any_rdm and not own_rdm then 'Hard Error' else outcome end as outcome
+  from (select *, 'XForced Error. Hard Errors - Missing RDM Lookup for transaction_number ' || coalesce(txn, 'UNKNOWN') || ';' as msg from lw5))"""
+
+
+def _rule_sql(rule: Rule) -> str:
+    def starts(column: str, options: str) -> str:
+        return "(" + " or ".join(f"starts_with({column}, '{o}')" for o in options.split()) + ")"
+
+    def listed(options: str) -> str:
+        return "(" + ", ".join(f"'{o}'" for o in options.split()) + ")"
+
+    tests = [f"substr(gl_full_source_code,1,3) in {listed(rule.prefixes)}"]
+    if rule.starts:
+        tests.append(starts("orig_gl_account", rule.starts))
+    if rule.starts_not:
+        tests.append("not " + starts("orig_gl_account", rule.starts_not))
+    if rule.account:
+        tests.append(f"orig_gl_account in {listed(rule.account)}")
+    if rule.account_not:
+        tests.append(f"orig_gl_account not in {listed(rule.account_not)}")
+    tests += [f"contains({c}, '{t}')" for c, t in rule.has.items()]
+    tests += [f"not contains({c}, '{t}')" for c, t in rule.has_not.items()]
+    tests += [starts(c, o) for c, o in rule.begins.items()]
+    return f"when {' and '.join(tests)} then {_take_sql(rule.take)}"
+
+
+def _take_sql(take: str | Take) -> str:
+    if isinstance(take, str):
+        return take
+    if take.literal is not None:
+        return f"'{take.literal}'"
+    if not take.length:
+        return take.field
+    text = f"right({take.field}, {take.length})" if take.start < 0 else f"substr({take.field}, {take.start}, {take.length})"
+    return f"trim({text})" if take.trimmed else text
+
+
+def _attributes_sql() -> str:
+    return ", ".join(
+        f"case {' '.join(_rule_sql(r) for r in rules)} end as {name}" if rules else f"cast(null as varchar) as {name}"
+        for name, rules in ATTRIBUTES.items())
+
+
+def sql(name: str, body: str, common: str = "") -> None:
+    ORACLE[name] = f"with {common.strip()} {body}" if common else body
+
+
+sql("extract_headers", "select * from headers0", BASE)
+sql("extract_lines", "select * from lines0", BASE)
+sql("derived_codes", f"""select orig_gl_source_document_id, src as gl_source_code_drvd, ldg as secondary_ledger_code_drvd,
+ cast(tdate as varchar) as transaction_date_drvd, cast(rdate as varchar) as gl_reversal_date_drvd,
+ cast(tchk as varchar) as transaction_date_chk, cast(rchk as varchar) as gl_reversal_date_chk,
+ try_cast(substr(transaction_date,1,4) as bigint) as transaction_year,
+ case when {_CENTS} > 0 then cast({_CENTS} as double) / 100 else 0 end as ignore_negative,
+ cast({_CENTS} as double) / 100 as get_precision, cast({_CENTS} as double) as ignore_precision
+ from (select *, {_DERIVED} from lines0)""", BASE)
+sql("include_exclude", f"""select s_flag as sblgdr_include_exclude, l_flag as ldgr_include_exclude,
+ count(*) filter (coalesce(s_flag,'Include') = 'Include' and coalesce(l_flag,'Include') = 'Include') as included,
+ count(*) filter (coalesce(s_flag,'') = 'Exclude' or coalesce(l_flag,'') = 'Exclude') as excluded
+ from ({_joined('lines0', 'reins', _LINE_FLAGS)}) group by 1, 2""", BASE)
+
+_ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') as o_orderdate, o_orderpriority"
+for _name, _n in (("lookup_latest", 1), ("lookup_second_latest", 2)):
+    sql(_name, f"""select {_ORDERS} from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as n from orders) where n = {_n}""")
+
+sql("wildcard_lookup", """
+grouped as (select evnt_typ_cd, trnsctn_cls, src_sys_nm, cntrct_pln_cd, fund_clss, case when count(*) > 1 then 'Q' else min(cash_flow_type) end as v
+  from lk group by 1, 2, 3, 4, 5),
+choice as (select *, count(*) over (partition by evnt_typ_cd, trnsctn_cls) = 1 as alone,
+  cast(src_sys_nm = '-' as int) + cast(cntrct_pln_cd = '-' as int) + cast(fund_clss = '-' as int) as wild from grouped),
+best as (select r.event_type_code, r.transaction_class, r.source_system_nm, r.plancode, r.fundclassindicator, c.v,
+  row_number() over (partition by r.event_type_code, r.transaction_class, r.source_system_nm, r.plancode, r.fundclassindicator
+   order by c.v is null, wild, c.v = 'Q', c.v) as n
+  from (select distinct * from rws) r left join choice c on r.event_type_code = c.evnt_typ_cd and r.transaction_class = c.trnsctn_cls and (alone or (
+   (src_sys_nm = '-' or src_sys_nm = source_system_nm) and (cntrct_pln_cd = '-' or cntrct_pln_cd = plancode)
+   and (fund_clss = '-' or (fund_clss = fundclassindicator and trim(fundclassindicator) not in ('', 'NA'))))))
+select r.*, case when v = 'Q' then null else coalesce(v, '@') end as cash_flow_type,
+ case when v = 'Q' then 'Cash flow type ambiguous for event type code (' || r.event_type_code || ') and transaction class (' || r.transaction_class || ');' end as error_message,
+ count(*) as rows from rws r join best b on n = 1 and r.event_type_code = b.event_type_code and r.transaction_class = b.transaction_class
+ and r.source_system_nm = b.source_system_nm and r.plancode = b.plancode and r.fundclassindicator is not distinct from b.fundclassindicator group by all""",
+    f"lk as ({q.WILDCARD_LOOKUP}), rws as ({q.WILDCARD_ROWS}),")
+sql("ambiguous_lookup", "select p_brand, cast(p_size as bigint) as p_size, case when count(*) > 1 then 'Q' else min(p_type) end as p_type from part group by 1, 2")
+sql("orders_with_lines", f"select {_ORDERS} from orders o where exists (select 1 from lineitem where l_orderkey = o.o_orderkey)")
+sql("orders_without_lines", f"select {_ORDERS} from orders o where not exists (select 1 from lineitem where l_orderkey = o.o_orderkey)")
+sql("comma_list", """select value, count(*) as rows from (select trim(unnest(string_split(p_brand || ', ' || p_type || ',,' || p_name, ','))) as value from part) where value <> '' group by 1""")
+
+sql("classify_headers", """select transaction_date, gl_reversal_date, gl_application_area_code, gl_source_code, secondary_ledger_code, orig_gl_center, data_type,
+ txn as transaction_number_drvd, hard as hard_error_message, soft as soft_error_message, flag_out as reprocess_flag, outcome as error_cleared from hfinal""", HEADERS)
+sql("transaction_forced", "select outcome as error_cleared, flag_out as reprocess_flag, hard as hard_error_message, soft as soft_error_message, count(*) as rows from hforced group by all", FORCED_HEADERS)
+_FINAL = f"""select distinct '2025-12-08 09:58:22' as recorded_timestamp, 'geac' as source_system_name, cast(null as varchar) as original_cycle_date, cast(null as varchar) as original_batch_id,
+ txn as transaction_number, sys as source_system_nm, ledger as ledger_name, evt as event_type_code, sub as subledger_short_name, cast(tdate as varchar) as transaction_date,
+ cast(rdate as varchar) as gl_reversal_date, gl_application_area_code, src as gl_source_code, ldg as secondary_ledger_code, data_type,
+ '2025-12-05' as cycle_date, cast(651149 as bigint) as batch_id from hforced where outcome = 'Good'"""
+sql("final_headers", _FINAL, FORCED_HEADERS)
+sql("classify_lines", """select orig_gl_source_document_id, gl_full_source_code, secondary_ledger_code, orig_gl_account, amount as default_amount_drvd, debit_credit_indicator,
+ txn as transaction_number, cast(line_number as varchar) as line_number, hard as hard_error_message, soft as soft_error_message, outcome as error_cleared from lfinal""", LINES)
+sql("classify_lines_summary", """select outcome as error_cleared, gl_application_area_code, src as gl_source_code_drvd, count(*) as rows,
+ cast(sum(cast(amount as decimal(18,2))) as double) as amount, cast(max(line_number) as varchar) as last_line from lfinal group by 1, 2, 3""", LINES)
+sql("line_attributes", f"""select 'geac' as source_system_name, txn as transaction_number, line_number, amount as default_amount, debit_credit_indicator, gl_full_source_code,
+ orig_gl_source_document_id, orig_gl_company, orig_gl_account, orig_gl_center, orig_gl_description_1, orig_gl_description_2, orig_gl_description_3, orig_gl_project_code,
+ {', '.join(_REINS_COLUMNS)}, {_attributes_sql()}, '2025-12-05' as cycle_date, cast(651149 as bigint) as batch_id from lforced where outcome = 'Good'""", LINES_FORCED)
+sql("accounting_ids", "select count(*) as lines, count(*) as ids, count(*) as well_formed from lforced where outcome = 'Good'", LINES_FORCED)
+sql("line_numbering", """select l_orderkey, l_extendedprice, cast(l_linenumber as bigint) as l_linenumber, l_partkey, l_suppkey, l_quantity, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate,
+ cast(row_number() over (partition by l_orderkey order by l_extendedprice, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) as bigint) as line_number from lineitem""")
+
+sql("error_view", f"""select '2025-12-05' as original_cycle_date, cast(651149 as bigint) as original_batch_id, 'geac' as source_system_name,
+ 'geac_general_ledger_line_item' as table_name, case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name,
+ trim(hard || soft) as error_message, cast(0 as bigint) as error_record_aging_days, case when outcome = 'Hard Error' then 'N' else 'Y' end as reprocess_flag,
+ {', '.join(errors.LINE_FIELDS)} from (select * exclude (hard, soft), case when any_rdm and not own_rdm then hard else hard end as hard,
+   case when any_rdm and not own_rdm then '' else soft end as soft from lforced) where outcome <> 'Good'""", LINES_FORCED)
+sql("error_records", f"""select case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name, flag_out as reprocess_flag,
+ cast(0 as bigint) as error_record_aging_days, {', '.join(errors.HEADER_FIELDS)}, ledger as ledger_name_drvd, cast(tdate as varchar) as transaction_date_drvd
+ from hforced where outcome <> 'Good'""", FORCED_HEADERS)
+
+_AGE = "datediff('day', cast(o_orderdate as date), date '2001-08-05')"
+_KIND = "case o_orderstatus when 'O' then 'Soft' when 'F' then 'Hard' else 'Cleared' end"
+_MESSAGE = "case when o_orderstatus = 'P' then null else o_orderpriority end"
+_MONTH = "year(o_orderdate) * 100 + month(o_orderdate)"
+sql("age_soft_errors", f"""select case when {_AGE} > 400 then 'Hard/Aged Soft' else 'Soft' end as error_classification_name, o_orderpriority as error_message,
+ case when {_AGE} > 400 then 'N' else 'Y' end as reprocess_flag, cast({_AGE} as bigint) as error_record_aging_days, cast(o_orderkey as varchar) as order_key,
+ case when {_AGE} > 400 then '2001-08-05' end as cycle_date, case when {_AGE} > 400 then '200108' end as batch_id from orders where o_orderstatus = 'O'""")
+_BACK = "(o_orderstatus = 'P' and cast(o_orderdate as date) = date '1998-06-15')"
+sql("reinstate_processed", f"""select case when {_BACK} then 'Soft/Rerun' else {_KIND} end as error_classification_name,
+ case when {_BACK} then 'was open ' || o_orderpriority else {_MESSAGE} end as error_message, case when {_BACK} or o_orderstatus = 'O' then 'Y' else 'R' end as reprocess_flag,
+ cast(case when {_BACK} then 0 else {_AGE} end as bigint) as error_record_aging_days, cast(o_orderkey as varchar) as order_key,
+ case when o_orderstatus = 'P' and not {_BACK} then cast(cast(o_orderdate as date) as varchar) end as cycle_date,
+ case when o_orderstatus = 'P' and not {_BACK} then cast({_MONTH} as varchar) end as batch_id from orders where o_orderstatus in ('O', 'P')""")
+_OWN = f"(cast(o_orderdate as date) = date '1998-06-15' and {_MONTH} = 199806)"
+sql("reinstate_hard", f"""select 'Hard' as error_classification_name, o_orderpriority as error_message, 'N' as reprocess_flag, cast({_AGE} as bigint) as error_record_aging_days,
+ cast(o_orderkey as varchar) as order_key, cast(null as varchar) as cycle_date from orders where o_orderstatus = 'F' and not {_OWN}
+ union all select 'Soft', o_orderpriority, 'Y', {_AGE}, cast(o_orderkey as varchar), null from orders where o_orderstatus = 'O' and {_AGE} > 1500""")
+sql("json_field_edits", f"""select {_KIND} as error_classification_name, {_MESSAGE} as error_message, case o_orderstatus when 'O' then 'Y' when 'F' then 'N' else 'R' end as reprocess_flag,
+ cast({_AGE} as bigint) as error_record_aging_days, cast(o_orderkey as varchar) as order_key, 'ledger' as source, cast(null as varchar) as priority, o_orderpriority as urgency,
+ 'C' || cast(o_custkey as varchar) as customer from orders""")
+sql("inferred_error_fields", f"select o_orderpriority as priority, case when o_orderstatus = 'P' then cast({_MONTH} as varchar) end as batch_id, count(*) as rows from orders group by 1, 2")
+_TYPE = f"case when o_orderstatus = 'O' then 'RDM Lookup Missing' else 'Data Invalid from Source' end"
+sql("error_summary", f"""select 'tpch_general_ledger_header' as table_name, cast(cast(o_orderdate as date) as varchar) as original_cycle_date, cast({_MONTH} as bigint) as original_batch_id,
+ {_KIND} as error_classification_name, {_TYPE} as error_type, 'tpch' as source_system, count(*) as error_record_count from orders where o_orderstatus <> 'P' group by all""")
+sql("missing_references", """select o_orderpriority as soft_error_message, cast(cast(o_orderdate as date) as varchar) as original_cycle_date, count(*) as error_record_count
+ from orders where o_orderstatus = 'O' group by 1, 2""")
+_XF = "XForced Error. Hard Errors"
+sql("forced_error_counts", f"""select cast(0 as bigint) as forced_soft_rdm, cast(0 as bigint) as forced_hard_date, cast(sum(n) as bigint) as forced_hard_data, cast(sum(n) as bigint) as total_forced
+ from (select cast(count(*) as bigint) as n from hforced where starts_with(hard, '{_XF}') union all select count(*) from lforced where starts_with(hard, '{_XF}'))""", LINES_FORCED)
+sql("error_view_stats", """select '2025-12-05' as original_cycle_date, case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name, 'geac' as source_system_name,
+ count(*) as cnt, '2025-12-08 09:58:22' as min_recorded_timestamp, '2025-12-08 09:58:22' as max_recorded_timestamp, '2025-12-05' as min_original_cycle_date,
+ '2025-12-05' as max_original_cycle_date from lforced where outcome <> 'Good' group by 2""", LINES_FORCED)
+sql("reprocessed_summary", """select cast(cast(o_orderdate as date) as varchar) as cycle_date, cast(1 as bigint) as batch_id,
+ cast(cast(date_trunc('month', o_orderdate) - interval 1 month as date) as varchar) as original_cycle_date, cast(1 as bigint) as original_batch_id, o_orderstatus as ledger_name,
+ count(distinct o_orderkey) as header_count, count(*) as line_count from orders left join lineitem on l_orderkey = o_orderkey where o_orderstatus <> 'F' group by all""")
+
+# Changes and history.
+
+sql("cdc_actions", """with old as (select * from orders where o_orderdate < date '1999-01-01' qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1),
+new as (select * from orders where o_orderdate >= date '1999-01-01' qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1)
+select n.o_custkey, n.o_orderkey, n.o_orderstatus, n.o_orderpriority,
+ case when o.o_orderstatus = n.o_orderstatus and o.o_orderpriority = n.o_orderpriority then 'UNCHANGED' else 'INSERT' end as cdc_action,
+ '1999-01-01' as cycle_date, cast(2 as bigint) as batch_id from new n left join old o on n.o_custkey = o.o_custkey""")
+sql("delete_detection", """select distinct o_custkey as documentid, '1998-12-31' as pointofviewstopdate, cast(2 as bigint) as batch_id, 'orders' as domain_name, 'tpch' as source_system_name,
+ 'DAILY' as batch_frequency, '1999-01-01' as cycle_date from orders where o_orderdate < date '1999-01-01'
+ and o_custkey not in (select o_custkey from orders where o_orderdate >= date '1999-01-01')""")
+sql("coded_deletes", """select o_custkey as documentid, case when bool_or(o_orderstatus = 'P') then '1998-12-31' end as pointofviewstopdate,
+ count(*) filter (o_orderstatus <> 'P') as kept from orders group by 1""")
+sql("one_per_document", f"select {_ORDERS} from (select *, row_number() over (partition by o_custkey order by o_orderpriority, o_orderkey) as n from orders) where n = 1")
+sql("dropped_copies", "select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, count(*) - 1 as dropped from lineitem group by 1, 2 having count(*) > 1")
+sql("expired_contracts", """select 'P' || cast(c_custkey as varchar) as policy_no, c_custkey as policy_id, cast(3 as bigint) as batch_id, 'tpch' as source_system, 'orders' as domain_name,
+ '1995-06-01' as cycle_date from customer where c_custkey not in (select o_custkey from orders where o_orderstatus = 'F' and o_orderdate < date '1995-06-01')""")
+
+DAILY = """
+daily as (select user_id, event_type, cast(ts as date) as d, cast(strftime(ts, '%Y%m%d') as bigint) as b from events
+  qualify row_number() over (partition by user_id, cast(ts as date) order by ts desc, event_id desc) = 1),
+changes as (select * from daily qualify event_type is distinct from lag(event_type) over (partition by user_id order by d)),
+versions as (select *, coalesce(lead(d) over (partition by user_id order by d) - 1, date '9999-12-31') as stop from changes),
+first_changes as (select * from daily where d < date '2024-01-16' qualify event_type is distinct from lag(event_type) over (partition by user_id order by d)),
+first_half as (select *, coalesce(lead(d) over (partition by user_id order by d) - 1, date '9999-12-31') as stop from first_changes),
+w0 as (select user_id, event_type, d, date '9999-12-31' as stop, b, 'Staging' as s from daily where d >= date '2024-01-16'
+  union all select user_id, event_type, d, stop, b, 'Target' from first_half where stop = date '9999-12-31'
+   and user_id in (select user_id from daily where d >= date '2024-01-16')),
+w1 as (select *, case when s = 'Target' then 'UPDATE' when event_type = lag(event_type) over (partition by user_id order by d, b) then 'UNCHANGED' else 'INSERT' end as a from w0),
+w2 as (select *, coalesce(lead(d) over (partition by user_id order by d) - 1, date '9999-12-31') as new_stop from w1 where a <> 'UNCHANGED'),
+working as (select user_id, event_type, d, new_stop as stop, b, s, case when s = 'Target' and new_stop = date '9999-12-31' then 'UNCHANGED' else a end as a from w2
+  union all select user_id, event_type, d, stop, b, s, a from w1 where a = 'UNCHANGED')"""
+_V = "user_id, event_type, cast(d as varchar) as pointofviewstartdate, cast(stop as varchar) as pointofviewstopdate, b as batchid"
+sql("staging_hashes", """select user_id, sha256(cast(user_id as varchar)) as naturalkeyhashvalue, sha256(event_type) as hashvalue, cast(d as varchar) as pointofviewstartdate,
+ '9999-12-31' as pointofviewstopdate, b as batchid from daily""", DAILY)
+sql("scd2_working", f"select {_V}, a as actiontype, s as sourcetable from working", DAILY)
+sql("scd2_history", f"select {_V} from versions", DAILY)
+sql("scd2_expected", """
+ x as (select *, count(*) over (partition by user_id, d) as n, lag(a) over (partition by user_id, d order by d, stop, b) as before from working)
+ select case when n > 2 and a in ('INSERT','UPDATE') and before = a then 'UNCHANGED' else a end as actiontype, s as sourcetable, count(*) as rows from x group by 1, 2""", DAILY + ",")
+sql("scd2_deletes", """select user_id, event_type, cast(d as varchar) as pointofviewstartdate, cast(case when stop = date '9999-12-31'
+  and user_id in (select user_id from first_half where event_type = 'error') then date '2024-01-20' else stop end as varchar) as pointofviewstopdate, b as batchid from first_half""", DAILY)
+sql("deleted_parents", """select user_id as documentid, '2024-01-20' as pointofviewstopdate from first_half group by 1 having bool_or(event_type = 'click')""", DAILY)
+sql("closed_by_batch", """select cast(strftime(stop + 1, '%Y%m%d') as bigint) as closing_batch, count(*) as rows, cast(sum(user_id) as bigint) as user_total
+ from working where a = 'UPDATE' and stop + 1 in (select d from daily) group by 1""", DAILY)
+sql("lookup_asof", """select event_id, e.user_id, v.event_type as version from events e left join first_half v on e.user_id = v.user_id and cast(e.ts as date) between v.d and v.stop""", DAILY)
+sql("scd2_intraday", """with hourly as (select user_id, event_type, cast(ts as date) as d, cast(strftime(ts, '%Y%m%d') as bigint) * 100 + hour(ts) as b from events
+  qualify row_number() over (partition by user_id, cast(ts as date), hour(ts) order by ts desc, event_id desc) = 1),
+ h1 as (select *, case when event_type = lag(event_type) over (partition by user_id order by d, b) then 'UNCHANGED' else 'INSERT' end as a from hourly),
+ h2 as (select *, coalesce(cast(lead(d) over (partition by user_id order by b) as timestamp) - interval 1 minute, timestamp '9999-12-31') as stop,
+   count(*) over (partition by user_id, d) as n, row_number() over (partition by user_id, d order by b) as r from h1 where a = 'INSERT'),
+ h3 as (select user_id, event_type, b, a, case when n > 1 then cast(d as timestamp) + to_minutes(30 * (r - 1)) else cast(d as timestamp) end as start,
+   case when n > 1 and stop <> timestamp '9999-12-31' then cast(d as timestamp) + to_minutes(30 * (r - 1) + 29) else stop end as stop from h2
+   union all select user_id, event_type, b, a, cast(d as timestamp), timestamp '9999-12-31' from h1 where a = 'UNCHANGED')
+ select user_id, event_type, strftime(start, '%Y-%m-%d %H:%M:%S') as pointofviewstartdate, strftime(stop, '%Y-%m-%d %H:%M:%S') as pointofviewstopdate, b as batchid, a as actiontype from h3""")
+sql("append_history", """select case when o_orderstatus = 'P' then -o_orderkey else o_orderkey end as o_orderkey, o_orderstatus, cast(strftime(o_orderdate, '%Y%m') as bigint) as batchid from orders""")
+sql("touched_documents", """with touched as (select o_orderkey as k from orders where strftime(o_orderdate, '%Y%m') = '199806'
+  union select l_orderkey from lineitem where strftime(l_shipdate, '%Y%m') = '199806'
+  union select l_orderkey from lineitem where l_shipdate <= timestamp '1998-06-30 00:00:00' and l_suppkey in (select s_suppkey from supplier where 199800 + s_suppkey % 40 = 199806))
+ select o_orderkey as documentid, cast(strftime(o_orderdate, '%Y%m') as bigint) as batchid, cast(199806 as bigint) as for_batch from orders
+ where cast(o_orderdate as date) <= date '1998-06-30' and o_orderkey in (select k from touched)""")
+
+# Batches.
+
+TRACK = f"""tracking as ({q.TRACKING}), done as (select * from tracking where load_status = 'complete'),
+bases as (select distinct source_system_name, domain_name from tracking where domain_name <> 'dom3'),
+used as (select source_system_name, domain_name, max(cycle_date) as c, max(batch_id) as b from tracking where cycle_date <= date '2024-01-10' group by 1, 2),
+pending as (select distinct d.source_system_name, d.domain_name, d.batch_id, d.cycle_date, phase_name, load_status from done d join bases using (source_system_name, domain_name)
+  left join used u using (source_system_name, domain_name) where cycle_date >= date '2024-01-05' and (c is null or cycle_date > c or batch_id > b)),
+ranked as (select *, dense_rank() over (partition by source_system_name, cycle_date order by batch_id) as rnk from pending),
+runs as (select cycle_date, rnk, row_number() over (partition by cycle_date order by rnk) as seq from (select distinct cycle_date, rnk from ranked)),
+last as (select distinct cycle_date, 421 as n from tracking where cycle_date <= date '2024-01-16'),
+derived as (select distinct cast(strftime(r.cycle_date, '%Y%m%d') || '00042' || cast(case when n is null then 0 else 1 end + seq as varchar) as bigint) as batch_id, r.cycle_date,
+  p.source_system_name as base_source_system_name, p.domain_name as base_domain_name, p.batch_id as base_batch_id
+  from runs r left join last l on r.cycle_date = l.cycle_date join ranked p on p.cycle_date = r.cycle_date and p.rnk = r.rnk)"""
+sql("finished_batches", """select source_system_name, domain_name, batch_id, event_id from (select *, row_number() over (partition by source_system_name, domain_name, batch_id
+ order by insert_timestamp desc, event_id desc) as n from tracking) where n = 1 and load_status = 'complete'""", TRACK)
+sql("current_batches", "select source_system_name, domain_name, batch_id, cast(cycle_date as varchar) as cycle_date, phase_name, load_status, rnk from ranked", TRACK)
+sql("batch_ids", """select 'findw' as source_system_name, 'derived' as domain_name, 'DAILY' as batch_frequency, batch_id, cast(cycle_date as varchar) as cycle_date,
+ base_source_system_name, base_domain_name, base_batch_id from derived""", TRACK)
+sql("last_completed", """select 'derived' as domain_name, 'findw' as source_system, 'DAILY' as batch_frequency,
+ max(cast(strftime(cycle_date, '%Y%m%d') || '000421' as bigint)) as batch_id, cast(max(cycle_date) as varchar) as cycle_date from last""", TRACK)
+sql("newly_completed", """select distinct batch_id, cast(cycle_date as varchar) as cycle_date, 'derived' as domain_name, 'findw' as source_system, 'DAILY' as batch_frequency
+ from derived where day(cycle_date) >= 20""", TRACK)
+sql("next_batch", """select 'derived' as domain_name, 'findw' as source_system, 'DAILY' as batch_frequency, min(batch_id) as batch_id, cast(min(cycle_date) as varchar) as cycle_date
+ from derived where batch_id > (select max(batch_id) from derived where day(cycle_date) < 18)""", TRACK)
+sql("ready_dates", """select source_system_name, cast(cycle_date as varchar) as cycle_date, count(distinct domain_name) as domains, max(batch_id) as last_batch
+ from done join bases using (source_system_name, domain_name) join (select source_system_name, count(distinct domain_name) as needed from bases group by 1) using (source_system_name)
+ where batch_id > 20240110 group by source_system_name, cycle_date, needed having count(distinct domain_name) = needed""", TRACK)
+sql("batch_count_mismatches", """select source_system_name, cast(cycle_date as varchar) as cycle_date, count(distinct hour(insert_timestamp)) as actual_batch_count, cast(23 as bigint) as number_of_batches
+ from tracking group by 1, 2 having count(distinct hour(insert_timestamp)) <> 23""", TRACK)
+sql("base_coverage", """select cast(cycle_date as varchar) as cycle_date, string_agg(distinct source_system_name, ',' order by source_system_name) as source_systems,
+ cast(count(distinct source_system_name || domain_name) = 6 as varchar) as is_complete from tracking where load_status = 'failed' and source_system_name in ('click','error','view')
+ and domain_name in ('dom0','dom1') group by 1""", TRACK)
+sql("overlapping_batches", """span as (select event_type, min(d) as c0, max(d) as c1, min(b) as b0, max(b) as b1 from daily where d < date '2024-01-16' group by 1)
+ select distinct source_system_name, cast(cycle_date as varchar) as cycle_date, batch_id from tracking join span on source_system_name = event_type
+ where cycle_date between c0 and c1 or batch_id between b0 and b1""", TRACK + "," + DAILY + ",")
+sql("duplicate_runs", """select 'orders' as domain_name, o_orderpriority as source_system, 'DAILY' as batch_frequency, cast(cast(o_orderdate as date) as varchar) as cycle_date, count(*) as runs
+ from orders group by o_orderpriority, cast(o_orderdate as date) having count(*) > 1""")
+sql("calendar_flags", """with cycles as (select distinct cast(o_orderdate as date) as c, o_orderpriority as s from orders)
+ select cast(c as varchar) as cycle_date, s as source_system_name, case when c = last_day(c) then 'Y' else 'N' end as monthend_flag,
+ case when c <> last_day(c) and dayofweek(c) = 5 then 'Y' else 'N' end as weekend_flag, case when c = last_day(c) then cast(cast(date_trunc('month', c) - interval 1 day as date) as varchar) end as prev_monthend_date,
+ case when c <> last_day(c) and dayofweek(c) = 5 then cast(c - 7 as varchar) end as prev_weekend_date, cast(year(c) - 2 as varchar) || '0101' as two_year_from_cycle_date, cast(year(c) - 7 as varchar) || '0101' as seven_year_from_cycle_date
+ from cycles""")
+sql("inforce_batch", """with m as (select o_orderpriority as s, o_orderkey as b, cast(o_orderdate as date) as d from orders where o_orderstatus = 'F'),
+ cur as (select s, max(b) as b, max(d) as d from m where d <= date '1999-03-31' group by 1), prev as (select s, max(b) as b, max(d) as d from m where d <= date '1999-02-28' group by 1)
+ select cur.s as source_system, case when month(cur.d) = 3 and cur.d <> date '1999-03-31' then prev.b else cur.b end as batch_id,
+ cast(case when month(cur.d) = 3 and cur.d <> date '1999-03-31' then prev.d else cur.d end as varchar) as effective_date from cur left join prev using (s)""")
+sql("second_daily_batch", """select o_orderpriority as source_system, o_orderkey as batch_id, cast(cast(o_orderdate as date) as varchar) as effective_date from orders
+ where o_orderstatus <> 'F' and o_orderdate <= date '1999-03-31' qualify row_number() over (partition by o_orderpriority order by o_orderkey desc) = 2""")
+sql("rerun_state", """select cast(bool_or(o_orderdate < date '1999-01-01' and cast(o_orderdate as date) = date '1998-06-15') as varchar) as is_rerun, cast(bool_or(o_orderdate > date '1998-06-15') as varchar) as is_backdated from orders""")
+
+# Controls.
+
+
+def _single(tag: str, where: str = "true", batch: str = "") -> str:
+    by, group = (f"{batch} as batch, ", f" group by {batch}, {tag}") if batch else ("", "")
+    rows = [("Total Count", "recordcount", "count(*)"), ("DistinctCount", "l_partkey", "count(distinct l_partkey)"),
+            ("Sum Total", "l_extendedprice", "sum(cast(l_extendedprice as decimal(28,6)))"), ("Sum Total on Year", "l_shipdate", "sum(year(l_shipdate))")]
+    return " union all ".join(
+        f"select {by}{tag} as tag, '{op}' as operation, 'lines_{f}' as control_id, '{f}' as fact_col_name, cast(null as varchar) as group_col_name, "
+        f"cast(null as varchar) as group_col_val, cast({agg} as double) as fact_val from lineitem where {where}{group}" for op, f, agg in rows)
+
+
+def _grouped(tag: str, where: str = "true") -> str:
+    base = "select {t} as tag, 'Count grouped by distinct value' as operation, 'lines_{i}' as control_id, cast(null as varchar) as fact_col_name, '{n}' as group_col_name, {v} as group_col_val, cast(count(*) as double) as fact_val from lineitem where {w} group by {v}"
+    return base.format(t=tag, i="l_returnflag", n="l_returnflag", v="l_returnflag", w=where) + " union all " + base.format(
+        t=tag, i="l_returnflag_l_linestatus", n="l_returnflag,l_linestatus", v="l_returnflag || '|' || l_linestatus", w=where)
+
+
+sql("kc2_measures", _single("'S'") + " union all " + _grouped("'S'"))
+sql("kc2_by_batch", _single("l_returnflag", batch="year(l_shipdate)"))
+sql("kc2_compare", f"""select s.operation, s.control_id, s.fact_col_name, s.group_col_name, s.group_col_val, s.fact_val as source_fact_value, t.fact_val as target_fact_value,
+ cast(cast(s.fact_val as decimal(28,2)) - cast(t.fact_val as decimal(28,2)) as double) as fact_value_variance, case when s.fact_val = t.fact_val then 'Y' else 'N' end as match_indicator from s join t on s.control_id = t.control_id
+ and s.group_col_val is not distinct from t.group_col_val""",
+    f"s as ({_single(chr(39) + 'S' + chr(39))} union all {_grouped(chr(39) + 'S' + chr(39))}), t as ({_single(chr(39) + 'T' + chr(39), 'l_quantity > 1')} union all {_grouped(chr(39) + 'T' + chr(39), 'l_quantity > 1')})")
+sql("catalogue_measures", """select 'Total Count' as operation, 'recordcount' as fact_col_name, cast(count(*) as double) as fact_val from lineitem
+ union all select 'DistinctCount', 'l_suppkey', count(distinct l_suppkey) from lineitem union all select 'Sum Total', 'l_quantity', sum(l_quantity) from lineitem
+ union all select 'Sum Total on Year', 'l_shipdate', sum(year(l_shipdate)) from lineitem""")
+_LOGSQL = LINES_FORCED + f""",
+lx as ({_joined('lines0', 'reins', _LINE_FLAGS)}),
+tagged as (select 'S' as tag, data_type, case when {_CENTS} > 0 then {_CENTS} else 0 end as c from lines0
+ union all select 'SA', data_type, case when {_CENTS} > 0 then {_CENTS} else 0 end from lx where coalesce(s_flag,'') = 'Exclude' or coalesce(l_flag,'') = 'Exclude'
+ union all select 'SI', data_type, case when {_CENTS} > 0 then {_CENTS} else 0 end from lforced where outcome <> 'Good'
+ union all select 'T', data_type, case when {_CENTS} > 0 then {_CENTS} else 0 end from lforced where outcome = 'Good'),
+measured as (select tag, 'Total Count' as operation, 'recordcount' as f, cast(null as varchar) as g, cast(null as varchar) as v, cast(count(*) as double) as n from tagged group by tag
+ union all select tag, 'Sum Total', 'default_amount', null, null, cast(sum(c) as double) / 100 from tagged group by tag
+ union all select tag, 'Count grouped by distinct value', null, 'data_type', data_type, count(*) from tagged group by tag, data_type)"""
+sql("balance_lines", """select operation, 'general_ledger_line_item_' || coalesce(f, g) as control_id, f as fact_col_name, g as group_col_name, v as group_col_val,
+ coalesce(sum(n) filter (tag = 'S'), 0) as s_value, coalesce(sum(n) filter (tag = 'T'), 0) as t_value, coalesce(sum(n) filter (tag = 'SA'), 0) as sa_value,
+ coalesce(sum(n) filter (tag = 'SI'), 0) as si_value, cast(0 as double) as ti_value, cast(0 as double) as ta_value, cast(0 as double) as variance, 'Y' as is_match
+ from measured group by all""", _LOGSQL)
+sql("adjustments", """select operation, f as fact_col_name, v as group_col_val, 'ADJ S' as side, cast(-sum(cast(n as decimal(28,2))) as double) as adjustment from measured where tag in ('SA', 'SI') group by 1, 2, 3""", _LOGSQL)
+_WB = [("Total Count", "recordcount", "count(*)"), ("DistinctCount", "l_partkey", "count(distinct l_partkey)"),
+       ("Sum Total", "l_extendedprice", "sum(cast(l_extendedprice as decimal(28,2)))"), ("Sum Total on Year", "l_shipdate", "sum(year(l_shipdate))")]
+sql("warehouse_balance", " union all ".join(f"""select '{op}' as operation, '{f}' as fact_col_name, cast({a} as double) as src_measure_value, cast({a} as double) as tgt_measure_value,
+ cast({a} filter (l_returnflag = 'R') as double) as tgt_adj_measure_value, cast({a} filter (l_returnflag = 'A') - {a} filter (l_returnflag = 'R') as double) as variance,
+ case when {a} filter (l_returnflag = 'A') = {a} filter (l_returnflag = 'R') + {a} filter (l_returnflag = 'N') then 'Y' else 'N' end as is_match from lineitem""" for op, f, a in _WB))
+sql("row_identity", """select count(*) as source_rows, count(*) filter (outcome = 'Soft Error') as soft_rows, count(*) filter (outcome = 'Hard Error') as hard_rows, cast(0 as bigint) as cleared_rows,
+ count(*) filter (outcome = 'Good') as good_rows, 'Y' as holds from lforced""", LINES_FORCED)
+sql("control_totals", """select cast(sum(cast(strftime(l_shipdate, '%Y%m%d') as bigint)) as double) as measure_value, 'l_shipdate' as field from lineitem
+ union all select cast(sum(l_orderkey) as double), 'l_orderkey' from lineitem""")
+sql("additional_control", "select 'MATCHING' as count_check, case when count(*) filter (l_linenumber = 7) = 0 then 'MATCHING' else 'NOT MATCHING' end as sum_check from lineitem")
+sql("collapsed_copies", "select cast(count(*) - count(distinct cast(l_orderkey as varchar) || l_returnflag || l_linestatus) as bigint) as measure_value from lineitem")
+_LI = "l_orderkey, l_partkey, l_suppkey, cast(l_linenumber as bigint) as l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate"
+sql("duplicates", f"select {_LI} from (select *, count(*) over (partition by l_orderkey, l_linenumber) as n from lineitem) where n > 1")
+sql("headers_without_lines", "select o_orderkey as k from orders except select l_orderkey from lineitem")
+sql("header_count_check", """select h as headers, l as line_headers, case when h = l then 'Y' else 'N' end as is_match from (select (select count(*) from orders) as h, (select count(distinct l_orderkey) from lineitem) as l)""")
+sql("forced_good_rows", f"""d as (select *, not tchk or not rchk or early as dated from (select *, {_DERIVED} from lines0)),
+ pairs as (select gl_application_area_code as a, src as s from d where gl_application_area_code is not null and src is not null group by 1, 2 having bool_or(dated) and bool_or(not dated))
+ select gl_application_area_code, src as gl_source_code_drvd, count(*) as rows from d join pairs on gl_application_area_code = a and src = s where not dated group by 1, 2""", BASE + ",")
+
+# Reshaping and the rest.
+
+sql("eav_transpose", """with e as (select cast(user_id as varchar) as naturalkey, cast(ts as date) as ld, case when event_id % 2 = 0 then 'amount' else 'label' end as c,
+  case event_type when 'view' then 3 when 'click' then 2 else 1 end as p, case when event_type = 'view' and event_id % 3 = 0 then '' else 'v' || cast(event_id % 1000 as varchar) end as v from events),
+ g as (select naturalkey, ld, c, p, max(v) as v from e group by 1, 2, 3, 4),
+ b as (select * from g qualify row_number() over (partition by naturalkey, ld, c order by p desc) = 1)
+ select naturalkey, cast(ld as varchar) as load_date, nullif(max(v) filter (c = 'amount'), '') as amount, nullif(max(v) filter (c = 'label'), '') as label from b group by 1, 2""")
+sql("eav_record_count", "select cast(d as varchar) as load_date, count(*) as record_count from (select distinct cast(ts as date) as d, user_id, event_type from events) group by d")
+sql("pairs_to_columns", """select o_orderkey, o_orderstatus, case when o_orderkey % 3 = 0 then 'C' || cast(o_custkey as varchar) end as contract_no,
+ case when o_orderkey % 3 = 1 then 'C' || cast(o_custkey as varchar) end as "45_contract_no", case when o_orderkey % 2 = 0 then 'X' || cast(o_custkey as varchar) end as old_contract_no,
+ cast(null as varchar) as other from orders""")
+sql("pivot_pairs", """select o_orderkey, case when o_orderkey % 3 = 0 then 'C' || cast(o_custkey as varchar) end as contract_no,
+ case when o_orderkey % 2 = 1 then 'X' || cast(o_custkey as varchar) end as other from orders where o_orderkey % 3 = 0 or o_orderkey % 2 = 1""")
+sql("header_line_join", """select o_orderkey as transaction_number, cast(l_linenumber as bigint) as l_linenumber, o_orderstatus as header_status, l_linestatus as line_status, o_totalprice as header_amount,
+ l_extendedprice as line_amount, l_partkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate from orders join lineitem on l_orderkey = o_orderkey""")
+sql("combined_window", """select o_orderkey, case when o_orderstatus <> 'F' then o_orderstatus end as o_orderstatus, case when o_orderstatus <> 'P' then o_orderpriority end as o_orderpriority,
+ cast(cast(o_orderdate as date) as varchar) as cycle_date, case o_orderstatus when 'O' then 'open' when 'P' then 'partial' else 'finished' end as source_table
+ from orders where cast(o_orderdate as date) between date '1999-03-01' and date '1999-03-31'""")
+_VIEW = {"cycledate": "cycle_date", "batchid": "batch_id"}
+_PRESENT = """transaction_number secondary_ledger_code ledger_name subledger_short_name event_type_code source_system_nm data_type transaction_date
+ gl_application_area_code gl_reversal_date gl_source_code source_system_name cycledate batchid original_cycle_date original_batch_id""".split()
+sql("current_view", "select " + ", ".join(
+    f"{_VIEW.get(c, c)} as {c}" if c in _PRESENT else f"cast(null as varchar) as {c}" for c in HEADER_VIEW if c not in ("inserttimestamp", "updatetimestamp"))
+    + f" from ({_FINAL})", FORCED_HEADERS)
+_TREE = f"tree as ({q.TREE}), "
+sql("hierarchy_levels", """walk as (select name, parent, summary, allow_posting, cycle_date, 1 as level, [description_us] as p from tree where parent is null
+  union all select t.name, t.parent, t.summary, t.allow_posting, t.cycle_date, w.level + 1, list_append(w.p, t.description_us) from tree t join walk w on t.parent = w.name)
+ select name, parent, summary, cast(allow_posting as bigint) as allow_posting, cast(cycle_date as bigint) as cycle_date, cast(level as bigint) as level,
+ """ + ", ".join(f"p[{i}] as level_{i}" for i in range(1, 7)) + " from walk", "recursive " + _TREE)
+sql("leaves_below", """walk as (select * from tree where description_us = 'ASIA' union all select t.* from tree t join walk w on t.parent = w.name)
+ select name, parent, description_us from walk where allow_posting = 1""", "recursive " + _TREE)
+sql("row_hashes", """select o_orderkey, sha256(o_orderstatus || '|' || o_orderpriority) as header_hash, sha256(cast(o_custkey as varchar) || '|' || cast(o_orderkey as varchar)) as line_hash from orders""")
+_UUID = "substr(h,1,8) || '-' || substr(h,9,4) || '-{v}' || substr(h,14,3) || '-' || translate(substr(h,17,1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h,18,3) || '-' || substr(h,21,12)"
+sql("document_ids", f"""select c_custkey, (select {_UUID.format(v=3)} from (select md5(c_name) as h)) as uuid3,
+ (select {_UUID.format(v=5)} from (select sha1(unhex('6ba7b8149dad11d180b400c04fd430c8') || encode(c_name)) as h)) as uuid5 from customer""")
+sql("masked_names", "select c_custkey, c_name, 'true' as is_masked from customer")

@@ -89,7 +89,7 @@ def derived_batch_ids(
     own = completed.where(
         (F.col("source_system") == source_system) & (F.col("domain_name") == domain)
         & (F.col("batch_frequency") == frequency))
-    last = last_completed(own).select("cycle_date", F.col("batch_id").alias("_last"))
+    last = own.groupBy("cycle_date").agg(F.max("batch_id").alias("_last"))
     sequence_so_far = F.replace(F.col("_last").cast("string"), F.concat(day, F.lit(system)), F.lit(""))
     sequence = F.coalesce(sequence_so_far.cast("bigint"), F.lit(0)) + F.col("_sequence")
     numbered = runs.join(last, "cycle_date", "left").select(

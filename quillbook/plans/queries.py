@@ -46,6 +46,11 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+def _text(df: DataFrame, *names: str) -> DataFrame:
+    """Numbers that may be null as text."""
+    return df.withColumns({n: F.col(n).cast("string") for n in names})
+
+
 def _raw(spark: SparkSession, folder: str) -> list[DataFrame]:
     return w.extracts(spark, folder)
 
@@ -180,7 +185,7 @@ def transaction_forced(spark, folder):
 
 @query
 def final_headers(spark, folder):
-    return w.loaded(spark, folder)[0].final
+    return _text(w.loaded(spark, folder)[0].final, "original_batch_id")
 
 
 def _classified_lines(spark, folder):
@@ -193,7 +198,7 @@ def _classified_lines(spark, folder):
 
 @query
 def classify_lines(spark, folder):
-    return _classified_lines(spark, folder).select(*LINE_OUT)
+    return _text(_classified_lines(spark, folder).select(*LINE_OUT), "line_number")
 
 
 @query
@@ -201,7 +206,7 @@ def classify_lines_summary(spark, folder):
     rows = _classified_lines(spark, folder)
     return rows.groupBy("error_cleared", "gl_application_area_code", "gl_source_code_drvd").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("default_amount_drvd").alias("amount"),
-        F.max("line_number").alias("last_line"))
+        F.max("line_number").cast("string").alias("last_line"))
 
 
 @query
@@ -337,7 +342,7 @@ def inferred_error_fields(spark, folder):
     """Records read with the schema found in the data."""
     rows = _order_errors(spark, folder)
     parsed = rows.select(F.from_json("error_record", errors.error_schema(rows)).alias("r")).select("r.*")
-    return parsed.groupBy("priority", "batch_id").agg(F.count(F.lit(1)).alias("rows"))
+    return _text(parsed, "batch_id").groupBy("priority", "batch_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
 def _error_batches(spark, folder) -> DataFrame:
@@ -472,8 +477,12 @@ def _empty(staging: DataFrame) -> DataFrame:
 
 
 def _first_half(spark, folder) -> DataFrame:
-    staging = _staged(_daily(spark, folder).where(F.col("cycle_date") < F.lit(HALF)))
-    return scd2.apply_working(_empty(staging), scd2.working_type2(staging, _empty(staging)))
+    """History after the first half of the days: a table the queries start from."""
+    def load_first():
+        staging = _staged(_daily(spark, folder).where(F.col("cycle_date") < F.lit(HALF)))
+        return scd2.apply_working(_empty(staging), scd2.working_type2(staging, _empty(staging)))
+
+    return w.written(spark, folder, "history", load_first)
 
 
 def _second_half(spark, folder) -> DataFrame:
@@ -630,6 +639,11 @@ def batch_ids(spark, folder):
     return _derived(spark, folder)
 
 
+@query
+def last_completed(spark, folder):
+    return batches.last_completed(_completed(spark, folder))
+
+
 @query
 def newly_completed(spark, folder):
     current = batches.current_batches(_derived(spark, folder), F.lit(w.RUN_TS))
@@ -897,7 +911,8 @@ def combined_window(spark, folder):
 @query
 def current_view(spark, folder):
     headers = w.loaded(spark, folder)[0].final.withColumnsRenamed({"cycle_date": "cycledate", "batch_id": "batchid"})
-    return tables.projection(headers, tables.HEADER_VIEW).drop("inserttimestamp", "updatetimestamp")
+    view = tables.projection(headers, tables.HEADER_VIEW).drop("inserttimestamp", "updatetimestamp")
+    return _text(view, "original_batch_id")
 
 
 TREE = """select 'world' as name, cast(null as string) as parent, 'World' as description_us, 'Y' as summary, 0 as allow_posting, 1 as cycle_date from region where r_regionkey = 0

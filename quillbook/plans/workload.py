@@ -8,6 +8,7 @@ used.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -142,13 +143,19 @@ def extracts(spark: SparkSession, folder: str) -> list[DataFrame]:
     return [made[name] for name in EXTRACTS]
 
 
+def written(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """An input table, written on first use in a session."""
+    made = _input(spark, folder)
+    if name not in made:
+        made[name] = materialise(make(), name)
+    return made[name]
+
+
 def lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """The reference tables, written once so that their size is known to the planner."""
-    made = _input(spark, folder)
-    for name, sql in LOOKUPS.items():
-        if name not in made:
-            made[name] = materialise(query(spark, folder, sql), name)
-    return {name: made[name] for name in LOOKUPS}
+    return {
+        name: written(spark, folder, name, lambda sql=sql: query(spark, folder, sql)) for name, sql in LOOKUPS.items()
+    }
 
 
 def loaded(spark: SparkSession, folder: str):
