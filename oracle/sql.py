@@ -447,6 +447,22 @@ sql("balance_lines", """select operation, 'general_ledger_line_item_' || coalesc
  coalesce(sum(n) filter (tag = 'S'), 0) as s_value, coalesce(sum(n) filter (tag = 'T'), 0) as t_value, coalesce(sum(n) filter (tag = 'SA'), 0) as sa_value,
  coalesce(sum(n) filter (tag = 'SI'), 0) as si_value, cast(0 as double) as ti_value, cast(0 as double) as ta_value, cast(0 as double) as variance, 'Y' as is_match
  from measured group by all""", _LOGSQL)
+_HLOG = FORCED_HEADERS + f""",
+hx as ({_joined('headers0', 'flags', _HEADER_FLAG)}),
+htagged as (select 'S' as tag, data_type from headers0
+ union all select 'SA', data_type from hx where coalesce(s_flag,'') = 'Exclude' or coalesce(l_flag,'') = 'Exclude'
+ union all select 'SI', data_type from hforced where outcome <> 'Good'
+ union all select 'T', data_type from (select distinct txn, data_type from hforced where outcome = 'Good')
+ union all select 'TI', data_type from (select data_type, row_number() over (partition by txn) as n from hforced where outcome = 'Good') where n > 1),
+hmeasured as (select tag, 'Total Count' as operation, 'recordcount' as f, cast(null as varchar) as g, cast(null as varchar) as v, cast(count(*) as double) as n from htagged group by tag
+ union all select tag, 'Count grouped by distinct value', null, 'data_type', data_type, count(*) from htagged group by tag, data_type)"""
+sql("balance_headers", """select operation, 'general_ledger_header_' || coalesce(f, g) as control_id, f as fact_col_name, g as group_col_name, v as group_col_val,
+ coalesce(sum(n) filter (tag = 'S'), 0) as s_value, coalesce(sum(n) filter (tag = 'T'), 0) as t_value, coalesce(sum(n) filter (tag = 'SA'), 0) as sa_value,
+ coalesce(sum(n) filter (tag = 'SI'), 0) as si_value, coalesce(sum(n) filter (tag = 'TI'), 0) as ti_value, cast(0 as double) as ta_value, cast(0 as double) as variance, 'Y' as is_match
+ from hmeasured group by all""", _HLOG)
+sql("control_log", """select 'lines' as domain, 'tpch' as sys_nm, 'CONTROL_TOTAL' as measure_name, 'l_quantity' as measure_field, cast(year(l_shipdate) as bigint) as batch_id,
+ cast(cast(l_shipdate as date) as varchar) as cycle_date, sum(l_quantity) as measure_value, 'INTEGER' as measure_value_datatype from lineitem
+ where cast(l_shipdate as date) in (select cast(o_orderdate as date) from orders where o_orderstatus = 'F') group by year(l_shipdate), cast(l_shipdate as date)""")
 sql("adjustments", """select operation, f as fact_col_name, v as group_col_val, 'ADJ S' as side, cast(-sum(cast(n as decimal(28,2))) as double) as adjustment from measured where tag in ('SA', 'SI') group by 1, 2, 3""", _LOGSQL)
 _WB = [("Total Count", "recordcount", "count(*)"), ("DistinctCount", "l_partkey", "count(distinct l_partkey)"),
        ("Sum Total", "l_extendedprice", "sum(cast(l_extendedprice as decimal(28,2)))"), ("Sum Total on Year", "l_shipdate", "sum(year(l_shipdate))")]

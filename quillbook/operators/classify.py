@@ -439,7 +439,7 @@ def classify_lines(
 def _with_messages(rows: DataFrame, pairs: DataFrame, batch: Batch) -> DataFrame:
     rows = _with_forced(rows, pairs, batch).withColumn("_forceable", ~date_error())
     hard = messages(
-        _when(date_error(), "Header Errored for Date Validation;"),
+        _when(~F.col("_forceable"), "Header Errored for Date Validation;"),
         _forced_message("gl_source_code"),
         *field_messages("is Invalid from Source;"),
     )

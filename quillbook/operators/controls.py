@@ -121,6 +121,20 @@ def measure(
     return log.withColumns({"domain": F.lit(domain), "hop_name": F.lit(hop)})
 
 
+def measure_copies(
+    rows: DataFrame, keys: list[str], measures: list[Measure], domain: str, hop: str
+) -> DataFrame:
+    """Measures of the rows beyond one per key, tagged ``TI``: all rows less one row per key.
+
+    Both terms are plain aggregates, so a key with very many copies is reduced
+    before it is shuffled. The measured fields must depend on the keys.
+    """
+    every = measure(rows, measures, "TI", domain, hop)
+    fields = [f for m in measures for f in m.fields if f in rows.columns]
+    one = measure(rows.select(*dict.fromkeys([*keys, *fields])).distinct(), measures, "TI", domain, hop)
+    return every.unionByName(one.withColumn("fact_val", -F.col("fact_val")))
+
+
 def control_total(rows: DataFrame, field: str, datatype: str = "INTEGER") -> DataFrame:
     """Sum of a number column, or of dates as yyyyMMdd numbers."""
     if datatype == "DATE":

@@ -178,18 +178,18 @@ def classify_headers(spark, folder):
 
 @query
 def transaction_forced(spark, folder):
-    rows = w.loaded(spark, folder)[0].rows
+    rows = w.loaded_headers(spark, folder).rows
     return rows.groupBy("error_cleared", "reprocess_flag", "hard_error_message", "soft_error_message").agg(
         F.count(F.lit(1)).alias("rows"))
 
 
 @query
 def final_headers(spark, folder):
-    return _text(w.loaded(spark, folder)[0].final, "original_batch_id")
+    return _text(w.loaded_headers(spark, folder).final, "original_batch_id")
 
 
 def _classified_lines(spark, folder):
-    raw, headers = _raw(spark, folder), w.loaded(spark, folder)[0]
+    raw, headers = _raw(spark, folder), w.loaded_headers(spark, folder)
     return classify.classify_lines(
         _prepared_lines(spark, folder),
         classify.run_headers(headers.final, w.LINE_BATCH),
@@ -211,13 +211,13 @@ def classify_lines_summary(spark, folder):
 
 @query
 def line_attributes(spark, folder):
-    lines = w.loaded(spark, folder)[1].final
+    lines = w.loaded_lines(spark, folder).final
     return lines.drop("activity_accounting_id", "recorded_timestamp", "original_cycle_date", "original_batch_id")
 
 
 @query
 def accounting_ids(spark, folder):
-    lines = w.loaded(spark, folder)[1].final
+    lines = w.loaded_lines(spark, folder).final
     number = F.col("activity_accounting_id")
     return lines.agg(
         F.count(F.lit(1)).alias("lines"), F.countDistinct(number).alias("ids"),
@@ -237,7 +237,7 @@ def line_numbering(spark, folder):
 
 @query
 def error_view(spark, folder):
-    _, lines = w.loaded(spark, folder)
+    lines = w.loaded_lines(spark, folder)
     view = errors.error_view(lines.hard.unionByName(lines.soft), "%general_ledger_line_item%", errors.LINE_FIELDS)
     return view.drop("error_record", "original_recorded_timestamp", "recorded_timestamp")
 
@@ -245,7 +245,7 @@ def error_view(spark, folder):
 @query
 def error_records(spark, folder):
     """Headers in error, written as JSON and read back with their derived codes."""
-    headers, _ = w.loaded(spark, folder)
+    headers = w.loaded_headers(spark, folder)
     rows = headers.hard.unionByName(headers.soft)
     exploded = errors.explode_errors(rows, [*errors.HEADER_FIELDS, "drvd_data"])
     derived = exploded.withColumn("_d", F.from_json("drvd_data", "ledger_name_drvd string, transaction_date_drvd string"))
@@ -256,7 +256,7 @@ def error_records(spark, folder):
 @query
 def reprocess_errors(spark, folder):
     """The next batch: no new rows, all soft header errors tried again with complete lookups."""
-    headers, _ = w.loaded(spark, folder)
+    headers = w.loaded_headers(spark, folder)
     nxt = Batch("geac", "general_ledger_header", date(2025, 12, 8), 651150, w.RUN_TS)
     carried = load.carried_errors(headers.soft, nxt, errors.HEADER_FIELDS)
     known = w.lookups(spark, folder)
@@ -363,13 +363,13 @@ def missing_references(spark, folder):
 
 @query
 def forced_error_counts(spark, folder):
-    headers, lines = w.loaded(spark, folder)
+    headers, lines = w.loaded_headers(spark, folder), w.loaded_lines(spark, folder)
     return errors.forced_counts(headers.hard.unionByName(lines.hard))
 
 
 @query
 def error_view_stats(spark, folder):
-    _, lines = w.loaded(spark, folder)
+    lines = w.loaded_lines(spark, folder)
     view = errors.error_view(lines.hard.unionByName(lines.soft), "%general_ledger_line_item%", [])
     return errors.view_stats(view)
 
@@ -774,11 +774,11 @@ LINE_MEASURES = [controls.Measure(controls.TOTAL_COUNT), controls.Measure(contro
 
 
 def _log(spark, folder) -> DataFrame:
-    raw, (_, lines) = _raw(spark, folder), w.loaded(spark, folder)
+    raw, lines = _raw(spark, folder), w.loaded_lines(spark, folder)
     rows = ex.line_rows(raw, w.LINE_BATCH.cycle_number)
     found = lookups.look_up(rows, *_known(spark, folder).in_force(w.LINE_BATCH))
     excluded = found.where(lookups.is_excluded("sblgdr_include_exclude", "ldgr_include_exclude"))
-    headers = w.loaded(spark, folder)[0].final.select("transaction_number", "data_type")
+    headers = w.loaded_headers(spark, folder).final.select("transaction_number", "data_type")
     target = load.Outcome(lines.rows, lines.hard, lines.cleared, lines.soft, lines.final.join(headers, "transaction_number"))
     target_measures = [LINE_MEASURES[0], controls.Measure(controls.SUM_TOTAL, "default_amount"), LINE_MEASURES[2]]
     return load.load_log(rows, excluded, target, LINE_MEASURES, w.LINE_BATCH, target_measures)
@@ -789,6 +789,33 @@ def balance_lines(spark, folder):
     return controls.balance(_log(spark, folder), LOG_KEYS)
 
 
+@query
+def balance_headers(spark, folder):
+    """Header rows against distinct headers: the copies that ``distinct`` removes are adjustments too."""
+    raw, headers = _raw(spark, folder), w.loaded_headers(spark, folder)
+    rows = ex.header_rows(raw, w.HEADER_BATCH.cycle_number)
+    found = lookups.look_up(rows, *_known(spark, folder).in_force(w.HEADER_BATCH))
+    excluded = found.where(lookups.is_excluded("sblgdr_include_exclude", "ldgr_include_exclude"))
+    measures = [controls.Measure(controls.TOTAL_COUNT), controls.Measure(controls.GROUPED_COUNT, "data_type")]
+    log = load.load_log(rows, excluded, headers, measures, w.HEADER_BATCH)
+    good = headers.rows.where(F.col("error_cleared").startswith("Good"))
+    copies = controls.measure_copies(good, ["transaction_number_drvd", "data_type"], measures, w.HEADER_BATCH.domain, "curated")
+    return controls.balance(log.unionByName(copies), LOG_KEYS)
+
+
+@query
+def control_log(spark, folder):
+    """Measures of all batches as log rows: current batches and catalogued measures only."""
+    lines = w.query(spark, folder, """select 'lines' as domain, 'tpch' as sys_nm, 'CONTROL_TOTAL' as measure_name, 'l_quantity' as measure_field,
+      year(l_shipdate) as batch_id, cast(l_shipdate as date) as cycle_date, l_quantity from lineitem""")
+    measured = lines.groupBy("domain", "sys_nm", "measure_name", "measure_field", "batch_id", "cycle_date").agg(
+        F.sum("l_quantity").alias("measure_value"))
+    current = w.query(spark, folder, "select distinct 'tpch' as source_system_name, year(o_orderdate) as batch_id, cast(o_orderdate as date) as cycle_date from orders where o_orderstatus = 'F'")
+    catalogue = w.query(spark, folder, """select 'lines' as domain, 'tpch' as sys_nm, 'CONTROL_TOTAL' as measure_name,
+      case when r_regionkey < 3 then 'l_quantity' else r_name end as measure_field, 'INTEGER' as measure_value_datatype from region""")
+    return controls.log_entries(measured, current, catalogue)
+
+
 @query
 def adjustments(spark, folder):
     return controls.adjustments(_log(spark, folder), ["operation", "fact_col_name", "group_col_val"])
@@ -806,7 +833,7 @@ def warehouse_balance(spark, folder):
 
 @query
 def row_identity(spark, folder):
-    return controls.row_identity(w.loaded(spark, folder)[1].rows)
+    return controls.row_identity(w.loaded_lines(spark, folder).rows)
 
 
 @query
@@ -910,7 +937,7 @@ def combined_window(spark, folder):
 
 @query
 def current_view(spark, folder):
-    headers = w.loaded(spark, folder)[0].final.withColumnsRenamed({"cycle_date": "cycledate", "batch_id": "batchid"})
+    headers = w.loaded_headers(spark, folder).final.withColumnsRenamed({"cycle_date": "cycledate", "batch_id": "batchid"})
     view = tables.projection(headers, tables.HEADER_VIEW).drop("inserttimestamp", "updatetimestamp")
     return _text(view, "original_batch_id")
 

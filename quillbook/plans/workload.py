@@ -14,7 +14,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from quillbook.operators.batch import Batch
-from quillbook.plans.load import Lookups, load_headers, load_lines
+from quillbook.plans.load import Lookups, Outcome, load_headers, load_lines
 from quillbook.session import materialise, shared_folder, spread
 
 CYCLE = date(2025, 12, 5)
@@ -158,11 +158,18 @@ def lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
-def loaded(spark: SparkSession, folder: str):
-    """The header and line loads of the workload batch, run once per session."""
+def loaded_headers(spark: SparkSession, folder: str) -> Outcome:
+    """The header load of the workload batch, run once per session."""
     made = _input(spark, folder)
     if "headers" not in made:
-        raw, known = extracts(spark, folder), Lookups(**lookups(spark, folder))
-        made["headers"] = load_headers(raw, known, HEADER_BATCH)
-        made["lines"] = load_lines(raw, known, made["headers"], LINE_BATCH)
-    return made["headers"], made["lines"]
+        made["headers"] = load_headers(extracts(spark, folder), Lookups(**lookups(spark, folder)), HEADER_BATCH)
+    return made["headers"]
+
+
+def loaded_lines(spark: SparkSession, folder: str) -> Outcome:
+    """The line load of the workload batch, run once per session."""
+    made = _input(spark, folder)
+    if "lines" not in made:
+        made["lines"] = load_lines(
+            extracts(spark, folder), Lookups(**lookups(spark, folder)), loaded_headers(spark, folder), LINE_BATCH)
+    return made["lines"]
