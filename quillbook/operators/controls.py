@@ -296,7 +296,7 @@ def log_entries(measured: DataFrame, batches: DataFrame, catalogue: DataFrame) -
     """Measured values as control log rows: named by the catalogue, for current batches only."""
     current = batches.select("batch_id", "cycle_date", F.col("source_system_name").alias("sys_nm")).distinct()
     known = catalogue.select("domain", "sys_nm", "measure_name", "measure_field", "measure_value_datatype").distinct()
-    return measured.join(current, ["batch_id", "cycle_date"]).join(
+    return measured.join(current, ["batch_id", "cycle_date", "sys_nm"]).join(
         known, ["domain", "sys_nm", "measure_name", "measure_field"])
 
 

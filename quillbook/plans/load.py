@@ -47,6 +47,8 @@ def header_rows(raw: list[DataFrame], lookups: Lookups, batch: Batch, carried: D
 
 def line_rows(raw: list[DataFrame], lookups: Lookups, batch: Batch, carried: DataFrame | None = None) -> DataFrame:
     rows = classify.in_batch(ex.line_rows(raw, batch.cycle_number), batch)
+    if carried is not None:
+        carried = carried.withColumn("random_counter", F.monotonically_increasing_id())
     return classify.prepare_lines(classify.with_carried(rows, carried), *lookups.in_force(batch))
 
 

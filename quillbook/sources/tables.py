@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,11 +34,24 @@ def append(df: DataFrame, table: str) -> None:
     in_table_order(df, target).write.mode("append").insertInto(table)
 
 
+@contextmanager
+def overwriting(spark: SparkSession, mode: str) -> Iterator[None]:
+    """Inserts take the overwrite mode from the session alone."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, mode)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions present in ``df``."""
-    target = df.sparkSession.table(table).schema
-    rows = in_table_order(df, target)
-    rows.write.option("partitionOverwriteMode", "dynamic").insertInto(table, overwrite=True)
+    spark = df.sparkSession
+    rows = in_table_order(df, spark.table(table).schema)
+    with overwriting(spark, "dynamic"):
+        rows.write.insertInto(table, overwrite=True)
 
 
 def _literal(value: object) -> str:
@@ -44,17 +59,17 @@ def _literal(value: object) -> str:
 
 
 def clear_partition(spark: SparkSession, table: str, values: dict[str, object]) -> None:
-    """Empty one partition. Overwriting with no rows would leave it as it was."""
+    """Empty one partition.
+
+    Dynamic overwriting with no rows would leave it as it was, and dropping it
+    would leave the files of an external table, so a named partition is
+    overwritten with nothing.
+    """
     spec = ", ".join(f"`{k}`={_literal(v)}" for k, v in values.items())
-    location = spark.sql(f"describe extended {table}").where("col_name = 'Type'").first()
-    if location and location["data_type"].upper() == "EXTERNAL":
-        # Dropping a partition of an external table keeps its files.
-        condition = reduce(lambda a, b: a & b, [F.col(k) == F.lit(v) for k, v in values.items()])
-        if spark.table(table).where(condition).isEmpty():
-            return
-        spark.sql(f"truncate table {table} partition ({spec})")
-    else:
-        spark.sql(f"alter table {table} drop if exists partition ({spec})")
+    fields = [f for f in spark.table(table).schema.fields if f.name not in values]
+    nothing = spark.createDataFrame([], StructType(fields))
+    with overwriting(spark, "static"):
+        spark.sql(f"insert overwrite table {table} partition ({spec}) select * from {{nothing}}", nothing=nothing)
 
 
 def replace_partition(df: DataFrame, table: str, values: dict[str, object]) -> None:
@@ -66,9 +81,10 @@ def replace_partition(df: DataFrame, table: str, values: dict[str, object]) -> N
 
 
 def truncate_and_load(df: DataFrame, table: str) -> None:
-    target = df.sparkSession.table(table).schema
-    rows = in_table_order(df, target)
-    rows.write.option("partitionOverwriteMode", "static").insertInto(table, overwrite=True)
+    spark = df.sparkSession
+    rows = in_table_order(df, spark.table(table).schema)
+    with overwriting(spark, "static"):
+        rows.write.insertInto(table, overwrite=True)
 
 
 def without_batches(target: DataFrame, batches: DataFrame, keys: list[str]) -> DataFrame:
