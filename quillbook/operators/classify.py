@@ -274,7 +274,12 @@ def _forced_message(source: str) -> Column:
 
 
 def classify_headers(prepared: DataFrame, batch: Batch) -> DataFrame:
-    """Messages, transaction number and outcome of every header row."""
+    """Messages, transaction number and outcome of every header row.
+
+    The rows are read twice, for their groups and for themselves, so they are
+    written first: they are the distinct headers, far fewer than the lines.
+    """
+    prepared = materialise(prepared, "prepared-headers")
     grouped = materialise(header_groups(prepared), "header-groups")
     keys = number_headers(grouped, batch)
     # Header rows are distinct, so their content spreads the incomplete ones.

@@ -145,8 +145,7 @@ def _stamped(batch: Batch) -> Column:
 
 
 def _without(record: str, names: list[str], schema: str) -> Column:
-    parsed = F.from_json(record, schema)
-    return F.to_json(parsed.dropFields(*names))
+    return F.to_json(F.from_json(record, schema).dropFields(*names)) if names else F.col(record)
 
 
 def _require(condition: bool, text: str) -> None:

@@ -12,17 +12,6 @@ from quillbook.session import materialise
 MAX_DEPTH = 20
 
 
-def _levels(nodes: DataFrame, first: DataFrame, link, max_depth: int) -> list[DataFrame]:
-    """Generations of a tree. Each is written once, so lineage does not grow with depth."""
-    found = [materialise(first, "level")]
-    for _ in range(1, max_depth):
-        following = materialise(link(found[-1], nodes), "level")
-        if following.isEmpty():
-            break
-        found.append(following)
-    return found
-
-
 def level_paths(nodes: DataFrame, extra: list[str], max_depth: int = MAX_DEPTH) -> DataFrame:
     """Every node reachable from a root with the names on its path as columns.
 
@@ -38,27 +27,38 @@ def level_paths(nodes: DataFrame, extra: list[str], max_depth: int = MAX_DEPTH)
     roots = with_path(
         nodes.where(F.col("parent").isNull()), F.lit(1), F.array(F.col("description_us").cast("string")))
 
-    def children(above: DataFrame, all_nodes: DataFrame) -> DataFrame:
+    def children(above: DataFrame) -> DataFrame:
         up = above.select(
             F.col("name").alias("parent"), "cycle_date", F.col("level").alias("_level"), F.col("_path").alias("_up"))
-        joined = all_nodes.join(up, ["parent", "cycle_date"])
+        joined = nodes.join(up, ["parent", "cycle_date"])
         return with_path(
             joined, F.col("_level") + 1,
             F.concat(F.col("_up"), F.array(F.col("description_us").cast("string"))))
 
-    levels = _levels(nodes, roots, children, max_depth)
+    # Each level is written once, so lineage does not grow with depth.
+    levels = [materialise(roots, "level")]
+    while len(levels) < max_depth:
+        following = materialise(children(levels[-1]), "level")
+        if following.isEmpty():
+            break
+        levels.append(following)
     everything = reduce(DataFrame.unionByName, levels)
     return everything.select(
         *columns, "level", *[F.get("_path", F.lit(i)).alias(n) for i, n in enumerate(names)])
 
 
-def leaves_below(nodes: DataFrame, description: str, max_depth: int = MAX_DEPTH) -> DataFrame:
-    """Descendants of a named node (and the node) that allow posting."""
-    start = nodes.where(F.col("description_us") == description)
+def leaves_below(nodes: DataFrame, description: str) -> DataFrame:
+    """Descendants of a named node (and the node) that allow posting.
 
-    def children(above: DataFrame, all_nodes: DataFrame) -> DataFrame:
-        up = above.select(F.col("name").alias("_up")).distinct()
-        return all_nodes.join(up, F.col("parent") == F.col("_up"), "left_semi")
-
-    everything = reduce(DataFrame.unionByName, _levels(nodes, start, children, max_depth))
-    return everything.where(F.col("allow_posting").cast("string") == "1")
+    Goes on until a level brings nothing new, at any depth. Nodes that were
+    met before are left out, so that a loop in the data ends too.
+    """
+    found = materialise(nodes.where(F.col("description_us") == description), "level")
+    level = found
+    while True:
+        up = level.select(F.col("name").alias("_up")).distinct()
+        below = nodes.join(up, F.col("parent") == F.col("_up"), "left_semi")
+        level = materialise(below.join(found.select("name"), "name", "left_anti").select(*nodes.columns), "level")
+        if level.isEmpty():
+            return found.where(F.col("allow_posting").cast("string") == "1")
+        found = found.unionByName(level)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillbook.functions.codes import AMBIGUOUS, MISSING, WILDCARD
+from quillbook.functions.groups import neighbour
 
 
 def look_up(rows: DataFrame, subledgers: DataFrame, ledgers: DataFrame, reinsurance: DataFrame) -> DataFrame:
@@ -125,10 +126,27 @@ def same_rows_present(df: DataFrame, other: DataFrame, keys: list[str], missing:
 
 
 def as_of(rows: DataFrame, versions: DataFrame, on: list[str], when: str, start: str, stop: str) -> DataFrame:
-    """The version in force at ``when``: equality on keys, range as the residual."""
-    condition = reduce(lambda a, b: a & b, [rows[c] == versions[c] for c in on])
-    return rows.join(versions, condition & rows[when].between(versions[start], versions[stop]), "left").select(
-        *[rows[c] for c in rows.columns], *[versions[c] for c in versions.columns if c not in on])
+    """The version in force at ``when``. Versions of a key must not overlap.
+
+    Rows and versions are put in one order per key and each row takes the last
+    version before it. A join on the key would pair every row of a key with
+    every version of it before the dates are looked at.
+    """
+    fields = [c for c in versions.columns if c not in on]
+    kind = versions.schema[start].dataType
+    row_type = rows.select(F.struct(*rows.columns).alias("r")).schema["r"].dataType
+    version = versions.select(
+        *on, F.col(start).alias("_at"), F.lit(0).alias("_kind"), F.struct(*fields).alias("_version"),
+        F.lit(None).cast(row_type).alias("_row"))
+    version_type = version.schema["_version"].dataType
+    wanted = rows.select(
+        *on, F.col(when).cast(kind).alias("_at"), F.lit(1).alias("_kind"),
+        F.lit(None).cast(version_type).alias("_version"), F.struct(*rows.columns).alias("_row"))
+    placed = neighbour(
+        version.unionByName(wanted), on, ["_at", "_kind"], "_found", F.col("_version"), among=F.col("_kind") == 0)
+    in_force = F.col("_at") <= F.col(f"_found.{stop}")
+    return placed.where(F.col("_kind") == 1).select(
+        "_row.*", *[F.when(in_force, F.col(f"_found.{c}")).alias(c) for c in fields])
 
 
 def listed(df: DataFrame, column: str, name: str) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillbook.operators import classify, controls, errors
@@ -20,6 +21,14 @@ class Lookups:
     ledgers: DataFrame
     reinsurance: DataFrame
 
+    def written(self) -> Lookups:
+        """The same tables in the shared folder.
+
+        For lookups read from a database: their size is unknown to the planner
+        until they are written, and they are fetched once.
+        """
+        return Lookups(*[materialise(t, "lookup") for t in (self.subledgers, self.ledgers, self.reinsurance)])
+
     def in_force(self, batch: Batch) -> tuple[DataFrame, DataFrame, DataFrame]:
         return (
             ex.subledger_map(self.subledgers, batch.cycle()),
@@ -55,8 +64,7 @@ def line_rows(raw: list[DataFrame], lookups: Lookups, batch: Batch, carried: Dat
 def load_headers(
     raw: list[DataFrame], lookups: Lookups, batch: Batch, carried: DataFrame | None = None
 ) -> Outcome:
-    prepared = materialise(header_rows(raw, lookups, batch, carried), "prepared-headers")
-    classified = materialise(classify.classify_headers(prepared, batch), "headers")
+    classified = materialise(classify.classify_headers(header_rows(raw, lookups, batch, carried), batch), "headers")
     rows = classify.force_transactions(classified, batch, "transaction_number_drvd")
     fields, derived = errors.HEADER_FIELDS, errors.HEADER_DERIVED
     return Outcome(
@@ -68,6 +76,20 @@ def load_headers(
     )
 
 
+def classified_lines(
+    raw: list[DataFrame], lookups: Lookups, headers: Outcome, batch: Batch, carried: DataFrame | None = None
+) -> DataFrame:
+    """Line rows classified against the headers of their batch.
+
+    Headers and forced pairs are written first: their size then decides how
+    the lines are joined to them.
+    """
+    pairs = materialise(classify.forced_header_pairs(headers.rows, batch), "forced-pairs")
+    loaded = materialise(classify.run_headers(headers.final, batch), "run-headers")
+    within = [*raw, carried] if carried is not None else raw
+    return classify.classify_lines(line_rows(raw, lookups, batch, carried), loaded, pairs, batch, within)
+
+
 def load_lines(
     raw: list[DataFrame],
     lookups: Lookups,
@@ -76,11 +98,7 @@ def load_lines(
     carried: DataFrame | None = None,
     outbound: bool = False,
 ) -> Outcome:
-    pairs = materialise(classify.forced_header_pairs(headers.rows, batch), "forced-pairs")
-    prepared = line_rows(raw, lookups, batch, carried)
-    within = [*raw, carried] if carried is not None else raw
-    loaded = materialise(classify.run_headers(headers.final, batch), "run-headers")
-    classified = materialise(classify.classify_lines(prepared, loaded, pairs, batch, within), "lines")
+    classified = materialise(classified_lines(raw, lookups, headers, batch, carried), "lines")
     rows = classify.force_transactions(classified, batch, "transaction_number")
     valid = classify.valid_lines(rows, batch, outbound)
     fields, derived = errors.LINE_FIELDS, errors.LINE_DERIVED
@@ -111,29 +129,63 @@ def carried_errors(error_table: DataFrame, batch: Batch, fields: list[str]) -> D
     return errors.explode_errors(errors.reprocessable(error_table, batch), fields)
 
 
+def prepare_errors(spark: SparkSession, batch: Batch, error_table: str, rerun: bool = False) -> None:
+    """Put the error table back to where it was before an earlier run of this batch.
+
+    The new content is written to the shared folder before any partition of
+    the table is replaced, as it is computed from that table.
+    """
+    rows = materialise(spark.table(error_table).where(F.col("table_name") == batch.table_name), "errors")
+    if rows.isEmpty():
+        return
+    schema = errors.error_schema(rows)
+    retried = errors.reinstate_processed(errors.repair_rerun_markers(rows, rerun), batch, schema)
+    kept = [
+        retried.where(F.col("reprocess_flag") == errors.CLEARED),
+        errors.reinstate_errors(retried, batch, errors.SOFT, schema, rerun),
+        errors.reinstate_errors(rows, batch, errors.HARD, schema, rerun),
+    ]
+    restored = materialise(reduce(DataFrame.unionByName, kept), "errors")
+    for flag in (errors.SOFT, errors.HARD, errors.CLEARED):
+        tables.replace_partition(
+            restored.where(F.col("reprocess_flag") == flag), error_table,
+            {"table_name": batch.table_name, "reprocess_flag": flag})
+
+
+def age_errors(spark: SparkSession, batch: Batch, error_table: str, max_days: int = errors.MAX_AGE_DAYS) -> None:
+    """Turn the soft errors that are too old into hard ones in the table."""
+    soft = spark.table(error_table).where(
+        (F.col("table_name") == batch.table_name) & (F.col("reprocess_flag") == errors.SOFT))
+    if soft.isEmpty():
+        return
+    aged = materialise(errors.age_soft_errors(soft, batch, errors.error_schema(soft), max_days), "aged")
+    tables.append(aged.where(F.col("reprocess_flag") == errors.HARD), error_table)
+    tables.replace_partition(
+        aged.where(F.col("reprocess_flag") == errors.SOFT), error_table,
+        {"table_name": batch.table_name, "reprocess_flag": errors.SOFT})
+
+
 def load_log(
     raw_rows: DataFrame, excluded: DataFrame, outcome: Outcome, measures: list[controls.Measure], batch: Batch,
     target_measures: list[controls.Measure] | None = None,
 ) -> DataFrame:
     """Measures of the curated hop under all tags.
 
-    Raw rows are measured as text, the target with its own column types.
+    Rows that carry text amounts are tagged and measured together, the target
+    with its own column types.
     """
-    target_measures = target_measures or measures
+    fields = sorted({f for m in measures for f in m.fields if f in raw_rows.columns})
     good = F.col("error_cleared").startswith("Good")
     own = batch.originates()
 
-    def log(rows: DataFrame, tag: str, which: list[controls.Measure]) -> DataFrame:
-        return controls.measure(rows, which, tag, batch.domain, "curated")
+    def tagged(rows: DataFrame, tag: Column) -> DataFrame:
+        return rows.select(*fields, tag.alias("_tag")).where(F.col("_tag").isNotNull())
 
-    parts = [
-        log(raw_rows, "S", measures),
-        log(excluded, "SA", measures),
-        log(outcome.rows.where(own & ~good), "SI", measures),
-        log(outcome.rows.where(good & ~own), "TA", measures),
-        log(outcome.final, "T", target_measures),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    text = (
+        tagged(raw_rows, F.lit("S"))
+        .unionByName(tagged(excluded, F.lit("SA")))
+        .unionByName(tagged(outcome.rows, F.when(own & ~good, "SI").when(good & ~own, "TA")))
+    )
+    source = controls.measure(text, measures, F.col("_tag"), batch.domain, "curated")
+    target = controls.measure(outcome.final, target_measures or measures, "T", batch.domain, "curated")
+    return source.unionByName(target)

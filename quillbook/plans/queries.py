@@ -59,10 +59,6 @@ def _known(spark: SparkSession, folder: str) -> load.Lookups:
     return load.Lookups(**w.lookups(spark, folder))
 
 
-def _prepared_lines(spark: SparkSession, folder: str) -> DataFrame:
-    return load.line_rows(_raw(spark, folder), _known(spark, folder), w.LINE_BATCH)
-
-
 # Extracts, codes and lookups.
 
 
@@ -189,11 +185,8 @@ def final_headers(spark, folder):
 
 
 def _classified_lines(spark, folder):
-    raw, headers = _raw(spark, folder), w.loaded_headers(spark, folder)
-    return classify.classify_lines(
-        _prepared_lines(spark, folder),
-        classify.run_headers(headers.final, w.LINE_BATCH),
-        classify.forced_header_pairs(headers.rows, w.LINE_BATCH), w.LINE_BATCH, raw)
+    return load.classified_lines(
+        _raw(spark, folder), _known(spark, folder), w.loaded_headers(spark, folder), w.LINE_BATCH)
 
 
 @query
