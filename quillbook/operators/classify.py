@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillbook.functions import codes, groups, identity, rules
 from quillbook.operators.batch import Batch
 from quillbook.operators.lookups import is_included, look_up
-from quillbook.session import materialise
+from quillbook.session import control_table, materialise
 
 # The columns that make up one header.
 GRAIN = [
@@ -284,8 +284,7 @@ def classify_headers(prepared: DataFrame, batch: Batch) -> DataFrame:
     keys = number_headers(grouped, batch)
     # Header rows are distinct, so their content spreads the incomplete ones.
     rows = _with_key(prepared, F.xxhash64(*HEADER_CONTENT)).join(keys, KEY, "left").drop(KEY)
-    # Written, so that Spark knows how small the pairs are and need not shuffle the rows for them.
-    rows = _with_forced(rows, materialise(forced_pairs(grouped, batch), "forced-pairs"), batch)
+    rows = _with_forced(rows, control_table(forced_pairs(grouped, batch)), batch)
 
     rows = rows.withColumn("_hard", messages(*date_messages(), *field_messages("is invalid from source;")))
     clean = F.length("_hard") == 0
@@ -326,8 +325,8 @@ def force_transactions(rows: DataFrame, batch: Batch, number: str) -> DataFrame:
     """
     key = ["original_cycle_date", "original_batch_id", number]
     own = F.contains(F.upper("error_message"), F.lit("RDM"))
-    concerned = rows.where(own).select(*key).distinct().select(
-        *[F.col(c).alias(f"_t_{c}") for c in key], F.lit(True).alias("_concerned"))
+    concerned = control_table(rows.where(own).select(
+        *[F.col(c).alias(f"_t_{c}") for c in key], F.lit(True).alias("_concerned")))
     on = reduce(lambda a, b: a & b, [rows[c].eqNullSafe(concerned[f"_t_{c}"]) for c in key])
     joined = rows.join(concerned, on, "left").drop(*[f"_t_{c}" for c in key])
     forced = F.coalesce(F.col("_concerned") & ~own, F.lit(False))
@@ -402,7 +401,6 @@ def forced_header_pairs(header_rows: DataFrame, batch: Batch) -> DataFrame:
         header_rows.where(batch.originates() & F.contains("hard_error_message", F.lit(FORCED_DATE)))
         .select(
             F.col("gl_application_area_code").alias("_f_area"), F.col("gl_source_code_drvd").alias("_f_source"))
-        .distinct()
         .withColumn("_forced", F.lit(True))
     )
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from quillbook.operators.batch import Batch
+from quillbook.session import control_table
 
 ERROR_COLUMNS = [
     "recorded_timestamp",
@@ -302,7 +303,7 @@ def error_type() -> Column:
 def error_details(errors: DataFrame, batches: DataFrame) -> DataFrame:
     """Open errors counted by origin, class, type and message."""
     open_errors = errors.where(F.col("reprocess_flag").isin(SOFT, HARD) & F.col("original_batch_id").isNotNull())
-    known = batches.select(F.col("cycle_date").alias("original_cycle_date"), "source_system").distinct()
+    known = control_table(batches.select(F.col("cycle_date").alias("original_cycle_date"), "source_system"))
     return open_errors.join(known, "original_cycle_date").withColumn("error_type", error_type()).groupBy(
         "table_name", "original_cycle_date", "original_batch_id", "error_classification_name", "error_type",
         "error_message", "source_system",

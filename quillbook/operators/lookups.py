@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quillbook.functions.codes import AMBIGUOUS, MISSING, WILDCARD
 from quillbook.functions.groups import neighbour
+from quillbook.session import control_table
 
 
 def look_up(rows: DataFrame, subledgers: DataFrame, ledgers: DataFrame, reinsurance: DataFrame) -> DataFrame:
@@ -87,8 +88,8 @@ def wildcard_match(
     choices = choices.withColumn("_wildcards", wildcards)
     alone = choices.groupBy(*required.values()).agg((F.count(F.lit(1)) == 1).alias("_alone"))
     choices = choices.join(alone, list(required.values()))
-    choices = choices.select(
-        *[F.col(c).alias(f"_l_{c}") for c in targets], F.col(value).alias("_value"), "_wildcards", "_alone")
+    choices = control_table(choices.select(
+        *[F.col(c).alias(f"_l_{c}") for c in targets], F.col(value).alias("_value"), "_wildcards", "_alone"))
 
     combos = rows.select(*columns).distinct()
     equal = [combos[r] == F.col(f"_l_{c}") for r, c in required.items()]

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillbook.functions.groups import Large, find_large, neighbour, number_rows
 from quillbook.functions.identity import row_hash
 from quillbook.operators.cdc import INSERT, UNCHANGED, UPDATE
+from quillbook.session import control_table
 from quillbook.sources.extracts import latest
 from quillbook.sources.tables import replace_batches
 
@@ -43,6 +44,11 @@ class Steps:
         return [BATCH, START, STOP] if self.intraday else [START, STOP, BATCH]
 
 
+def _in_batches(rows: DataFrame, batches: DataFrame) -> DataFrame:
+    keys = ["cycle_date", "batch_id"]
+    return rows.join(control_table(batches.select(*keys)), keys)
+
+
 def staging_type2(
     rows: DataFrame, batches: DataFrame, keys: list[str], fields: list[str], steps: Steps = Steps()
 ) -> DataFrame:
@@ -53,7 +59,7 @@ def staging_type2(
     """
     if "cdc_action" in rows.columns:
         rows = rows.where(F.col("cdc_action") == INSERT)
-    chosen = rows.join(batches.select("cycle_date", "batch_id").distinct(), ["cycle_date", "batch_id"])
+    chosen = _in_batches(rows, batches)
     return chosen.select(
         row_hash(keys).alias(KEY),
         row_hash(fields).alias(HASH),
@@ -66,7 +72,7 @@ def staging_type2(
 
 
 def staging_append(rows: DataFrame, batches: DataFrame, exclude: tuple[str, ...] = ()) -> DataFrame:
-    chosen = rows.join(batches.select("cycle_date", "batch_id").distinct(), ["cycle_date", "batch_id"])
+    chosen = _in_batches(rows, batches)
     kept = [c for c in chosen.columns if c not in ("cycle_date", "batch_id", *exclude)]
     return chosen.select(
         F.col("batch_id").cast("bigint").alias(BATCH), F.col("cycle_date").alias(CYCLE), *kept)
@@ -94,7 +100,8 @@ def working_type2(staging: DataFrame, history: DataFrame, steps: Steps = Steps()
     """
     current = history.where(is_open(steps)).join(staging.select(KEY).distinct(), KEY, "left_semi")
     rows = staging.withColumn(SOURCE, F.lit("Staging")).unionByName(current.withColumn(SOURCE, F.lit("Target")))
-    large = find_large(rows, [KEY])
+    # A key has at most one open version, so the staged rows tell how large it is.
+    large = find_large(staging, [KEY])
     rows = neighbour(rows, [KEY], [START, BATCH, SOURCE], "_previous", F.col(HASH), large=large)
     rows = rows.withColumn(ACTION, (
         F.when(F.col(SOURCE) == "Target", UPDATE)
@@ -233,7 +240,7 @@ def closed_by_batch(history: DataFrame, working: DataFrame, batches: DataFrame,
     closed = history.where(~is_open(steps)).withColumn("_starts", start)
     joined = closed.join(ended, [KEY, START]).where(F.col(STOP) == F.col("_end"))
     named = batches.select(F.col("cycle_date").alias("_starts"), F.col("batch_id").alias("closing_batch"))
-    return joined.join(named.distinct(), "_starts").drop("_starts", "_end")
+    return joined.join(control_table(named), "_starts").drop("_starts", "_end")
 
 
 def touched_documents(
@@ -244,8 +251,10 @@ def touched_documents(
     A contract is touched through itself, through one of its relationships or
     through the party of one of its relationships.
     """
+    batches = control_table(batches.select("cycle_date", "batch_id", "source_system_name"))
+
     def loaded_in(df: DataFrame) -> DataFrame:
-        named = batches.select(F.col("batch_id").alias(BATCH), "source_system_name").distinct()
+        named = batches.select(F.col("batch_id").alias(BATCH), "source_system_name")
         return df.join(named, [BATCH, "source_system_name"], "left_semi")
 
     def in_force(df: DataFrame) -> DataFrame:

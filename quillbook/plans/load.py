@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillbook.operators import classify, controls, errors
 from quillbook.operators.batch import Batch
-from quillbook.session import materialise
+from quillbook.session import control_table, materialise
 from quillbook.sources import extracts as ex
 from quillbook.sources import tables
 
@@ -84,7 +84,7 @@ def classified_lines(
     Headers and forced pairs are written first: their size then decides how
     the lines are joined to them.
     """
-    pairs = materialise(classify.forced_header_pairs(headers.rows, batch), "forced-pairs")
+    pairs = control_table(classify.forced_header_pairs(headers.rows, batch))
     loaded = materialise(classify.run_headers(headers.final, batch), "run-headers")
     within = [*raw, carried] if carried is not None else raw
     return classify.classify_lines(line_rows(raw, lookups, batch, carried), loaded, pairs, batch, within)

@@ -49,15 +49,20 @@ def load_versions(
     staging = materialise(staging, "staging")
     history = open_versions(spark, table)
     newest = staging.agg(F.max(scd2.CYCLE), F.max(scd2.BATCH)).first()
-    if newest[0] is not None:
-        scd2.require_newest(history, F.lit(newest[0]), F.lit(newest[1]))
+    if newest[0] is None:
+        return scd2.working_type2(staging, history, steps)
+    # Partitions tell which batches have closed versions; only open versions are read.
+    if not spark.table(table).where(F.col(CLOSED_BY) > batch_id).isEmpty():
+        raise ValueError("history already holds a later cycle or batch")
+    scd2.require_newest(history, F.lit(newest[0]), F.lit(newest[1]))
     working = materialise(scd2.working_type2(staging, history, steps), "working")
-    state = scd2.load_state(spark.table(table), working)
+    state = scd2.load_state(spark.table(table).where(F.col(CLOSED_BY).isin(IN_FORCE, batch_id)), working)
     if state == "loaded":
         raise ValueError("the batch is already loaded")
     closed = scd2.close_versions(history, working)
     rows = closed if state == "partial" else closed.unionByName(scd2.new_versions(working, history.columns))
-    _replace(rows, table, batch_id, steps)
+    closing = spark.table(table).where(F.col(CLOSED_BY) == batch_id).drop(CLOSED_BY)
+    _replace(rows.unionByName(closing), table, batch_id, steps)
     return working
 
 

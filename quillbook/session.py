@@ -57,6 +57,16 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def control_table(df: DataFrame) -> DataFrame:
+    """The distinct rows of a table about batches, lookups or pairs, written.
+
+    Joins with such a table have few keys, so a shuffle would put all rows of
+    the other side into a few tasks. Written, its size is known: Spark sends
+    it to the rows when that is small, and shuffles only when it is not.
+    """
+    return materialise(df.distinct(), "control")
+
+
 def spread(df: DataFrame) -> DataFrame:
     """``df`` over all cores where its scan has fewer splits than that.
 

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quillbook.session import control_table
+
 
 def in_table_order(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns by name in target order and type; missing ones as typed nulls."""
@@ -89,7 +91,7 @@ def truncate_and_load(df: DataFrame, table: str) -> None:
 
 def without_batches(target: DataFrame, batches: DataFrame, keys: list[str]) -> DataFrame:
     """Target rows of all batches but the given ones."""
-    return target.join(batches.select(*keys).distinct(), keys, "left_anti")
+    return target.join(control_table(batches.select(*keys)), keys, "left_anti")
 
 
 def replace_batches(target: DataFrame, rows: DataFrame, batches: DataFrame, keys: list[str]) -> DataFrame:
