@@ -235,7 +235,7 @@ sql("comma_list", """select value, count(*) as rows from (select trim(unnest(str
 sql("classify_headers", """select transaction_date, gl_reversal_date, gl_application_area_code, gl_source_code, secondary_ledger_code, orig_gl_center, data_type,
  txn as transaction_number_drvd, hard as hard_error_message, soft as soft_error_message, flag_out as reprocess_flag, outcome as error_cleared from hfinal""", HEADERS)
 sql("transaction_forced", "select outcome as error_cleared, flag_out as reprocess_flag, hard as hard_error_message, soft as soft_error_message, count(*) as rows from hforced group by all", FORCED_HEADERS)
-_FINAL = f"""select distinct '2025-12-08 09:58:22' as recorded_timestamp, 'geac' as source_system_name, cast(null as varchar) as original_cycle_date, cast(null as varchar) as original_batch_id,
+_FINAL = f"""select distinct '2025-12-08 09:58:22' as recorded_timestamp, 'core' as source_system_name, cast(null as varchar) as original_cycle_date, cast(null as varchar) as original_batch_id,
  txn as transaction_number, sys as source_system_nm, ledger as ledger_name, evt as event_type_code, sub as subledger_short_name, cast(tdate as varchar) as transaction_date,
  cast(rdate as varchar) as gl_reversal_date, gl_application_area_code, src as gl_source_code, ldg as secondary_ledger_code, data_type,
  '2025-12-05' as cycle_date, cast(651149 as bigint) as batch_id from hforced where outcome = 'Good'"""
@@ -244,15 +244,15 @@ sql("classify_lines", """select orig_gl_source_document_id, gl_full_source_code,
  txn as transaction_number, cast(line_number as varchar) as line_number, hard as hard_error_message, soft as soft_error_message, outcome as error_cleared from lfinal""", LINES)
 sql("classify_lines_summary", """select outcome as error_cleared, gl_application_area_code, src as gl_source_code_drvd, count(*) as rows,
  cast(sum(cast(amount as decimal(18,2))) as double) as amount, cast(max(line_number) as varchar) as last_line from lfinal group by 1, 2, 3""", LINES)
-sql("line_attributes", f"""select 'geac' as source_system_name, txn as transaction_number, line_number, amount as default_amount, debit_credit_indicator, gl_full_source_code,
+sql("line_attributes", f"""select 'core' as source_system_name, txn as transaction_number, line_number, amount as default_amount, debit_credit_indicator, gl_full_source_code,
  orig_gl_source_document_id, orig_gl_company, orig_gl_account, orig_gl_center, orig_gl_description_1, orig_gl_description_2, orig_gl_description_3, orig_gl_project_code,
  {', '.join(_REINS_COLUMNS)}, {_attributes_sql()}, '2025-12-05' as cycle_date, cast(651149 as bigint) as batch_id from lforced where outcome = 'Good'""", LINES_FORCED)
 sql("accounting_ids", "select count(*) as lines, count(*) as ids, count(*) as well_formed from lforced where outcome = 'Good'", LINES_FORCED)
 sql("line_numbering", """select l_orderkey, l_extendedprice, cast(l_linenumber as bigint) as l_linenumber, l_partkey, l_suppkey, l_quantity, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate,
  cast(row_number() over (partition by l_orderkey order by l_extendedprice, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) as bigint) as line_number from lineitem""")
 
-sql("error_view", f"""select '2025-12-05' as original_cycle_date, cast(651149 as bigint) as original_batch_id, 'geac' as source_system_name,
- 'geac_general_ledger_line_item' as table_name, case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name,
+sql("error_view", f"""select '2025-12-05' as original_cycle_date, cast(651149 as bigint) as original_batch_id, 'core' as source_system_name,
+ 'core_general_ledger_line_item' as table_name, case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name,
  trim(hard || soft) as error_message, cast(0 as bigint) as error_record_aging_days, case when outcome = 'Hard Error' then 'N' else 'Y' end as reprocess_flag,
  {', '.join(errors.LINE_FIELDS)} from (select * exclude (hard, soft), case when any_rdm and not own_rdm then hard else hard end as hard,
    case when any_rdm and not own_rdm then '' else soft end as soft from lforced) where outcome <> 'Good'""", LINES_FORCED)
@@ -260,6 +260,17 @@ sql("error_records", f"""select case when outcome = 'Hard Error' then 'Hard' els
  cast(0 as bigint) as error_record_aging_days, {', '.join(errors.HEADER_FIELDS)}, ledger as ledger_name_drvd, cast(tdate as varchar) as transaction_date_drvd
  from hforced where outcome <> 'Good'""", FORCED_HEADERS)
 
+_NEXT = _joined('s', 'flags', _HEADER_FLAG).replace("from subledgers", "from subledgers2").replace("join ledgers", "join ledgers2")
+sql("reprocess_errors", f"""subledgers2 as ({w.SUBLEDGER_SQL.replace('p_partkey % 20 < 17', 'p_partkey % 20 < 18')}),
+ ledgers2 as ({w.LEDGER_SQL.replace('where not (s_suppkey % 10 = 9 and s_suppkey % 6 = 3)', '')}),
+ s as (select transaction_date, gl_reversal_date, gl_application_area_code, gl_source_code, secondary_ledger_code, gl_full_source_code, orig_gl_center, data_type
+  from hforced where outcome = 'Soft Error'),
+ s1 as ({_NEXT}),
+ s2 as (select *, max(case when flag = '@' then 1 else 0 end) over (partition by {_GRAIN}) as bad from s1
+  where coalesce(s_flag,'Include') = 'Include' and coalesce(l_flag,'Include') = 'Include')
+ select case when ledger is not null and sys is not null and evt is not null and sub is not null and bad = 0 then 'Good - Reprocessed Error' else 'Soft Error' end as error_cleared,
+ src as gl_source_code_drvd, cast(651149 as bigint) as original_batch_id, count(*) as rows from s2 group by 1, 2""", FORCED_HEADERS + ",")
+
 _AGE = "datediff('day', cast(o_orderdate as date), date '2001-08-05')"
 _KIND = "case o_orderstatus when 'O' then 'Soft' when 'F' then 'Hard' else 'Cleared' end"
 _MESSAGE = "case when o_orderstatus = 'P' then null else o_orderpriority end"
@@ -289,7 +300,7 @@ sql("missing_references", """select o_orderpriority as soft_error_message, cast(
 _XF = "XForced Error. Hard Errors"
 sql("forced_error_counts", f"""select cast(0 as bigint) as forced_soft_rdm, cast(0 as bigint) as forced_hard_date, cast(sum(n) as bigint) as forced_hard_data, cast(sum(n) as bigint) as total_forced
  from (select cast(count(*) as bigint) as n from hforced where starts_with(hard, '{_XF}') union all select count(*) from lforced where starts_with(hard, '{_XF}'))""", LINES_FORCED)
-sql("error_view_stats", """select '2025-12-05' as original_cycle_date, case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name, 'geac' as source_system_name,
+sql("error_view_stats", """select '2025-12-05' as original_cycle_date, case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name, 'core' as source_system_name,
  count(*) as cnt, '2025-12-08 09:58:22' as min_recorded_timestamp, '2025-12-08 09:58:22' as max_recorded_timestamp, '2025-12-05' as min_original_cycle_date,
  '2025-12-05' as max_original_cycle_date from lforced where outcome <> 'Good' group by 2""", LINES_FORCED)
 sql("reprocessed_summary", """select cast(cast(o_orderdate as date) as varchar) as cycle_date, cast(1 as bigint) as batch_id,

@@ -250,7 +250,7 @@ def error_records(spark, folder):
 def reprocess_errors(spark, folder):
     """The next batch: no new rows, all soft header errors tried again with complete lookups."""
     headers = w.loaded_headers(spark, folder)
-    nxt = Batch("geac", "general_ledger_header", date(2025, 12, 8), 651150, w.RUN_TS)
+    nxt = Batch("core", "general_ledger_header", date(2025, 12, 8), 651150, w.RUN_TS)
     carried = load.carried_errors(headers.soft, nxt, errors.HEADER_FIELDS)
     known = w.lookups(spark, folder)
     complete = load.Lookups(

@@ -19,8 +19,8 @@ from quillbook.session import materialise, shared_folder, spread
 
 CYCLE = date(2025, 12, 5)
 RUN_TS = datetime(2025, 12, 8, 9, 58, 22)
-HEADER_BATCH = Batch("geac", "general_ledger_header", CYCLE, 651149, RUN_TS)
-LINE_BATCH = Batch("geac", "general_ledger_line_item", CYCLE, 651149, RUN_TS)
+HEADER_BATCH = Batch("core", "general_ledger_header", CYCLE, 651149, RUN_TS)
+LINE_BATCH = Batch("core", "general_ledger_line_item", CYCLE, 651149, RUN_TS)
 
 PREFIXES = "903 851 444 545 038 863 HIP 049 041 062 165 143 057 147 146 141 668 A4V".split()
 ACCOUNTS = """2861600 1120300 2872400 9100000 9900000 2898000 1110900 4111000 7000000 10A1200

@@ -12,7 +12,7 @@ from quillbook.sources import jdbc, tables
 TS = datetime(2025, 12, 1)
 
 
-def error(flag="Y", kind="Soft", day=date(2025, 12, 1), number=5, age=4, record=None, message="m", table="geac_general_ledger_header"):
+def error(flag="Y", kind="Soft", day=date(2025, 12, 1), number=5, age=4, record=None, message="m", table="core_general_ledger_header"):
     return (TS, TS, day, number, kind, message, age, json.dumps(record or {"a": "1"}), table, flag)
 
 

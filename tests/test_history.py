@@ -174,5 +174,5 @@ def test_completeness_of_current_batches(spark):
 
 
 def test_batch_identity():
-    b = Batch("geac", "general_ledger_header", date(2025, 12, 5), 7, datetime(2025, 12, 8))
-    assert (b.table_name, b.cycle_number) == ("geac_general_ledger_header", 20251205)
+    b = Batch("core", "general_ledger_header", date(2025, 12, 5), 7, datetime(2025, 12, 8))
+    assert (b.table_name, b.cycle_number) == ("core_general_ledger_header", 20251205)
