@@ -27,8 +27,10 @@ from quillbook.session import materialise
 
 GROUP_ROWS = "quillbook.group.rows"
 DEFAULT_GROUP_ROWS = 5_000_000
-TRACKED = 100_000
+# Items a sketch keeps, ids taken from it, and tasks of the first merge.
+TRACKED = 50_000
 TOP = 10_000
+MERGERS = 256
 
 
 def group_rows(df: DataFrame) -> int:
@@ -55,18 +57,24 @@ def find_large(df: DataFrame, keys: list[str], within: list[DataFrame] | None =
     ``within`` names tables that ``df`` has no more rows than. Where these are
     small, their count settles the matter; for files it is read off the footers.
 
-    A frequent-items sketch merged map-side: no shuffle of the keys and at most
+    A frequent-items sketch per scan task, merged in two steps: no shuffle of
+    the keys, no task that takes in the sketches of all others, and at most
     ``TOP`` ids on the driver, whatever the number of groups.
     """
     limit = group_rows(df)
     if within is not None and sum(w.count() for w in within) <= limit:
         return Large()
-    found = df.select(_group_id(keys).alias("gid")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.expr(f"approx_top_k(gid, {TOP}, {TRACKED})").alias("top"),
+    sketches = (
+        df.select(_group_id(keys).alias("gid"), (F.spark_partition_id() % MERGERS).alias("part"))
+        .groupBy("part")
+        .agg(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k_accumulate(gid, {TRACKED})").alias("sketch"))
+    )
+    found = sketches.agg(
+        F.sum("rows").alias("rows"),
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {TOP})").alias("top"),
     )
     row = found.first()
-    if row["rows"] <= limit:
+    if (row["rows"] or 0) <= limit:
         return Large()
     found = [t for t in row["top"] if t["count"] > limit]
     return Large(tuple(t["item"] for t in found), sum(t["count"] for t in found))

@@ -7,7 +7,6 @@ used.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import date, datetime
 
@@ -15,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillbook.operators.batch import Batch
 from quillbook.plans.load import Lookups, Outcome, load_headers, load_lines
-from quillbook.session import materialise, shared_folder, spread
+from quillbook.session import materialise, spread, stage_path
 
 CYCLE = date(2025, 12, 5)
 RUN_TS = datetime(2025, 12, 8, 9, 58, 22)
@@ -137,7 +136,7 @@ def extracts(spark: SparkSession, folder: str) -> list[DataFrame]:
     if "A" not in made:
         rows = spread(table(spark, folder, "lineitem"))
         raw = spark.sql(f"select {RAW_COLUMNS} from {{rows}}", rows=rows)
-        path = f"{shared_folder(spark)}/raw-{uuid.uuid4().hex}"
+        path = stage_path(spark, "raw")
         raw.write.partitionBy("extract_name", "cycle_date").parquet(path)
         made.update({name: spark.read.parquet(f"{path}/extract_name={name}") for name in EXTRACTS})
     return [made[name] for name in EXTRACTS]

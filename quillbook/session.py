@@ -45,6 +45,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def stage_path(spark: SparkSession, label: str) -> str:
+    """A new path below one folder per application, to be removed when that is done."""
+    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -52,7 +57,7 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     columnar, lets every later reader prune its columns.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    path = stage_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

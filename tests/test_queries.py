@@ -6,7 +6,8 @@ from check import TABLES, rows
 from conftest import FOLDER
 
 import __spark_entry__ as contract
-from quillbook.plans import workload
+from quillbook.plans import load, workload
+from quillbook.sources import extracts as ex
 
 ORACLE = contract.oracle_sql()
 
@@ -36,11 +37,37 @@ def test_entry(spark):
     assert contract.entry(spark).count() > 0
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_shuffled_once(spark):
+    """Headers too large to broadcast: the number's window needs no shuffle beyond the join's."""
+    raw, known = workload.extracts(spark, FOLDER), load.Lookups(**workload.lookups(spark, FOLDER))
+    headers = workload.loaded_headers(spark, FOLDER)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")
+    try:
+        plan = plan_of(load.classified_lines(raw, known, headers, workload.LINE_BATCH))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin [_header_key" in plan and "Window [row_number()" in plan
+    assert plan.count("Exchange hashpartitioning(_header_key") == 2
+
+
+def test_newest_rows_are_limited_before_the_shuffle(spark):
+    plan = plan_of(contract.queries()["lookup_latest"](spark, FOLDER))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_existing_tables_only(spark):
+    spark.sql("drop table if exists here")
+    spark.range(1).write.saveAsTable("here")
+    assert list(ex.existing_tables(spark, ["here", "nowhere"])) == ["here"]
+
+
 def test_line_loads_read_each_extract_once_and_prune(spark):
     """The plan of the line load filters on the partition column and reads its own columns only."""
-    raw = workload.extracts(spark, FOLDER)
-    from quillbook.sources import extracts as ex
-
-    plan = ex.header_rows(raw, 20251205)._jdf.queryExecution().executedPlan().toString()
+    plan = plan_of(ex.header_rows(workload.extracts(spark, FOLDER), 20251205))
     assert "PartitionFilters: [isnotnull(cycle_date" in plan
     assert "fsi_gl_pt_description_1" not in plan
