@@ -384,13 +384,13 @@ derived as (select distinct cast(strftime(r.cycle_date, '%Y%m%d') || '00042' ||
 sql("finished_batches", """select source_system_name, domain_name, batch_id, event_id from (select *, row_number() over (partition by source_system_name, domain_name, batch_id
  order by insert_timestamp desc, event_id desc) as n from tracking) where n = 1 and load_status = 'complete'""", TRACK)
 sql("current_batches", "select source_system_name, domain_name, batch_id, cast(cycle_date as varchar) as cycle_date, phase_name, load_status, rnk from ranked", TRACK)
-sql("batch_ids", """select 'findw' as source_system_name, 'derived' as domain_name, 'DAILY' as batch_frequency, batch_id, cast(cycle_date as varchar) as cycle_date,
+sql("batch_ids", """select 'hub' as source_system_name, 'derived' as domain_name, 'DAILY' as batch_frequency, batch_id, cast(cycle_date as varchar) as cycle_date,
  base_source_system_name, base_domain_name, base_batch_id from derived""", TRACK)
-sql("last_completed", """select 'derived' as domain_name, 'findw' as source_system, 'DAILY' as batch_frequency,
+sql("last_completed", """select 'derived' as domain_name, 'hub' as source_system, 'DAILY' as batch_frequency,
  max(cast(strftime(cycle_date, '%Y%m%d') || '000421' as bigint)) as batch_id, cast(max(cycle_date) as varchar) as cycle_date from last""", TRACK)
-sql("newly_completed", """select distinct batch_id, cast(cycle_date as varchar) as cycle_date, 'derived' as domain_name, 'findw' as source_system, 'DAILY' as batch_frequency
+sql("newly_completed", """select distinct batch_id, cast(cycle_date as varchar) as cycle_date, 'derived' as domain_name, 'hub' as source_system, 'DAILY' as batch_frequency
  from derived where day(cycle_date) >= 20""", TRACK)
-sql("next_batch", """select 'derived' as domain_name, 'findw' as source_system, 'DAILY' as batch_frequency, min(batch_id) as batch_id, cast(min(cycle_date) as varchar) as cycle_date
+sql("next_batch", """select 'derived' as domain_name, 'hub' as source_system, 'DAILY' as batch_frequency, min(batch_id) as batch_id, cast(min(cycle_date) as varchar) as cycle_date
  from derived where batch_id > (select max(batch_id) from derived where day(cycle_date) < 18)""", TRACK)
 sql("ready_dates", """select source_system_name, cast(cycle_date as varchar) as cycle_date, count(distinct domain_name) as domains, max(batch_id) as last_batch
  from done join bases using (source_system_name, domain_name) join (select source_system_name, count(distinct domain_name) as needed from bases group by 1) using (source_system_name)

@@ -620,11 +620,11 @@ def _completed(spark, folder) -> DataFrame:
     days = _tracking(spark, folder).where(F.col("cycle_date") <= F.lit(HALF)).select("cycle_date").distinct()
     return days.select(
         F.concat(F.date_format("cycle_date", "yyyyMMdd"), F.lit("000421")).cast("bigint").alias("batch_id"), "cycle_date",
-        F.lit("derived").alias("domain_name"), F.lit("findw").alias("source_system"), F.lit("DAILY").alias("batch_frequency"))
+        F.lit("derived").alias("domain_name"), F.lit("hub").alias("source_system"), F.lit("DAILY").alias("batch_frequency"))
 
 
 def _derived(spark, folder) -> DataFrame:
-    return batches.derived_batch_ids(_pending(spark, folder), _completed(spark, folder), 42, "findw", "derived", "DAILY")
+    return batches.derived_batch_ids(_pending(spark, folder), _completed(spark, folder), 42, "hub", "derived", "DAILY")
 
 
 @query
@@ -695,18 +695,18 @@ def calendar_flags(spark, folder):
     return batches.calendar_flags(cycles, month_ends, week_ends)
 
 
-GDQ = """select o_orderpriority as source_system, o_orderkey as batch_id, cast(o_orderdate as date) as effective_date,
+FEEDS = """select o_orderpriority as source_system, o_orderkey as batch_id, cast(o_orderdate as date) as effective_date,
  case when o_orderstatus = 'F' then 'MONTHLY' else 'DAILY' end as batch_description from orders"""
 
 
 @query
 def inforce_batch(spark, folder):
-    return batches.inforce_batch(w.query(spark, folder, GDQ), F.lit(date(1999, 3, 31)), previous_month=True)
+    return batches.inforce_batch(w.query(spark, folder, FEEDS), F.lit(date(1999, 3, 31)), previous_month=True)
 
 
 @query
 def second_daily_batch(spark, folder):
-    return batches.nth_daily_batch(w.query(spark, folder, GDQ), F.lit(date(1999, 3, 31)), 2)
+    return batches.nth_daily_batch(w.query(spark, folder, FEEDS), F.lit(date(1999, 3, 31)), 2)
 
 
 @query
