@@ -261,8 +261,8 @@ sql("error_records", f"""select case when outcome = 'Hard Error' then 'Hard' els
  from hforced where outcome <> 'Good'""", FORCED_HEADERS)
 
 _NEXT = _joined('s', 'flags', _HEADER_FLAG).replace("from subledgers", "from subledgers2").replace("join ledgers", "join ledgers2")
-sql("reprocess_errors", f"""subledgers2 as ({w.SUBLEDGER_SQL.replace('p_partkey % 20 < 17', 'p_partkey % 20 < 18')}),
- ledgers2 as ({w.LEDGER_SQL.replace('where not (s_suppkey % 10 = 9 and s_suppkey % 6 = 3)', '')}),
+sql("reprocess_errors", f"""subledgers2 as ({w.COMPLETE_SUBLEDGER_SQL}),
+ ledgers2 as ({w.COMPLETE_LEDGER_SQL}),
  s as (select transaction_date, gl_reversal_date, gl_application_area_code, gl_source_code, secondary_ledger_code, gl_full_source_code, orig_gl_center, data_type
   from hforced where outcome = 'Soft Error'),
  s1 as ({_NEXT}),

@@ -104,12 +104,12 @@ def lookup_second_latest(spark, folder):
     return ex.nth_latest(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], 2)
 
 
-WILDCARD_LOOKUP = """select case p_partkey % 3 when 0 then 'A' when 1 then 'N' else 'R' end as evnt_typ_cd,
+WILDCARD_LOOKUP = """select distinct case p_partkey % 3 when 0 then 'A' when 1 then 'N' else 'R' end as evnt_typ_cd,
  case when p_partkey % 2 = 0 then 'O' else 'F' end as trnsctn_cls,
  case when p_partkey % 7 < 3 then '-' else 'S' || cast(p_partkey % 4 as string) end as src_sys_nm,
  case when p_partkey % 5 < 2 then '-' else 'P' || cast(p_partkey % 5 as string) end as cntrct_pln_cd,
  case when p_partkey % 11 < 6 then '-' else 'F' || cast(p_partkey % 3 as string) end as fund_clss,
- p_type as cash_flow_type from part where p_size % 13 < 2"""
+ 'CF' || cast(p_partkey % 3 as string) || case when p_partkey % 7 = 5 then p_type else '' end as cash_flow_type from part"""
 WILDCARD_ROWS = """select l_returnflag as event_type_code, l_linestatus as transaction_class,
  'S' || cast(l_suppkey % 6 as string) as source_system_nm, 'P' || cast(l_partkey % 9 as string) as plancode,
  case when l_linenumber = 1 then 'NA' when l_linenumber = 2 then ' ' when l_linenumber > 3 then 'F' || cast(l_linenumber % 3 as string) end as fundclassindicator
@@ -254,8 +254,8 @@ def reprocess_errors(spark, folder):
     carried = load.carried_errors(headers.soft, nxt, errors.HEADER_FIELDS)
     known = w.lookups(spark, folder)
     complete = load.Lookups(
-        w.query(spark, folder, w.SUBLEDGER_SQL.replace("p_partkey % 20 < 17", "p_partkey % 20 < 18")),
-        w.query(spark, folder, w.LEDGER_SQL.replace("where not (s_suppkey % 10 = 9 and s_suppkey % 6 = 3)", "")),
+        w.query(spark, folder, w.COMPLETE_SUBLEDGER_SQL),
+        w.query(spark, folder, w.COMPLETE_LEDGER_SQL),
         known["reinsurance"])
     empty = [e.where(F.lit(False)) for e in _raw(spark, folder)]
     rows = classify.classify_headers(load.header_rows(empty, complete, nxt, carried), nxt)

@@ -85,18 +85,18 @@ _AREA_ROW = """select distinct 'EV' || {p} || '{a}' as evnt_typ_cd, 'SRC_' || {p
  case when p_partkey % 20 <> 14 then 'SL' || cast(p_partkey % 20 % 3 as string) end as oracle_fah_subldgr_nm,
  case when p_partkey % 20 = 10 then 'Exclude' when p_partkey % 20 <> 9 then 'Include' end as include_exclude,
  date '2000-01-01' as eff_strt_dt, date '9999-12-31' as eff_stop_dt
- from part where p_partkey % 20 < 17"""
+ from part where {p} not in ('12', '0 7Z', 'A4V')"""
 _P = _prefix("p_partkey")
 SUBLEDGER_SQL = f"""{_AREA_ROW.format(p=_P, a='AR')} union all {_AREA_ROW.format(p=_P, a='GL')} union all
 select distinct 'EVOLD', 'SRC_OLD', 'GL', {_P}, 'SL9', 'Include', date '2000-01-01', date '2019-12-31'
- from part where p_partkey % 20 = 8"""
+ from part where {_P} = '041'"""
 
 # Lookup of ledgers: company. Companies of entity 03 and ledger 04 are excluded, entity 09 and ledger 04 is missing.
 _C = _company("s_suppkey")
 LEDGER_SQL = f"""select distinct substr({_C}, 3, 2) as actvty_gl_ldgr_cd, 'LEDGER_' || substr({_C}, 3, 2) as oracle_fah_ldgr_nm,
  {_C} as sec_ldgr_cd, case when s_suppkey % 10 = 3 and s_suppkey % 6 = 3 then 'Exclude' else 'Include' end as include_exclude,
  date '2000-01-01' as eff_strt_dt, date '9999-12-31' as eff_stop_dt
- from supplier where not (s_suppkey % 10 = 9 and s_suppkey % 6 = 3)"""
+ from supplier where {_C} <> '0904'"""
 
 # Reinsurance attributes: legal entity and center, several versions, none for center C011.
 REINSURANCE_SQL = f"""select lpad(cast(s_suppkey % 10 as string), 2, '0') as legal_entity, {_CENTER.format(key='s_suppkey')} as geac_centers,
@@ -104,9 +104,12 @@ REINSURANCE_SQL = f"""select lpad(cast(s_suppkey % 10 as string), 2, '0') as leg
  case when s_suppkey % 4 = 0 then 'A' else 'C' end as reinsurance_assumed_ceded_flag,
  'AF' || cast(s_suppkey % 3 as string) as reinsurance_account_flag, 'BASIS' || cast(s_suppkey % 7 as string) as reinsurance_basis,
  'TB' || cast(s_suppkey % 5 as string) as type_of_business_reinsured, 'G' as reinsurance_group_individual_flag,
- s_suppkey as rcd_crtd_dt from supplier where s_suppkey % 50 <> 11"""
+ s_suppkey as rcd_crtd_dt from supplier where {_CENTER.format(key='s_suppkey')} <> 'C011'"""
 
 EXTRACTS = ("A", "N", "R")
+# The same lookups once the missing rows have been added.
+COMPLETE_SUBLEDGER_SQL = SUBLEDGER_SQL.replace("('12', '0 7Z', 'A4V')", "('12', '0 7Z')")
+COMPLETE_LEDGER_SQL = LEDGER_SQL.replace(f" where {_C} <> '0904'", "")
 LOOKUPS = {"subledgers": SUBLEDGER_SQL, "ledgers": LEDGER_SQL, "reinsurance": REINSURANCE_SQL}
 TABLES = "region nation customer supplier part orders lineitem events".split()
 
