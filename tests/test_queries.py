@@ -6,10 +6,11 @@ from check import TABLES, rows
 from conftest import FOLDER
 
 import __spark_entry__ as contract
+from oracle.sql import ORACLE
 from quillbook.plans import load, workload
+from quillbook.plans.queries import QUERIES
 from quillbook.sources import extracts as ex
 
-ORACLE = contract.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -20,9 +21,9 @@ def database():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, database, name):
-    found = contract.queries()[name](spark, FOLDER).toPandas()
+    found = QUERIES[name](spark, FOLDER).toPandas()
     if name not in ORACLE:
         assert len(found) > 0
         return
@@ -30,7 +31,7 @@ def test_query(spark, database, name):
 
 
 def test_every_check_has_a_query():
-    assert set(ORACLE) <= set(contract.queries())
+    assert set(ORACLE) <= set(QUERIES) <= set(contract.queries())
 
 
 def test_entry(spark):
@@ -56,7 +57,7 @@ def test_lines_are_shuffled_once(spark):
 
 
 def test_newest_rows_are_limited_before_the_shuffle(spark):
-    plan = plan_of(contract.queries()["lookup_latest"](spark, FOLDER))
+    plan = plan_of(QUERIES["lookup_latest"](spark, FOLDER))
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
