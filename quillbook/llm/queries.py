@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbook.llm import chat, linededup, packing, tokens, winnow
+from quillbook.llm import chat, langid, linededup, packing, tokens, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -121,3 +121,12 @@ def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
         winnow.as_text(F.col("own")).alias("fingerprint"), winnow.as_text(F.col("other")).alias("edited_fingerprint"),
         winnow.likeness(F.col("own"), F.col("other")).alias("near_edited"),
         winnow.likeness(F.col("own"), F.col("following")).alias("near_next"))
+
+
+@query
+def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every document by models of the documents that are not held out."""
+    docs = _table(spark, folder, "documents")
+    model = langid.train(langid.train_rows(docs.select("doc_id", "text", "lang")))
+    found = langid.identify(docs, model, ["doc_id"])
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "bits", "rejected")
