@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbook.llm import chat, langid, linededup, packing, tokens, winnow
+from quillbook.llm import chat, langid, linededup, neardup, packing, sharding, tokens, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -130,3 +130,47 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     model = langid.train(langid.train_rows(docs.select("doc_id", "text", "lang")))
     found = langid.identify(docs, model, ["doc_id"])
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "bits", "rejected")
+
+
+@query
+def op5_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of documents whose sets of two-word shingles have a similarity of 0.8 or more."""
+    return neardup.near_duplicates(_table(spark, folder, "documents"), size=2, percent=80)
+
+
+ORACLE["op5_minhash_near_dedup"] = r"""
+with recursive words as (
+  select doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w
+  from documents),
+shingles as (
+  select distinct doc_id, s from (
+    select doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || chr(10) || w[i + 1])) as s from words
+    union all select doc_id, w[1] from words where len(w) = 1)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+pairs as (
+  select a.doc_id as x, b.doc_id as y, count(*) as c
+  from shingles a join shingles b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2),
+links as (
+  select x, y from pairs join sizes p on p.doc_id = x join sizes q on q.doc_id = y
+  where 100 * c >= 80 * (p.n + q.n - c)),
+both_ways as (select x, y from links union all select y, x from links),
+reach(doc_id, other) as (
+  select doc_id, doc_id from documents
+  union select r.doc_id, b.y from reach r join both_ways b on b.x = r.other),
+least as (select doc_id, min(other) as component_id from reach group by doc_id)
+select l.doc_id, coalesce(n, 0) as n_shingles, component_id, l.doc_id = component_id as kept
+from least l left join sizes s on s.doc_id = l.doc_id"""
+
+
+@query
+def op6_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents in eight shards along a curve through text size, language and source."""
+    docs = _table(spark, folder, "documents")
+    dimensions = {
+        "bytes": F.octet_length(F.coalesce("text", F.lit(""))), "lang": sharding.as_number(F.col("lang")),
+        "source": sharding.as_number(F.col("source"))}
+    placed = sharding.hilbert_shards(docs, dimensions, shards=8)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"), "curve")
