@@ -10,7 +10,8 @@ import pyarrow.compute as pc
 
 CHUNK_BYTES = 2 << 20
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-BASE = 0x9E3779B97F4A7C15 | 1
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -64,34 +65,30 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_powers = np.ones(1, np.uint64)
+_powers: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
-    """BASE to the powers 0 to n - 1, modulo 2**64."""
-    global _powers
-    if len(_powers) < n:
-        size = 1 << max(16, int(n - 1).bit_length())
-        out = np.empty(size, np.uint64)
-        out[0] = 1
-        done = 1
-        while done < size:
-            out[done : 2 * done] = out[:done] * np.uint64(pow(BASE, done, 1 << 64))
-            done *= 2
-        if size > 1 << 23:
-            return out
-        _powers = out
-    return _powers
+def powers(base: int, n: int) -> np.ndarray:
+    """``base`` to the powers 0 to n - 1, modulo 2**64; tables up to 8 million entries are kept."""
+    kept = _powers.get(base)
+    if kept is not None and len(kept) >= n:
+        return kept
+    out = np.empty(1 << max(16, int(n - 1).bit_length()), np.uint64)
+    out[0], done = 1, 1
+    while done < len(out):
+        out[done : 2 * done] = out[:done] * np.uint64(pow(base, done, 1 << 64))
+        done *= 2
+    if len(out) <= 1 << 23:
+        _powers[base] = out
+    return out
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span: a polynomial of its bytes, read off one running sum, then mixed."""
+    """A 64-bit hash of the bytes of each span: a polynomial, read off one running sum, then mixed."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    power = powers(len(data) + 1)
-    # The sum runs from the back, so that dividing by the power is a multiplication by the one that remains.
-    n = len(data)
-    total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:n], out=total[1:])
-    value = (total[ends] - total[starts]) * power[n - starts]
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data))[: len(data)], out=total[1:])
+    # The sum over a span holds the power of its start; the inverse takes that out.
+    value = (total[ends] - total[starts]) * powers(INVERSE, len(data))[starts]
     return mixed(value + (ends - starts).astype(np.uint64) * MIX2)
