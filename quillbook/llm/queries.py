@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbook.llm import chat, langid, linededup, neardup, packing, sharding, tokens, winnow
+from quillbook.llm import chat, decontam, langid, linededup, neardup, packing, sharding, tokens, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -174,3 +174,10 @@ def op6_hilbert_shards(spark: SparkSession, folder: str) -> DataFrame:
     placed = sharding.hilbert_shards(docs, dimensions, shards=8)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "curve")
+
+
+@query
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    found = decontam.indexes(_table(spark, folder, "benchmark"))
+    return decontam.leaks(_table(spark, folder, "documents"), found)
