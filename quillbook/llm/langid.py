@@ -283,6 +283,22 @@ def identify(df: DataFrame, model: Model | None, carry: list[str] | None = None,
     return rows.mapInArrow(judged, schema)
 
 
+def drop_rejected(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
+    """The rows of ``df`` whose language is known, with all their columns; no shuffle."""
+    kept = df.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, text):
+            if kept.value is not None:
+                bits, found = scored(kept.value, batch.column(text).to_pylist())
+                best = bits.argmin(axis=1)
+                least = bits[np.arange(len(best)), best]
+                high = least > kept.value.limits[best] + SHORT / np.sqrt(np.maximum(found, 1))
+                yield batch.filter(pa.array(~high & (found > 0)))
+
+    return df.mapInArrow(run, df.schema)
+
+
 def train_rows(df: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows that may be learned from; every third one by the CRC of its id is held out."""
     return df.where(~held_out(key))

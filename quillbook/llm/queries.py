@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbook.llm import chat, decontam, langid, linededup, neardup, packing, sharding, tokens, winnow
+from quillbook.llm import chat, decontam, langid, linededup, neardup, packing, sharding, tokens, toxicity, winnow
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -181,3 +181,13 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that holds a benchmark item, with the item."""
     found = decontam.indexes(_table(spark, folder, "benchmark"))
     return decontam.leaks(_table(spark, folder, "documents"), found)
+
+
+@query
+def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Toxicity of every document, learned from labelled documents that are not held out."""
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    model = toxicity.train(docs, langid.train_rows(labels))
+    found = toxicity.score(docs, model, ["doc_id"])
+    return found.select("doc_id", langid.held_out().alias("held_out"), "score",
+                        F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
