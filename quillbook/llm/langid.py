@@ -40,7 +40,7 @@ SHARPNESS = 8.0
 #: Languages a model may have: more labels than that are not languages.
 LANGUAGES = 512
 #: Documents per language whose cross-entropies set the limits, their quantile, and the margins in bits.
-CALIBRATION, QUANTILE, MARGIN, SHORT = 2000, 0.999, 0.5, 8.0
+CALIBRATION, QUANTILE, MARGIN, SHORT = 2000, 0.999, 1.5, 8.0
 #: n-gram numbers of one task that are kept before they are added up.
 HELD = 4_000_000
 
