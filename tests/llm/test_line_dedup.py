@@ -2,6 +2,8 @@ import re
 
 import pytest
 
+from odd_rows import docs, none  # noqa: F401
+
 from quillbook.llm import linededup
 
 SPACE = " \t\n\x0b\f\r"

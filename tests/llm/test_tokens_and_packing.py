@@ -6,6 +6,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from odd_rows import docs, none  # noqa: F401
+
 from quillbook.llm import packing, tokens
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")

@@ -3,6 +3,8 @@ import re
 import xxhash
 from pyspark.sql import functions as F
 
+from odd_rows import docs, none  # noqa: F401
+
 from quillbook.llm import winnow
 
 
