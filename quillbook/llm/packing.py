@@ -14,7 +14,6 @@ are packed as often as they come; the order is that of the files read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,58 +22,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillbook.llm.batches import chunks
-from quillbook.llm.tokens import REMEMBERED, pre_tokens, single_tokens
+from quillbook.llm.tokens import encoder
 from quillbook.session import stage_path
 
 #: Partition totals (16 bytes each) that are sent to every task; beyond that they are joined.
 SENT_TOTALS = 2_000_000
 
 
-class Encoder:
-    """Ids as little-endian 32-bit numbers; remembers those of pre-tokens."""
-
-    def __init__(self, path: str) -> None:
-        self.pre = pre_tokens(path)
-        self.shortcut = {t: i.to_bytes(4, "little") for t, i in single_tokens(path).items()}
-        self.known = dict(self.shortcut)
-
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known = dict(self.shortcut)
-        new = [p for p in pieces if p not in self.known]
-        coded = self.pre.library.encode_batch(new, add_special_tokens=False)
-        self.known.update((t, np.array(e.ids, "<u4").tobytes()) for t, e in zip(new, coded, strict=True))
-
-    def _of(self, text: str) -> bytes:
-        if self.pre.unproved.search(text):
-            return np.array(self.pre.library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        out = []
-        for run in self.pre.runs(text):
-            pieces = self.pre.pattern.findall(run)
-            try:
-                out.append(b"".join(map(self.known.__getitem__, pieces)))
-            except KeyError:
-                self._learn(set(pieces))
-                out.append(b"".join(map(self.known.__getitem__, pieces)))
-        return b"".join(out)
-
-    def encode(self, text: str | None) -> bytes:
-        special = self.pre.special
-        return b"".join(special[p].to_bytes(4, "little") if s else self._of(p) for p, s in self.pre.parts(text or ""))
-
-
-@lru_cache(maxsize=2)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
-
-
 def encoded(df: DataFrame, path: str, end: int = 0) -> DataFrame:
     """First pass, written: ``doc_id, part, first, doc_tokens, ids`` (4 bytes an id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, last, part, first = encoder(path).encode, end.to_bytes(4, "little"), TaskContext.get().partitionId(), 0
         for batch in chunks(batches, "text"):
-            ids = [encode(t) + last for t in batch.column("text").to_pylist()]
+            ids = [x + last for x in encode(batch.column("text").to_pylist())]
             sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
             starts = first + np.cumsum(sizes) - sizes
             first += int(sizes.sum())

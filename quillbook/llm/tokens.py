@@ -2,7 +2,7 @@
 
 A pre-token that is itself an entry of the vocabulary and encodes alone as
 that entry is one token; which entries do so is proved once, by encoding
-them all. Only the other pre-tokens are merged, each of them once per task.
+them all. Only the other pre-tokens are merged, all new ones of a run at once.
 
 Null and empty texts have no tokens. A string of a special token inside a
 text is that token, as the library reads it. Texts with code points outside
@@ -13,6 +13,7 @@ so repeated rows, ties and skew do not matter.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import re
 from collections.abc import Iterator
@@ -28,7 +29,9 @@ from quillbook.llm.batches import chunks
 #: Code points whose class (letter, number, space, other) is read off the library's own pre-tokenizer.
 PROVED = (range(0x250), range(0x2000, 0x2070))
 #: Entries a task remembers, and characters it splits at once.
-REMEMBERED, RUN = 400_000, 1 << 20
+REMEMBERED, RUN = 1_000_000, 1 << 20
+#: Bytes of the pre-tokens that are merged together; longer ones are left to the library.
+WIDTHS = (8, 16, 32)
 
 
 def _class(found: list[int]) -> str:
@@ -102,57 +105,159 @@ def pre_tokens(path: str) -> PreTokens:
     return PreTokens(path)
 
 
-@functools.lru_cache(maxsize=2)
-def single_tokens(path: str) -> dict[str, int]:
-    return pre_tokens(path).alone()
-
+class Merges:
+    """Byte-pair merges of many pre-tokens at a time: per step, each row merges its leftmost pair of least rank."""
 
-class Counter:
-    """Counts tokens; remembers the counts of pre-tokens it had to merge."""
+    def __init__(self, library) -> None:
+        self.library = library
+        model = json.loads(library.to_str())["model"]
+        plain = ("unk_token", "dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")
+        self.widths = WIDTHS if model["type"] == "BPE" and not any(model.get(k) for k in plain) else ()
+        if not self.widths:
+            return
+        vocab = model["vocab"]
+        self.base = max(vocab.values()) + 1
+        # The characters that stand for bytes: printable ones for themselves, the others from 256 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        hidden = [b for b in range(256) if b not in set(shown)]
+        name = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.byte = np.array([vocab[name[b]] for b in range(256)], np.int32)
+        pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        keys = np.array([vocab[x] * self.base + vocab[y] for x, y in pairs], np.int64)
+        order = np.argsort(keys)
+        self.keys, self.rank = keys[order], order.astype(np.int32)
+        self.made = np.array([vocab[x + y] for x, y in pairs], np.int32)
+        self.none = np.int32(len(pairs))
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = np.where(right < 0, -1, left.astype(np.int64) * self.base + right)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.rank[at], self.none)
+
+    def _merged(self, ids: np.ndarray) -> np.ndarray:
+        """``ids`` (rows, width; -1 is the end) after all merges."""
+        out, left = ids, np.arange(len(ids))
+        ranks = self._ranks(ids[:, :-1], ids[:, 1:])
+        column = np.arange(ids.shape[1])
+        while len(left):
+            at = ranks.argmin(axis=1)
+            row = np.arange(len(at))
+            best = ranks[row, at]
+            active = best < self.none
+            if not active.all():
+                out[left[~active]] = ids[~active]
+                ids, ranks, left, at, best = ids[active], ranks[active], left[active], at[active], best[active]
+                if not len(left):
+                    break
+                row = np.arange(len(at))
+            after = column[:-1] > at[:, None]
+            moved = np.where(after, ids[:, 1:], ids[:, :-1])
+            ids = np.concatenate([moved, np.full((len(at), 1), -1, np.int32)], axis=1)
+            # Column j from the merge on now holds what stood behind it.
+            ids[row, at] = self.made[best]
+            ranks[:, :-1] = np.where(after[:, :-1], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = self.none
+            inner = at + 1 < ids.shape[1]
+            ranks[row[inner], at[inner]] = self._ranks(ids[row[inner], at[inner]], ids[row[inner], at[inner] + 1])
+            inner = at > 0
+            ranks[row[inner], at[inner] - 1] = self._ranks(ids[row[inner], at[inner] - 1], ids[row[inner], at[inner]])
+        return out
+
+    def encode(self, words: list[str]) -> dict[str, bytes]:
+        """Ids of each pre-token as little-endian 32-bit numbers."""
+        raw = [w.encode("utf-8", "replace") for w in words]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw))
+        found: dict[str, bytes] = {}
+        low = 0
+        for width in self.widths:
+            own = np.flatnonzero((sizes > low) & (sizes <= width))
+            low = width
+            if not len(own):
+                continue
+            data = np.frombuffer(b"".join([raw[i] for i in own]), np.uint8)
+            filled = np.arange(width) < sizes[own][:, None]
+            ids = np.full((len(own), width), -1, np.int32)
+            ids[filled] = self.byte[data]
+            ids = self._merged(ids)
+            kept = ids >= 0
+            flat, ends = ids[kept].astype("<u4").tobytes(), np.cumsum(kept.sum(axis=1)) * 4
+            start = 0
+            for i, end in zip(own.tolist(), ends.tolist(), strict=True):
+                found[words[i]] = flat[start:end]
+                start = end
+        rest = [words[i] for i in np.flatnonzero(sizes > low)]
+        coded = self.library.encode_batch(rest, add_special_tokens=False)
+        found.update((t, np.array(e.ids, "<u4").tobytes()) for t, e in zip(rest, coded, strict=True))
+        return found
+
+
+class Encoder:
+    """Ids of texts as little-endian 32-bit numbers; remembers those of pre-tokens."""
 
     def __init__(self, path: str) -> None:
         self.pre = pre_tokens(path)
-        self.shortcut = dict.fromkeys(single_tokens(path), 1)
+        self.merges = Merges(self.pre.library)
+        self.shortcut = {t: self.value(i.to_bytes(4, "little")) for t, i in self.pre.alone().items()}
         self.known = dict(self.shortcut)
 
-    def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known = dict(self.shortcut)
-        new = [p for p in pieces if p not in self.known]
-        coded = self.pre.library.encode_batch(new, add_special_tokens=False)
-        self.known.update((t, len(e.ids)) for t, e in zip(new, coded, strict=True))
-
-    def _of(self, text: str) -> int:
-        if self.pre.unproved.search(text):
-            return len(self.pre.library.encode(text, add_special_tokens=False).ids)
-        total = 0
-        for run in self.pre.runs(text):
-            pieces = self.pre.pattern.findall(run)
-            try:
-                total += sum(map(self.known.__getitem__, pieces))
-            except KeyError:
-                self._learn(set(pieces))
-                total += sum(map(self.known.__getitem__, pieces))
-        return total
-
-    def count(self, text: str | None) -> int:
-        return sum(1 if special else self._of(part) for part, special in self.pre.parts(text or ""))
+    @staticmethod
+    def value(ids: bytes):
+        return ids
 
+    total = staticmethod(b"".join)
 
-@functools.lru_cache(maxsize=2)
-def counter(path: str) -> Counter:
-    return Counter(path)
+    def _pieces(self, text: str | None) -> list:
+        """Pre-tokens of a text; what does not have to be looked up stands as a list of one value."""
+        out: list = []
+        for part, special in self.pre.parts(text or ""):
+            if special:
+                out.append([self.value(self.pre.special[part].to_bytes(4, "little"))])
+            elif self.pre.unproved.search(part):
+                ids = self.pre.library.encode(part, add_special_tokens=False).ids
+                out.append([self.value(np.array(ids, "<u4").tobytes())])
+            else:
+                for run in self.pre.runs(part):
+                    out.append(tuple(self.pre.pattern.findall(run)))
+        return out
+
+    def encode(self, texts: list[str | None]) -> list:
+        cut = [self._pieces(t) for t in texts]
+        met = set().union(*[part for parts in cut for part in parts if isinstance(part, tuple)])
+        known = self.known
+        new = [p for p in met if p not in known]
+        if len(known) + len(new) > REMEMBERED:
+            self.known = known = dict(self.shortcut)
+            new = [p for p in met if p not in known]
+        if new:
+            known.update((t, self.value(ids)) for t, ids in self.merges.encode(new).items())
+        get, total = known.__getitem__, self.total
+        return [total([total(map(get, part)) if isinstance(part, tuple) else part[0] for part in parts]) for parts in cut]
+
+
+class Counter(Encoder):
+    """Numbers of tokens instead of the tokens."""
+
+    @staticmethod
+    def value(ids: bytes):
+        return len(ids) // 4
+
+    total = staticmethod(sum)
+
+
+@functools.lru_cache(maxsize=4)
+def encoder(path: str, kind: type[Encoder] = Encoder) -> Encoder:
+    return kind(path)
 
 
 def count_tokens(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` of every row. No shuffle; other columns are not read."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path).count
+        count = encoder(path, Counter).encode
         for batch in chunks(batches, "text"):
             column = batch.column("text")
             sizes = pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())
-            found = np.fromiter(map(count, column.to_pylist()), np.int64, len(column))
+            found = np.array(count(column.to_pylist()), np.int64)
             yield pa.record_batch([batch.column("doc_id"), sizes, pa.array(found)], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
