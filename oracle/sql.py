@@ -6,7 +6,6 @@ from the same rows.
 
 from __future__ import annotations
 
-from quillbook.functions.rules import ATTRIBUTES, Rule, Take
 from quillbook.operators import errors
 from quillbook.plans import queries as q
 from quillbook.plans import workload as w
@@ -22,7 +21,7 @@ subledgers as ({w.SUBLEDGER_SQL}),
 ledgers as ({w.LEDGER_SQL}),
 reins_all as ({w.REINSURANCE_SQL}),
 reins as (select * from reins_all qualify row_number() over (
-  partition by treaty_name, legal_entity, geac_centers order by rcd_crtd_dt desc) = 1),
+  partition by treaty_name, legal_entity, center_code order by rcd_crtd_dt desc) = 1),
 lines0 as (select
   trim(fsi_gl_pt_effective_date) as transaction_date, trim(fsi_gl_bh_rev_effective_date) as gl_reversal_date,
   trim(fsi_gl_bh_application_area) as gl_application_area_code, trim(fsi_gl_pt_source_code) as gl_source_code,
@@ -51,13 +50,13 @@ _DERIVED = """
 
 def _joined(name: str, reins: str, attributes: str) -> str:
     return f"""
-  select a.*, {_DERIVED}, c.oracle_fah_ldgr_nm as ledger, b.src_sys_nm_desc as sys, b.evnt_typ_cd as evt, b.oracle_fah_subldgr_nm as sub,
+  select a.*, {_DERIVED}, c.ledger_nm as ledger, b.src_sys_nm_desc as sys, b.evnt_typ_cd as evt, b.subledger_nm as sub,
    {attributes}, b.include_exclude as s_flag, c.include_exclude as l_flag
   from {name} a
   left join (select * from subledgers where date '2025-12-05' between eff_strt_dt and eff_stop_dt) b
     on a.gl_application_area_code = b.actvty_gl_app_area_cd and substr(a.gl_source_code,1,3) = b.actvty_gl_src_cd
   left join ledgers c on substr(a.secondary_ledger_code,3,2) = c.actvty_gl_ldgr_cd and a.secondary_ledger_code = c.sec_ldgr_cd
-  left join {reins} d on substr(a.secondary_ledger_code,1,2) = d.legal_entity and a.orig_gl_center = d.geac_centers"""
+  left join {reins} d on substr(a.secondary_ledger_code,1,2) = d.legal_entity and a.orig_gl_center = d.center_code"""
 
 
 _FLAG = """case when substr(gl_full_source_code,1,3) in ('903','851','444') then coalesce(d.{0}, '@') end as {1}"""
@@ -70,7 +69,7 @@ _LEDGER_BAD = "coalesce(length(secondary_ledger_code) < 4 or substr(secondary_le
 _PAIR = "'gl_application_area_code (' || coalesce(gl_application_area_code,'') || ') and gl_source_code (' || coalesce(substr(gl_source_code,1,3),'') || ');'"
 
 HEADERS = BASE + f""",
-flags as (select distinct legal_entity, geac_centers, reinsurance_assumed_ceded_flag from reins),
+flags as (select distinct legal_entity, center_code, reinsurance_assumed_ceded_flag from reins),
 h1 as ({_joined('headers0', 'flags', _HEADER_FLAG)}),
 h2 as (select * from h1 where coalesce(s_flag,'Include') = 'Include' and coalesce(l_flag,'Include') = 'Include'),
 h3 as (select *, max(case when flag = '@' then 1 else 0 end) over (partition by {_GRAIN}) as bad,
@@ -150,43 +149,79 @@ lforced as (select * exclude (hard, soft, outcome),
   from (select *, 'XForced Error. Hard Errors - Missing RDM Lookup for transaction_number ' || coalesce(txn, 'UNKNOWN') || ';' as msg from lw5))"""
 
 
-def _rule_sql(rule: Rule) -> str:
-    def starts(column: str, options: str) -> str:
-        return "(" + " or ".join(f"starts_with({column}, '{o}')" for o in options.split()) + ")"
-
-    def listed(options: str) -> str:
-        return "(" + ", ".join(f"'{o}'" for o in options.split()) + ")"
-
-    tests = [f"substr(gl_full_source_code,1,3) in {listed(rule.prefixes)}"]
-    if rule.starts:
-        tests.append(starts("orig_gl_account", rule.starts))
-    if rule.starts_not:
-        tests.append("not " + starts("orig_gl_account", rule.starts_not))
-    if rule.account:
-        tests.append(f"orig_gl_account in {listed(rule.account)}")
-    if rule.account_not:
-        tests.append(f"orig_gl_account not in {listed(rule.account_not)}")
-    tests += [f"contains({c}, '{t}')" for c, t in rule.has.items()]
-    tests += [f"not contains({c}, '{t}')" for c, t in rule.has_not.items()]
-    tests += [starts(c, o) for c, o in rule.begins.items()]
-    return f"when {' and '.join(tests)} then {_take_sql(rule.take)}"
-
-
-def _take_sql(take: str | Take) -> str:
-    if isinstance(take, str):
-        return take
-    if take.literal is not None:
-        return f"'{take.literal}'"
-    if not take.length:
-        return take.field
-    text = f"right({take.field}, {take.length})" if take.start < 0 else f"substr({take.field}, {take.start}, {take.length})"
-    return f"trim({text})" if take.trimmed else text
+# The attributes by source prefix, each written out from the rules' description.
+_P, _A = "substr(gl_full_source_code, 1, 3)", "orig_gl_account"
+_D1, _D2, _D3 = (f"orig_gl_description_{i}" for i in (1, 2, 3))
+_DOC = "orig_gl_source_document_id"
+_ATTRIBUTES = {
+    "contractnumber": f"""case {_P}
+      when '545' then substr({_D1}, 1, 10)
+      when '038' then case when {_A} like '1%' and {_A} <> '2872400' then trim(substr({_D1}, 1, 10)) end
+      when '863' then trim(substr({_D1}, 1, 12)) when '864' then trim(substr({_D1}, 1, 12))
+      when 'HIP' then case when {_A} like '2%' then trim(substr({_D1}, 1, 15)) end
+      when '049' then trim(substr({_D1}, 1, 28))
+      when 'A4V' then case when {_A} like 'VOID%' then trim(substr({_D1}, 6, 10)) end
+      when '041' then {_D1}
+      when '062' then case when {_A} <> '2861600' then {_D1} end
+      when '122' then case when {_A} <> '2861600' then {_D1} end
+      when '123' then case when {_A} <> '2861600' then {_D1} end
+      when '165' then case when {_A} like '2%' then {_D1} end
+      when '147' then case when {_A} like '2%' then {_D1} end
+      when '430' then case when {_A} like '2%' then {_D1} end
+      when '043' then case when {_A} = '2898000' then {_D2} when {_A} in ('2871100', '2890200', '2891900') then null when {_A} like '2%' then {_D1} end
+      when '075' then case when {_A} = '2891900' then {_D1} end
+      when '074' then case when {_D1} like '%OTCKC%' then {_D3} end
+      when '296' then {_D1} when '456' then {_D1} when '464' then {_D1} when '851' then {_D1} when '959' then {_D1}
+      when '143' then case when {_A} not like '19%' and {_A} not like '99%' then {_D2} end
+      when '069' then case when {_D2} = 'N' or {_D2} like 'TA%' then {_D2} end
+      when '057' then case when {_A} like '829%' or substr({_A}, 1, 1) in ('1', '2', '4', '6', '7') then {_D1} end
+      when '145' then case when {_A} = '2893600' then {_D2} when {_A} like '19%' or {_A} like '28%' then {_D1}
+        when {_A} like '4%' or {_A} like '7%' then {_D2} end
+      end""",
+    "groupcontractnumber": f"""case {_P}
+      when '146' then case {_A} when '10A1200' then trim(substr({_D1}, 1, 13)) when '2873600' then {_DOC} end
+      when '143' then case when {_A} like '19%' or {_A} like '28%' then {_DOC} end end""",
+    "activitywithholdingtaxjurisdiction": f"""case
+      when {_P} in ('051', '052', '122', '123') then case when {_A} = '2861600' then {_D1} end
+      when {_P} = '549' then case when {_A} like '2%' then trim(substr({_D1}, 29, 2)) end
+      when {_P} in ('452', '453', '454', '458', '460', '462', '463', '143') then case when {_A} like '1%' then trim(substr({_D1}, 29, 2)) end
+      when {_P} = '863' then case when {_A} like '2%' then trim(substr({_D1}, 13, 2)) end end""",
+    "sourceagentidentifier": f"""case {_P}
+      when '141' then case when {_A} = '1117300' then {_D2} when {_A} in ('1120300', '1120500', '2870500', '2801800') then {_D1} end
+      when '146' then case when {_A} = '1120300' then {_D1} end
+      when '038' then case when {_A} = '2872400' then trim(substr({_D1}, 1, 10)) end
+      when '073' then case when {_A} in ('2871300', '2888900') then {_D2} end
+      when '145' then case when {_A} = '2861600' then {_D1} end
+      when '039' then case when {_D1} like '%DTCCK%' then {_D2} else {_D3} end
+      when '668' then case when {_D1} not like '%NSCCK%' then {_D1} end
+      when '057' then case when {_A} like '5%' or substr({_A}, 1, 3) in ('825', '826', '849') or {_A} in ('1120400', '2871100') then {_D1} end
+      when '077' then {_D3} end""",
+    "activitydepositsourcebatchidentifier": f"""case {_P}
+      when '051' then case when {_A} <> '2861600' then {_D2} end
+      when '146' then case when {_A} = '10A1200' then trim(substr({_D1}, 14, 17)) when {_A} in ('1004100', '1090900', '1090600') then {_D1}
+        when {_A} in ('2890400', '1120300', '1997000', '1910000', '2870500', '2878180', '2891900') then {_D2}
+        when substr({_A}, 1, 4) in ('4111', '4121') then right({_DOC}, 8) when {_A} like '7%' then {_DOC} end
+      when '402' then case when {_A} in ('10A1200', '2871300') then {_D1} when {_A} = '2893700' then {_D2} end
+      when '057' then case when {_A} in ('1110900', '1806200', '2872600', '2872700', '2886500', '2890100', '2898000') then {_D1} end
+      when '043' then case when {_A} in ('1110900', '2898000') then {_D1} when {_A} like '10%' or {_A} like '28%' then {_D2} end
+      when '038' then case when {_A} like '1%' then {_D1} else {_D2} end
+      when '075' then {_D2} when '109' then {_D2}
+      when '545' then trim(substr({_D1}, 16, 15)) end""",
+    "checknumber": f"""case
+      when {_P} = '017' then case when {_D1} not like '%DTCCK%' then {_D2} end
+      when {_P} in ('039', '049', '863', '864') then {_D2} when {_P} in ('456', '464') then {_D3} end""",
+    "activitysourceclaimidentifier": f"case when {_P} = 'HIP' and {_A} like '2%' then trim(substr({_D1}, 16, 15)) end",
+    "activitysourceoriginatinguserid": f"""case {_P} when '038' then case when {_A} not like '1%' then trim(substr({_D1}, 11, 20)) end
+      when '141' then case when {_A} like '7%' then {_D2} else orig_gl_project_code end when '545' then trim(substr({_D1}, 11, 5)) end""",
+    "contractsourcesystemname": f"case {_P} when '903' then 'External A' when '851' then 'External B' when '444' then 'External B' end",
+    "reinsurancecounterpartytype": f"case when {_P} in ('903', '851', '444') then 'External' end",
+    "sourcesystemreinsurancecounterpartycode": f"case when {_P} in ('903', '851', '444') then orig_gl_center end",
+    "statutoryresidentstatecode": "cast(null as varchar)",
+}
 
 
 def _attributes_sql() -> str:
-    return ", ".join(
-        f"case {' '.join(_rule_sql(r) for r in rules)} end as {name}" if rules else f"cast(null as varchar) as {name}"
-        for name, rules in ATTRIBUTES.items())
+    return ", ".join(f"{text} as {name}" for name, text in _ATTRIBUTES.items())
 
 
 def sql(name: str, body: str, common: str = "") -> None:
@@ -211,23 +246,24 @@ _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, strftime(o_orderd
 for _name, _n in (("lookup_latest", 1), ("lookup_second_latest", 2)):
     sql(_name, f"""select {_ORDERS} from (select *, row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) as n from orders) where n = {_n}""")
 
-sql("wildcard_lookup", """
-grouped as (select evnt_typ_cd, trnsctn_cls, src_sys_nm, cntrct_pln_cd, fund_clss, case when count(*) > 1 then 'Q' else min(cash_flow_type) end as v
-  from lk group by 1, 2, 3, 4, 5),
+_TEN = [("event_type_code", "evnt_typ_cd"), ("transaction_class", "trnsctn_cls"), ("source_system_nm", "src_sys_nm"), ("plancode", "cntrct_pln_cd"),
+        ("fundclassindicator", "fund_clss"), ("rider_type", "trnsctn_rdr_typ"), ("charge_type", "trnsctn_chrg_typ"), ("fee_type", "trnsctn_fee_typ"),
+        ("portfolio", "ifrs17_prtflio"), ("grouping", "ifrs17_groupn")]
+_FITS = " and ".join([f"({c} is null or {c} = {r})" for r, c in _TEN[:2]] + ["(alone or (" + " and ".join(
+    f"({c} is null or {c} = '-' or ({c} = {r} and trim({r}) not in ('', 'NA')))" for r, c in _TEN[2:]) + "))"])
+_ROW = ", ".join(f"r.{r}" for r, _ in _TEN)
+sql("wildcard_lookup", f"""
+grouped as (select {', '.join(c for _, c in _TEN)}, case when count(cash_flow_type) > 1 then 'Q' else min(cash_flow_type) end as v from lk group by all),
 choice as (select *, count(*) over (partition by evnt_typ_cd, trnsctn_cls) = 1 as alone,
-  cast(src_sys_nm = '-' as int) + cast(cntrct_pln_cd = '-' as int) + cast(fund_clss = '-' as int) as wild from grouped),
-best as (select r.event_type_code, r.transaction_class, r.source_system_nm, r.plancode, r.fundclassindicator, c.v,
-  row_number() over (partition by r.event_type_code, r.transaction_class, r.source_system_nm, r.plancode, r.fundclassindicator
-   order by c.v is null, wild, c.v = 'Q', c.v) as n
-  from (select distinct * from rws) r left join choice c on r.event_type_code = c.evnt_typ_cd and r.transaction_class = c.trnsctn_cls and (alone or (
-   (src_sys_nm = '-' or src_sys_nm = source_system_nm) and (cntrct_pln_cd = '-' or cntrct_pln_cd = plancode)
-   and (fund_clss = '-' or (fund_clss = fundclassindicator and trim(fundclassindicator) not in ('', 'NA'))))))
-select r.*, case when v = 'Q' then null else coalesce(v, '@') end as cash_flow_type,
- case when v = 'Q' then 'Cash flow type ambiguous for event type code (' || r.event_type_code || ') and transaction class (' || r.transaction_class || ');' end as error_message,
- count(*) as rows from rws r join best b on n = 1 and r.event_type_code = b.event_type_code and r.transaction_class = b.transaction_class
- and r.source_system_nm = b.source_system_nm and r.plancode = b.plancode and r.fundclassindicator is not distinct from b.fundclassindicator group by all""",
+  {' + '.join(f"coalesce(cast({c} = '-' as int), 0)" for _, c in _TEN[2:])} as wild from grouped),
+fit as (select {_ROW}, c.v, c.wild, c.alone is not null as fits from (select distinct * from rws) r left join choice c on {_FITS}),
+best as (select *, row_number() over (partition by {', '.join(r for r, _ in _TEN)} order by not fits, wild, (v = 'Q') nulls first, v nulls first) as n from fit)
+select {_ROW}, case when v = 'Q' then null else coalesce(v, '@') end as cash_flow_type,
+ case when v = 'Q' then 'Cash flow type ambiguous for event type code (' || coalesce(r.event_type_code, '') || ') and transaction class (' || coalesce(r.transaction_class, '') || ');' end as error_message,
+ count(*) as rows from rws r join best b on n = 1 and {' and '.join(f'r.{r} is not distinct from b.{r}' for r, _ in _TEN)} group by all""",
     f"lk as ({q.WILDCARD_LOOKUP}), rws as ({q.WILDCARD_ROWS}),")
-sql("ambiguous_lookup", "select p_brand, cast(p_size as bigint) as p_size, case when count(*) > 1 then 'Q' else min(p_type) end as p_type from part group by 1, 2")
+sql("attribute_rules", f"select rn, {_attributes_sql()} from src", f"src as ({q.RULE_ROWS}) ")
+sql("ambiguous_lookup", "select p_brand, cast(p_size as bigint) as p_size, case when count(nullif(p_type, 'PROMO BURNISHED COPPER')) > 1 then 'Q' else min(nullif(p_type, 'PROMO BURNISHED COPPER')) end as p_type from part group by 1, 2")
 sql("orders_with_lines", f"select {_ORDERS} from orders o where exists (select 1 from lineitem where l_orderkey = o.o_orderkey)")
 sql("orders_without_lines", f"select {_ORDERS} from orders o where not exists (select 1 from lineitem where l_orderkey = o.o_orderkey)")
 sql("comma_list", """select value, count(*) as rows from (select trim(unnest(string_split(p_brand || ', ' || p_type || ',,' || p_name, ','))) as value from part) where value <> '' group by 1""")
@@ -235,10 +271,10 @@ sql("comma_list", """select value, count(*) as rows from (select trim(unnest(str
 sql("classify_headers", """select transaction_date, gl_reversal_date, gl_application_area_code, gl_source_code, secondary_ledger_code, orig_gl_center, data_type,
  txn as transaction_number_drvd, hard as hard_error_message, soft as soft_error_message, flag_out as reprocess_flag, outcome as error_cleared from hfinal""", HEADERS)
 sql("transaction_forced", "select outcome as error_cleared, flag_out as reprocess_flag, hard as hard_error_message, soft as soft_error_message, count(*) as rows from hforced group by all", FORCED_HEADERS)
-_FINAL = f"""select distinct '2025-12-08 09:58:22' as recorded_timestamp, 'core' as source_system_name, cast(null as varchar) as original_cycle_date, cast(null as varchar) as original_batch_id,
+_FINAL = f"""select distinct '2025-12-08 08:30:15' as recorded_timestamp, 'core' as source_system_name, cast(null as varchar) as original_cycle_date, cast(null as varchar) as original_batch_id,
  txn as transaction_number, sys as source_system_nm, ledger as ledger_name, evt as event_type_code, sub as subledger_short_name, cast(tdate as varchar) as transaction_date,
  cast(rdate as varchar) as gl_reversal_date, gl_application_area_code, src as gl_source_code, ldg as secondary_ledger_code, data_type,
- '2025-12-05' as cycle_date, cast(651149 as bigint) as batch_id from hforced where outcome = 'Good'"""
+ '2025-12-05' as cycle_date, cast(700042 as bigint) as batch_id from hforced where outcome = 'Good'"""
 sql("final_headers", _FINAL, FORCED_HEADERS)
 sql("classify_lines", """select orig_gl_source_document_id, gl_full_source_code, secondary_ledger_code, orig_gl_account, amount as default_amount_drvd, debit_credit_indicator,
  txn as transaction_number, cast(line_number as varchar) as line_number, hard as hard_error_message, soft as soft_error_message, outcome as error_cleared from lfinal""", LINES)
@@ -246,12 +282,12 @@ sql("classify_lines_summary", """select outcome as error_cleared, gl_application
  cast(sum(cast(amount as decimal(18,2))) as double) as amount, cast(max(line_number) as varchar) as last_line from lfinal group by 1, 2, 3""", LINES)
 sql("line_attributes", f"""select 'core' as source_system_name, txn as transaction_number, line_number, amount as default_amount, debit_credit_indicator, gl_full_source_code,
  orig_gl_source_document_id, orig_gl_company, orig_gl_account, orig_gl_center, orig_gl_description_1, orig_gl_description_2, orig_gl_description_3, orig_gl_project_code,
- {', '.join(_REINS_COLUMNS)}, {_attributes_sql()}, '2025-12-05' as cycle_date, cast(651149 as bigint) as batch_id from lforced where outcome = 'Good'""", LINES_FORCED)
+ {', '.join(_REINS_COLUMNS)}, {_attributes_sql()}, '2025-12-05' as cycle_date, cast(700042 as bigint) as batch_id from lforced where outcome = 'Good'""", LINES_FORCED)
 sql("accounting_ids", "select count(*) as lines, count(*) as ids, count(*) as well_formed from lforced where outcome = 'Good'", LINES_FORCED)
 sql("line_numbering", """select l_orderkey, l_extendedprice, cast(l_linenumber as bigint) as l_linenumber, l_partkey, l_suppkey, l_quantity, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate,
  cast(row_number() over (partition by l_orderkey order by l_extendedprice, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) as bigint) as line_number from lineitem""")
 
-sql("error_view", f"""select '2025-12-05' as original_cycle_date, cast(651149 as bigint) as original_batch_id, 'core' as source_system_name,
+sql("error_view", f"""select '2025-12-05' as original_cycle_date, cast(700042 as bigint) as original_batch_id, 'core' as source_system_name,
  'core_general_ledger_line_item' as table_name, case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name,
  trim(hard || soft) as error_message, cast(0 as bigint) as error_record_aging_days, case when outcome = 'Hard Error' then 'N' else 'Y' end as reprocess_flag,
  {', '.join(errors.LINE_FIELDS)} from (select * exclude (hard, soft), case when any_rdm and not own_rdm then hard else hard end as hard,
@@ -269,7 +305,7 @@ sql("reprocess_errors", f"""subledgers2 as ({w.COMPLETE_SUBLEDGER_SQL}),
  s2 as (select *, max(case when flag = '@' then 1 else 0 end) over (partition by {_GRAIN}) as bad from s1
   where coalesce(s_flag,'Include') = 'Include' and coalesce(l_flag,'Include') = 'Include')
  select case when ledger is not null and sys is not null and evt is not null and sub is not null and bad = 0 then 'Good - Reprocessed Error' else 'Soft Error' end as error_cleared,
- src as gl_source_code_drvd, cast(651149 as bigint) as original_batch_id, count(*) as rows from s2 group by 1, 2""", FORCED_HEADERS + ",")
+ src as gl_source_code_drvd, cast(700042 as bigint) as original_batch_id, count(*) as rows from s2 group by 1, 2""", FORCED_HEADERS + ",")
 
 _AGE = "datediff('day', cast(o_orderdate as date), date '2001-08-05')"
 _KIND = "case o_orderstatus when 'O' then 'Soft' when 'F' then 'Hard' else 'Cleared' end"
@@ -301,7 +337,7 @@ _XF = "XForced Error. Hard Errors"
 sql("forced_error_counts", f"""select cast(0 as bigint) as forced_soft_rdm, cast(0 as bigint) as forced_hard_date, cast(sum(n) as bigint) as forced_hard_data, cast(sum(n) as bigint) as total_forced
  from (select cast(count(*) as bigint) as n from hforced where starts_with(hard, '{_XF}') union all select count(*) from lforced where starts_with(hard, '{_XF}'))""", LINES_FORCED)
 sql("error_view_stats", """select '2025-12-05' as original_cycle_date, case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name, 'core' as source_system_name,
- count(*) as cnt, '2025-12-08 09:58:22' as min_recorded_timestamp, '2025-12-08 09:58:22' as max_recorded_timestamp, '2025-12-05' as min_original_cycle_date,
+ count(*) as cnt, '2025-12-08 08:30:15' as min_recorded_timestamp, '2025-12-08 08:30:15' as max_recorded_timestamp, '2025-12-05' as min_original_cycle_date,
  '2025-12-05' as max_original_cycle_date from lforced where outcome <> 'Good' group by 2""", LINES_FORCED)
 sql("reprocessed_summary", """select cast(cast(o_orderdate as date) as varchar) as cycle_date, cast(1 as bigint) as batch_id,
  cast(cast(date_trunc('month', o_orderdate) - interval 1 month as date) as varchar) as original_cycle_date, cast(1 as bigint) as original_batch_id, o_orderstatus as ledger_name,
@@ -314,6 +350,10 @@ new as (select * from orders where o_orderdate >= date '1999-01-01' qualify row_
 select n.o_custkey, n.o_orderkey, n.o_orderstatus, n.o_orderpriority,
  case when o.o_orderstatus = n.o_orderstatus and o.o_orderpriority = n.o_orderpriority then 'UNCHANGED' else 'INSERT' end as cdc_action,
  '1999-01-01' as cycle_date, cast(2 as bigint) as batch_id from new n left join old o on n.o_custkey = o.o_custkey""")
+sql("cdc_after_delete", """with old as (select * from orders where o_orderdate < date '1999-01-01' qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1),
+new as (select * from orders where o_orderdate >= date '1999-01-01' qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1)
+select n.o_custkey, n.o_orderkey, case when n.o_custkey % 3 <> 0 and n.o_custkey % 5 <> 0 and o.o_orderstatus = n.o_orderstatus and o.o_orderpriority = n.o_orderpriority
+ then 'UNCHANGED' else 'INSERT' end as cdc_action from new n left join old o on n.o_custkey = o.o_custkey""")
 sql("delete_detection", """select distinct o_custkey as documentid, '1998-12-31' as pointofviewstopdate, cast(2 as bigint) as batch_id, 'orders' as domain_name, 'tpch' as source_system_name,
  'DAILY' as batch_frequency, '1999-01-01' as cycle_date from orders where o_orderdate < date '1999-01-01'
  and o_custkey not in (select o_custkey from orders where o_orderdate >= date '1999-01-01')""")
@@ -343,9 +383,17 @@ sql("staging_hashes", """select user_id, sha256(cast(user_id as varchar)) as nat
  '9999-12-31' as pointofviewstopdate, b as batchid from daily""", DAILY)
 sql("scd2_working", f"select {_V}, a as actiontype, s as sourcetable from working", DAILY)
 sql("scd2_history", f"select {_V} from versions", DAILY)
-sql("scd2_expected", """
- x as (select *, count(*) over (partition by user_id, d) as n, lag(a) over (partition by user_id, d order by d, stop, b) as before from working)
- select case when n > 2 and a in ('INSERT','UPDATE') and before = a then 'UNCHANGED' else a end as actiontype, s as sourcetable, count(*) as rows from x group by 1, 2""", DAILY + ",")
+sql("scd2_expected", f"""hourly as (select user_id, event_type, cast(ts as date) as d, cast(strftime(ts, '%Y%m%d%H') as bigint) as b from events
+  where cast(ts as date) >= date '2024-01-16' qualify row_number() over (partition by user_id, cast(ts as date), hour(ts) order by ts desc, event_id desc) = 1),
+e0 as (select user_id, event_type, d, date '9999-12-31' as stop, b, 'Staging' as s from hourly
+  union all select user_id, event_type, d, stop, b, 'Target' from first_half where stop = date '9999-12-31' and user_id in (select user_id from hourly)),
+e1 as (select *, case when s = 'Target' then 'UPDATE' when event_type = lag(event_type) over (partition by user_id order by d, b) then 'UNCHANGED' else 'INSERT' end as own from e0),
+e2 as (select *, count(*) over (partition by user_id, d) as n, lag(own) over (partition by user_id, d order by b) as before from e1),
+e3 as (select *, case when n > 2 and own <> 'UNCHANGED' and before = own then 'UNCHANGED' else own end as marked from e2),
+e4 as (select *, coalesce(lead(d) over (partition by user_id order by d, b) - 1, date '9999-12-31') as ends from e3 where marked <> 'UNCHANGED')
+select user_id, event_type, cast(d as varchar) as pointofviewstartdate, cast(ends as varchar) as pointofviewstopdate, b as batchid,
+ case when s = 'Target' and ends = date '9999-12-31' then 'UNCHANGED' else marked end as actiontype, s as sourcetable from e4
+union all select user_id, event_type, cast(d as varchar), cast(stop as varchar), b, marked, s from e3 where marked = 'UNCHANGED'""", DAILY + ",")
 sql("scd2_deletes", """select user_id, event_type, cast(d as varchar) as pointofviewstartdate, cast(case when stop = date '9999-12-31'
   and user_id in (select user_id from first_half where event_type = 'error') then date '2024-01-20' else stop end as varchar) as pointofviewstopdate, b as batchid from first_half""", DAILY)
 sql("deleted_parents", """select user_id as documentid, '2024-01-20' as pointofviewstopdate from first_half group by 1 having bool_or(event_type = 'click')""", DAILY)
@@ -503,10 +551,12 @@ sql("eav_transpose", """with e as (select cast(user_id as varchar) as naturalkey
  select naturalkey, cast(ld as varchar) as load_date, nullif(max(v) filter (c = 'amount'), '') as amount, nullif(max(v) filter (c = 'label'), '') as label from b group by 1, 2""")
 sql("eav_record_count", "select cast(d as varchar) as load_date, count(*) as record_count from (select distinct cast(ts as date) as d, user_id, event_type from events) group by d")
 sql("pairs_to_columns", """select o_orderkey, o_orderstatus, case when o_orderkey % 3 = 0 then 'C' || cast(o_custkey as varchar) end as contract_no,
- case when o_orderkey % 3 = 1 then 'C' || cast(o_custkey as varchar) end as "45_contract_no", case when o_orderkey % 2 = 0 then 'X' || cast(o_custkey as varchar) end as old_contract_no,
- cast(null as varchar) as other from orders""")
+ case when o_orderkey % 3 = 1 then 'C' || cast(o_custkey as varchar) end as "45_contract_no",
+ case when o_orderkey % 2 = 0 then 'old_contract_no=X' || cast(o_custkey as varchar) else '' end as other_pairs from orders""")
 sql("pivot_pairs", """select o_orderkey, case when o_orderkey % 3 = 0 then 'C' || cast(o_custkey as varchar) end as contract_no,
- case when o_orderkey % 2 = 1 then 'X' || cast(o_custkey as varchar) end as other from orders where o_orderkey % 3 = 0 or o_orderkey % 2 = 1""")
+ case when o_orderkey % 3 = 1 then 'C' || cast(o_custkey as varchar) end as "45_contract_no",
+ case when o_orderkey % 2 = 0 then 'X' || cast(o_custkey as varchar) end as old_contract_no,
+ case when o_orderkey % 2 = 1 then 'X' || cast(o_custkey as varchar) end as other from orders""")
 sql("header_line_join", """select o_orderkey as transaction_number, cast(l_linenumber as bigint) as l_linenumber, o_orderstatus as header_status, l_linestatus as line_status, o_totalprice as header_amount,
  l_extendedprice as line_amount, l_partkey, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate from orders join lineitem on l_orderkey = o_orderkey""")
 sql("combined_window", """select o_orderkey, case when o_orderstatus <> 'F' then o_orderstatus end as o_orderstatus, case when o_orderstatus <> 'P' then o_orderpriority end as o_orderpriority,
@@ -522,9 +572,9 @@ _TREE = f"tree as ({q.TREE}), "
 sql("hierarchy_levels", """walk as (select name, parent, summary, allow_posting, cycle_date, 1 as level, [description_us] as p from tree where parent is null
   union all select t.name, t.parent, t.summary, t.allow_posting, t.cycle_date, w.level + 1, list_append(w.p, t.description_us) from tree t join walk w on t.parent = w.name)
  select name, parent, summary, cast(allow_posting as bigint) as allow_posting, cast(cycle_date as bigint) as cycle_date, cast(level as bigint) as level,
- """ + ", ".join(f"p[{i}] as level_{i}" for i in range(1, 7)) + " from walk", "recursive " + _TREE)
-sql("leaves_below", """walk as (select * from tree where description_us = 'ASIA' union all select t.* from tree t join walk w on t.parent = w.name)
- select name, parent, description_us from walk where allow_posting = 1""", "recursive " + _TREE)
+ """ + ", ".join(f"p[{i}] as level_{i}" for i in range(1, 29)) + " from walk", "recursive " + _TREE)
+sql("leaves_below", """walk as (select * from tree where description_us = 'ASIA' union select t.* from tree t join walk w on t.parent = w.name)
+ select name, parent, description_us, cast(cycle_date as bigint) as cycle_date from walk where allow_posting = 1""", "recursive " + _TREE)
 sql("row_hashes", """select o_orderkey, sha256(o_orderstatus || '|' || o_orderpriority) as header_hash, sha256(cast(o_custkey as varchar) || '|' || cast(o_orderkey as varchar)) as line_hash from orders""")
 _UUID = "substr(h,1,8) || '-' || substr(h,9,4) || '-{v}' || substr(h,14,3) || '-' || translate(substr(h,17,1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h,18,3) || '-' || substr(h,21,12)"
 sql("document_ids", f"""select c_custkey, (select {_UUID.format(v=3)} from (select md5(c_name) as h)) as uuid3,

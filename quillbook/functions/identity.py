@@ -12,13 +12,22 @@ from pyspark.sql import functions as F
 X500_NAMESPACE = "6ba7b8149dad11d180b400c04fd430c8"
 
 
-def joined(columns: Iterable[str], separator: str = "|") -> Column:
-    """Columns as one text. Nulls become '' so that they keep their position."""
-    return F.concat_ws(separator, *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns])
+def joined(columns: Iterable[str], separator: str = "|", nulls: bool = False) -> Column:
+    """Columns as one text that no other columns give.
+
+    Separators and backslashes inside a column are escaped. A null becomes ''
+    so that it keeps its position, or with ``nulls`` a mark that no text gives.
+    """
+    def one(c: str) -> Column:
+        text = F.replace(F.col(c).cast("string"), F.lit("\\"), F.lit("\\\\"))
+        text = F.replace(text, F.lit(separator), F.lit("\\" + separator))
+        return F.coalesce(text, F.lit("\\N" if nulls else ""))
+
+    return F.concat_ws(separator, *[one(c) for c in columns])
 
 
-def row_hash(columns: Iterable[str], separator: str = "|") -> Column:
-    return F.sha2(joined(columns, separator), 256)
+def row_hash(columns: Iterable[str], separator: str = "|", nulls: bool = False) -> Column:
+    return F.sha2(joined(columns, separator, nulls), 256)
 
 
 def header_key(columns: list[str], complete: Column, spread: Column) -> Column:

@@ -65,7 +65,7 @@ class Rule:
     account_not: str = ""
     has: dict[str, str] = field(default_factory=dict)  # field -> text it contains
     has_not: dict[str, str] = field(default_factory=dict)
-    begins: dict[str, str] = field(default_factory=dict)  # field -> texts it may start with
+    first_two: dict[str, str] = field(default_factory=dict)  # field -> what its first two characters may be
 
     def applies(self) -> Column:
         account = F.col(ACCOUNT)
@@ -84,7 +84,7 @@ class Rule:
             tests.append(~account.isin(*self.account_not.split()))
         tests += [F.contains(F.col(n), F.lit(text)) for n, text in self.has.items()]
         tests += [~F.contains(F.col(n), F.lit(text)) for n, text in self.has_not.items()]
-        tests += [starts_with(F.col(n), options) for n, options in self.begins.items()]
+        tests += [F.substring(F.col(n), 1, 2).isin(*options.split()) for n, options in self.first_two.items()]
         return reduce(lambda a, b: a & b, tests)
 
     def value(self) -> Column:
@@ -109,11 +109,12 @@ ATTRIBUTES: dict[str, list[Rule]] = {
         Rule("074", D3, has={D1: "OTCKC"}),
         Rule("296 456 464 851 959", D1),
         Rule("143", D2, starts_not="19 99"),
-        Rule("069", D2, begins={D2: "TA N"}),
+        Rule("069", D2, first_two={D2: "TA N"}),
         Rule("057", D1, starts="4 6 7 829 2"),
         Rule("057", D1, starts="1"),
         Rule("145", D1, starts="19 28", account_not="2893600"),
-        Rule("145", D2, starts="4 7 2893600"),
+        Rule("145", D2, starts="4 7"),
+        Rule("145", D2, account="2893600"),
     ],
     "groupcontractnumber": [
         Rule("146", head(D1, 13), account="10A1200"),
@@ -171,10 +172,7 @@ ATTRIBUTES: dict[str, list[Rule]] = {
         Rule("141", PROJECT),
         Rule("545", part(D1, 11, 5)),
     ],
-    "contractsourcesystemname": [
-        Rule("903", Take(literal="External SCOR")),
-        Rule("851 444", Take(literal="Wilton External")),
-    ],
+    "contractsourcesystemname": [],
     "reinsurancecounterpartytype": [
         Rule("903 851 444", Take(literal="External")),
     ],
@@ -195,6 +193,15 @@ def derive(rules: list[Rule]) -> Column:
     return chain
 
 
-def derived_attributes(attributes: dict[str, list[Rule]] | None = None) -> dict[str, Column]:
-    attributes = ATTRIBUTES if attributes is None else attributes
+#: Source prefixes whose contracts come from other companies, and how these are named; a site passes its own names.
+EXTERNAL = {"903": "External A", "851 444": "External B"}
+
+
+def derived_attributes(
+    attributes: dict[str, list[Rule]] | None = None, external: dict[str, str] | None = None
+) -> dict[str, Column]:
+    attributes = dict(ATTRIBUTES if attributes is None else attributes)
+    names = EXTERNAL if external is None else external
+    if "contractsourcesystemname" in attributes:
+        attributes["contractsourcesystemname"] = [Rule(p, Take(literal=n)) for p, n in names.items()]
     return {name: derive(rules) for name, rules in attributes.items()}

@@ -20,18 +20,27 @@ def _null_safe(left: DataFrame, right: DataFrame, keys: list[str]) -> Column:
 
 
 def change_actions(
-    new: DataFrame, loaded: DataFrame, keys: list[str], fields: list[str], batch: Batch
+    new: DataFrame, loaded: DataFrame, keys: list[str], fields: list[str], batch: Batch, deletes: DataFrame | None = None
 ) -> DataFrame:
     """``INSERT`` for new or changed rows, ``UNCHANGED`` for the others.
 
-    Each row is compared with the latest one of its key before this batch.
-    Only keys and hashes of loaded rows travel through the shuffle.
+    Each row is compared with the latest one of its key before this batch; a
+    null differs from ''. ``deletes`` names keys and the batch that deleted
+    them: a row that an earlier batch deleted after it was loaded is no prior
+    version, so a document that returns is an ``INSERT``. Only keys and hashes
+    of loaded rows travel through the shuffle.
     """
     before = loaded.where(F.col("batch_id") < batch.number()).select(
-        *keys, "cycle_date", "batch_id", row_hash(fields).alias("_hash"))
+        *keys, "cycle_date", "batch_id", row_hash(fields, nulls=True).alias("_hash"))
     before = latest(before, keys, ["cycle_date", "batch_id"]).select(
-        *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("_hash").alias("_o_hash"))
-    hashed = new.withColumn("_hash", row_hash(fields))
+        *[F.col(k).alias(f"_o_{k}") for k in keys], F.col("batch_id").alias("_o_batch"), F.col("_hash").alias("_o_hash"))
+    if deletes is not None:
+        gone = deletes.where(F.col("batch_id") < batch.number()).groupBy(*[F.col(k).alias(f"_d_{k}") for k in keys]).agg(
+            F.max("batch_id").alias("_deleted"))
+        same = reduce(lambda a, b: a & b, [F.col(f"_o_{k}").eqNullSafe(F.col(f"_d_{k}")) for k in keys])
+        before = before.join(gone, same & (F.col("_deleted") >= F.col("_o_batch")), "left_anti")
+    before = before.drop("_o_batch")
+    hashed = new.withColumn("_hash", row_hash(fields, nulls=True))
     joined = hashed.join(before, _null_safe(hashed, before, keys), "left")
     return joined.withColumns({
         "cdc_action": F.when(F.col("_hash").eqNullSafe(F.col("_o_hash")), UNCHANGED).otherwise(INSERT),

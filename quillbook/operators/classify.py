@@ -204,7 +204,7 @@ def prepare_headers(
     rows: DataFrame, subledgers: DataFrame, ledgers: DataFrame, reinsurance: DataFrame
 ) -> DataFrame:
     """Header rows with lookups and derived codes; excluded rows leave here."""
-    attributes = reinsurance.select("legal_entity", "geac_centers", "reinsurance_assumed_ceded_flag")
+    attributes = reinsurance.select("legal_entity", "center_code", "reinsurance_assumed_ceded_flag")
     found = look_up(rows, subledgers, ledgers, attributes.distinct())
     found = found.where(is_included("sblgdr_include_exclude", "ldgr_include_exclude"))
     flag = codes.reinsurance("gl_full_source_code", "reinsurance_assumed_ceded_flag")
@@ -413,7 +413,7 @@ def prepare_lines(
     return derive_codes(found).withColumns({
         f"{name}_drvd": codes.reinsurance("gl_full_source_code", column) for name, column in REINSURANCE.items()
     } | {"default_amount_drvd": codes.amount("default_amount")}).drop(*[
-        c for c in reinsurance.columns if c not in ("legal_entity", "geac_centers")])
+        c for c in reinsurance.columns if c not in ("legal_entity", "center_code")])
 
 
 def classify_lines(

@@ -1,4 +1,4 @@
-"""Company trees: level paths and the leaves below a node."""
+"""Company trees: level paths and the leaves below a node, at any depth."""
 
 from __future__ import annotations
 
@@ -9,56 +9,64 @@ from pyspark.sql import functions as F
 
 from quillbook.session import materialise
 
-MAX_DEPTH = 20
 
-
-def level_paths(nodes: DataFrame, extra: list[str], max_depth: int = MAX_DEPTH) -> DataFrame:
+def level_paths(nodes: DataFrame, extra: list[str]) -> DataFrame:
     """Every node reachable from a root with the names on its path as columns.
 
-    Nodes deeper than ``max_depth`` are not listed, as the result has one
-    column per level.
+    There are as many level columns as the deepest path has levels. A node
+    with several parents is listed once per path. Raises ``ValueError`` where
+    a node lies below itself.
     """
-    names = [f"level_{i}" for i in range(1, max_depth + 1)]
     columns = ["name", "parent", *extra, "cycle_date"]
-
-    def with_path(df: DataFrame, level, path) -> DataFrame:
-        return df.select(*columns, level.alias("level"), path.alias("_path"))
-
-    roots = with_path(
-        nodes.where(F.col("parent").isNull()), F.lit(1), F.array(F.col("description_us").cast("string")))
+    label = F.col("description_us").cast("string")
+    # Read once per level, so written, and without the columns no one asks for.
+    nodes = materialise(nodes.select(*columns, "description_us"), "nodes")
+    roots = nodes.where(F.col("parent").isNull()).select(
+        *columns, F.lit(1).alias("level"), F.array(label).alias("_path"), F.array("name").alias("_names"))
 
     def children(above: DataFrame) -> DataFrame:
         up = above.select(
-            F.col("name").alias("parent"), "cycle_date", F.col("level").alias("_level"), F.col("_path").alias("_up"))
+            F.col("name").alias("parent"), "cycle_date", F.col("level").alias("_level"),
+            F.col("_path").alias("_up"), F.col("_names").alias("_above"))
         joined = nodes.join(up, ["parent", "cycle_date"])
-        return with_path(
-            joined, F.col("_level") + 1,
-            F.concat(F.col("_up"), F.array(F.col("description_us").cast("string"))))
+        return joined.select(
+            *columns, (F.col("_level") + 1).alias("level"), F.concat("_up", F.array(label)).alias("_path"),
+            F.concat("_above", F.array("name")).alias("_names"))
 
     # Each level is written once, so lineage does not grow with depth.
     levels = [materialise(roots, "level")]
-    while len(levels) < max_depth:
+    while True:
         following = materialise(children(levels[-1]), "level")
-        if following.isEmpty():
+        looped = F.size("_names") > F.size(F.array_distinct("_names"))
+        count, loop = following.agg(F.count(F.lit(1)), F.max(F.when(looped, F.array_join("_names", " > ")))).first()
+        if loop is not None:
+            raise ValueError(f"a node lies below itself: {loop}")
+        if not count:
             break
         levels.append(following)
     everything = reduce(DataFrame.unionByName, levels)
     return everything.select(
-        *columns, "level", *[F.get("_path", F.lit(i)).alias(n) for i, n in enumerate(names)])
+        *columns, "level", *[F.get("_path", F.lit(i)).alias(f"level_{i + 1}") for i in range(len(levels))])
 
 
 def leaves_below(nodes: DataFrame, description: str) -> DataFrame:
     """Descendants of a named node (and the node) that allow posting.
 
-    Goes on until a level brings nothing new, at any depth. Nodes that were
-    met before are left out, so that a loop in the data ends too.
+    A node is listed under each of its parents that lie below the named one.
+    Goes on until a level brings no new pair of node and parent in a cycle, at
+    any depth; so a loop in the data ends too.
     """
+    key = ["name", "parent", "cycle_date"]
+    nodes = materialise(nodes, "nodes")
     found = materialise(nodes.where(F.col("description_us") == description), "level")
     level = found
     while True:
-        up = level.select(F.col("name").alias("_up")).distinct()
-        below = nodes.join(up, F.col("parent") == F.col("_up"), "left_semi")
-        level = materialise(below.join(found.select("name"), "name", "left_anti").select(*nodes.columns), "level")
+        up = level.select(F.col("name").alias("_up"), F.col("cycle_date").alias("_cycle")).distinct()
+        below = nodes.join(
+            up, (F.col("parent") == F.col("_up")) & F.col("cycle_date").eqNullSafe(F.col("_cycle")), "left_semi")
+        met = found.select(*[F.col(k).alias(f"_{k}") for k in key])
+        same = reduce(lambda a, b: a & b, [below[k].eqNullSafe(F.col(f"_{k}")) for k in key])
+        level = materialise(below.join(met, same, "left_anti"), "level")
         if level.isEmpty():
             return found.where(F.col("allow_posting").cast("string") == "1")
         found = found.unionByName(level)

@@ -34,10 +34,10 @@ def look_up(rows: DataFrame, subledgers: DataFrame, ledgers: DataFrame, reinsura
         .join(
             reinsurance,
             (F.substring(rows["secondary_ledger_code"], 1, 2) == reinsurance["legal_entity"])
-            & (rows["orig_gl_center"] == reinsurance["geac_centers"]),
+            & (rows["orig_gl_center"] == reinsurance["center_code"]),
             "left",
         )
-        .drop("_area", "_source", "_ledger", "_company", "legal_entity", "geac_centers")
+        .drop("_area", "_source", "_ledger", "_company", "legal_entity", "center_code")
     )
 
 
@@ -53,8 +53,8 @@ def is_excluded(*flags: str) -> Column:
 
 
 def one_or_ambiguous(lookup: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """One row per key: its value, or ``Q`` where the key has several rows."""
-    count = F.count(F.lit(1))
+    """One row per key: its value, or ``Q`` where the key has several values. Nulls do not count."""
+    count = F.count(value)
     return lookup.groupBy(*keys).agg(
         F.when(count > 1, AMBIGUOUS).otherwise(F.min(value)).alias(value))
 
@@ -71,41 +71,63 @@ def wildcard_match(
 
     ``required`` and ``optional`` map row columns to lookup columns. An
     optional lookup column fits when it is ``-`` or equal; blank and ``NA``
-    row values fit ``-`` only. Where the required columns alone name a single
-    lookup row, that row fits regardless of its optional columns. Fewest
-    wildcards win, unambiguous before ``Q``; ``@`` where nothing fits, null
-    and a message where only an ambiguous row does.
-
-    The join runs over the distinct combinations of the matched columns, whose
-    number does not grow with copies of rows, and the best match is a partial
-    aggregate, so candidates of a combination never meet in one task unreduced.
+    row values fit ``-`` only. A null lookup column is no condition at all.
+    Where the required columns alone name a single lookup row, that row fits
+    regardless of its optional columns. Fewest wildcards win, unambiguous
+    before ``Q``; ``@`` where nothing fits, null and a message where only an
+    ambiguous row does.
+
+    Lookup rows ask for different sets of columns (their mask: wildcard,
+    null or value). Each distinct combination of the rows' columns is repeated
+    once per mask that occurs, with the columns the mask does not ask for left
+    out, and meets lookup rows by equality of all columns. So only pairs that
+    fit are formed, the number of combinations does not grow with copies of
+    rows, and the best match is a partial aggregate.
     """
     columns = [*required, *optional]
     targets = [*required.values(), *optional.values()]
     choices = one_or_ambiguous(lookup, targets, value)
-    wildcards = reduce(
-        lambda a, b: a + b, [F.when(F.col(c) == WILDCARD, 1).otherwise(0) for c in optional.values()])
-    choices = choices.withColumn("_wildcards", wildcards)
-    alone = choices.groupBy(*required.values()).agg((F.count(F.lit(1)) == 1).alias("_alone"))
-    choices = choices.join(alone, list(required.values()))
-    choices = control_table(choices.select(
-        *[F.col(c).alias(f"_l_{c}") for c in targets], F.col(value).alias("_value"), "_wildcards", "_alone"))
+    wild = [F.when(F.col(c) == WILDCARD, 1).otherwise(0) for c in optional.values()]
+    choices = choices.withColumn("_wildcards", reduce(lambda a, b: a + b, wild))
+    # A null required column is no condition either, so a row stands alone if no other fits the same values.
+    alone = choices.groupBy(*[F.col(c).alias(f"_s_{c}") for c in required.values()]).agg(
+        (F.count(F.lit(1)) == 1).alias("_alone"))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_s_{c}")) for c in required.values()])
+    choices = choices.join(alone, same)
+
+    def asks(c: str) -> Column:
+        some = F.col(c).isNotNull()
+        return some if c in required.values() else some & (F.col(c) != WILDCARD) & ~F.col("_alone")
+
+    left_out = F.lit(None).cast("string")
+    choices = choices.select(
+        F.concat(*[F.when(asks(c), "1").otherwise("0") for c in targets]).alias("_mask"),
+        *[F.when(asks(c), F.col(c).cast("string")).otherwise(left_out).alias(f"_l_{c}") for c in targets],
+        F.col(value).alias("_value"), "_wildcards")
+    choices = control_table(choices)
+    masks = [r[0] for r in choices.select("_mask").distinct().collect()]  # at most 2 ** columns, in fact a few
 
     combos = rows.select(*columns).distinct()
-    equal = [combos[r] == F.col(f"_l_{c}") for r, c in required.items()]
 
-    def fits(row_column: str, lookup_column: str) -> Column:
-        text, wanted = combos[row_column], F.col(f"_l_{lookup_column}")
-        usable = text.isNotNull() & ~F.trim(text).isin("", "NA")
-        return (wanted == WILDCARD) | (usable & (text == wanted))
-
-    optional_fit = reduce(lambda a, b: a & b, [fits(r, c) for r, c in optional.items()])
-    condition = reduce(lambda a, b: a & b, equal) & (F.col("_alone") | optional_fit)
+    def usable(c: str) -> Column:
+        text = F.col(c).cast("string")
+        return text if c in required else F.when(~F.trim(text).isin("", "NA"), text)
+
+    asked = combos.select(*columns, F.explode(F.lit(masks or ["0" * len(columns)])).alias("_mask"))
+    asked = asked.select(*columns, "_mask", *[
+        F.when(F.substring("_mask", i + 1, 1) == "1", usable(c)).alias(f"_a_{c}") for i, c in enumerate(columns)])
+    # A column that is asked for but has no usable value fits nothing.
+    whole = reduce(lambda a, b: a & b, [
+        (F.substring("_mask", i + 1, 1) == "0") | F.col(f"_a_{c}").isNotNull() for i, c in enumerate(columns)])
+    asked = asked.where(whole)
+    condition = reduce(lambda a, b: a & b, [
+        asked["_mask"] == choices["_mask"],
+        *[asked[f"_a_{r}"].eqNullSafe(choices[f"_l_{c}"]) for r, c in zip(columns, targets, strict=True)]])
     rank = F.struct(
         F.col("_wildcards"), (F.col("_value") == AMBIGUOUS).alias("q"), F.col("_value").alias("v"))
     best = (
-        combos.join(choices, condition)
-        .groupBy(*[combos[c] for c in columns])
+        asked.join(choices, condition)
+        .groupBy(*columns)
         .agg(F.min(rank)["v"].alias("_best"))
         .select(*[F.col(c).alias(f"_r_{c}") for c in columns], "_best")
     )

@@ -27,13 +27,20 @@ def normal_key(key: str = "key") -> Column:
     return F.lower(F.when(F.substring(key_column, 4, 1) == "-", after).otherwise(key_column))
 
 
+def _names(pairs: DataFrame, key: str) -> list[str]:
+    """The keys met, in order: the columns of the result, so their number is that of a table's columns."""
+    return sorted(r[0] for r in pairs.select(key).where(F.col(key).isNotNull()).distinct().collect())
+
+
 def pairs_to_columns(
-    df: DataFrame, row_id: list[str], wanted: list[str], key_suffix: str | None = None, prefix: str = "gr"
+    df: DataFrame, row_id: list[str], wanted: list[str] | None = None, key_suffix: str | None = None, prefix: str = "gr"
 ) -> DataFrame:
-    """Name/value column pairs as one column per wanted key, other columns kept.
+    """Name/value column pairs as one column per key, other columns kept.
 
-    The pairs of a row stay in that row: one pass and no join or shuffle. With
-    several values for a key the largest is taken, as in a pivot.
+    Without ``wanted`` every key that occurs becomes a column. With it, the
+    pairs of all other keys come out in ``other_pairs``, a map of key and
+    value, so none is lost. The pairs of a row stay in that row: no join or
+    shuffle. With several values for a key the largest is taken, as in a pivot.
     """
     names = sorted(c for c in df.columns if c.startswith(prefix) and c.endswith("_name"))
     values = sorted(c for c in df.columns if c.startswith(prefix) and c.endswith("_value"))
@@ -41,17 +48,36 @@ def pairs_to_columns(
     def normalised(c: str) -> Column:
         return F.when(F.endswith(F.col(c), F.lit(key_suffix)), normal_key(c)) if key_suffix else normal_key(c)
 
+    listed = wanted
+    if listed is None:
+        listed = _names(df.select(F.explode(F.array(*[normalised(n) for n in names])).alias("key")), "key")
+
     def value_of(key: str) -> Column:
-        found = [F.when(normalised(n) == key, F.col(v).cast("string")) for n, v in zip(names, values)]
+        found = [F.when(normalised(n) == key, F.col(v).cast("string")) for n, v in zip(names, values, strict=True)]
         return F.greatest(*found) if len(found) > 1 else found[0]
 
-    others = [c for c in df.columns if c not in names and c not in values and c not in row_id]
-    return df.select(*row_id, *others, *[value_of(k).alias(k) for k in wanted])
+    kept = [c for c in df.columns if c not in names and c not in values and c not in row_id]
+    columns = [*row_id, *kept, *[value_of(k).alias(k) for k in listed]]
+    if wanted is None:
+        return df.select(*columns)
+    # Pairs in order of key and value; of equal keys the last, largest value stays.
+    pairs = F.filter(
+        F.array(*[F.struct(normalised(n).alias("k"), F.col(v).cast("string").alias("v"))
+                  for n, v in zip(names, values, strict=True)]),
+        lambda p: p["k"].isNotNull() & ~p["k"].isin(*wanted))
+    ordered = F.array_sort(pairs)
+    last = F.filter(ordered, lambda p, i: ~F.get(ordered, i + 1)["k"].eqNullSafe(p["k"]))
+    return df.select(*columns, F.map_from_entries(last).alias("other_pairs"))
 
 
-def pivot_pairs(pairs: DataFrame, keep: list[str], wanted: list[str]) -> DataFrame:
-    """Key/value rows as one column per wanted key."""
-    return pairs.where(F.col("key").isin(*wanted)).groupBy(*keep).pivot("key", wanted).agg(F.max("value"))
+def pivot_pairs(pairs: DataFrame, keep: list[str], wanted: list[str] | None = None) -> DataFrame:
+    """Key/value rows as one column per key, one row for every ``keep``.
+
+    Without ``wanted`` every key that occurs becomes a column.
+    """
+    listed = _names(pairs, "key") if wanted is None else wanted
+    return pairs.groupBy(*keep).agg(
+        *[F.max(F.when(F.col("key") == k, F.col("value"))).alias(k) for k in listed])
 
 
 def transposed(

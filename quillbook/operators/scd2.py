@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from quillbook.functions.groups import Large, find_large, neighbour, number_rows
 from quillbook.functions.identity import row_hash
 from quillbook.operators.cdc import INSERT, UNCHANGED, UPDATE
-from quillbook.session import control_table
+from quillbook.session import control_table, materialise
 from quillbook.sources.extracts import latest
 from quillbook.sources.tables import replace_batches
 
@@ -92,12 +92,8 @@ def is_open(steps: Steps = Steps()) -> Column:
     return F.col(STOP) == steps.open()
 
 
-def working_type2(staging: DataFrame, history: DataFrame, steps: Steps = Steps()) -> DataFrame:
-    """Staged versions and the open ones they meet, with action and validity.
-
-    ``UPDATE`` rows are open versions to close, ``INSERT`` rows new versions;
-    ``UNCHANGED`` rows repeat the version before them or stay open.
-    """
+def _actions(staging: DataFrame, history: DataFrame, steps: Steps) -> tuple[DataFrame, Large]:
+    """Staged versions and the open ones they meet, with the action each would take by itself."""
     current = history.where(is_open(steps)).join(staging.select(KEY).distinct(), KEY, "left_semi")
     rows = staging.withColumn(SOURCE, F.lit("Staging")).unionByName(current.withColumn(SOURCE, F.lit("Target")))
     # A key has at most one open version, so the staged rows tell how large it is.
@@ -108,10 +104,19 @@ def working_type2(staging: DataFrame, history: DataFrame, steps: Steps = Steps()
         .when(F.col(HASH) == F.col("_previous"), UNCHANGED)
         .otherwise(INSERT)
     )).drop("_previous")
-    return _validity(rows, steps, large)
+    return rows, large
+
+
+def working_type2(staging: DataFrame, history: DataFrame, steps: Steps = Steps()) -> DataFrame:
+    """Staged versions and the open ones they meet, with action and validity.
+
+    ``UPDATE`` rows are open versions to close, ``INSERT`` rows new versions;
+    ``UNCHANGED`` rows repeat the version before them or stay open.
+    """
+    return _validity(*_actions(staging, history, steps), steps)
 
 
-def _validity(rows: DataFrame, steps: Steps, large: Large) -> DataFrame:
+def _validity(rows: DataFrame, large: Large, steps: Steps) -> DataFrame:
     active = F.col(ACTION) != UNCHANGED
     rows = neighbour(rows, [KEY], steps.order(), "_next", F.col(START), following=True, among=active,
                      large=large)
@@ -210,24 +215,27 @@ def expected_outcome(
     """What the load should do, worked out apart from it for the controls.
 
     Where one group and day has more than two rows, an ``INSERT`` or ``UPDATE``
-    that follows another one is taken as superseded.
+    that follows another one is taken as superseded. Superseded rows are marked
+    first, so no version ends where one of them starts.
     """
-    working = working_type2(staging, history, steps)
+    rows, large = _actions(staging, history, steps)
     if not group:
-        return working
+        return _validity(rows, large, steps)
+    # Written once: the days are counted and their rows put in order.
+    rows = materialise(rows, "actions")
     day = [KEY, *group, CYCLE]
-    counts = working.groupBy(*day).agg(F.count(F.lit(1)).alias("_rows"))
+    counts = rows.groupBy(*day).agg(F.count(F.lit(1)).alias("_rows"))
     crowded = counts.where(F.col("_rows") > 2).drop("_rows").withColumn("_crowded", F.lit(True))
-    rows = neighbour(working, day, steps.order(), "_before", F.col(ACTION))
-    changes = [INSERT, UPDATE]
+    ordered = neighbour(rows, day, steps.order(), "_before", F.col(ACTION))
     again = (
         F.coalesce("_crowded", F.lit(False))
-        & F.col(ACTION).isin(changes)
+        & F.col(ACTION).isin(INSERT, UPDATE)
         & (F.col("_before") == F.col(ACTION))
     )
-    return rows.join(crowded, day, "left").withColumn(
+    marked = ordered.join(crowded, day, "left").withColumn(
         ACTION, F.when(F.coalesce(again, F.lit(False)), UNCHANGED).otherwise(F.col(ACTION))
-    ).select(*working.columns)
+    ).select(*rows.columns)
+    return _validity(marked, large, steps)
 
 
 def closed_by_batch(history: DataFrame, working: DataFrame, batches: DataFrame, steps: Steps = Steps()) -> DataFrame:

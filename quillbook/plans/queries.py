@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillbook.functions import codes, groups, identity
+from quillbook.functions import codes, groups, identity, rules
 from quillbook.operators import batches, cdc, classify, controls, errors, hierarchy, lookups, reshape, scd2
 from quillbook.operators.batch import Batch
 from quillbook.plans import load
@@ -104,15 +104,22 @@ def lookup_second_latest(spark, folder):
     return ex.nth_latest(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], 2)
 
 
-WILDCARD_LOOKUP = """select distinct case p_partkey % 3 when 0 then 'A' when 1 then 'N' else 'R' end as evnt_typ_cd,
- case when p_partkey % 2 = 0 then 'O' else 'F' end as trnsctn_cls,
+# Null columns ask for nothing; some rows repeat with another value or with none.
+WILDCARD_LOOKUP = """select case p_partkey % 3 when 0 then 'A' when 1 then 'N' else 'R' end as evnt_typ_cd,
+ case when p_partkey % 17 = 3 then null when p_partkey % 2 = 0 then 'O' else 'F' end as trnsctn_cls,
  case when p_partkey % 7 < 3 then '-' else 'S' || cast(p_partkey % 4 as string) end as src_sys_nm,
- case when p_partkey % 5 < 2 then '-' else 'P' || cast(p_partkey % 5 as string) end as cntrct_pln_cd,
+ case when p_partkey % 5 < 2 then '-' when p_partkey % 5 = 4 then null else 'P' || cast(p_partkey % 5 as string) end as cntrct_pln_cd,
  case when p_partkey % 11 < 6 then '-' else 'F' || cast(p_partkey % 3 as string) end as fund_clss,
- 'CF' || cast(p_partkey % 3 as string) || case when p_partkey % 7 = 5 then p_type else '' end as cash_flow_type from part"""
+ case when p_partkey % 13 < 9 then '-' else 'R' || cast(p_partkey % 2 as string) end as trnsctn_rdr_typ,
+ case when p_partkey % 19 < 16 then null else 'G' || cast(p_partkey % 2 as string) end as trnsctn_chrg_typ,
+ case when p_partkey % 23 < 20 then '-' else 'E1' end as trnsctn_fee_typ, case when p_partkey % 29 < 26 then '-' else 'Q1' end as ifrs17_prtflio,
+ case when p_partkey % 31 < 28 then '-' else 'U1' end as ifrs17_groupn,
+ case when p_partkey % 6 = 5 then null else 'CF' || cast(p_partkey % 3 as string) || case when p_partkey % 7 = 5 then p_type else '' end end as cash_flow_type from part"""
 WILDCARD_ROWS = """select l_returnflag as event_type_code, l_linestatus as transaction_class,
  'S' || cast(l_suppkey % 6 as string) as source_system_nm, 'P' || cast(l_partkey % 9 as string) as plancode,
- case when l_linenumber = 1 then 'NA' when l_linenumber = 2 then ' ' when l_linenumber > 3 then 'F' || cast(l_linenumber % 3 as string) end as fundclassindicator
+ case when l_linenumber = 1 then 'NA' when l_linenumber = 2 then ' ' when l_linenumber > 3 then 'F' || cast(l_linenumber % 3 as string) end as fundclassindicator,
+ 'R' || cast(l_partkey % 3 as string) as rider_type, case when l_suppkey % 5 > 0 then 'G' || cast(l_suppkey % 2 as string) end as charge_type,
+ 'E' || cast(l_partkey % 2 as string) as fee_type, 'Q' || cast(l_suppkey % 2 as string) as portfolio, 'U' || cast(l_linenumber % 2 as string) as grouping
  from lineitem"""
 
 
@@ -121,17 +128,46 @@ def wildcard_lookup(spark, folder):
     matched = lookups.wildcard_match(
         w.query(spark, folder, WILDCARD_ROWS), w.query(spark, folder, WILDCARD_LOOKUP),
         {"event_type_code": "evnt_typ_cd", "transaction_class": "trnsctn_cls"},
-        {"source_system_nm": "src_sys_nm", "plancode": "cntrct_pln_cd", "fundclassindicator": "fund_clss"},
+        {"source_system_nm": "src_sys_nm", "plancode": "cntrct_pln_cd", "fundclassindicator": "fund_clss",
+         "rider_type": "trnsctn_rdr_typ", "charge_type": "trnsctn_chrg_typ", "fee_type": "trnsctn_fee_typ",
+         "portfolio": "ifrs17_prtflio", "grouping": "ifrs17_groupn"},
         "cash_flow_type")
     return matched.groupBy(*matched.columns).agg(F.count(F.lit(1)).alias("rows"))
 
 
 @query
 def ambiguous_lookup(spark, folder):
-    part = w.table(spark, folder, "part")
+    part = w.table(spark, folder, "part").withColumn("p_type", F.nullif("p_type", F.lit("PROMO BURNISHED COPPER")))
     return lookups.one_or_ambiguous(part, ["p_brand", "p_size"], "p_type")
 
 
+# Every source prefix the rules name and one they do not, with accounts and texts that each condition tells apart.
+_PREFIXES = """545 038 863 864 HIP 049 A4V 041 062 122 123 165 147 430 043 075 074 296 456 464 851 959 143 069 057 145 146 051 052 549 452 453
+ 454 458 460 462 463 141 073 039 668 077 402 109 017 903 444 999""".split()
+_ACCOUNTS = """2872400 1872400 2861600 1861600 VOID123 2898000 2871100 2890200 2891900 2893600 28936001 1917300 9917300 2817300 4117300 4111300 4121300
+ 7117300 6117300 8290000 8250000 8490000 5117300 10A1200 2873600 1117300 1120300 1120500 2870500 2801800 2871300 2888900 1120400 1004100 1090900 1090600
+ 2890400 1997000 1910000 2878180 2893700 1110900 1806200 2872600 2872700 2886500 2890100 1017300 3117300""".split()
+_FIRST = ["  ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", "DTCCK and OTCKC in 30 letters here", "with NSCCK", "short", ""]
+_SECOND = ["TA123", "N", "N12345", "T", "second text"]
+
+
+def _pick(texts: list[str], key: str) -> str:
+    return "case " + " ".join(f"when {key} % {len(texts)} = {i} then '{t}'" for i, t in enumerate(texts)) + " end"
+
+
+RULE_ROWS = f"""select l_orderkey * 10 + l_linenumber as rn, {_pick(_PREFIXES, 'l_partkey')} || 'XY' as gl_full_source_code,
+ {_pick(_ACCOUNTS, '(l_suppkey * 7 + l_orderkey)')} as orig_gl_account,
+ case when l_linenumber < 7 then {_pick(_FIRST, '(l_orderkey + l_linenumber)')} end as orig_gl_description_1, {_pick(_SECOND, '(l_orderkey + l_suppkey)')} as orig_gl_description_2,
+ 'third ' || l_returnflag as orig_gl_description_3, 'DOC' || cast(l_orderkey * 1000003 as string) as orig_gl_source_document_id,
+ 'PROJ' || cast(l_suppkey as string) as orig_gl_project_code, 'C' || cast(l_partkey as string) as orig_gl_center from lineitem"""
+
+
+@query
+def attribute_rules(spark, folder):
+    rows = w.query(spark, folder, RULE_ROWS)
+    return rows.select("rn", *[c.alias(n) for n, c in rules.derived_attributes().items()])
+
+
 @query
 def orders_with_lines(spark, folder):
     return lookups.same_rows_present(
@@ -407,6 +443,18 @@ def cdc_actions(spark, folder):
     return acted.drop("recorded_timestamp")
 
 
+@query
+def cdc_after_delete(spark, folder):
+    """Documents that an earlier batch deleted come back; nulls and empty texts differ."""
+    blank = F.col("o_custkey") % 5 == 0
+    loaded = ex.latest(_loaded_orders(spark, folder), ["o_custkey"], ["cycle_date", "o_orderkey"]).withColumn(
+        "o_orderpriority", F.when(~blank, F.col("o_orderpriority")))
+    new = _new_orders(spark, folder).withColumn("o_orderpriority", F.when(blank, "").otherwise(F.col("o_orderpriority")))
+    deletes = loaded.where("o_custkey % 3 < 2").select("o_custkey", (F.col("o_custkey") % 3 + 1).alias("batch_id"))
+    acted = cdc.change_actions(new, loaded, ["o_custkey"], CDC_FIELDS, CDC_BATCH, deletes)
+    return acted.select("o_custkey", "o_orderkey", "cdc_action")
+
+
 @query
 def delete_detection(spark, folder):
     loaded = _loaded_orders(spark, folder).select(
@@ -517,8 +565,13 @@ def scd2_intraday(spark, folder):
 
 @query
 def scd2_expected(spark, folder):
-    working = scd2.expected_outcome(_second_half(spark, folder), _first_half(spark, folder), group=["user_id"])
-    return working.groupBy(scd2.ACTION, scd2.SOURCE).agg(F.count(F.lit(1)).alias("rows"))
+    """Several versions a day: what the load of the second half should do."""
+    ts = F.col("ts")
+    hourly = w.table(spark, folder, "events").withColumn("cycle_date", F.to_date(ts)).withColumn(
+        "batch_id", F.date_format(ts, "yyyyMMddHH").cast("bigint"))
+    hourly = ex.latest(hourly, ["user_id", "batch_id"], ["ts", "event_id"]).where(F.col("cycle_date") >= F.lit(date(2024, 1, 16)))
+    working = scd2.expected_outcome(_staged(hourly), _first_half(spark, folder), group=["user_id"])
+    return working.select(*VERSION_OUT, scd2.ACTION, scd2.SOURCE)
 
 
 @query
@@ -903,13 +956,14 @@ KV = """select o_orderkey, o_orderstatus, case when o_orderkey % 3 = 0 then '101
 
 @query
 def pairs_to_columns(spark, folder):
-    return reshape.pairs_to_columns(w.query(spark, folder, KV), ["o_orderkey"], ["contract_no", "45_contract_no", "old_contract_no", "other"], "CONTRACT_NO")
+    return reshape.pairs_to_columns(w.query(spark, folder, KV), ["o_orderkey"], ["contract_no", "45_contract_no"], "CONTRACT_NO").withColumn(
+        "other_pairs", F.array_join(F.transform(F.array_sort(F.map_entries("other_pairs")), lambda p: F.concat(p["key"], F.lit("="), p["value"])), ","))
 
 
 @query
 def pivot_pairs(spark, folder):
     pairs = reshape.stacked_pairs(w.query(spark, folder, KV), ["o_orderkey"]).where(F.col("key").isNotNull())
-    return reshape.pivot_pairs(pairs.withColumn("key", reshape.normal_key()), ["o_orderkey"], ["contract_no", "other"])
+    return reshape.pivot_pairs(pairs.withColumn("key", reshape.normal_key()), ["o_orderkey"])
 
 
 @query
@@ -939,17 +993,20 @@ TREE = """select 'world' as name, cast(null as string) as parent, 'World' as des
  union all select 'r' || cast(r_regionkey as string), 'world', r_name, 'Y', 0, 1 from region
  union all select 'n' || cast(n_nationkey as string), 'r' || cast(n_regionkey as string), n_name, 'Y', 0, 1 from nation
  union all select 's' || cast(s_suppkey as string), 'n' || cast(s_nationkey as string), s_name, 'N', 1, 1 from supplier
- union all select 'c' || cast(c_custkey as string), 'n' || cast(c_nationkey as string), c_name, 'N', 1, 1 from customer"""
+ union all select 'c' || cast(c_custkey as string), 'n' || cast(c_nationkey as string), c_name, 'N', 1, 1 from customer
+ union all select 'c' || cast(c_custkey as string), 'r' || cast(c_custkey % 5 as string), c_name, 'N', 1, 1 from customer where c_custkey % 9 = 0
+ union all select 'k' || cast(p_partkey as string), case when p_partkey = 1 then 'n8' else 'k' || cast(p_partkey - 1 as string) end, 'Chain ' || cast(p_partkey as string), 'N', 1, 1
+  from part where p_partkey <= 25"""
 
 
 @query
 def hierarchy_levels(spark, folder):
-    return hierarchy.level_paths(w.query(spark, folder, TREE), ["summary", "allow_posting"], max_depth=6)
+    return hierarchy.level_paths(w.query(spark, folder, TREE), ["summary", "allow_posting"])
 
 
 @query
 def leaves_below(spark, folder):
-    return hierarchy.leaves_below(w.query(spark, folder, TREE), "ASIA").select("name", "parent", "description_us")
+    return hierarchy.leaves_below(w.query(spark, folder, TREE), "ASIA").select("name", "parent", "description_us", "cycle_date")
 
 
 @query

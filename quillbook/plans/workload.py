@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillbook.operators.batch import Batch
 from quillbook.plans.load import Lookups, Outcome, load_headers, load_lines
-from quillbook.session import materialise, spread, stage_path
+from quillbook.session import materialise, stage_path
 
 CYCLE = date(2025, 12, 5)
-RUN_TS = datetime(2025, 12, 8, 9, 58, 22)
-HEADER_BATCH = Batch("core", "general_ledger_header", CYCLE, 651149, RUN_TS)
-LINE_BATCH = Batch("core", "general_ledger_line_item", CYCLE, 651149, RUN_TS)
+RUN_TS = datetime(2025, 12, 8, 8, 30, 15)
+HEADER_BATCH = Batch("core", "general_ledger_header", CYCLE, 700042, RUN_TS)
+LINE_BATCH = Batch("core", "general_ledger_line_item", CYCLE, 700042, RUN_TS)
 
 PREFIXES = "903 851 444 545 038 863 HIP 049 041 062 165 143 057 147 146 141 668 A4V".split()
 ACCOUNTS = """2861600 1120300 2872400 9100000 9900000 2898000 1110900 4111000 7000000 10A1200
@@ -82,7 +82,7 @@ RAW_SQL = f"select {RAW_COLUMNS} from lineitem"
 # A4V is missing, 146 has no subledger, 041 also has a row that is out of force.
 _AREA_ROW = """select distinct 'EV' || {p} || '{a}' as evnt_typ_cd, 'SRC_' || {p} as src_sys_nm_desc,
  '{a}' as actvty_gl_app_area_cd, {p} as actvty_gl_src_cd,
- case when p_partkey % 20 <> 14 then 'SL' || cast(p_partkey % 20 % 3 as string) end as oracle_fah_subldgr_nm,
+ case when p_partkey % 20 <> 14 then 'SL' || cast(p_partkey % 20 % 3 as string) end as subledger_nm,
  case when p_partkey % 20 = 10 then 'Exclude' when p_partkey % 20 <> 9 then 'Include' end as include_exclude,
  date '2000-01-01' as eff_strt_dt, date '9999-12-31' as eff_stop_dt
  from part where {p} not in ('12', '0 7Z', 'A4V')"""
@@ -93,13 +93,13 @@ select distinct 'EVOLD', 'SRC_OLD', 'GL', {_P}, 'SL9', 'Include', date '2000-01-
 
 # Lookup of ledgers: company. Companies of entity 03 and ledger 04 are excluded, entity 09 and ledger 04 is missing.
 _C = _company("s_suppkey")
-LEDGER_SQL = f"""select distinct substr({_C}, 3, 2) as actvty_gl_ldgr_cd, 'LEDGER_' || substr({_C}, 3, 2) as oracle_fah_ldgr_nm,
+LEDGER_SQL = f"""select distinct substr({_C}, 3, 2) as actvty_gl_ldgr_cd, 'LEDGER_' || substr({_C}, 3, 2) as ledger_nm,
  {_C} as sec_ldgr_cd, case when s_suppkey % 10 = 3 and s_suppkey % 6 = 3 then 'Exclude' else 'Include' end as include_exclude,
  date '2000-01-01' as eff_strt_dt, date '9999-12-31' as eff_stop_dt
  from supplier where {_C} <> '0904'"""
 
 # Reinsurance attributes: legal entity and center, several versions, none for center C011.
-REINSURANCE_SQL = f"""select lpad(cast(s_suppkey % 10 as string), 2, '0') as legal_entity, {_CENTER.format(key='s_suppkey')} as geac_centers,
+REINSURANCE_SQL = f"""select lpad(cast(s_suppkey % 10 as string), 2, '0') as legal_entity, {_CENTER.format(key='s_suppkey')} as center_code,
  'T' || cast(s_suppkey % 10 as string) as treaty_name,
  case when s_suppkey % 4 = 0 then 'A' else 'C' end as reinsurance_assumed_ceded_flag,
  'AF' || cast(s_suppkey % 3 as string) as reinsurance_account_flag, 'BASIS' || cast(s_suppkey % 7 as string) as reinsurance_basis,
@@ -137,7 +137,7 @@ def extracts(spark: SparkSession, folder: str) -> list[DataFrame]:
     """The three raw extracts: tables partitioned by cycle date, written once per session."""
     made = _input(spark, folder)
     if "A" not in made:
-        rows = spread(table(spark, folder, "lineitem"))
+        rows = table(spark, folder, "lineitem")
         raw = spark.sql(f"select {RAW_COLUMNS} from {{rows}}", rows=rows)
         path = stage_path(spark, "raw")
         raw.write.partitionBy("extract_name", "cycle_date").parquet(path)

@@ -70,12 +70,3 @@ def control_table(df: DataFrame) -> DataFrame:
     it to the rows when that is small, and shuffles only when it is not.
     """
     return materialise(df.distinct(), "control")
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """``df`` over all cores where its scan has fewer splits than that.
-
-    A table of any size has more splits than cores and is left alone.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

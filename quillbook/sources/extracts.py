@@ -83,7 +83,7 @@ def subledger_map(lookup: DataFrame, on: Column) -> DataFrame:
         F.col("actvty_gl_src_cd").alias("_source"),
         F.col("src_sys_nm_desc").alias("source_system_nm_drvd"),
         F.col("evnt_typ_cd").alias("event_type_code_drvd"),
-        F.col("oracle_fah_subldgr_nm").alias("subledger_short_name_drvd"),
+        F.col("subledger_nm").alias("subledger_short_name_drvd"),
         F.col("include_exclude").alias("sblgdr_include_exclude"),
     )
 
@@ -92,14 +92,14 @@ def ledger_map(lookup: DataFrame, on: Column) -> DataFrame:
     return effective(lookup, on).select(
         F.col("actvty_gl_ldgr_cd").alias("_ledger"),
         F.col("sec_ldgr_cd").alias("_company"),
-        F.col("oracle_fah_ldgr_nm").alias("ledger_name_drvd"),
+        F.col("ledger_nm").alias("ledger_name_drvd"),
         F.col("include_exclude").alias("ldgr_include_exclude"),
     )
 
 
 def reinsurance_map(lookup: DataFrame) -> DataFrame:
     """Newest attributes per treaty, legal entity and center."""
-    return latest(lookup, ["treaty_name", "legal_entity", "geac_centers"], ["rcd_crtd_dt"])
+    return latest(lookup, ["treaty_name", "legal_entity", "center_code"], ["rcd_crtd_dt"])
 
 
 def combined_window(

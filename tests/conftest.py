@@ -33,7 +33,7 @@ def spark(tmp_path_factory):
 
 @pytest.fixture
 def batch():
-    return Batch("core", "general_ledger_header", date(2025, 12, 5), 7, datetime(2025, 12, 8, 9, 58, 22))
+    return Batch("core", "general_ledger_header", date(2025, 12, 5), 7, datetime(2025, 12, 8, 8, 30, 15))
 
 
 def values(df, *columns):

@@ -33,13 +33,13 @@ def known(spark):
         ("EV062AR", "SYS3", "AR", "062", "SL2", "Exclude", *forever),
         ("EVOLD00", "OLD", "AR", "041", "SL9", "Include", date(2000, 1, 1), date(2020, 1, 1)),
     ], "evnt_typ_cd string, src_sys_nm_desc string, actvty_gl_app_area_cd string, actvty_gl_src_cd string, "
-       "oracle_fah_subldgr_nm string, include_exclude string, eff_strt_dt date, eff_stop_dt date")
+       "subledger_nm string, include_exclude string, eff_strt_dt date, eff_stop_dt date")
     ledgers = spark.createDataFrame(
         [("01", "LEDGER1", "0101", "Include", *forever), ("02", "LEDGER2", "0102", "Include", *forever)],
-        "actvty_gl_ldgr_cd string, oracle_fah_ldgr_nm string, sec_ldgr_cd string, include_exclude string, eff_strt_dt date, eff_stop_dt date")
+        "actvty_gl_ldgr_cd string, ledger_nm string, sec_ldgr_cd string, include_exclude string, eff_strt_dt date, eff_stop_dt date")
     reinsurance = spark.createDataFrame(
         [("01", "C1", "T", "A", "AF", "B", "TB", "G", 1), ("01", "C1", "T", "NEW", "AF", "B", "TB", "G", 2)],
-        "legal_entity string, geac_centers string, treaty_name string, reinsurance_assumed_ceded_flag string, "
+        "legal_entity string, center_code string, treaty_name string, reinsurance_assumed_ceded_flag string, "
         "reinsurance_account_flag string, reinsurance_basis string, type_of_business_reinsured string, "
         "reinsurance_group_individual_flag string, rcd_crtd_dt int")
     return load.Lookups(subledgers, ledgers, reinsurance)

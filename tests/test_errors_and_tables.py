@@ -198,8 +198,8 @@ def test_wildcards(spark):
 def test_hierarchy(spark):
     nodes = spark.createDataFrame([("r", None, "Root", "0", 1), ("a", "r", "A", "0", 1), ("b", "a", "B", "1", 1), ("c", "b", "C", "1", 1),
                                    ("d", "r", "D", "1", 1)], "name string, parent string, description_us string, allow_posting string, cycle_date int")
-    paths = hierarchy.level_paths(nodes, ["allow_posting"], max_depth=5)
-    assert values(paths, "name", "level", "level_1", "level_2", "level_4", "level_5") == [
+    paths = hierarchy.level_paths(nodes, ["allow_posting"])
+    assert values(paths, "name", "level", "level_1", "level_2", "level_4", "level_3") == [
         ("a", 2, "Root", "A", None, None), ("b", 3, "Root", "A", None, None), ("c", 4, "Root", "A", "C", None),
         ("d", 2, "Root", "D", None, None), ("r", 1, "Root", None, None, None)]
     assert values(hierarchy.leaves_below(nodes, "A"), "name") == [("b",), ("c",)]
@@ -251,3 +251,26 @@ def test_store_twice_is_once(spark, batch, error_table):
     nothing = replace(outcome, final=final.where(F.lit(False)), soft=frame(spark))
     load.store(nothing, batch, "ledger_headers", error_table)
     assert spark.table("ledger_headers").isEmpty() and spark.table(error_table).isEmpty()
+
+
+def test_no_level_and_no_parent_is_left_out(spark):
+    rows = [("n0", None, "N0", 0, 1)] + [(f"n{i}", f"n{i - 1}", f"N{i}", 1, 1) for i in range(1, 26)] + [("n20", "n2", "N20", 1, 1)]
+    nodes = spark.createDataFrame(rows, "name string, parent string, description_us string, allow_posting int, cycle_date int")
+    paths = hierarchy.level_paths(nodes, [])
+    assert paths.agg({"level": "max"}).first()[0] == 26 and "level_26" in paths.columns
+    assert values(paths.where("name = 'n20'"), "level") == [(21,), (4,)]
+    assert values(hierarchy.leaves_below(nodes, "N0").where("name = 'n20'"), "parent") == [("n19",), ("n2",)]
+
+
+def test_a_loop_is_reported(spark):
+    nodes = spark.createDataFrame(
+        [("a", None, "A", 0, 1), ("b", "a", "B", 1, 1), ("c", "b", "C", 1, 1), ("b", "c", "B", 1, 1)],
+        "name string, parent string, description_us string, allow_posting int, cycle_date int")
+    with pytest.raises(ValueError, match="a > b > c > b"):
+        hierarchy.level_paths(nodes, [])
+    assert hierarchy.leaves_below(nodes, "A").count() == 3
+
+
+def test_null_values_are_not_ambiguous(spark):
+    lookup = spark.createDataFrame([("a", "x"), ("a", None), ("b", "x"), ("b", "y"), ("c", None)], "k string, v string")
+    assert values(lookups.one_or_ambiguous(lookup, ["k"], "v")) == [("a", "x"), ("b", "Q"), ("c", None)]

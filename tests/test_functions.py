@@ -165,7 +165,7 @@ LINE = ("gl_full_source_code string, orig_gl_account string, orig_gl_description
     ("039", "1", "sourceagentidentifier", "TA second"),
     ("077", "1", "sourceagentidentifier", "third"),
     ("017", "1", "checknumber", None),
-    ("903", "1", "contractsourcesystemname", "External SCOR"),
+    ("903", "1", "contractsourcesystemname", "External A"),
     ("444", "1", "sourcesystemreinsurancecounterpartycode", "C001"),
     ("A4V", "VOID1", "contractnumber", "56789abcde"),
     ("999", "1", "contractnumber", None),
