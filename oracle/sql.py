@@ -395,11 +395,11 @@ select user_id, event_type, cast(d as varchar) as pointofviewstartdate, cast(end
  case when s = 'Target' and ends = date '9999-12-31' then 'UNCHANGED' else marked end as actiontype, s as sourcetable from e4
 union all select user_id, event_type, cast(d as varchar), cast(stop as varchar), b, marked, s from e3 where marked = 'UNCHANGED'""", DAILY + ",")
 sql("scd2_deletes", """select user_id, event_type, cast(d as varchar) as pointofviewstartdate, cast(case when stop = date '9999-12-31'
-  and user_id in (select user_id from first_half where event_type = 'error') then date '2024-01-20' else stop end as varchar) as pointofviewstopdate, b as batchid from first_half""", DAILY)
-sql("deleted_parents", """select user_id as documentid, '2024-01-20' as pointofviewstopdate from first_half group by 1 having bool_or(event_type = 'click')""", DAILY)
-sql("closed_by_batch", """select cast(strftime(stop + 1, '%Y%m%d') as bigint) as closing_batch, count(*) as rows, cast(sum(user_id) as bigint) as user_total
- from working where a = 'UPDATE' and stop + 1 in (select d from daily) group by 1""", DAILY)
-sql("lookup_asof", """select event_id, e.user_id, v.event_type as version from events e left join first_half v on e.user_id = v.user_id and cast(e.ts as date) between v.d and v.stop""", DAILY)
+  and user_id in (select user_id from versions where event_type = 'error') then date '2024-02-15' else stop end as varchar) as pointofviewstopdate, b as batchid from versions""", DAILY)
+sql("deleted_parents", """select user_id as documentid, '2024-02-15' as pointofviewstopdate from versions group by 1 having bool_or(event_type = 'click')""", DAILY)
+sql("closed_by_batch", f"""select cast(strftime(stop + 1, '%Y%m%d') as bigint) as closing_batch, {_V}
+ from working where a = 'UPDATE' and stop + 1 in (select d from daily)""", DAILY)
+sql("lookup_asof", """select event_id, e.user_id, v.event_type as version from events e left join versions v on e.user_id = v.user_id and cast(e.ts as date) between v.d and v.stop""", DAILY)
 sql("scd2_intraday", """with hourly as (select user_id, event_type, cast(ts as date) as d, cast(strftime(ts, '%Y%m%d') as bigint) * 100 + hour(ts) as b from events
   qualify row_number() over (partition by user_id, cast(ts as date), hour(ts) order by ts desc, event_id desc) = 1),
  h1 as (select *, case when event_type = lag(event_type) over (partition by user_id order by d, b) then 'UNCHANGED' else 'INSERT' end as a from hourly),

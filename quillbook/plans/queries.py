@@ -40,7 +40,8 @@ def comparable(df: DataFrame) -> DataFrame:
 
 def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark: SparkSession, folder: str) -> DataFrame:
-        return comparable(function(configure(spark), folder))
+        with w.inputs():
+            return comparable(function(configure(spark), folder))
 
     QUERIES[function.__name__] = run
     return function
@@ -526,6 +527,15 @@ def _first_half(spark, folder) -> DataFrame:
     return w.written(spark, folder, "history", load_first)
 
 
+def _history(spark, folder) -> DataFrame:
+    """History of all days."""
+    def load_second():
+        first = _first_half(spark, folder)
+        return scd2.apply_working(first, scd2.working_type2(_second_half(spark, folder), first))
+
+    return w.written(spark, folder, "history of all days", load_second)
+
+
 def _second_half(spark, folder) -> DataFrame:
     return _staged(_daily(spark, folder).where(F.col("cycle_date") >= F.lit(HALF)))
 
@@ -576,17 +586,17 @@ def scd2_expected(spark, folder):
 
 @query
 def scd2_deletes(spark, folder):
-    history = _first_half(spark, folder)
+    history = _history(spark, folder)
     gone = history.where(F.col("event_type") == "error").select(
-        F.col(scd2.KEY).alias("documentid"), F.lit(date(2024, 1, 20)).alias("pointofviewstopdate"))
+        F.col(scd2.KEY).alias("documentid"), F.lit(date(2024, 2, 15)).alias("pointofviewstopdate"))
     return scd2.close_deleted(history, gone).select(*VERSION_OUT)
 
 
 @query
 def deleted_parents(spark, folder):
-    versions = _first_half(spark, folder).withColumn("documentid", F.col("user_id"))
+    versions = _history(spark, folder).withColumn("documentid", F.col("user_id"))
     closed = scd2.close_deleted(versions, versions.where(F.col("event_type") == "click").select(
-        F.col(scd2.KEY).alias("documentid"), F.lit(date(2024, 1, 20)).alias("pointofviewstopdate")))
+        F.col(scd2.KEY).alias("documentid"), F.lit(date(2024, 2, 15)).alias("pointofviewstopdate")))
     return scd2.deleted_parents(closed)
 
 
@@ -596,12 +606,12 @@ def closed_by_batch(spark, folder):
     working = scd2.working_type2(_second_half(spark, folder), history)
     named = _daily(spark, folder).select("cycle_date", "batch_id").distinct()
     closed = scd2.closed_by_batch(scd2.apply_working(history, working), working, named)
-    return closed.groupBy("closing_batch").agg(F.count(F.lit(1)).alias("rows"), F.sum("user_id").alias("user_total"))
+    return closed.select("closing_batch", *VERSION_OUT)
 
 
 @query
 def lookup_asof(spark, folder):
-    history = _first_half(spark, folder).select("user_id", F.col("event_type").alias("version"), scd2.START, scd2.STOP)
+    history = _history(spark, folder).select("user_id", F.col("event_type").alias("version"), scd2.START, scd2.STOP)
     events = w.table(spark, folder, "events").select("event_id", "user_id", F.col("ts").cast("date").alias("cycle_date"))
     found = lookups.as_of(events, history, ["user_id"], "cycle_date", scd2.START, scd2.STOP)
     return found.select("event_id", "user_id", "version")

@@ -7,7 +7,8 @@ used.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -126,15 +127,31 @@ def query(spark: SparkSession, folder: str, sql: str) -> DataFrame:
     return spark.sql(sql, **names)
 
 
-_inputs: dict[tuple[str, str], dict[str, DataFrame]] = {}
+_prepared: dict[str, dict[str, DataFrame]] | None = None
+
+
+@contextmanager
+def inputs() -> Iterator[None]:
+    """Within this context an input table is written once; it belongs to the caller, not to the session.
+
+    A query opens one for itself, so it starts from the tables alone. Tests and
+    the bench open one around several queries, which then share their inputs.
+    """
+    global _prepared
+    before = _prepared
+    _prepared = {} if before is None else before
+    try:
+        yield
+    finally:
+        _prepared = before
 
 
 def _input(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return _inputs.setdefault((spark.sparkContext.applicationId, folder), {})
+    return {} if _prepared is None else _prepared.setdefault(folder, {})
 
 
 def extracts(spark: SparkSession, folder: str) -> list[DataFrame]:
-    """The three raw extracts: tables partitioned by cycle date, written once per session."""
+    """The three raw extracts: tables partitioned by cycle date, written once per context."""
     made = _input(spark, folder)
     if "A" not in made:
         rows = table(spark, folder, "lineitem")
@@ -146,7 +163,7 @@ def extracts(spark: SparkSession, folder: str) -> list[DataFrame]:
 
 
 def written(spark: SparkSession, folder: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """An input table, written on first use in a session."""
+    """An input table, written on first use in a context."""
     made = _input(spark, folder)
     if name not in made:
         made[name] = materialise(make(), name)
@@ -161,7 +178,7 @@ def lookups(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 
 
 def loaded_headers(spark: SparkSession, folder: str) -> Outcome:
-    """The header load of the workload batch, run once per session."""
+    """The header load of the workload batch, run once per context."""
     made = _input(spark, folder)
     if "headers" not in made:
         made["headers"] = load_headers(extracts(spark, folder), Lookups(**lookups(spark, folder)), HEADER_BATCH)
@@ -169,7 +186,7 @@ def loaded_headers(spark: SparkSession, folder: str) -> Outcome:
 
 
 def loaded_lines(spark: SparkSession, folder: str) -> Outcome:
-    """The line load of the workload batch, run once per session."""
+    """The line load of the workload batch, run once per context."""
     made = _input(spark, folder)
     if "lines" not in made:
         made["lines"] = load_lines(

@@ -13,6 +13,13 @@ from quillbook.sources import extracts as ex
 
 
 
+@pytest.fixture(scope="module", autouse=True)
+def inputs():
+    """The queries of this module share their inputs."""
+    with workload.inputs():
+        yield
+
+
 @pytest.fixture(scope="module")
 def database():
     con = duckdb.connect()
