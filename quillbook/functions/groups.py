@@ -2,8 +2,8 @@
 
 A window puts a whole group into one task. That is right for almost every
 group and wrong for one that holds a large share of all rows. The functions
-here find such groups first (one pass over the key columns, bounded memory),
-window the others as usual and cut the large ones into range slices:
+here find such groups first (an exact count per key, added up before the
+shuffle), window the others as usual and cut the large ones into range slices:
 
 * rows are range partitioned by key and order, so that each slice is a
   contiguous, bounded run of a group;
@@ -12,7 +12,8 @@ window the others as usual and cut the large ones into range slices:
   from a summary with at most one row per group and slice.
 
 The slices are written once before use, so a lost executor cannot change
-them. Both ways give the same result.
+them. Both ways give the same result. ``df`` is read twice, so it should be a
+written table.
 """
 
 from __future__ import annotations
@@ -27,10 +28,6 @@ from quillbook.session import materialise
 
 GROUP_ROWS = "quillbook.group.rows"
 DEFAULT_GROUP_ROWS = 5_000_000
-# Items a sketch keeps, ids taken from it, and tasks of the first merge.
-TRACKED = 50_000
-TOP = 10_000
-MERGERS = 256
 
 
 def group_rows(df: DataFrame) -> int:
@@ -45,39 +42,25 @@ def _group_id(keys: list[str]) -> Column:
 
 @dataclass(frozen=True)
 class Large:
-    """Ids of the groups that are too large for one task, and their rows."""
+    """Groups that are too large for one task: a written table of their ids (none: no such group), and their rows."""
 
-    ids: tuple[int, ...] = ()
+    ids: DataFrame | None = None
     rows: int = 0
 
 
 def find_large(df: DataFrame, keys: list[str], within: list[DataFrame] | None = None) -> Large:
-    """The groups with more rows than a task may hold.
+    """The groups with more rows than a task may hold, whatever their number.
 
     ``within`` names tables that ``df`` has no more rows than. Where these are
     small, their count settles the matter; for files it is read off the footers.
-
-    A frequent-items sketch per scan task, merged in two steps: no shuffle of
-    the keys, no task that takes in the sketches of all others, and at most
-    ``TOP`` ids on the driver, whatever the number of groups.
     """
     limit = group_rows(df)
     if within is not None and sum(w.count() for w in within) <= limit:
         return Large()
-    sketches = (
-        df.select(_group_id(keys).alias("gid"), (F.spark_partition_id() % MERGERS).alias("part"))
-        .groupBy("part")
-        .agg(F.count(F.lit(1)).alias("rows"), F.expr(f"approx_top_k_accumulate(gid, {TRACKED})").alias("sketch"))
-    )
-    found = sketches.agg(
-        F.sum("rows").alias("rows"),
-        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {TRACKED}), {TOP})").alias("top"),
-    )
-    row = found.first()
-    if (row["rows"] or 0) <= limit:
-        return Large()
-    found = [t for t in row["top"] if t["count"] > limit]
-    return Large(tuple(t["item"] for t in found), sum(t["count"] for t in found))
+    counts = df.groupBy(_group_id(keys).alias("_gid")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > limit)
+    found = materialise(counts, "large-groups")
+    rows = found.agg(F.sum("_n")).first()[0]
+    return Large(found.select("_gid"), rows) if rows else Large()
 
 
 def _slices(df: DataFrame, keys: list[str], order: list[str], rows: int) -> DataFrame:
@@ -94,10 +77,10 @@ def _matches(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
 
 
 def _split(df: DataFrame, keys: list[str], large: Large) -> tuple[DataFrame, DataFrame | None]:
-    if not large.ids:
+    if large.ids is None:
         return df, None
-    is_large = _group_id(keys).isin(*large.ids)
-    return df.where(~is_large), df.where(is_large)
+    same = _group_id(keys) == F.col("_gid")
+    return df.join(large.ids, same, "left_anti"), df.join(large.ids, same, "left_semi")
 
 
 def number_rows(
@@ -119,8 +102,9 @@ def number_rows(
     sizes = sliced.groupBy("_slice", *keys).agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("_slice", *keys, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    # One row per group and slice: at most TOP + number of slices rows.
-    joined = local.join(F.broadcast(starts), _matches(local, starts, ["_slice", *keys]), "left")
+    # One row per group and slice; written, so that the planner knows its size.
+    starts = materialise(starts, "starts")
+    joined = local.join(starts, _matches(local, starts, ["_slice", *keys]), "left")
     done = joined.select(*[local[c] for c in df.columns], (F.col("_local") + F.col("_start")).alias(name))
     return numbered.unionByName(done)
 
@@ -168,7 +152,8 @@ def neighbour(
         *[borders[c] for c in ("_slice", *keys)], edges["_edge"])
     toward = [F.desc("_slice") if following else F.asc("_slice")]
     borders = borders.select("_slice", *keys, nearest(keys, toward, F.col("_edge")).alias("_passed"))
-    joined = local.join(F.broadcast(borders), _matches(local, borders, ["_slice", *keys]), "left")
+    borders = materialise(borders, "borders")
+    joined = local.join(borders, _matches(local, borders, ["_slice", *keys]), "left")
     done = joined.select(
         *[local[c] for c in df.columns], F.coalesce(local["_near"], borders["_passed"])["v"].alias(name))
     return result.unionByName(done)
