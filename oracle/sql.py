@@ -580,3 +580,20 @@ _UUID = "substr(h,1,8) || '-' || substr(h,9,4) || '-{v}' || substr(h,14,3) || '-
 sql("document_ids", f"""select c_custkey, (select {_UUID.format(v=3)} from (select md5(c_name) as h)) as uuid3,
  (select {_UUID.format(v=5)} from (select sha1(unhex('6ba7b8149dad11d180b400c04fd430c8') || encode(c_name)) as h)) as uuid5 from customer""")
 sql("masked_names", "select c_custkey, c_name, 'true' as is_masked from customer")
+_MONTHLY = f"m as ({q.MONTHLY}) "
+sql("written_partitions", """select o_orderkey, case when month % 3 = 0 and month <> 199606 then 'X' else status end as status, month from m
+ where month <> 199505 and (month <> 199606 or status = 'F')""", _MONTHLY)
+sql("truncated_and_loaded", "select * from m where status = 'F'", _MONTHLY)
+sql("error_backup", "select o_orderkey, 'lines' as table_name, 'O' as reprocess_flag from orders where o_orderkey % 3 <> 0 and o_orderstatus = 'O'")
+sql("reconciled_columns", """select o_orderkey, 'o_custkey,o_orderpriority,o_orderstatus,o_totalprice' as of_header, cast(null as varchar) as l_extendedprice,
+ cast(null as varchar) as l_linenumber, cast(null as varchar) as l_linestatus, cast(null as varchar) as l_partkey, cast(null as varchar) as l_quantity,
+ cast(null as varchar) as l_returnflag, cast(null as varchar) as l_shipdate, cast(null as varchar) as l_suppkey from orders""")
+sql("load_states", """select 'new' as state, count(*) as versions from first_half union all select 'loaded', count(*) from versions
+ union all select 'partial', count(*) from versions where user_id % 2 = 0""", DAILY)
+sql("completed_batches", f"""select 'completed' as kind, source_system, batch_id from r where batch_id % 4 = 0
+ union all select 'unfinished', source_system, batch_id from r where batch_id % 2 = 1""", f"r as ({q.RUNS}) ")
+sql("incomplete_rows", """select o_orderkey, case when o_orderstatus = 'F' then 'Good' else 'Unknown outcome' end as error_cleared from orders
+ where (o_orderstatus = 'F' and o_custkey % 4 = 0) or o_orderstatus not in ('F', 'O')""")
+sql("repaired_markers", """select o_orderkey, case when marked then 'Cleared' when o_orderkey % 2 = 0 then 'Soft/Rerun' else 'Soft' end as error_classification_name,
+ case when not marked then o_orderpriority end as error_message, case when marked then 'R' when o_orderstatus = 'O' then 'Y' else 'N' end as reprocess_flag
+ from (select *, o_orderstatus = 'O' and o_orderkey % 2 = 0 as marked from orders)""")

@@ -14,7 +14,7 @@ from quillbook.operators import batches, cdc, classify, controls, errors, hierar
 from quillbook.operators.batch import Batch
 from quillbook.plans import load
 from quillbook.plans import workload as w
-from quillbook.session import configure
+from quillbook.session import configure, materialise, stage_path
 from quillbook.sources import extracts as ex
 from quillbook.sources import tables
 
@@ -1038,3 +1038,98 @@ def masked_names(spark, folder):
     key = F.lit("0123456789abcdef")
     masked = w.table(spark, folder, "customer").select("c_custkey", "c_name", identity.mask("c_name", key).alias("masked"))
     return masked.select("c_custkey", identity.unmask("masked", key).alias("c_name"), (F.col("masked") != F.col("c_name")).alias("is_masked"))
+
+
+MONTHLY = """select o_orderkey, o_orderstatus as status, year(o_orderdate) * 100 + month(o_orderdate) as month from orders"""
+
+
+def _new_table(spark, rows: DataFrame, partitions: list[str]) -> str:
+    """A table of its own for one query, below the shared folder."""
+    path = stage_path(spark, "table")
+    name = "t_" + path.rsplit("-", 1)[-1]
+    tables.create(spark, name, rows.schema, partitions, path)
+    return name
+
+
+@query
+def written_partitions(spark, folder):
+    """Append, replace the partitions that new rows name, clear one partition, read back."""
+    rows = w.query(spark, folder, MONTHLY)
+    name = _new_table(spark, rows, ["month"])
+    tables.append(rows.where("status <> 'P'"), name)
+    tables.append(rows.where("status = 'P'"), name)
+    tables.overwrite_partitions(rows.where("month % 3 = 0").withColumn("status", F.lit("X")), name)
+    tables.clear_partition(spark, name, {"month": 199505})
+    tables.replace_partition(rows.where("month = 199606 and status = 'F'"), name, {"month": 199606})
+    return spark.table(name)
+
+
+@query
+def truncated_and_loaded(spark, folder):
+    rows = w.query(spark, folder, MONTHLY)
+    name = _new_table(spark, rows, ["month"])
+    tables.append(rows, name)
+    tables.truncate_and_load(rows.where("status = 'F'"), name)
+    return spark.table(name)
+
+
+@query
+def error_backup(spark, folder):
+    errors_now = w.table(spark, folder, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 3 == 0, "headers").otherwise("lines").alias("table_name"),
+        F.col("o_orderstatus").alias("reprocess_flag"))
+    out = stage_path(spark, "backup")
+    tables.back_up(tables.backup_rows(errors_now, "lines", "rerun", "O"), out)
+    return spark.read.parquet(out)
+
+
+@query
+def reconciled_columns(spark, folder):
+    """Headers with the line columns they lack, as null text."""
+    orders, lines = w.table(spark, folder, "orders"), w.table(spark, folder, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    of_header, of_line = reshape.schema_differences(orders, lines, derived=("o_orderdate",))
+    whole = reshape.with_missing(orders, of_line, ignore=("l_tax", "l_discount"))
+    return whole.select("o_orderkey", F.lit(",".join(sorted(of_header))).alias("of_header"), *sorted(set(whole.columns) - set(orders.columns)))
+
+
+@query
+def load_states(spark, folder):
+    """What history holds of a load: before it, after it, and after a part of it."""
+    first, staging = _first_half(spark, folder), _second_half(spark, folder)
+    working = materialise(scd2.working_type2(staging, first), "working")
+    loaded = materialise(scd2.apply_working(first, working), "loaded")
+    part = loaded.where(F.col("user_id") % 2 == 0)
+    held = [scd2.load_state(h, working) for h in (first, loaded, part)]
+    sizes = [first.count(), loaded.count(), part.count()]
+    return spark.range(1).select(F.explode(F.arrays_zip(F.lit(held).alias("state"), F.lit(sizes).alias("versions"))).alias("x")).select("x.*")
+
+
+RUNS = """select distinct 'orders' as domain_name, o_orderstatus as source_system, 'DAILY' as batch_frequency,
+ year(o_orderdate) * 100 + month(o_orderdate) as batch_id, year(o_orderdate) * 100 + month(o_orderdate) as cycle_date from orders"""
+
+
+@query
+def completed_batches(spark, folder):
+    """Current batches whose day is complete already, and those that are not through."""
+    runs = w.query(spark, folder, RUNS)
+    done = runs.where("batch_id % 2 = 0")
+    again = batches.already_completed(runs, done.where("batch_id % 4 = 0")).withColumn("kind", F.lit("completed"))
+    open_ = batches.unfinished(runs, done).withColumn("kind", F.lit("unfinished"))
+    return again.unionByName(open_).select("kind", "source_system", "batch_id")
+
+
+@query
+def incomplete_rows(spark, folder):
+    outcome = F.when(F.col("o_orderstatus") == "F", "Good").when(F.col("o_orderstatus") == "O", "Soft Error").otherwise("Unknown outcome")
+    rows = w.table(spark, folder, "orders").select(
+        "o_orderkey", outcome.alias("error_cleared"), F.when(F.col("o_custkey") % 4 > 0, F.col("o_custkey")).alias("k"))
+    return controls.incomplete_good_rows(rows, ["o_orderkey", "k"]).select("o_orderkey", "error_cleared")
+
+
+@query
+def repaired_markers(spark, folder):
+    """Soft rows that an unfinished re-run left marked."""
+    rows = w.table(spark, folder, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, "Soft/Rerun").otherwise("Soft").alias("error_classification_name"),
+        F.col("o_orderpriority").alias("error_message"), F.when(F.col("o_orderstatus") == "O", "Y").otherwise("N").alias("reprocess_flag"))
+    return errors.repair_rerun_markers(rows, rerun=False)
