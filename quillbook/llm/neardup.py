@@ -13,12 +13,20 @@ coordinates (a pair at the threshold misses that once in three million), which p
   Frequent values, as a passage in many texts makes them, are skipped;
 * the agreement of a pair that met is counted on the whole signatures.
 
-Pairs above the threshold are confirmed on the full shingle sets. No list is
-turned into all its pairs while that can be avoided: first each node of a
-list meets one hub of the list, confirmed links join nodes to components, and
-lists inside one component are done. Only what two rounds of hubs leave in
-different components is compared pair by pair, with the signature test inside
-the join.
+* pairs that met agree in at least FINE_MATCHES of FINE coordinates, most of
+  which are kept as one byte only.
+
+Pairs above the threshold are confirmed on the full shingle sets of the texts.
+No list is turned into all its pairs while that can be avoided: first each
+node of a list meets one hub of the list, confirmed links join nodes to
+components, and lists inside one component are done. In the first round the
+hubs of all lists go by one order, so a group has few; in the later ones each
+list has its own, so a node meets many members of its group. What these rounds
+leave in different components is compared pair by pair, inside the join and
+each pair at its first common list, but only where it still can be similar: a
+pair shares at most the shingles of either that occur in another node left,
+and it differs in at most BITS_APART of BITS one-bit coordinates, which are
+made for these nodes alone.
 
 Null, empty and blank texts have no set and link with nothing, and so do rows
 without an id (component null, kept). A text with fewer words than a shingle
@@ -39,8 +47,11 @@ from quillbook.llm.batches import MIX1, chunks, hashes, lowered, mixed, spans, u
 from quillbook.session import materialise
 
 COORDINATES, MATCHES, PERCENT = 64, 34, 80
-HUB_ROUNDS, PEELS = 2, 2
-SEEDS = np.random.default_rng(20240607).integers(1, 1 << 63, size=(2, COORDINATES), dtype=np.uint64)
+FINE, FINE_MATCHES = 128, 81
+#: Coordinates of which one bit is kept, and bits in which a pair at the threshold may differ (409.6 in the mean).
+BITS, BITS_APART = 4096, 501
+HUB_ROUNDS, PEELS = 3, 2
+SEEDS = np.random.default_rng(20240607).integers(1, 1 << 32, size=(2, FINE + BITS), dtype=np.uint32)
 
 
 def _shingles(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -72,75 +83,115 @@ def _shingles(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray,
     return (np.concatenate(distinct) if rows else value), np.concatenate([[0], np.cumsum(sizes)]), digests
 
 
+def _minima(values: np.ndarray, starts: np.ndarray, coordinates: range) -> Iterator[np.ndarray]:
+    """The least value of each set in each coordinate: a permutation of 32-bit numbers."""
+    h = (values >> np.uint64(32)).astype(np.uint32)
+    for c in coordinates:
+        yield np.minimum.reduceat(h * (SEEDS[0, c] | np.uint32(1)) + SEEDS[1, c], starts)
+
+
 def _signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Rows with a set: the 32-bit minimum of each coordinate."""
+    """Rows with a set: the minimum of each of FINE coordinates."""
     filled = np.flatnonzero(np.diff(bounds))
-    out = np.empty((len(filled), COORDINATES), np.int32)
-    for c in range(COORDINATES):
-        h = ((values * (SEEDS[0, c] | np.uint64(1)) + SEEDS[1, c]) >> np.uint64(32)).astype(np.uint32)
-        out[:, c] = np.minimum.reduceat(h, bounds[filled]).view(np.int32)
+    out = np.empty((len(filled), FINE), np.int32)
+    for c, least in enumerate(_minima(values, bounds[filled], range(FINE))):
+        out[:, c] = least.view(np.int32)
     return out
 
 
 def signed(df: DataFrame, size: int) -> DataFrame:
-    """``doc_id, n_shingles, node, sig`` of every row; equal words make equal nodes."""
+    """``doc_id, t, n_shingles, node, sig, fine`` of every row; equal words make equal nodes.
+
+    ``sig`` has the coordinates that are posted, ``fine`` a byte of each of all.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             values, bounds, digests = _shingles(batch, size)
             n = np.diff(bounds)
-            table = _signatures(values, bounds) if len(values) else np.zeros((0, COORDINATES), np.int32)
+            table = _signatures(values, bounds) if len(values) else np.zeros((0, FINE), np.int32)
             ends = np.concatenate([[0], np.cumsum((n > 0) * COORDINATES)]).astype(np.int32)
-            sig = pa.ListArray.from_arrays(pa.array(ends), pa.array(table.ravel()))
-            yield pa.record_batch([batch.column("doc_id"), pa.array(n), pa.array(digests, pa.binary()), sig],
-                                  ["doc_id", "n_shingles", "node", "sig"])
-
-    return df.mapInArrow(run, "doc_id long, n_shingles long, node binary, sig array<int>")
-
-
-def _sets(df: DataFrame, size: int) -> DataFrame:
-    """``node, members`` (sorted 64-bit hashes) of rows whose text still is that node's."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            values, bounds, digests = _shingles(batch, size)
-            nodes = batch.column("node").to_pylist()
-            same = [i for i, d in enumerate(digests) if d == nodes[i]]
+            sig = pa.ListArray.from_arrays(pa.array(ends), pa.array(table[:, :COORDINATES].ravel()))
+            at, low = np.cumsum(n > 0) - 1, (table & 255).astype(np.uint8)
+            fine = pa.array([low[i].tobytes() if k else b"" for i, k in zip(at, n, strict=True)], pa.binary())
             yield pa.record_batch(
-                [pa.array([nodes[i] for i in same], pa.binary()),
-                 pa.array([values[bounds[i] : bounds[i + 1]].tobytes() for i in same], pa.binary())], ["node", "members"])
+                [batch.column("doc_id"), batch.column("t"), pa.array(n), pa.array(digests, pa.binary()), sig, fine],
+                ["doc_id", "t", "n_shingles", "node", "sig", "fine"])
 
-    return df.mapInArrow(run, "node binary, members binary").dropDuplicates(["node"])
+    rows = df.withColumn("t", F.xxhash64("text"))
+    return rows.mapInArrow(run, "doc_id long, t long, n_shingles long, node binary, sig array<int>, fine binary")
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough."""
 
+    def sets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        return _shingles(pa.record_batch([column], ["text"]), size)[:2]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = batch.column("x"), batch.column("y")
+        for batch in chunks(batches, "x"):
+            (x, i), (y, j) = sets(batch.column("x")), sets(batch.column("y"))
             holds = []
-            for x, y in zip(left, right, strict=True):
-                a, b = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                at = np.minimum(np.searchsorted(b, a), len(b) - 1)
-                both = int((b[at] == a).sum())
+            for k in range(batch.num_rows):
+                a, b = x[i[k] : i[k + 1]], y[j[k] : j[k + 1]]
+                both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
                 holds.append(100 * both >= percent * (len(a) + len(b) - both))
             yield pa.record_batch([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(holds, pa.bool_()))
 
-    side = lambda n, c: sets.select(F.col("node").alias(n), F.col("members").alias(c))
+    side = lambda n, c: texts.select(F.col("node").alias(n), F.col("text").alias(c))
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(
         run, "a binary, b binary")
 
 
-def _agreement(x: str, y: str) -> Column:
-    same = F.zip_with(x, y, lambda p, q: F.when(p == q, F.lit(1)).otherwise(F.lit(0)))
-    return F.aggregate(same, F.lit(0), lambda t, v: t + v)
+def _own_shingles(texts: DataFrame, size: int) -> DataFrame:
+    """``node, own``: how many shingles of each text no other of the texts has. One shuffle, added up before it."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            values, bounds, _ = _shingles(batch, size)
+            node = batch.column("node").take(pa.array(np.repeat(np.arange(batch.num_rows), np.diff(bounds))))
+            yield pa.record_batch([node, pa.array(values.view(np.int64))], ["node", "s"])
 
-def _agreeing(pairs: DataFrame, sigs: DataFrame) -> DataFrame:
-    side = lambda n, c: sigs.select(F.col("node").alias(n), F.col("sig").alias(c))
-    both = pairs.join(side("a", "x"), "a").join(side("b", "y"), "b")
-    return both.where(_agreement("x", "y") >= MATCHES).select("a", "b")
+    each = texts.select("node", "text").mapInArrow(run, "node binary, s long")
+    alone = each.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("node")).alias("h")).where("n = 1")
+    own = alone.groupBy("h").agg(F.count(F.lit(1)).alias("own"))
+    return texts.select("node", F.xxhash64("node").alias("h")).join(own, "h", "left").select(
+        "node", F.coalesce("own", F.lit(0)).alias("own"))
+
+
+def _bits(texts: DataFrame, size: int) -> DataFrame:
+    """``node, bits``: one bit of the minimum of each of BITS further coordinates, as 64-bit numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in chunks(batches, "text"):
+            values, bounds, _ = _shingles(batch, size)
+            out = np.zeros((batch.num_rows, BITS // 64), np.uint64)
+            for c, least in enumerate(_minima(values, bounds[:-1], range(FINE, FINE + BITS))):
+                out[:, c // 64] |= ((least >> np.uint32(c % 8)) & np.uint32(1)).astype(np.uint64) << np.uint64(c % 64)
+            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * (BITS // 64))
+            bits = pa.ListArray.from_arrays(ends, pa.array(out.view(np.int64).ravel()))
+            yield pa.record_batch([batch.column("node"), bits], ["node", "bits"])
+
+    return texts.select("node", "text").mapInArrow(run, "node binary, bits array<long>")
+
+
+def _apart(x: str, y: str) -> Column:
+    """In how many bits two arrays of numbers differ."""
+    return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
+
+
+def _agreeing(pairs: DataFrame, few: DataFrame) -> DataFrame:
+    """The pairs that agree in enough of all coordinates."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, FINE) for c in ("x", "y"))
+            holds = (x == y).sum(axis=1) >= FINE_MATCHES
+            yield pa.record_batch([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(holds))
+
+    side = lambda n, c: few.select(F.col("node").alias(n), F.col("fine").alias(c))
+    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(
+        run, "a binary, b binary")
 
 
 def joined(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -190,34 +241,51 @@ def _prefixes(sigs: DataFrame) -> DataFrame:
 
 def _links(df: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, comp`` of the nodes that may have partners."""
-    sigs = reps.select("node", "sig")
-    prefix = _prefixes(sigs)
-    nodes = prefix.select("node").distinct()
-    few = materialise(reps.join(nodes, "node").select("node", "sig", "id", "n_shingles"), "candidates")
-    named = few.select("node", F.col("id").alias("doc_id"))
-    sets = materialise(_sets(df.join(named, "doc_id").select("node", "text"), size), "sets")
+    lists = _prefixes(reps.select("node", "sig"))
+    few = materialise(reps.join(lists.select("node").distinct(), "node").drop("sig"), "candidates")
+    # Rows that repeat an id and its text are on one partition after the join, so no second shuffle drops them.
+    rows = df.select("doc_id", "text", F.xxhash64("text").alias("t"))
+    named = few.select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.t").alias("t"), "node")
+    texts = materialise(rows.join(named, ["doc_id", "t"]).dropDuplicates(["doc_id", "t"]).select("node", "text"), "texts")
     labels = materialise(few.select("node", F.col("node").alias("comp")), "labels")
+
+    def open_lists(lists: DataFrame) -> DataFrame:
+        state = lists.join(labels, "node")
+        keys = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+        return materialise(state.join(keys.select("key"), "key"), "open")
+
     pair = [F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")]
     for r in range(HUB_ROUNDS):
-        state = materialise(prefix.join(labels, "node"), "state")
-        order = F.xxhash64("node", F.lit(r))
-        hubs = state.groupBy("key").agg(
-            F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by(F.struct("node", "comp"), order).alias("h"))
-        hubs = hubs.where("lo <> hi").select("key", F.col("h.node").alias("hub"), F.col("h.comp").alias("hub_comp"))
+        state = open_lists(lists)
+        lists = state.select("node", "key")
+        order = F.xxhash64("node") if r == 0 else F.xxhash64("node", "key", F.lit(r))
+        hubs = state.groupBy("key").agg(F.min_by(F.struct("node", "comp"), order).alias("h")).select(
+            "key", F.col("h.node").alias("hub"), F.col("h.comp").alias("hub_comp"))
         met = state.join(hubs, "key").where("comp <> hub_comp").select(*pair).distinct()
-        links = materialise(_confirmed(_agreeing(met, few), sets, percent), "links")
+        links = materialise(_confirmed(materialise(_agreeing(met, few), "met"), texts, size, percent), "links")
+        if links.isEmpty():
+            break
         labels = joined(links, labels)
-    state = prefix.join(labels, "node")
-    open_keys = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    rest = materialise(state.join(open_keys, "key").join(few.select("node", "sig", "n_shingles"), "node"), "rest")
-    side = lambda n, s, c, m: rest.select(
-        "key", F.col("node").alias(n), F.col("sig").alias(s), F.col("comp").alias(c), F.col("n_shingles").alias(m))
-    alike = ((F.col("a") < F.col("b")) & (F.col("p") != F.col("q"))
-             & (F.col("m") * 100 >= F.col("n") * percent) & (F.col("n") * 100 >= F.col("m") * percent)
-             & (_agreement("x", "y") >= MATCHES))
-    left, right = side("a", "x", "p", "m"), side("b", "y", "q", "n").withColumnRenamed("key", "key2")
-    met = left.join(right, (F.col("key") == F.col("key2")) & alike).select("a", "b").distinct()
-    links = materialise(_confirmed(materialise(met, "met"), sets, percent), "links")
+    state = open_lists(lists)
+    left_over = materialise(state.groupBy("node").agg(F.collect_list("key").alias("keys")), "left")  # a node's prefix
+    texts_left = materialise(texts.join(left_over.select("node"), "node"), "texts-left")
+    own = materialise(_own_shingles(texts_left, size), "own")
+    # m shingles of a node's n occur in another node; a partner shares at least 80 % of n.
+    nodes = left_over.join(own, "node").join(few.select("node", F.col("n_shingles").alias("n")), "node")
+    nodes = nodes.withColumn("m", F.col("n") - F.col("own")).where(F.col("m") * 100 >= F.col("n") * percent).drop("own")
+    nodes = materialise(nodes, "nodes-left")
+    bits = materialise(_bits(texts_left.join(nodes.select("node"), "node"), size), "bits")
+    rest = materialise(state.join(nodes.join(bits, "node"), "node"), "rest")
+    fields = ["key", "node", "bits", "comp", "n", "m", "keys"]
+    left, right = (rest.select(*[F.col(c).alias(f"{c}{k}") for c in fields]) for k in (1, 2))
+    both = F.least("m1", "m2")
+    alike = ((F.col("node1") < F.col("node2")) & (F.col("comp1") != F.col("comp2"))
+             & (both * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent)
+             & (_apart("bits1", "bits2") <= BITS_APART)
+             & (F.array_min(F.array_intersect("keys1", "keys2")) == F.col("key1")))
+    met = left.join(right, (F.col("key1") == F.col("key2")) & alike).select(
+        F.col("node1").alias("a"), F.col("node2").alias("b"))
+    links = materialise(_confirmed(materialise(met, "met"), texts_left, size, percent), "links")
     return joined(links, labels)
 
 
@@ -227,14 +295,16 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     rows = materialise(signed(docs, size), "signed")
     linked = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     reps = materialise(
-        linked.groupBy("node").agg(F.min("doc_id").alias("id"), F.first("sig").alias("sig"), F.first("n_shingles").alias("n_shingles")),
+        linked.groupBy("node").agg(
+            F.min("doc_id").alias("id"), F.min(F.struct("doc_id", "t")).alias("rep"), F.first("sig").alias("sig"),
+            F.first("fine").alias("fine"), F.first("n_shingles").alias("n_shingles")),
         "nodes")
     labels = _links(docs, reps, size, percent)
     comp = F.coalesce(F.col("comp"), F.col("node"))
     ids = reps.select("node", "id").join(labels, "node", "left").select("node", "id", comp.alias("comp"))
     least = ids.groupBy("comp").agg(F.min("id").alias("component_id"))
     found = materialise(ids.join(least, "comp").select("node", "component_id"), "components")
-    out = rows.drop("sig").join(found, "node", "left")
+    out = rows.select("doc_id", "n_shingles", "node").join(found, "node", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
