@@ -74,7 +74,7 @@ h1 as ({_joined('headers0', 'flags', _HEADER_FLAG)}),
 h2 as (select * from h1 where coalesce(s_flag,'Include') = 'Include' and coalesce(l_flag,'Include') = 'Include'),
 h3 as (select *, max(case when flag = '@' then 1 else 0 end) over (partition by {_GRAIN}) as bad,
   not tchk or not rchk or early as dated from h2),
-keys as (select *, substr(evt,1,6) || '20251208095822000_' || row_number() over (partition by substr(evt,1,6) order by {_ORDER}) as txn
+keys as (select *, substr(evt,1,6) || '20251208083015000_' || row_number() over (partition by substr(evt,1,6) order by {_ORDER}) as txn
   from (select distinct {_GRAIN} from h3 where ledger is not null and sys is not null and evt is not null and sub is not null
     and src is not null and ldg is not null and tdate is not null and not dated and bad = 0 and length(gl_application_area_code) > 0)),
 h4 as (select a.*, b.txn,

@@ -52,7 +52,7 @@ def headers(spark, known, batch, *rows, carried=None):
 
 def test_copies_make_one_header(spark, known, batch):
     rows = headers(spark, known, batch, raw_row(), raw_row(amount="7"), raw_row(source=" 041X "))
-    assert values(rows, "error_cleared", "transaction_number_drvd") == [("Good", "EV041A20251208095822000_1")]
+    assert values(rows, "error_cleared", "transaction_number_drvd") == [("Good", "EV041A20251208083015000_1")]
 
 
 def test_other_cycles_stay_out(spark, known, batch):
