@@ -23,10 +23,9 @@ components, and lists inside one component are done. In the first round the
 hubs of all lists go by one order, so a group has few; in the later ones each
 list has its own, so a node meets many members of its group. What these rounds
 leave in different components is compared pair by pair, inside the join and
-each pair at its first common list, but only where it still can be similar: a
-pair shares at most the shingles of either that occur in another node left,
-and it differs in at most BITS_APART of BITS one-bit coordinates, which are
-made for these nodes alone.
+each pair at its first common list: nodes that agree with one of another
+component stay, and a pair of them may differ in at most BITS_APART of BITS
+one-bit coordinates, which are made for these nodes alone.
 
 Null, empty and blank texts have no set and link with nothing, and so do rows
 without an id (component null, kept). A text with fewer words than a shingle
@@ -50,7 +49,7 @@ COORDINATES, MATCHES, PERCENT = 64, 34, 80
 FINE, FINE_MATCHES = 128, 81
 #: Coordinates of which one bit is kept, and bits in which a pair at the threshold may differ (409.6 in the mean).
 BITS, BITS_APART = 4096, 501
-HUB_ROUNDS, PEELS = 3, 2
+HUB_ROUNDS, PEELS = 2, 2
 SEEDS = np.random.default_rng(20240607).integers(1, 1 << 32, size=(2, FINE + BITS), dtype=np.uint32)
 
 
@@ -112,14 +111,14 @@ def signed(df: DataFrame, size: int) -> DataFrame:
             table = _signatures(values, bounds) if len(values) else np.zeros((0, FINE), np.int32)
             ends = np.concatenate([[0], np.cumsum((n > 0) * COORDINATES)]).astype(np.int32)
             sig = pa.ListArray.from_arrays(pa.array(ends), pa.array(table[:, :COORDINATES].ravel()))
-            at, low = np.cumsum(n > 0) - 1, (table & 255).astype(np.uint8)
-            fine = pa.array([low[i].tobytes() if k else b"" for i, k in zip(at, n, strict=True)], pa.binary())
+            ends = np.concatenate([[0], np.cumsum((n > 0) * (FINE // 8))]).astype(np.int32)
+            fine = pa.ListArray.from_arrays(pa.array(ends), pa.array((table & 255).astype(np.uint8).view(np.int64).ravel()))
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("t"), pa.array(n), pa.array(digests, pa.binary()), sig, fine],
                 ["doc_id", "t", "n_shingles", "node", "sig", "fine"])
 
     rows = df.withColumn("t", F.xxhash64("text"))
-    return rows.mapInArrow(run, "doc_id long, t long, n_shingles long, node binary, sig array<int>, fine binary")
+    return rows.mapInArrow(run, "doc_id long, t long, n_shingles long, node binary, sig array<int>, fine array<long>")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -143,22 +142,6 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
         run, "a binary, b binary")
 
 
-def _own_shingles(texts: DataFrame, size: int) -> DataFrame:
-    """``node, own``: how many shingles of each text no other of the texts has. One shuffle, added up before it."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in chunks(batches, "text"):
-            values, bounds, _ = _shingles(batch, size)
-            node = batch.column("node").take(pa.array(np.repeat(np.arange(batch.num_rows), np.diff(bounds))))
-            yield pa.record_batch([node, pa.array(values.view(np.int64))], ["node", "s"])
-
-    each = texts.select("node", "text").mapInArrow(run, "node binary, s long")
-    alone = each.groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min(F.xxhash64("node")).alias("h")).where("n = 1")
-    own = alone.groupBy("h").agg(F.count(F.lit(1)).alias("own"))
-    return texts.select("node", F.xxhash64("node").alias("h")).join(own, "h", "left").select(
-        "node", F.coalesce("own", F.lit(0)).alias("own"))
-
-
 def _bits(texts: DataFrame, size: int) -> DataFrame:
     """``node, bits``: one bit of the minimum of each of BITS further coordinates, as 64-bit numbers."""
 
@@ -180,18 +163,22 @@ def _apart(x: str, y: str) -> Column:
     return F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseXOR(q))), F.lit(0), lambda t, v: t + v)
 
 
-def _agreeing(pairs: DataFrame, few: DataFrame) -> DataFrame:
-    """The pairs that agree in enough of all coordinates."""
+def _agreement(x: str, y: str) -> Column:
+    """In how many bytes two arrays of 64-bit numbers agree: each byte that differs leaves its lowest bit set."""
+    def differing(p: Column, q: Column) -> Column:
+        d = p.bitwiseXOR(q)
+        for bits in (4, 2, 1):
+            d = d.bitwiseOR(F.shiftrightunsigned(d, bits))
+        return F.bit_count(d.bitwiseAND(F.lit(0x0101010101010101)))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, FINE) for c in ("x", "y"))
-            holds = (x == y).sum(axis=1) >= FINE_MATCHES
-            yield pa.record_batch([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(holds))
+    return F.lit(FINE) - F.aggregate(F.zip_with(x, y, differing), F.lit(0), lambda t, v: t + v)
 
+
+def _agreeing(pairs: DataFrame, few: DataFrame) -> DataFrame:
+    """The pairs that agree in enough of all coordinates."""
     side = lambda n, c: few.select(F.col("node").alias(n), F.col("fine").alias(c))
-    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(
-        run, "a binary, b binary")
+    return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").where(
+        _agreement("x", "y") >= FINE_MATCHES).select("a", "b")
 
 
 def joined(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -267,20 +254,22 @@ def _links(df: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame
             break
         labels = joined(links, labels)
     state = open_lists(lists)
-    left_over = materialise(state.groupBy("node").agg(F.collect_list("key").alias("keys")), "left")  # a node's prefix
-    texts_left = materialise(texts.join(left_over.select("node"), "node"), "texts-left")
-    own = materialise(_own_shingles(texts_left, size), "own")
-    # m shingles of a node's n occur in another node; a partner shares at least 80 % of n.
-    nodes = left_over.join(own, "node").join(few.select("node", F.col("n_shingles").alias("n")), "node")
-    nodes = nodes.withColumn("m", F.col("n") - F.col("own")).where(F.col("m") * 100 >= F.col("n") * percent).drop("own")
-    nodes = materialise(nodes, "nodes-left")
-    bits = materialise(_bits(texts_left.join(nodes.select("node"), "node"), size), "bits")
-    rest = materialise(state.join(nodes.join(bits, "node"), "node"), "rest")
-    fields = ["key", "node", "bits", "comp", "n", "m", "keys"]
+    # Nodes that agree with some node of another component; each row of a list comes out once at most.
+    fields = ["key", "node", "comp", "n", "fine"]
+    wide = materialise(state.join(few.select("node", F.col("n_shingles").alias("n"), "fine"), "node").select(*fields), "wide")
+    one, other = (wide.select(*[F.col(c).alias(f"{c}{k}") for c in fields]) for k in (1, 2))
+    sizes = ((F.col("n1") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n1") * percent))
+    apart = (F.col("key1") == F.col("key2")) & (F.col("comp1") != F.col("comp2")) & sizes
+    near = one.join(other, apart & (_agreement("fine1", "fine2") >= FINE_MATCHES), "left_semi").select(
+        F.col("key1").alias("key"), F.col("node1").alias("node"), F.col("comp1").alias("comp"), F.col("n1").alias("n"))
+    state = materialise(near, "near")
+    nodes = materialise(state.groupBy("node").agg(F.collect_list("key").alias("keys")), "left")  # a node's prefix at most
+    texts_left = materialise(texts.join(nodes.select("node"), "node"), "texts-left")
+    bits = materialise(_bits(texts_left, size).join(nodes, "node"), "bits")
+    rest = materialise(state.join(bits, "node"), "rest")
+    fields = ["key", "node", "bits", "comp", "n", "keys"]
     left, right = (rest.select(*[F.col(c).alias(f"{c}{k}") for c in fields]) for k in (1, 2))
-    both = F.least("m1", "m2")
-    alike = ((F.col("node1") < F.col("node2")) & (F.col("comp1") != F.col("comp2"))
-             & (both * (100 + percent) >= (F.col("n1") + F.col("n2")) * percent)
+    alike = ((F.col("node1") < F.col("node2")) & (F.col("comp1") != F.col("comp2")) & sizes
              & (_apart("bits1", "bits2") <= BITS_APART)
              & (F.array_min(F.array_intersect("keys1", "keys2")) == F.col("key1")))
     met = left.join(right, (F.col("key1") == F.col("key2")) & alike).select(

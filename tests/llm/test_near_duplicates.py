@@ -111,4 +111,24 @@ def test_agreement_of_signatures_estimates_similarity():
     rng = np.random.default_rng(0)
     values = rng.integers(0, 1 << 63, 1000, dtype=np.uint64)
     sig = neardup._signatures(np.concatenate([values[:900], values[100:]]), np.array([0, 900, 1800]))
-    assert abs((sig[0] == sig[1]).mean() - 0.8) < 0.2
+    assert abs((sig[0] == sig[1]).mean() - 0.8) < 0.15
+
+
+def test_minima_estimate_similarity_closely():
+    rng = np.random.default_rng(1)
+    values = rng.integers(0, 1 << 63, 1000, dtype=np.uint64) * np.uint64(2)
+    both = np.concatenate([np.sort(values[:900]), np.sort(values[100:])])
+    same, bits = [], []
+    for c, (a, b) in enumerate(neardup._minima(both, np.array([0, 900]), range(neardup.FINE, neardup.FINE + neardup.BITS))):
+        same.append(a == b)
+        bits.append((a >> np.uint32(c % 8) & 1) != (b >> np.uint32(c % 8) & 1))
+    assert abs(np.mean(same) - 0.8) < 0.03 and abs(np.sum(bits) - 0.1 * neardup.BITS) < 80
+
+
+def test_agreement_counts_equal_bytes(spark):
+    rng = np.random.default_rng(2)
+    a = rng.integers(0, 256, (50, neardup.FINE), dtype=np.uint8)
+    b = np.where(rng.random(a.shape) < 0.6, a, rng.integers(0, 256, a.shape, dtype=np.uint8)).astype(np.uint8)
+    rows = [(x.view(np.int64).tolist(), y.view(np.int64).tolist(), int((x == y).sum())) for x, y in zip(a, b, strict=True)]
+    frame = spark.createDataFrame(rows, "x array<long>, y array<long>, n int")
+    assert all(r["n"] == r["m"] for r in frame.withColumn("m", neardup._agreement("x", "y")).collect())
