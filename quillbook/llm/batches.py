@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 MIX1, MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -69,7 +69,7 @@ _powers: dict[int, np.ndarray] = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """``base`` to the powers 0 to n - 1, modulo 2**64; tables up to 8 million entries are kept."""
+    """``base`` to the powers 0 to n - 1, modulo 2**64; tables up to 2 million entries are kept."""
     kept = _powers.get(base)
     if kept is not None and len(kept) >= n:
         return kept
@@ -78,15 +78,22 @@ def powers(base: int, n: int) -> np.ndarray:
     while done < len(out):
         out[done : 2 * done] = out[:done] * np.uint64(pow(base, done, 1 << 64))
         done *= 2
-    if len(out) <= 1 << 23:
+    if len(out) <= 1 << 21:
         _powers[base] = out
     return out
 
 
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of the bytes of each span: a polynomial, read off one running sum, then mixed."""
+    """A 64-bit hash of the bytes of each span: a polynomial, read off one running sum, then mixed.
+
+    Long data is taken in runs of spans, so the sums stay small.
+    """
     if not len(starts):
         return np.zeros(0, np.uint64)
+    if ends[-1] - starts[0] > CHUNK_BYTES and len(starts) > 1:
+        half = int(np.clip(np.searchsorted(starts, (starts[0] + ends[-1]) // 2), 1, len(starts) - 1))
+        return np.concatenate([hashes(data, starts[:half], ends[:half]), hashes(data, starts[half:], ends[half:])])
+    data, starts, ends = data[starts[0] : ends[-1]], starts - starts[0], ends - starts[0]
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, len(data))[: len(data)], out=total[1:])
     # The sum over a span holds the power of its start; the inverse takes that out.

@@ -93,7 +93,7 @@ def sequences(index: np.ndarray, start: np.ndarray, size: np.ndarray, blank: int
     """Windows as rows of word numbers; ``blank`` follows the last word."""
     column = np.arange(WINDOW)
     at = np.minimum(start[:, None] + column, max(len(index) - 1, 0))
-    return np.where(column < size[:, None], index[at] if len(index) else blank, blank)
+    return np.where(column < size[:, None], index[at] if len(index) else blank, blank).astype(np.int32)
 
 
 def initial(seed: int = 7) -> Parameters:
