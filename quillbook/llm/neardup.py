@@ -65,7 +65,7 @@ def _shingles(batch: pa.RecordBatch, size: int) -> tuple[np.ndarray, np.ndarray,
     digests = [hashlib.blake2b(words[first[i] : first[i + 1]].tobytes(), digest_size=16).digest() for i in range(rows)]
     n = len(words)
     value = np.zeros(n, np.uint64)
-    for j in range(size):
+    for j in range(min(size, n)):  # no shingle starts at j words or fewer before the end
         value[: n - j] = mixed(value[: n - j] * MIX1 + words[j:] + np.uint64(j + 1)) if j else mixed(words + np.uint64(1))
     count = np.diff(first)
     whole = np.zeros(n, bool)

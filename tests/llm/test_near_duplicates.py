@@ -92,6 +92,14 @@ def test_odd_rows_and_empty_tables(docs, none):
     assert neardup.drop_near_duplicates(none).count() == 0
 
 
+def test_tables_of_one_short_text(spark):
+    for n in range(1, 6):
+        assert [len(neardup._shingles(pa.record_batch([pa.array(["a b c d e"[: 2 * n - 1]])], ["text"]), size)[0])
+                for size in (2, 5)] == [max(n - 1, 1), 1]
+    frame = spark.createDataFrame([(7, "two words")], "doc_id long, text string")
+    assert [tuple(r) for r in neardup.near_duplicates(frame, size=5).collect()] == [(7, 1, 7, True)]
+
+
 def test_a_word_hashes_alike_wherever_it_stands():
     value = []
     for text in ("word", "other text and word", "word " * 3):
