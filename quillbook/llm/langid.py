@@ -13,8 +13,12 @@ cross-entropy per letter is taken under every language; the least one wins.
 The score is the share of the winner among exp(-SHARPNESS * cross-entropy).
 
 A text without letters (null, empty, digits) is ``und`` with score 0. A text
-is rejected when it is ``und`` or its cross-entropy is above its language's
-limit: that of nearly all calibration documents plus a margin that is wider
+is rejected when it is ``und`` or its cross-entropy is above the limit of its
+language and length class (powers of two of the letters): that of nearly all
+labelled documents of the class plus a margin. The labelled documents are split
+in two by their texts, and each half is judged by the models of the other one,
+so none by a model that saw it. A class of too few documents takes the limit of
+all documents of its language that are not short, and a margin that is wider
 for short texts. Rows are judged one by one, so ties, copies and skew do not
 matter. Without labelled rows every text is ``und``.
 """
@@ -22,11 +26,12 @@ matter. Without labelled rows every text is ``und``.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillbook.llm.batches import chunks
@@ -39,8 +44,10 @@ DISCOUNT = 0.75
 SHARPNESS = 8.0
 #: Languages a model may have: more labels than that are not languages.
 LANGUAGES = 512
-#: Documents per language whose cross-entropies set the limits, their quantile, and the margins in bits.
-CALIBRATION, QUANTILE, MARGIN, SHORT = 2000, 0.999, 1.5, 8.0
+#: Quantile of the cross-entropies that sets a limit, the documents it takes, and the margins in bits.
+QUANTILE, ENOUGH, MARGIN, SHORT = 0.999, 1000, 0.5, 8.0
+#: Length classes by bits of the number of letters, and the first one that is not short.
+CLASSES, LONG = 33, 6
 #: n-gram numbers of one task that are kept before they are added up.
 HELD = 4_000_000
 
@@ -109,8 +116,13 @@ class Model:
     bi: list[tuple[np.ndarray, np.ndarray]]
     left_bi: list[np.ndarray]
     uni: list[np.ndarray]
+    #: By language and length class.
     limits: np.ndarray
 
+    def above(self, best: np.ndarray, bits: np.ndarray, found: np.ndarray) -> np.ndarray:
+        """Whether texts of ``found`` letters in languages ``best`` have more bits than their limits."""
+        return bits > self.limits[best, np.minimum(np.frexp(found)[1], CLASSES - 1)]
+
     def bits(self, keys: np.ndarray) -> np.ndarray:
         """Cross-entropy in bits of each trigram under each language."""
         out = np.empty((len(keys), len(self.languages)), np.float32)
@@ -161,7 +173,7 @@ def estimate(counts: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
         seen = heads > 0
         spare = DISCOUNT * seen.sum() / max(heads.sum(), 1)
         uni.append(np.maximum(heads - DISCOUNT, 0) / max(heads.sum(), 1) + max(spare, 1e-9) / CODES)
-    return Model(languages, tri, left, bi, left_bi, uni, np.full(len(languages), np.inf))
+    return Model(languages, tri, left, bi, left_bi, uni, np.full((len(languages), CLASSES), np.inf))
 
 
 def scored(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -181,24 +193,30 @@ def scored(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarra
     return sums / np.maximum(inside, 1)[:, None], found
 
 
+def half(text: str) -> Column:
+    """In which half of the labelled rows a text is; copies are in one."""
+    return F.pmod(F.xxhash64(text), F.lit(2)).cast("int")
+
+
 def count_trigrams(df: DataFrame, text: str, lang: str) -> DataFrame:
-    """``lang, key, n`` over all rows with a language."""
+    """``lang, half, key, n`` over all rows with a language."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+        held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
             return _sums(np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]))
 
         def out() -> Iterator[pa.RecordBatch]:
-            for name, parts in held.items():
+            for (name, side), parts in held.items():
                 keys, n = merged(parts)
-                yield pa.record_batch([pa.array([name] * len(keys), pa.string()), pa.array(keys, pa.int32()),
-                                       pa.array(n, pa.int64())], ["lang", "key", "n"])
+                yield pa.record_batch([pa.array([name] * len(keys), pa.string()), pa.array([side] * len(keys), pa.int32()),
+                                       pa.array(keys, pa.int32()), pa.array(n, pa.int64())], ["lang", "half", "key", "n"])
 
         size = 0
         for batch in chunks(batches, "text"):
-            names, texts = batch.column("lang").to_pylist(), batch.column("text").to_pylist()
+            names = list(zip(batch.column("lang").to_pylist(), batch.column("half").to_pylist(), strict=True))
+            texts = batch.column("text").to_pylist()
             for name in set(names):
                 codes, starts = letters([t for t, x in zip(texts, names, strict=True) if x == name])
                 keys, starts = trigrams(codes, starts)
@@ -214,39 +232,50 @@ def count_trigrams(df: DataFrame, text: str, lang: str) -> DataFrame:
                     held, size = {}, 0
         yield from out()
 
-    rows = df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
-    parts = rows.mapInArrow(counted, "lang string, key int, n long")
-    return parts.groupBy("lang", "key").agg(F.sum("n").alias("n"))
+    rows = df.where(F.col(lang).isNotNull()).select(
+        F.col(lang).alias("lang"), half(text).alias("half"), F.col(text).alias("text"))
+    parts = rows.mapInArrow(counted, "lang string, half int, key int, n long")
+    return parts.groupBy("lang", "half", "key").agg(F.sum("n").alias("n"))
 
 
 def train(df: DataFrame, text: str = "text", lang: str = "lang") -> Model | None:
     """A model from all rows of ``df`` with a language.
 
     A language has at most CODES**3 trigrams, of which a corpus uses some tens
-    of thousands. Limits come from at most CALIBRATION rows of each language.
+    of thousands. Limits come from all rows, each judged by the models of the half it is not in.
     """
     counts = materialise(count_trigrams(df, text, lang), "trigrams")
     names = [r[0] for r in counts.select("lang").distinct().limit(LANGUAGES + 1).collect()]
     if len(names) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    table = counts.toArrow()
-    label = np.array(table.column("lang").to_pylist(), object)
-    keys, n = table.column("key").to_numpy(), table.column("n").to_numpy()
-    model = estimate({x: (keys[label == x], n[label == x]) for x in names})
     if not names:
         return None
-    share = F.pmod(F.xxhash64(text), F.lit(1 << 20))
-    rows = df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), share.alias("share"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
-    limit = F.element_at(F.create_map(*[x for k, v in sizes.items() for x in (F.lit(k), F.lit(
-        min(1 << 20, (1 << 20) * CALIBRATION // v + 1)))]), F.col("lang"))
-    sample = identify(rows.where(F.col("share") < limit), model, ["lang"])
-    own = sample.where((F.col("lang") == F.col("lang_pred")) & (F.col("letters") >= 50))
-    found = {r["lang"]: r["q"] for r in own.groupBy("lang").agg(
-        F.percentile_approx("bits", QUANTILE, 10_000).alias("q")).collect()}
-    widest = max(found.values(), default=np.inf)
-    limits = np.array([found.get(x, widest) for x in model.languages]) + MARGIN
-    return Model(model.languages, model.tri, model.left, model.bi, model.left_bi, model.uni, limits)
+    table = counts.toArrow().combine_chunks()
+    label = table.column("lang").combine_chunks().dictionary_encode()
+    known, label = label.dictionary.to_pylist(), label.indices.to_numpy()
+    side, keys, n = (table.column(c).to_numpy() for c in ("half", "key", "n"))
+
+    def model_of(sides: list[int]) -> Model:
+        own = {x: (label == i) & np.isin(side, sides) for i, x in enumerate(known)}
+        return estimate({x: _sums(keys[at], n[at]) for x, at in own.items() if at.any()})
+
+    model = model_of([0, 1])
+    rows = df.where(F.col(lang).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"))
+    judged = [identify(rows.where(half("text") == i), model_of([1 - i]), ["lang"]) for i in (0, 1) if (side == 1 - i).any()]
+    limits = np.full((len(model.languages), CLASSES), np.inf)
+    if judged:
+        own = reduce(DataFrame.unionByName, judged).where((F.col("lang") == F.col("lang_pred")) & (F.col("letters") > 0))
+        size = F.least(F.length(F.bin("letters")), F.lit(CLASSES - 1)).alias("class")
+        own = materialise(own.select("lang", size, "bits"), "calibration")
+        least = F.percentile_approx("bits", QUANTILE, 10_000).alias("q")
+        whole = {r["lang"]: r["q"] for r in own.where(F.col("class") >= LONG).groupBy("lang").agg(least).collect()}
+        widest = max(whole.values(), default=np.inf)
+        shorter = SHORT / np.sqrt(2.0 ** np.maximum(np.arange(CLASSES) - 1, 0))
+        limits = np.array([whole.get(x, widest) + shorter for x in model.languages])
+        classes = own.groupBy("lang", "class").agg(least, F.count(F.lit(1)).alias("n")).where(F.col("n") >= ENOUGH)
+        for r in classes.collect():
+            limits[model.languages.index(r["lang"]), r["class"]] = r["q"]
+    return replace(model, limits=limits + MARGIN)
 
 
 def identify(df: DataFrame, model: Model | None, carry: list[str] | None = None, text: str = "text") -> DataFrame:
@@ -270,7 +299,7 @@ def identify(df: DataFrame, model: Model | None, carry: list[str] | None = None,
                 score = 1 / np.exp(-SHARPNESS * (bits - least[:, None])).sum(axis=1)
                 score = np.where(found > 0, score, 0.0)
                 names = [m.languages[b] if f else UNKNOWN for b, f in zip(best, found, strict=True)]
-                high = least > m.limits[best] + SHORT / np.sqrt(np.maximum(found, 1))
+                high = m.above(best, least, found)
             columns = [batch.column(i) for i in range(len(carry))]
             yield pa.record_batch(
                 [*columns, pa.array(names, pa.string()), pa.array(score, pa.float64()), pa.array(least, pa.float64()),
@@ -293,7 +322,7 @@ def drop_rejected(df: DataFrame, model: Model | None, text: str = "text") -> Dat
                 bits, found = scored(kept.value, batch.column(text).to_pylist())
                 best = bits.argmin(axis=1)
                 least = bits[np.arange(len(best)), best]
-                high = least > kept.value.limits[best] + SHORT / np.sqrt(np.maximum(found, 1))
+                high = kept.value.above(best, least, found)
                 yield batch.filter(pa.array(~high & (found > 0)))
 
     return df.mapInArrow(run, df.schema)

@@ -96,3 +96,23 @@ def test_held_out_accuracy(spark):
     right, rejected, n = found.agg(F.sum((F.col("lang") == F.col("lang_pred")).cast("int")),
                                    F.sum(F.col("rejected").cast("int")), F.count("*")).first()
     assert right / n > 0.95 and rejected / n < 0.03
+
+
+def test_texts_of_a_language_without_a_model_are_rejected(spark):
+    docs = spark.read.parquet(f"{FOLDER}/documents.parquet").where("lang is not null and length(text) >= 100")
+    for unseen in ("en", "de"):
+        model = langid.train(langid.train_rows(docs.where(F.col("lang") != unseen)))
+        found = langid.identify(docs.withColumn("h", langid.held_out()), model, ["lang", "h"])
+        new = F.col("lang") == unseen
+        gone, lost = found.agg(F.mean(F.when(new, F.col("rejected").cast("int"))),
+                               F.mean(F.when(~new & F.col("h"), F.col("rejected").cast("int")))).first()
+        assert gone > 0.9 and lost < 0.03, (unseen, gone, lost)
+
+
+def test_limits_take_every_labelled_row_outside_its_model(spark):
+    rows = [(f"{w} {v}", "en") for w in ("the cat", "that hat", "then end") for v in range(40)]
+    rows += [("xq zj vk wq " * 8 + "abcdefgh"[i], "en") for i in range(8)]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    assert (langid.train(frame.limit(1)).limits == np.inf).all()
+    model = langid.train(frame)
+    assert model.limits.shape == (1, langid.CLASSES) and (np.diff(model.limits[0]) <= 0).all()
