@@ -29,7 +29,8 @@ one-bit coordinates, which are made for these nodes alone.
 
 Null, empty and blank texts have no set and link with nothing, and so do rows
 without an id (component null, kept). A text with fewer words than a shingle
-is one shingle. Repeated rows of an id share its component.
+is one shingle. Rows that repeat an id and its text share a component; other
+texts of an id are judged by themselves.
 """
 
 from __future__ import annotations
@@ -278,30 +279,53 @@ def _links(df: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame
     return joined(links, labels)
 
 
-def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = PERCENT) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row."""
-    docs = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``doc_id, t, n_shingles, component_id, first`` of every row; ``first`` is the text (its hash) of the least id."""
     rows = materialise(signed(docs, size), "signed")
     linked = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     reps = materialise(
         linked.groupBy("node").agg(
-            F.min("doc_id").alias("id"), F.min(F.struct("doc_id", "t")).alias("rep"), F.first("sig").alias("sig"),
+            F.min(F.struct("doc_id", "t")).alias("rep"), F.first("sig").alias("sig"),
             F.first("fine").alias("fine"), F.first("n_shingles").alias("n_shingles")),
         "nodes")
     labels = _links(docs, reps, size, percent)
     comp = F.coalesce(F.col("comp"), F.col("node"))
-    ids = reps.select("node", "id").join(labels, "node", "left").select("node", "id", comp.alias("comp"))
-    least = ids.groupBy("comp").agg(F.min("id").alias("component_id"))
-    found = materialise(ids.join(least, "comp").select("node", "component_id"), "components")
-    out = rows.select("doc_id", "n_shingles", "node").join(found, "node", "left")
+    ids = reps.select("node", "rep").join(labels, "node", "left").select("node", "rep", comp.alias("comp"))
+    least = ids.groupBy("comp").agg(F.min("rep").alias("least"))
+    found = materialise(ids.join(least, "comp").select(
+        "node", F.col("least.doc_id").alias("component_id"), F.col("least.t").alias("first")), "components")
+    out = rows.select("doc_id", "t", "n_shingles", "node").join(found, "node", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "t", "n_shingles", component.alias("component_id"),
+                      F.when(~alone, F.col("first")).alias("first"))
+
+
+def _documents(df: DataFrame, key: str, text: str) -> DataFrame:
+    return df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+
+
+def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = PERCENT) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row."""
+    return _grouped(_documents(df, key, text), size, percent).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
-def drop_near_duplicates(df: DataFrame, key: str = "doc_id", **options) -> DataFrame:
-    """``df`` with one document of each group: the one with the least id. Rows that repeat an id stay together."""
-    gone = near_duplicates(df, key, **options).where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    gone = materialise(gone, "gone")
-    return df.join(gone, df[key] == gone["_gone"], "left_anti")
+def drop_near_duplicates(
+    df: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, percent: int = PERCENT
+) -> DataFrame:
+    """``df`` with one row of each group: the one with the least id, of its texts there the one with the least hash.
+
+    Rows are told by id and text, so another text of an id that has to go is judged by its own group, and of rows that
+    repeat an id and its text one stays. Rows without id and texts without words stay.
+    """
+    rows = _grouped(_documents(df, key, text), size, percent).where("first is not null")
+    stays = (F.col("doc_id") == F.col("component_id")) & (F.col("t") == F.col("first"))
+    verdicts = rows.groupBy(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).agg(
+        F.first(stays).alias("_stays"), F.count(F.lit(1)).alias("n"))
+    # All rows of an id and text have one verdict; those that stay and are not repeated need no mention.
+    verdicts = materialise(verdicts.where("not _stays or n > 1").drop("n"), "verdicts")
+    own = (F.col(key).cast("long") == F.col("_id")) & (F.xxhash64(text) == F.col("_t"))
+    single = df.join(verdicts, own, "left_anti")
+    repeated = df.join(verdicts.where("_stays"), own).dropDuplicates(["_id", "_t"]).select(*[df[c] for c in df.columns])
+    return single.unionByName(repeated)

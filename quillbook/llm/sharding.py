@@ -10,18 +10,21 @@ Equal texts are one group: they take the least metadata of the group, and the
 text's digest is the next sort key, so a group is cut only where a shard ends.
 Rows are range partitioned by all sort keys, so a group of any size spreads
 over tasks, and ranks come from the partitions' counts. Null metadata sort
-first; repeated rows take places of their own.
+first; repeated rows take places of their own. Files hold every row once: rows
+of one id and text (or without id) are numbered, and so are their places.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillbook.functions.groups import number_rows
 from quillbook.session import materialise
 
 BITS = 6
@@ -61,17 +64,28 @@ def curve_index(cells: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+def _content(text: str) -> Column:
+    return F.coalesce(F.col(text), F.lit("")).cast("binary")
+
+
+def _text_hashes(text: str) -> list[Column]:
+    return [F.xxhash64(_content(text)).alias("t1"), F.hash(_content(text)).alias("t2")]
+
+
 def hilbert_shards(
     df: DataFrame, dimensions: dict[str, Column], shards: int, key: str = "doc_id", text: str = "text", bits: int = BITS
 ) -> DataFrame:
-    """``doc_id, size, text_crc32, curve, shard, slot`` of every row; ``dimensions`` are numbers by name."""
+    """``doc_id, size, text_crc32, t1, t2, curve, shard, slot`` of every row; ``dimensions`` are numbers by name.
+
+    ``t1`` and ``t2`` are hashes of the text.
+    """
     names = list(dimensions)
     if not names or len(names) * bits > 62:
         raise ValueError("between one dimension and 62 bits")
-    content = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    content = _content(text)
     base = df.select(
         F.col(key).cast("long").alias("doc_id"), (F.octet_length(content) + 1).cast("long").alias("size"),
-        F.crc32(content).alias("text_crc32"), F.xxhash64(content).alias("t1"), F.hash(content).alias("t2"),
+        F.crc32(content).alias("text_crc32"), *_text_hashes(text),
         *[F.coalesce(c.cast("double"), F.lit(float("-inf"))).alias(f"_{n}") for n, c in dimensions.items()])
     base = materialise(base.withColumn("tie", F.monotonically_increasing_id()), "metadata")
     steps = [i / (1 << bits) for i in range(1, 1 << bits)]
@@ -100,11 +114,22 @@ def hilbert_shards(
     ranked = ranged.withColumn("local", local).join(first, "run").withColumn("rank", F.col("first") + F.col("local"))
     placed = ranked.withColumn("shard", F.expr(f"cast(rank * {shards}L div all as int)"))
     start = F.expr(f"(shard * all + {shards - 1}L) div {shards}L")
-    return placed.select("doc_id", "size", "text_crc32", "curve", "shard", (F.col("rank") - start).cast("long").alias("slot"))
-
-
-def write_shards(df: DataFrame, placed: DataFrame, path: str, key: str = "doc_id") -> None:
-    """Files by shard, rows of a file next to each other on the curve; statistics in the footers prune them."""
-    at = placed.select(F.col("doc_id").alias("_id"), "shard", "slot")
-    rows = df.join(at, df[key] == F.col("_id")).drop("_id").dropDuplicates(["shard", "slot"])
+    return placed.select("doc_id", "size", "text_crc32", "t1", "t2", "curve", "shard", (F.col("rank") - start).cast("long").alias("slot"))
+
+
+def write_shards(df: DataFrame, placed: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> None:
+    """Files by shard, rows of a file next to each other on the curve; statistics in the footers prune them.
+
+    Rows of one id and text have neighbouring places, so any of them may take any of these.
+    """
+    same = ["_id", "_t1", "_t2"]
+    own = df.withColumns({"_id": F.col(key).cast("long"), **dict(zip(same[1:], _text_hashes(text), strict=True))})
+    # Written, so that each row keeps its number however often a task runs.
+    rows = materialise(own.select(F.struct(*df.columns).alias("row"), *same), "rows")
+    at = placed.select(*[F.col(c).alias(a) for c, a in zip(["doc_id", "t1", "t2"], same, strict=True)], "shard", "slot")
+    rows = materialise(number_rows(rows, same, same, "_n"), "numbered")
+    at = materialise(number_rows(materialise(at, "places"), same, ["shard", "slot"], "_n"), "numbered-places")
+    at = at.select(*[F.col(c).alias(f"{c}_at") for c in (*same, "_n")], "shard", "slot")
+    met = [F.col(c).eqNullSafe(F.col(f"{c}_at")) for c in (*same, "_n")]
+    rows = rows.join(at, reduce(Column.__and__, met)).select("row.*", "shard", "slot")
     rows.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.partitionBy("shard").parquet(path)

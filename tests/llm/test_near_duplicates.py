@@ -92,6 +92,16 @@ def test_odd_rows_and_empty_tables(docs, none):
     assert neardup.drop_near_duplicates(none).count() == 0
 
 
+def test_rows_of_one_id_are_judged_by_their_texts(spark):
+    copy, other, third = "one two three four five six", "a text of its own in here", "the very last text of all"
+    rows = [(1, copy, "x"), (5, copy, "x"), (5, other, "x"), (6, other, "y"), (7, third, "x"), (7, third, "x"), (7, third, "y"),
+            (8, third, "x"), (None, copy, "x"), (None, None, "x"), (9, "", "x"), (9, "", "x"), (2, copy.upper(), "z"), (1, copy.upper(), "z")]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, node string")
+    kept = neardup.drop_near_duplicates(frame).collect()
+    assert sorted((str(r["doc_id"]), (r["text"] or "").lower()) for r in kept) == sorted(
+        [("1", copy), ("5", other), ("7", third), ("None", copy), ("None", ""), ("9", ""), ("9", "")])
+
+
 def test_tables_of_one_short_text(spark):
     for n in range(1, 6):
         assert [len(neardup._shingles(pa.record_batch([pa.array(["a b c d e"[: 2 * n - 1]])], ["text"]), size)[0])

@@ -55,5 +55,20 @@ def test_files_hold_narrow_ranges(spark, tmp_path):
     assert sum(r["n"] for r in combos) < 8 * 8
 
 
+def test_files_hold_every_row_once(spark, docs, tmp_path):
+    rows = [(1, "a b", "en", 1), (1, "a b", "de", 2), (1, "c d", "en", 3), (1, None, "fr", 4), (None, "a b", "en", 5),
+            (None, "a b", "en", 6), (None, None, "en", 7), (2, "a b", "en", 8), (2, "a b", "en", 8)]
+    frame = spark.createDataFrame(rows, "doc_id int, text string, source string, n int").withColumn("lang", F.col("source"))
+    for k, table in enumerate((frame, docs)):
+        for limit in ("1", "5000000"):
+            spark.conf.set("quillbook.group.rows", limit)
+            path = str(tmp_path / f"shards{k}-{limit}")
+            sharding.write_shards(table, sharding.hilbert_shards(table, dimensions(), 3), path)
+            back = spark.read.parquet(path)
+            assert sorted(map(str, back.select(*table.columns).collect())) == sorted(map(str, table.collect()))
+            assert back.select("shard", "slot").distinct().count() == table.count()
+    spark.conf.unset("quillbook.group.rows")
+
+
 def test_empty_table(none):
     assert sharding.hilbert_shards(none, dimensions(), 8).count() == 0
