@@ -16,15 +16,20 @@ runs of its question and of its answer. The answer is the last sentence (in
 an item of one sentence the last third) and at least RUN words, the question
 all before it.
 
+Words are runs of letters, marks and digits of any script. Scripts without
+blanks (Chinese, Japanese, Thai and others) and runs above LONG bytes have one
+word at each character: that one and the next. An item of fewer than RUN words
+is found where a text has exactly its words in a row, one without words never.
+
 The index takes items in blocks of bounded size, one pass per block, so what
-is sent to the tasks is bounded. Items with fewer than MIN_WORDS words name
-nothing and are left out. Null and empty texts hold no leak. Repeated rows are
+is sent to the tasks is bounded. Null and empty texts hold no leak. Repeated rows are
 judged each; rows without an id are found with id null.
 """
 
 from __future__ import annotations
 
 import re
+import unicodedata
 from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -38,19 +43,68 @@ from quillbook.llm.batches import chunks, hashes, lowered, mixed, spans, utf8
 
 K1, B = 1.2, 0.75
 BLOCK = 4
-MIN_WORDS, RUN = 8, 4
+RUN = 4
 THRESHOLD, QUESTION, ANSWER = 0.6, 0.6, 0.5
 #: Bytes of item texts in one index.
 INDEX_BYTES = 1 << 20
-ALNUM = np.zeros(256, bool)
-ALNUM[48:58] = ALNUM[97:123] = ALNUM[128:] = True
+#: Bytes of the longest run that is one word, and numbers in an index's table of largest weights.
+LONG, TABLE = 64, 1 << 24
+LETTER, UNSPACED = 1, 2
+ALNUM = np.zeros(256, np.uint8)
+ALNUM[48:58] = ALNUM[97:123] = LETTER
+#: Scripts written without blanks between words.
+WITHOUT_BLANKS = [
+    (0x0E00, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19FF), (0x1A20, 0x1AAF), (0x1B00, 0x1B7F), (0x3005, 0x3007), (0x3040, 0x30FF),
+    (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA4CF), (0xA980, 0xA9FF), (0xAA60, 0xAADF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F),
+    (0x1B000, 0x1B16F), (0x20000, 0x3FFFF)]
+JOINERS = (0x200C, 0x200D)
+_points: np.ndarray | None = None
+
+
+def _kinds(data: np.ndarray) -> np.ndarray:
+    """Of each byte of UTF-8 text: whether its character is part of a word, and of a script without blanks."""
+    global _points
+    if _points is None:
+        _points = np.array([unicodedata.category(chr(c))[0] in "LMN" for c in range(0xE0200)], np.uint8)
+        _points[list(JOINERS)] = LETTER
+        for low, high in WITHOUT_BLANKS:
+            _points[low : high + 1] *= UNSPACED
+    kinds = ALNUM[data]
+    lead = np.flatnonzero(data >= 0xC0)
+    if len(lead):
+        size = 2 + (data[lead] >= 0xE0).astype(np.int64) + (data[lead] >= 0xF0)
+        point = (data[lead] & (0x7F >> size)).astype(np.int64)
+        for j in range(1, 4):
+            more = size > j
+            point[more] = point[more] << 6 | data[lead[more] + j] & 63
+        kind = _points[np.minimum(point, len(_points) - 1)]
+        kinds[lead] = kind
+        for j in range(1, 4):
+            kinds[lead[size > j] + j] = kind[size > j]
+    return kinds
 
 
 def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (letters and digits, A-Z in lower case) of all rows, and where each row's start."""
+    """Hashes of the words (A-Z in lower case) of all rows, and where each row's start."""
     data, offsets = utf8(column)
     data = lowered(data)
-    starts, ends, row = spans(ALNUM[data], offsets)
+    kinds = _kinds(data)
+    starts, ends, row = spans(kinds == LETTER, offsets)
+    wide = ends - starts > LONG
+    for i in np.flatnonzero(wide):
+        kinds[starts[i] : ends[i]] = UNSPACED
+    if (kinds == UNSPACED).any():
+        runs_from, runs_to, runs_row = spans(kinds == UNSPACED, offsets)
+        at = np.flatnonzero((kinds == UNSPACED) & ((data & 0xC0) != 0x80))
+        run = np.searchsorted(runs_from, at, "right") - 1
+        same = np.append(run[1:] == run[:-1], False)  # another character of the run follows
+        end = runs_to[run]
+        two = np.flatnonzero(same[:-1] & same[1:])
+        end[two] = at[two + 2]
+        kept = same | (at == runs_from[run])
+        starts, ends, row = (np.concatenate([x[~wide], y[kept]]) for x, y in ((starts, at), (ends, end), (row, runs_row[run])))
+        order = np.argsort(starts, kind="stable")
+        starts, ends, row = starts[order], ends[order], row[order]
     return hashes(data, starts, ends), np.searchsorted(row, np.arange(len(offsets)))
 
 
@@ -67,7 +121,7 @@ def runs(w: np.ndarray, n: int = RUN) -> np.ndarray:
 
 def answer_words(text: str, w: int) -> int:
     """How many of the ``w`` words of an item are its answer."""
-    sentences = [len(words(pa.array([s]))[0]) for s in re.split(r"(?<=[.?!])\s+|\n+", text)]
+    sentences = [len(words(pa.array([s]))[0]) for s in re.split(r"(?<=[.?!])\s+|(?<=[。？！।])|\n+", text)]
     sentences = [n for n in sentences if n]
     return max(RUN, sentences[-1] if len(sentences) > 1 else w // 3)
 
@@ -91,15 +145,20 @@ class Index:
     def __init__(self, rows: list[tuple[object, str]], threshold: float = THRESHOLD) -> None:
         self.threshold = threshold - 1e-9
         self.ids, self.question, self.answer, terms = [], [], [], []
+        short: dict[int, list[tuple[int, object]]] = {}
         for key, text in rows:
             w, _ = words(pa.array([text]))
-            if len(w) >= MIN_WORDS:
+            if 0 < len(w) < RUN:
+                short.setdefault(len(w), []).append((int(runs(w, len(w))[0]), key))
+            elif len(w):
                 self.ids.append(key)
                 terms.append(w)
                 cut = max(RUN, len(w) - answer_words(text, len(w)))
                 self.question.append(runs(w[:cut]))
                 self.answer.append(runs(w[cut:] if len(w) - cut >= RUN else w[-RUN:]))
-        self.longest = max(map(len, terms), default=MIN_WORDS)
+        self.longest = max(map(len, terms), default=RUN)
+        # Whole items of fewer than RUN words, by their number of words.
+        self.short = {n: (np.array(sorted({h for h, _ in found}), np.uint64), found) for n, found in short.items()}
         n, mean = len(terms), float(np.mean([len(t) for t in terms])) if terms else 1.0
         counted = [np.unique(t, return_counts=True) for t in terms]
         self.vocabulary, df = np.unique(np.concatenate([c[0] for c in counted]), return_counts=True) if n else (
@@ -116,10 +175,11 @@ class Index:
             postings.close()
         self.lists = lists
         self.top = np.array([p.top for p in lists] + [0.0])
-        # Largest weight of a term in each run of BLOCK items.
-        self.blocks = np.zeros((len(lists) + 1, max(1, -(-n // BLOCK))), np.float32)
+        # Largest weight of a term in each run of BLOCK items, or of more where the table would be too large.
+        per = max(BLOCK, -(-n * (len(lists) + 1) // TABLE))
+        self.blocks = np.zeros((len(lists) + 1, max(1, -(-n // per))), np.float32)
         for t, p in enumerate(lists):
-            np.maximum.at(self.blocks[t], np.array(p.items) // BLOCK, p.weights)
+            np.maximum.at(self.blocks[t], np.array(p.items) // per, p.weights)
 
     def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
         """All items with a score of at least the threshold for a set of terms: block-max WAND."""
@@ -178,6 +238,26 @@ class Index:
     def leaks(self, column: pa.Array) -> list[tuple[int, object, float, float, float]]:
         """Row, item id, score, and shares of question and answer found: the best passage of each row and item."""
         w, first = words(column)
+        return self._indexed(w, first) + self._exact(w, first)
+
+    def _exact(self, w: np.ndarray, first: np.ndarray) -> list[tuple[int, object, float, float, float]]:
+        """Items of fewer than RUN words: rows that have these words in a row."""
+        out = []
+        for n, (wanted, items) in self.short.items():
+            if len(w) < n:
+                continue
+            value = runs(w, n)
+            at = np.flatnonzero(wanted[np.minimum(np.searchsorted(wanted, value), len(wanted) - 1)] == value)
+            row = np.searchsorted(first, at, "right") - 1
+            inside = at + n <= first[row + 1]
+            pairs = set(zip(row[inside].tolist(), value[at[inside]].tolist(), strict=True))
+            keys: dict[int, list[object]] = {}
+            for h, key in items:
+                keys.setdefault(h, []).append(key)
+            out += [(r, key, 1.0, 1.0, 1.0) for r, h in sorted(pairs) for key in keys[h]]
+        return out
+
+    def _indexed(self, w: np.ndarray, first: np.ndarray) -> list[tuple[int, object, float, float, float]]:
         if not len(w) or not len(self.vocabulary):
             return []
         term = np.minimum(np.searchsorted(self.vocabulary, w), len(self.vocabulary) - 1)

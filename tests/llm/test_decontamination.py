@@ -82,6 +82,26 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     assert len(one) >= 13 and clean <= docs.count() - 13
 
 
+def test_short_and_unspaced_items_are_found(spark):
+    chinese, thai = "光合作用在植物的哪个部分进行？答案是叶绿体。", "พืชสังเคราะห์แสงในส่วนใดของเซลล์คลอโรพลาสต์"
+    found = [(1, "Who wrote Hamlet? Shakespeare."), (2, "Paris France"), (3, chinese), (4, thai), (5, "水"), (6, "What is two plus two? Four."),
+             (7, "q7" * 300), (8, "..."), (9, "Paris France")]
+    rows = [(10, "so, who WROTE Hamlet? Shakespeare! and more"), (11, "in paris, France it is"), (12, "前面的文字" + chinese + "后面的文字"),
+            (13, "ก" + thai + "ข"), (14, "喝 水"), (15, "what is two plus two? four"), (16, "x9" + "q7" * 300 + "y"),
+            (20, "France Paris"), (21, "光合作用很重要，叶绿体也很重要，植物在进行"), (22, "who wrote it, Shakespeare or Hamlet"), (23, "paris"), (24, "france")]
+    index = decontam.indexes(spark.createDataFrame(found, "item_id long, text string"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    pairs = {(r["doc_id"], r["item_id"]) for r in decontam.leaks(docs, index).collect()}
+    assert pairs == {(10, 1), (11, 2), (11, 9), (12, 3), (13, 4), (14, 5), (15, 6), (16, 7)}
+    assert {r["doc_id"] for r in decontam.drop_leaks(docs, index).collect()} == {20, 21, 22, 23, 24}
+
+
+def test_words_of_scripts_without_blanks_are_pairs_of_characters():
+    w, first = decontam.words(pa.array(["ab 水火土", "水火", None, "火", "Ab。水", "naïve—café"]))
+    assert first.tolist() == [0, 3, 4, 4, 5, 7, 9]
+    assert w[1] == w[3] and w[0] == w[5] and len(set(w.tolist())) == 7
+
+
 def test_odd_rows_and_empty_tables(spark, docs, none):
     frame = spark.createDataFrame([(1, None), (2, ""), (3, "few words"), (None, "one two three four five six seven eight nine ten")],
                                   "item_id long, text string")
