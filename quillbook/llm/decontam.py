@@ -21,8 +21,10 @@ blanks (Chinese, Japanese, Thai and others) and runs above LONG bytes have one
 word at each character: that one and the next. An item of fewer than RUN words
 is found where a text has exactly its words in a row, one without words never.
 
-The index takes items in blocks of bounded size, one pass per block, so what
-is sent to the tasks is bounded. Null and empty texts hold no leak. Repeated rows are
+The index takes items in blocks of bounded size, one written pass per block,
+and one block is built and held at a time. How many items have a word, the mean
+and the longest length are those of all items, so blocks do not change what is
+found. Null and empty texts hold no leak. Repeated rows are
 judged each; rows without an id are found with id null.
 """
 
@@ -31,8 +33,9 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillbook.llm.batches import chunks, hashes, lowered, mixed, spans, utf8
+from quillbook.session import materialise
 
 K1, B = 1.2, 0.75
 BLOCK = 4
@@ -141,8 +145,21 @@ class Postings:
             self.most.append(max(self.weights[i : i + BLOCK]))
 
 
+@dataclass(frozen=True)
+class Totals:
+    """Of all items with at least RUN words: their number, mean and longest length, and words (sorted) with the items they are in."""
+
+    items: int
+    mean: float
+    longest: int
+    words: np.ndarray
+    found: np.ndarray
+
+
 class Index:
-    def __init__(self, rows: list[tuple[object, str]], threshold: float = THRESHOLD) -> None:
+    """Items in memory; ``totals`` where they are a block of more items."""
+
+    def __init__(self, rows: list[tuple[object, str]], threshold: float = THRESHOLD, totals: Totals | None = None) -> None:
         self.threshold = threshold - 1e-9
         self.ids, self.question, self.answer, terms = [], [], [], []
         short: dict[int, list[tuple[int, object]]] = {}
@@ -156,14 +173,18 @@ class Index:
                 cut = max(RUN, len(w) - answer_words(text, len(w)))
                 self.question.append(runs(w[:cut]))
                 self.answer.append(runs(w[cut:] if len(w) - cut >= RUN else w[-RUN:]))
-        self.longest = max(map(len, terms), default=RUN)
+        self.longest = totals.longest if totals else max(map(len, terms), default=RUN)
         # Whole items of fewer than RUN words, by their number of words.
         self.short = {n: (np.array(sorted({h for h, _ in found}), np.uint64), found) for n, found in short.items()}
         n, mean = len(terms), float(np.mean([len(t) for t in terms])) if terms else 1.0
         counted = [np.unique(t, return_counts=True) for t in terms]
         self.vocabulary, df = np.unique(np.concatenate([c[0] for c in counted]), return_counts=True) if n else (
             np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
+        every = n
+        if totals:
+            every, mean = totals.items, totals.mean
+            df = totals.found[np.searchsorted(totals.words, self.vocabulary)]
+        idf = np.log(1 + (every - df + 0.5) / (df + 0.5))
         lists: list[Postings] = [Postings([], []) for _ in df]
         for i, (found, tf) in enumerate(counted):
             at = np.searchsorted(self.vocabulary, found)
@@ -299,22 +320,63 @@ class Index:
         return [(r, self.ids[item], *v) for (r, item), v in sorted(best.items())]
 
 
-def indexes(items: DataFrame, key: str = "item_id", text: str = "text", threshold: float = THRESHOLD) -> list[Index]:
-    """Indexes over all items, each over at most some INDEX_BYTES of text."""
+class Indexes(Sequence):
+    """Indexes over blocks of items, each built when it is asked for."""
+
+    def __init__(self, rows: DataFrame, blocks: int, threshold: float) -> None:
+        self.rows, self.blocks, self.threshold = rows, blocks, threshold
+        if blocks > 1:
+            self._count()
+
+    def _count(self) -> None:
+        """Totals over all items, and the number of items of each word by the blocks that need it."""
+
+        def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in chunks(batches, "t"):
+                w, first = words(batch.column("t"))
+                sets = [np.unique(w[i:j]).view(np.int64) if j - i >= RUN else w[:0].view(np.int64)
+                        for i, j in zip(first[:-1], first[1:], strict=True)]
+                yield pa.record_batch([batch.column("block"), pa.array(np.diff(first), pa.int64()), pa.array(sets, pa.list_(pa.int64()))],
+                                      ["block", "length", "words"])
+
+        items = materialise(self.rows.mapInArrow(cut, "block int, length long, words array<long>"), "item-words")
+        items = items.where(F.col("length") >= RUN)
+        self.items, total, self.longest = items.agg(F.count(F.lit(1)), F.sum("length"), F.max("length")).first()
+        self.mean, self.longest = (total / self.items, self.longest) if self.items else (1.0, RUN)
+        of = items.select("block", F.explode("words").alias("word")).groupBy("word", "block").agg(F.count(F.lit(1)).alias("n"))
+        of = materialise(of, "block-words")
+        self.found = materialise(of.select("word", "block").join(
+            of.groupBy("word").agg(F.sum("n").alias("n")), "word").select("block", "word", "n"), "word-items")
+
+    def __len__(self) -> int:
+        return self.blocks
+
+    def __getitem__(self, b: int) -> Index:
+        if not 0 <= b < self.blocks:
+            raise IndexError(b)
+        totals = None
+        if self.blocks > 1:
+            table = self.found.where(F.col("block") == b).toArrow()
+            own, n = table.column("word").to_numpy().view(np.uint64), table.column("n").to_numpy()
+            order = np.argsort(own)
+            totals = Totals(self.items, self.mean, self.longest, own[order], n[order])
+        return Index([(r["k"], r["t"]) for r in self.rows.where(F.col("block") == b).orderBy("k", "t").collect()],
+                     self.threshold, totals)
+
+
+def indexes(items: DataFrame, key: str = "item_id", text: str = "text", threshold: float = THRESHOLD) -> Indexes:
+    """Indexes over all items, each over some INDEX_BYTES of text."""
     rows = items.where(F.col(text).isNotNull()).select(F.col(key).cast("long").alias("k"), F.col(text).alias("t"))
     size = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = -(-size // INDEX_BYTES)
-    block = F.pmod(F.xxhash64("t"), F.lit(max(blocks, 1)))
-    # No block is read before the one before it is an index.
-    return [Index([(r["k"], r["t"]) for r in rows.where(block == b).orderBy("k", "t").collect()], threshold)
-            for b in range(blocks)]
+    return Indexes(rows.withColumn("block", F.pmod(F.xxhash64("t"), F.lit(max(blocks, 1))).cast("int")), blocks, threshold)
 
 
-def leaks(df: DataFrame, found: list[Index], key: str = "doc_id", text: str = "text") -> DataFrame:
+def leaks(df: DataFrame, found: Sequence[Index], key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, item_id, score, question, answer`` of every document that holds an item."""
     schema = "doc_id long, item_id long, score double, question double, answer double"
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    out = df.sparkSession.createDataFrame([], schema)
+    parts = []
     for one in found:
         index = df.sparkSession.sparkContext.broadcast(one)
 
@@ -326,12 +388,14 @@ def leaks(df: DataFrame, found: list[Index], key: str = "doc_id", text: str = "t
                 yield pa.record_batch([ids, pa.array(columns[1], pa.int64()), *[pa.array(c, pa.float64()) for c in columns[2:]]],
                                       ["doc_id", "item_id", "score", "question", "answer"])
 
-        part = rows.mapInArrow(run, schema)
-        out = part if one is found[0] else out.unionByName(part)
-    return out
+        parts.append(rows.mapInArrow(run, schema))
+        if len(found) > 1:
+            parts[-1] = materialise(parts[-1], "leaks")
+            index.destroy()
+    return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], schema)
 
 
-def drop_leaks(df: DataFrame, found: list[Index], text: str = "text") -> DataFrame:
+def drop_leaks(df: DataFrame, found: Sequence[Index], text: str = "text") -> DataFrame:
     """``df`` without the documents that hold an item; no shuffle."""
     for one in found:
         index = df.sparkSession.sparkContext.broadcast(one)
@@ -343,4 +407,7 @@ def drop_leaks(df: DataFrame, found: list[Index], text: str = "text") -> DataFra
                 yield batch.filter(pa.array(clean))
 
         df = df.mapInArrow(run, df.schema)
+        if len(found) > 1:
+            df = materialise(df, "clean")
+            index.destroy()
     return df

@@ -82,6 +82,29 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     assert len(one) >= 13 and clean <= docs.count() - 13
 
 
+def test_blocks_do_not_change_what_is_found(spark, monkeypatch):
+    rng = random.Random(3)
+    rare = items() + [(100 + i, " ".join(rng.choices(WORDS[:12], k=rng.choice([2, 5, 12, 70])))) for i in range(60)]
+    rows = list(enumerate(texts()))
+    for _, item in rare:  # items of which about the threshold is left
+        w = item.split()
+        for share in (0.5, 0.6, 0.7, 0.8):
+            kept = w[int(len(w) * (1 - share)):]
+            rows.append((len(rows), " ".join(rng.choices(WORDS, k=30) + kept + rng.choices(WORDS, k=30))))
+    frame = spark.createDataFrame(rare, "item_id long, text string")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    one = decontam.indexes(frame)
+    assert len(one) == 1
+    wanted = sorted(map(tuple, decontam.leaks(docs, one).collect()))
+    monkeypatch.setattr(decontam, "INDEX_BYTES", 2000)
+    several = decontam.indexes(frame)
+    assert len(several) > 3
+    found = sorted(map(tuple, decontam.leaks(docs, several).collect()))
+    assert len(wanted) > 50 and [f[:2] for f in found] == [f[:2] for f in wanted]
+    assert np.allclose([f[2:] for f in found], [f[2:] for f in wanted])
+    assert {r["doc_id"] for r in decontam.drop_leaks(docs, several).collect()} == {i for i, _ in rows} - {f[0] for f in wanted}
+
+
 def test_short_and_unspaced_items_are_found(spark):
     chinese, thai = "光合作用在植物的哪个部分进行？答案是叶绿体。", "พืชสังเคราะห์แสงในส่วนใดของเซลล์คลอโรพลาสต์"
     found = [(1, "Who wrote Hamlet? Shakespeare."), (2, "Paris France"), (3, chinese), (4, thai), (5, "水"), (6, "What is two plus two? Four."),
