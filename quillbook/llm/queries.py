@@ -112,9 +112,9 @@ def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     tail = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - tail),
                       F.substring("next", F.lit(1), tail))
-    made = winnow.fingerprints(dealt, "text", "own").withColumn("own", winnow.hashes(F.col("own")))
+    made = winnow.letter_fingerprints(dealt, "text", "own").withColumn("own", winnow.hashes(F.col("own")))
     made = made.withColumn("following", F.lead("own").over(run)).where("_guest = 0")
-    made = winnow.fingerprints(made.withColumn("edited", edited), "edited", "other")
+    made = winnow.letter_fingerprints(made.withColumn("edited", edited), "edited", "other")
     made = made.withColumn("other", winnow.hashes(F.col("other")))
     return made.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),

@@ -7,6 +7,11 @@ its position. Two texts that share k + w - 1 pieces in a row therefore share a
 chosen hash. A text of fewer than k pieces is hashed whole; a text of fewer
 than w hashes has one window; a text without pieces (null, empty, white
 space) has no hashes, and two such fingerprints are alike (1).
+
+``letter_fingerprints`` does the same with the code points of the text, white
+space left out, as pieces. A k-gram starts at each of them, so what two texts
+share is found at any offset, with blanks or without, from
+LETTERS + NEAR - 1 code points on.
 """
 
 from __future__ import annotations
@@ -15,9 +20,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 K, W, PIECE = 5, 16, r"\S{1,8}"
+#: Code points of a k-gram, and k-grams of a window.
+LETTERS, NEAR = 10, 8
 CELLS = 65_536
 
 
+def _pack(h: Column, i: Column) -> Column:
+    return F.shiftleft(F.shiftrightunsigned(h, 33), 32).bitwiseOR((F.lit(2147483647) - i).cast("long"))
+
+
+def _unpack(v: Column) -> Column:
+    return F.struct(
+        (F.lit(2147483647).cast("long") - v.bitwiseAND(F.lit(4294967295))).cast("int").alias("pos"),
+        F.shiftright(v, 32).alias("hash"))
+
+
 def _window_minima(packed: Column, n: Column, w: int) -> Column:
     one = F.array(F.array_min(packed))
     many = F.transform(F.sequence(F.lit(1), n - F.lit(w - 1)), lambda j: F.array_min(F.slice(packed, j, F.lit(w))))
@@ -38,14 +55,35 @@ def fingerprints(df: DataFrame, text: str, into: str, k: int = K, w: int = W) ->
     each = F.transform(F.sequence(F.lit(0), n - F.lit(k)),
                        lambda i: F.xxhash64(*[F.get(F.col(tokens), i + F.lit(j)) for j in range(k)]))
     df = df.withColumn(grams, F.when(n == 0, F.expr("array()").cast("array<bigint>")).when(n < k, whole).otherwise(each))
-    pack = lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 33), 32).bitwiseOR(
-        (F.lit(2147483647) - i).cast("long"))
-    df = df.withColumn(packed, F.transform(grams, pack))
+    df = df.withColumn(packed, F.transform(grams, _pack))
     chosen = _window_minima(F.col(packed), F.size(packed), w)
-    unpack = lambda v: F.struct(
-        (F.lit(2147483647).cast("long") - v.bitwiseAND(F.lit(4294967295))).cast("int").alias("pos"),
-        F.shiftright(v, 32).alias("hash"))
-    return df.withColumn(into, F.transform(chosen, unpack)).drop(tokens, grams, packed)
+    return df.withColumn(into, F.transform(chosen, _unpack)).drop(tokens, grams, packed)
+
+
+def letter_fingerprints(df: DataFrame, text: str, into: str, k: int = LETTERS, w: int = NEAR) -> DataFrame:
+    """As ``fingerprints``, with each code point that is not white space as a piece.
+
+    Code points have four bytes each, so a k-gram is cut out at once. Minima of
+    windows come from those of windows of half their size.
+    """
+    points, least = f"_{into}_points", f"_{into}_least"
+    bare = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\s+", "")
+    df = df.withColumn(points, F.encode(bare, "UTF-32"))
+    n = F.shiftright(F.octet_length(points), 2)
+    each = F.transform(F.sequence(F.lit(0), n - F.lit(k)), lambda i: _pack(
+        F.xxhash64(F.substring(F.col(points), F.shiftleft(i, 2) + F.lit(1), F.lit(4 * k))), i))
+    none = F.expr("array()").cast("array<bigint>")
+    whole = F.array(_pack(F.xxhash64(points), F.lit(0)))
+    df = df.withColumn(least, F.when(n == 0, none).when(n < k, whole).otherwise(each))
+    size = 1
+    while size < w:  # a text of fewer k-grams has one window: its steps leave at least one minimum
+        step = min(size, w - size)
+        left = F.greatest(F.size(least) - F.lit(step), F.lit(0))
+        pairs = F.zip_with(F.slice(least, F.lit(1), left), F.slice(least, F.lit(step + 1), left), lambda x, y: F.least(x, y))
+        df = df.withColumn(least, F.when(F.size(least) > step, pairs).when(F.size(least) == 0, none).otherwise(
+            F.array(F.array_min(least))))
+        size += step
+    return df.withColumn(into, F.transform(F.array_distinct(least), _unpack)).drop(points, least)
 
 
 def hashes(fingerprint: Column) -> Column:

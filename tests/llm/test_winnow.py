@@ -1,3 +1,4 @@
+import random
 import re
 
 import xxhash
@@ -38,6 +39,42 @@ def test_against_brute_force(docs):
             assert [(x["pos"], x["hash"]) for x in r["fp"]] == brute(r["text"], k, w), r["text"]
 
 
+def brute_letters(text, k, w):
+    bare = re.sub(r"[ \t\n\x0b\f\r]+", "", text or "")
+    grams = [bare[i : i + k] for i in range(max(1, len(bare) - k + 1))] if bare else []
+    values = [(xxhash.xxh64_intdigest(g.encode("utf-32-be"), 42)) >> 33 for g in grams]
+    chosen = []
+    for start in range(max(1, len(values) - w + 1) if values else 0):
+        best = min(list(enumerate(values))[start : start + w], key=lambda x: (x[1], -x[0]))
+        if best not in chosen:
+            chosen.append(best)
+    return chosen
+
+
+def test_letters_against_brute_force(docs):
+    for k, w in ((2, 3), (5, 7), (10, 8), (3, 1)):
+        found = winnow.letter_fingerprints(docs.where("text is null or length(text) < 3000"), "text", "fp", k, w).collect()
+        for r in found:
+            assert [(x["pos"], x["hash"]) for x in r["fp"]] == brute_letters(r["text"], k, w), (r["text"], k, w)
+
+
+def test_short_and_shifted_texts_share_hashes(spark):
+    rng = random.Random(1)
+    chinese = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(500))
+    vocabulary = ["".join(rng.choices("abcdefghiklmnoprstu", k=rng.randint(3, 8))) for _ in range(500)]
+    rows = [(-1, chinese, "的" + chinese, "")]
+    for n in range(10, 21):
+        words, other = rng.choices(vocabulary, k=n), rng.choices(vocabulary, k=n)
+        rows.append((n, " ".join(words), " ".join(words[: -(n // 3)] + other[-(n // 3) :]), " ".join(other)))
+    frame = spark.createDataFrame(rows, "n int, a string, b string, c string")
+    for c in "abc":
+        frame = winnow.letter_fingerprints(frame, c, f"f{c}").withColumn(f"f{c}", winnow.hashes(F.col(f"f{c}")))
+    found = frame.select("n", F.size("fa").alias("hashes"), winnow.likeness(F.col("fa"), F.col("fb")).alias("edited"),
+                         winnow.likeness(F.col("fa"), F.col("fc")).alias("other")).collect()
+    for r in found:
+        assert r["hashes"] >= 5 and r["other"] < 0.15 and (r["edited"] > 0.9 if r["n"] < 0 else 0.2 < r["edited"] < 0.95), r
+
+
 def test_likeness(spark):
     a, b = F.array(F.lit(1), F.lit(2)), F.array(F.lit(2), F.lit(3))
     none = F.array().cast("array<int>")
