@@ -45,7 +45,7 @@ SHARPNESS = 8.0
 #: Languages a model may have: more labels than that are not languages.
 LANGUAGES = 512
 #: Quantile of the cross-entropies that sets a limit, the documents it takes, and the margins in bits.
-QUANTILE, ENOUGH, MARGIN, SHORT = 0.999, 1000, 0.5, 8.0
+QUANTILE, ENOUGH, MARGIN, SHORT = 0.99, 1000, 0.5, 8.0
 #: Length classes by bits of the number of letters, and the first one that is not short.
 CLASSES, LONG = 33, 6
 #: n-gram numbers of one task that are kept before they are added up.
