@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillbook.llm import chat, decontam, langid, linededup, neardup, packing, sharding, tokens, toxicity, winnow
+from quillbook.llm import (
+    chat, decontam, frames, langid, linededup, mixing, neardup, packing, sharding, tokens, toxicity, vectorcodes, winnow)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -191,3 +192,112 @@ def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     found = toxicity.score(docs, model, ["doc_id"])
     return found.select("doc_id", langid.held_out().alias("held_out"), "score",
                         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+#: Weights 5, 2 and 1 in the whole: the first falls, the second stays, the third rises.
+SCHEDULES = [mixing.Schedule(((0, 7.5), (1, 2.5))), mixing.Schedule(((0, 2), (1, 2))), mixing.Schedule(((0, 0.5), (0.5, 1), (1, 1.5)))]
+
+
+@query
+def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """What the mix takes of every document, by the position at which it is read first."""
+    found = mixing.mixed(_table(spark, folder, "documents"), SCHEDULES, passes=3)
+    return mixing.in_order(found).select("doc_id", "size", "source_size", "target", "taken", F.size("places").alias("readings"))
+
+
+ORACLE["op12_mixing"] = r"""
+with recursive docs as (
+  select doc_id, source, md5(coalesce(doc_id::varchar, '') || ':' || coalesce(text, '')) as name,
+         len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::bigint as size
+  from documents),
+sums as (select source, sum(size)::bigint as s from docs group by source),
+weighed as (
+  select source, s, case (row_number() over (order by source nulls last) - 1) % 3 when 0 then 5.0::double
+         when 1 then 2.0::double else 1.0::double end as w
+  from sums),
+shared(round, source, s, w, t) as (
+  select 0, source, s, w, (select sum(s) from sums) * w / (select sum(w) from weighed) from weighed
+  union all
+  select round + 1, source, s, w,
+         case when t >= 3 * s then 3.0::double * s
+              else w * ((select sum(s) from sums) - sum(case when t >= 3 * s then 3 * s else 0 end) over ())
+                   / sum(case when t >= 3 * s then 0 else w end) over () end
+  from shared where round < 40),
+final as (select source, s, t as target, floor(t)::bigint as take from shared where round = 40),
+due as (
+  select d.*, f.s, f.target, f.take,
+         sum(size) over (partition by d.source order by name, doc_id, size rows unbounded preceding)::bigint - size as "at"
+  from docs d join final f on d.source is not distinct from f.source),
+each as (select *, list_transform([0, 1, 2], lambda p: greatest(least(take - (p * s + due."at"), size), 0)) as got from due)
+select doc_id, size, s as source_size, target, list_sum(got)::bigint as taken,
+       len(list_filter(got, lambda x: x > 0))::int as readings
+from each"""
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with its middle moved to the end, and the text rebuilt from that."""
+    found = frames.digests(frames.fill_in_middle(_table(spark, folder, "documents")))
+    plain = F.col("form") == "plain"
+    return found.select(
+        "doc_id", "n", "form", F.when(~plain, F.col("low")).alias("prefix_chars"),
+        F.when(~plain, F.col("high") - F.col("low")).alias("middle_chars"), "output_sha256", "restored_sha256")
+
+
+ORACLE["op13_fill_in_middle"] = """
+with drawn as (
+  select doc_id, coalesce(text, '') as x, length(coalesce(text, ''))::bigint as n,
+         [('0x' || substr(sha256('1:' || doc_id), k, 8))::bigint for k in [1, 9, 17, 25]] as h
+  from documents),
+cut as (
+  select *, least(h[1] % (n + 1), h[2] % (n + 1)) as a, greatest(h[1] % (n + 1), h[2] % (n + 1)) as b,
+         case when n = 0 or contains(x, '<P>') or contains(x, '<S>') or contains(x, '<M>') or h[3] % 100 >= 90 then 'plain'
+              when h[4] % 100 < 20 then 'spm' else 'psm' end as form
+  from drawn)
+select doc_id, n, form, case when form <> 'plain' then a end as prefix_chars, case when form <> 'plain' then b - a end as middle_chars,
+       sha256(case form when 'plain' then x
+              when 'psm' then '<P>' || substr(x, 1, a) || '<S>' || substr(x, b + 1) || '<M>' || substr(x, a + 1, b - a)
+              else '<S>' || substr(x, b + 1) || '<P>' || substr(x, 1, a) || '<M>' || substr(x, a + 1, b - a) end) as output_sha256,
+       sha256(x) as restored_sha256
+from cut"""
+
+
+@query
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all embeddings, their errors and the digest of the codebooks."""
+    codes, books = vectorcodes.compress(_table(spark, folder, "embeddings"))
+    return vectorcodes.label_errors(codes).select(
+        "vec_id", "code", "error", "label_error", F.lit(vectorcodes.digest(books)).alias("codebooks_sha256"))
+
+
+def _rounds() -> str:
+    """Codebooks after each round, one common table after the other."""
+    step = """
+near{r} as (
+  select c.vec_id, c.p, c.x, arg_min(b.k, (list_sum(list_transform(list_zip(c.x, b.y), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), b.k)) as k
+  from cut c join book{r} b on b.p = c.p group by 1, 2, 3),
+moved{r} as (
+  select p, k, list(m order by d) as y from (
+    select p, k, d, ((sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) / count(*))::bigint as m
+    from (select p, k, unnest(x) as v, generate_subscripts(x, 1) as d from near{r}) group by p, k, d) group by p, k),
+book{n} as materialized (select b.p, b.k, coalesce(m.y, b.y) as y from book{r} b left join moved{r} m on m.p = b.p and m.k = b.k),"""
+    return "".join(step.format(r=r, n=r + 1) for r in range(6))
+
+
+ORACLE["op11_vector_codes"] = f"""
+with good as (
+  select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0),
+cut as materialized (
+  select vec_id, label, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] as x from good, range(8) t(p)),
+first as (select vec_id, row_number() over (order by vec_id) - 1 as k from good order by vec_id limit 16),
+book0 as (select c.p, f.k, c.x as y from cut c join first f using (vec_id)),{_rounds()}
+last as (
+  select c.vec_id, c.label, c.p, min({{'d': list_sum(list_transform(list_zip(c.x, b.y), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'k': b.k}}) as n
+  from cut c join book6 b on b.p = c.p group by 1, 2, 3),
+codes as (
+  select vec_id, label, string_agg(lpad(lower(to_hex(n.k::bigint)), 2, '0'), '' order by p) as code, sum(n.d)::bigint as error
+  from last group by 1, 2),
+books as (select sha256(string_agg(array_to_string(y, ','), ',' order by p, k)) as h from book6)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, h as codebooks_sha256
+from codes, books"""

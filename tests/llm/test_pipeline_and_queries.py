@@ -23,12 +23,12 @@ def test_query(spark, database, name):
     documents = database.execute("select count(*) from documents").fetchone()[0]
     if name in ORACLE:
         assert rows(found) == rows(database.execute(ORACLE[name]).df())
-    if name not in ("op2_decontamination", "op4_packing", "op8_chat_format"):
+    if name not in ("op2_decontamination", "op4_packing", "op8_chat_format", "op11_vector_codes"):
         assert len(found) == documents == found["doc_id"].nunique()
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages(spark):
