@@ -108,14 +108,14 @@ def op9_winnowing(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of every document and of its text with the last third taken from the next document."""
     docs = _table(spark, folder, "documents").select(
         F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    dealt, run = winnow.in_runs(docs, "doc_id", [F.xxhash64("text")])
+    dealt, run = winnow.in_runs(docs, "doc_id", F.xxhash64("text"))
     dealt = dealt.withColumn("next", F.lead("text").over(run)).withColumn("n_chars", F.length("text").cast("long"))
     tail = F.floor(F.col("n_chars") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), F.col("n_chars").cast("int") - tail),
                       F.substring("next", F.lit(1), tail))
-    made = winnow.letter_fingerprints(dealt, "text", "own").withColumn("own", winnow.hashes(F.col("own")))
+    made = winnow.fingerprints(dealt, "text", "own").withColumn("own", winnow.hashes(F.col("own")))
     made = made.withColumn("following", F.lead("own").over(run)).where("_guest = 0")
-    made = winnow.letter_fingerprints(made.withColumn("edited", edited), "edited", "other")
+    made = winnow.fingerprints(made.withColumn("edited", edited), "edited", "other")
     made = made.withColumn("other", winnow.hashes(F.col("other")))
     return made.select(
         "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),

@@ -1,17 +1,15 @@
 """Document fingerprints by winnowing, and the row that follows each row.
 
-A text is cut into pieces of at most eight code points without white space
-(words, or parts of long words). Every k pieces in a row are hashed; of every
-w hashes in a row the smallest is chosen, the rightmost one of equals, with
-its position. Two texts that share k + w - 1 pieces in a row therefore share a
-chosen hash. A text of fewer than k pieces is hashed whole; a text of fewer
-than w hashes has one window; a text without pieces (null, empty, white
-space) has no hashes, and two such fingerprints are alike (1).
-
-``letter_fingerprints`` does the same with the code points of the text, white
-space left out, as pieces. A k-gram starts at each of them, so what two texts
-share is found at any offset, with blanks or without, from
-LETTERS + NEAR - 1 code points on.
+A text is cut into pieces at borders that the text itself sets: a run of at
+most ``WORD`` code points between white space is a piece; in a longer run, as
+texts without blanks have them, every code point with the one behind it is a
+piece, so that nothing shifts when one is put in. A text of at most ``SHORT``
+code points, too short for several hashes of words, is read in such pairs as a
+whole. Every k pieces in a row are hashed; of every w hashes in a row the smallest is chosen, the rightmost one of
+equals, with its position. Two texts that share k + w - 1 pieces in a row
+therefore share a chosen hash. A text of fewer than k pieces is hashed whole; a
+text of fewer than w hashes has one window; a text without pieces (null, empty,
+white space) has no hashes, and two such fingerprints are alike (1).
 """
 
 from __future__ import annotations
@@ -19,10 +17,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-K, W, PIECE = 5, 16, r"\S{1,8}"
-#: Code points of a k-gram, and k-grams of a window.
-LETTERS, NEAR = 10, 8
-CELLS = 65_536
+WORD, SHORT = 16, 160
+_WHOLE = rf"(?<!\S)\S{{1,{WORD}}}(?!\S)"
+#: The piece is what the look-ahead finds; of a longer run one code point is passed over at a time.
+PIECE = rf"(?=({_WHOLE}|\S{{1,2}}))(?:{_WHOLE}|\S)"
+PAIR = r"(?=(\S{1,2}))\S"
+K, W = 3, 4
+#: Runs for each partition of a shuffle.
+RUNS = 4
 
 
 def _pack(h: Column, i: Column) -> Column:
@@ -35,10 +37,17 @@ def _unpack(v: Column) -> Column:
         F.shiftright(v, 32).alias("hash"))
 
 
-def _window_minima(packed: Column, n: Column, w: int) -> Column:
-    one = F.array(F.array_min(packed))
-    many = F.transform(F.sequence(F.lit(1), n - F.lit(w - 1)), lambda j: F.array_min(F.slice(packed, j, F.lit(w))))
-    return F.when(n == 0, packed).when(n <= w, one).otherwise(F.array_distinct(many))
+def _window_minima(packed: str, w: int) -> list[tuple[str, Column]]:
+    """Steps that turn ``packed`` into the minima of its windows, each from those of windows of half the size."""
+    steps, size = [], 1
+    while size < w:  # a text of fewer hashes has one window: its steps leave at least one minimum
+        step = min(size, w - size)
+        left = F.greatest(F.size(packed) - F.lit(step), F.lit(0))
+        pairs = F.zip_with(F.slice(packed, F.lit(1), left), F.slice(packed, F.lit(step + 1), left), lambda x, y: F.least(x, y))
+        steps.append((packed, F.when(F.size(packed) > step, pairs).when(F.size(packed) == 0, F.col(packed)).otherwise(
+            F.array(F.array_min(packed)))))
+        size += step
+    return steps
 
 
 def fingerprints(df: DataFrame, text: str, into: str, k: int = K, w: int = W) -> DataFrame:
@@ -47,43 +56,19 @@ def fingerprints(df: DataFrame, text: str, into: str, k: int = K, w: int = W) ->
     A hash and its position are packed into one number whose order is hash
     first and later position first, so the least of a window is the choice.
     """
-    tokens, grams, packed = (f"_{into}_{x}" for x in ("tokens", "grams", "packed"))
-    df = df.withColumn(tokens, F.transform(
-        F.regexp_extract_all(F.coalesce(F.col(text), F.lit("")), F.lit(PIECE), F.lit(0)), lambda t: F.xxhash64(t)))
+    tokens, packed = f"_{into}_tokens", f"_{into}_packed"
+    own = F.coalesce(F.col(text), F.lit(""))
+    cut = lambda pattern: F.regexp_extract_all(own, F.lit(pattern), F.lit(1))
+    pieces = F.when(F.length(own) <= SHORT, cut(PAIR)).otherwise(cut(PIECE))
+    df = df.withColumn(tokens, F.transform(pieces, lambda t: F.xxhash64(t)))
     n = F.size(tokens)
-    whole = F.array(F.xxhash64(tokens))
+    whole = F.array(_pack(F.xxhash64(tokens), F.lit(0)))
     each = F.transform(F.sequence(F.lit(0), n - F.lit(k)),
-                       lambda i: F.xxhash64(*[F.get(F.col(tokens), i + F.lit(j)) for j in range(k)]))
-    df = df.withColumn(grams, F.when(n == 0, F.expr("array()").cast("array<bigint>")).when(n < k, whole).otherwise(each))
-    df = df.withColumn(packed, F.transform(grams, _pack))
-    chosen = _window_minima(F.col(packed), F.size(packed), w)
-    return df.withColumn(into, F.transform(chosen, _unpack)).drop(tokens, grams, packed)
-
-
-def letter_fingerprints(df: DataFrame, text: str, into: str, k: int = LETTERS, w: int = NEAR) -> DataFrame:
-    """As ``fingerprints``, with each code point that is not white space as a piece.
-
-    Code points have four bytes each, so a k-gram is cut out at once. Minima of
-    windows come from those of windows of half their size.
-    """
-    points, least = f"_{into}_points", f"_{into}_least"
-    bare = F.regexp_replace(F.coalesce(F.col(text), F.lit("")), r"\s+", "")
-    df = df.withColumn(points, F.encode(bare, "UTF-32"))
-    n = F.shiftright(F.octet_length(points), 2)
-    each = F.transform(F.sequence(F.lit(0), n - F.lit(k)), lambda i: _pack(
-        F.xxhash64(F.substring(F.col(points), F.shiftleft(i, 2) + F.lit(1), F.lit(4 * k))), i))
-    none = F.expr("array()").cast("array<bigint>")
-    whole = F.array(_pack(F.xxhash64(points), F.lit(0)))
-    df = df.withColumn(least, F.when(n == 0, none).when(n < k, whole).otherwise(each))
-    size = 1
-    while size < w:  # a text of fewer k-grams has one window: its steps leave at least one minimum
-        step = min(size, w - size)
-        left = F.greatest(F.size(least) - F.lit(step), F.lit(0))
-        pairs = F.zip_with(F.slice(least, F.lit(1), left), F.slice(least, F.lit(step + 1), left), lambda x, y: F.least(x, y))
-        df = df.withColumn(least, F.when(F.size(least) > step, pairs).when(F.size(least) == 0, none).otherwise(
-            F.array(F.array_min(least))))
-        size += step
-    return df.withColumn(into, F.transform(F.array_distinct(least), _unpack)).drop(points, least)
+                       lambda i: _pack(F.xxhash64(*[F.get(F.col(tokens), i + F.lit(j)) for j in range(k)]), i))
+    df = df.withColumn(packed, F.when(n == 0, F.expr("array()").cast("array<bigint>")).when(n < k, whole).otherwise(each))
+    for name, step in _window_minima(packed, w):
+        df = df.withColumn(name, step)
+    return df.withColumn(into, F.transform(F.array_distinct(packed), _unpack)).drop(tokens, packed)
 
 
 def hashes(fingerprint: Column) -> Column:
@@ -101,41 +86,33 @@ def as_text(found: Column) -> Column:
     return F.array_join(F.transform(found, lambda h: F.lower(F.hex(h))), " ")
 
 
-def in_runs(df: DataFrame, key: str, order: list[Column]) -> tuple[DataFrame, Window]:
-    """Rows dealt into runs of descending ``key``, each with the first row of the next run as a guest.
+def in_runs(df: DataFrame, key: str, tie: Column) -> tuple[DataFrame, Window]:
+    """Rows dealt into runs of descending ``key``, then ``tie`` (a number), each with the first row of the next run as a guest.
 
-    Ids are counted in cells of equal width, and neighbouring cells joined to
-    runs of about equal counts; a run is one window partition, so the rows
-    are shuffled once and ``lead`` works in every run on its own. The last run's
-    guest is the very first row. ``_guest`` marks the copies.
+    The borders of the runs are the least rows of as many range partitions of
+    key and tie alone; every row finds its run by bisection. A run is one
+    window partition, so the rows themselves are shuffled once, into a stated
+    number of partitions since the work on them is more than their size tells,
+    and ``lead`` works in every run on its own. The last run's guest is the very
+    first row. ``_guest`` marks the copies. Rows that agree in key and tie share a run.
     """
-    spark = df.sparkSession
-    runs = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    low, high = df.agg(F.min(key), F.max(key)).first()
-    if low is None:
-        low = high = 0
-    width = (high - low) // CELLS + 1
-    cell = F.coalesce(F.expr(f"cast(({high}L - `{key}`) div {width}L as int)"), F.lit((high - low) // width))
-    counts = dict(df.groupBy(cell.alias("cell")).count().collect())  # at most CELLS rows
-    total, target, run, filled, number = sum(counts.values()), 0, 0, 0, {}
-    target = -(-total // runs) or 1
-    for c in sorted(counts):
-        if filled >= target:
-            run, filled = run + 1, 0
-        number[c] = run
-        filled += counts[c]
-    of = [number.get(c, 0) for c in range((high - low) // width + 1)]
-    placed = df.withColumn("_run", F.element_at(F.lit(of), cell + 1))
-    tops = placed.where(F.col(key).isNotNull()).groupBy("_run").agg(F.max(key).alias("_top")).collect()  # a row per run
-    top = {r["_run"]: r["_top"] for r in tops} or {0: -1}
-    hosts = F.arrays_zip(F.lit(list(top.values())).alias("top"), F.lit([(r - 1) % (run + 1) for r in top]).alias("host"))
-    guests = spark.range(1).select(F.explode(hosts).alias("g")).select(
-        F.col("g.top").cast("long").alias("_top"), F.col("g.host").alias("_host"))
-    # One row per run, at most CELLS of 12 bytes.
-    joined = placed.join(F.broadcast(guests), F.col(key).eqNullSafe(F.col("_top")), "left")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The complement of an id falls as the id rises; rows without id come last.
+    place = [F.col(key).isNull().cast("int").alias("a"), F.bitwise_not(F.coalesce(F.col(key), F.lit(0)).cast("long")).alias("b"),
+             tie.alias("c")]
+    ranged = df.select(*place).repartitionByRange(RUNS * partitions, "a", "b", "c")
+    least = ranged.groupBy(F.spark_partition_id()).agg(F.min(F.struct("a", "b", "c")).alias("p"))
+    borders = sorted(tuple(r["p"]) for r in least.collect()) or [(0, 0, 0)]  # three numbers per run
+    columns = [F.lit([b[i] for b in borders]) for i in range(3)]
+    border = lambda i: F.struct(*[F.get(c, i).alias(n) for c, n in zip(columns, "abc", strict=True)])
+    steps = [1 << k for k in reversed(range(len(borders).bit_length()))]
+    own = F.col("_place")
+    reached = F.aggregate(F.lit(steps), F.lit(0), lambda n, s: F.when(
+        (n + s <= len(borders)) & (border(n + s - 1) <= own), n + s).otherwise(n))
+    placed = df.withColumn("_place", F.struct(*place)).withColumn("_run", F.greatest(reached - 1, F.lit(0)))
     here = F.struct(F.col("_run").alias("run"), F.lit(0).alias("guest"))
-    there = F.struct(F.col("_host").alias("run"), F.lit(1).alias("guest"))
-    copies = F.when(F.col("_host").isNull(), F.array(here)).otherwise(F.array(here, there))
-    dealt = joined.select(*df.columns, F.explode(copies).alias("_at"))
-    dealt = dealt.select(*df.columns, F.col("_at.run").alias("_run"), F.col("_at.guest").alias("_guest"))
-    return dealt, Window.partitionBy("_run").orderBy("_guest", F.desc_nulls_last(key), *order)
+    there = F.struct(F.pmod(F.col("_run") - 1, F.lit(len(borders))).alias("run"), F.lit(1).alias("guest"))
+    copies = F.when(border(F.col("_run")) == own, F.array(here, there)).otherwise(F.array(here))
+    dealt = placed.withColumn("_at", F.explode(copies)).select(
+        *df.columns, "_place", F.col("_at.run").alias("_run"), F.col("_at.guest").alias("_guest"))
+    return dealt.repartition(partitions, "_run"), Window.partitionBy("_run").orderBy("_guest", "_place")

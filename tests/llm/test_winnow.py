@@ -1,12 +1,15 @@
+import hashlib
 import random
 import re
 
 import xxhash
+from conftest import FOLDER
 from pyspark.sql import functions as F
 
 from odd_rows import docs, none  # noqa: F401
 
 from quillbook.llm import winnow
+from quillbook.llm.queries import QUERIES
 
 
 def h(*parts):
@@ -17,11 +20,19 @@ def h(*parts):
     return seed - (1 << 64) if seed >= 1 << 63 else seed
 
 
-def brute(text, k, w):
-    pieces = [h(p) for p in re.findall(r"[^ \t\n\x0b\f\r]{1,8}", text or "")]
-    if not pieces:
+def pieces(text):
+    """Words, and of longer runs and short texts every code point with its successor."""
+    out, short = [], len(text or "") <= winnow.SHORT
+    for run in re.findall(r"[^ \t\n\x0b\f\r]+", text or ""):
+        out += [run] if len(run) <= winnow.WORD and not short else [run[i : i + 2] for i in range(len(run))]
+    return out
+
+
+def brute(text, k=winnow.K, w=winnow.W):
+    found = [h(p) for p in pieces(text)]
+    if not found:
         return []
-    grams = [h(*pieces)] if len(pieces) < k else [h(*pieces[i : i + k]) for i in range(len(pieces) - k + 1)]
+    grams = [h(*found)] if len(found) < k else [h(*found[i : i + k]) for i in range(len(found) - k + 1)]
     values = [(g & (1 << 64) - 1) >> 33 for g in grams]
     chosen = []
     for start in range(max(1, len(values) - w + 1)):
@@ -33,29 +44,33 @@ def brute(text, k, w):
 
 
 def test_against_brute_force(docs):
-    for k, w in ((2, 3), (5, 16)):
-        found = winnow.fingerprints(docs.where("text is null or length(text) < 3000"), "text", "fp", k, w).collect()
+    for k, w in ((2, 3), (3, 4), (5, 16), (3, 1)):
+        found = winnow.fingerprints(docs.where("text is null or length(text) < 6000"), "text", "fp", k, w).collect()
         for r in found:
-            assert [(x["pos"], x["hash"]) for x in r["fp"]] == brute(r["text"], k, w), r["text"]
+            assert [(x["pos"], x["hash"]) for x in r["fp"]] == brute(r["text"], k, w), (r["text"], k, w)
 
 
-def brute_letters(text, k, w):
-    bare = re.sub(r"[ \t\n\x0b\f\r]+", "", text or "")
-    grams = [bare[i : i + k] for i in range(max(1, len(bare) - k + 1))] if bare else []
-    values = [(xxhash.xxh64_intdigest(g.encode("utf-32-be"), 42)) >> 33 for g in grams]
-    chosen = []
-    for start in range(max(1, len(values) - w + 1) if values else 0):
-        best = min(list(enumerate(values))[start : start + w], key=lambda x: (x[1], -x[0]))
-        if best not in chosen:
-            chosen.append(best)
-    return chosen
+def alike(a, b):
+    a, b = ({x for _, x in f} for f in (a, b))
+    return 1.0 if not a | b else len(a & b) / len(a | b)
 
 
-def test_letters_against_brute_force(docs):
-    for k, w in ((2, 3), (5, 7), (10, 8), (3, 1)):
-        found = winnow.letter_fingerprints(docs.where("text is null or length(text) < 3000"), "text", "fp", k, w).collect()
-        for r in found:
-            assert [(x["pos"], x["hash"]) for x in r["fp"]] == brute_letters(r["text"], k, w), (r["text"], k, w)
+def test_query_against_brute_force(spark):
+    """Edited text, fingerprints and both likenesses of every document."""
+    rows = spark.read.parquet(f"{FOLDER}/documents.parquet").select("doc_id", "text").collect()
+    rows = sorted(((r["doc_id"], r["text"] or "") for r in rows), reverse=True)
+    found = {r["doc_id"]: r for r in QUERIES["op9_winnowing"](spark, FOLDER).collect()}
+    assert len(found) == len(rows)
+    show = lambda fp: " ".join(f"{x:x}" for x in dict.fromkeys(x for _, x in fp))
+    for (i, text), (_, following) in zip(rows, rows[1:] + rows[:1], strict=True):
+        tail = len(text) // 3
+        edited = text[: len(text) - tail] + following[:tail]
+        own, other = brute(text), brute(edited)
+        r = found[i]
+        assert r["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (show(own), show(other))
+        assert abs(r["near_edited"] - alike(own, other)) < 1e-9 and abs(r["near_next"] - alike(own, brute(following))) < 1e-9
+    assert sum(r["near_edited"] > r["near_next"] for r in found.values()) >= 0.99 * len(found)
 
 
 def test_short_and_shifted_texts_share_hashes(spark):
@@ -68,7 +83,7 @@ def test_short_and_shifted_texts_share_hashes(spark):
         rows.append((n, " ".join(words), " ".join(words[: -(n // 3)] + other[-(n // 3) :]), " ".join(other)))
     frame = spark.createDataFrame(rows, "n int, a string, b string, c string")
     for c in "abc":
-        frame = winnow.letter_fingerprints(frame, c, f"f{c}").withColumn(f"f{c}", winnow.hashes(F.col(f"f{c}")))
+        frame = winnow.fingerprints(frame, c, f"f{c}").withColumn(f"f{c}", winnow.hashes(F.col(f"f{c}")))
     found = frame.select("n", F.size("fa").alias("hashes"), winnow.likeness(F.col("fa"), F.col("fb")).alias("edited"),
                          winnow.likeness(F.col("fa"), F.col("fc")).alias("other")).collect()
     for r in found:
@@ -83,9 +98,9 @@ def test_likeness(spark):
 
 
 def test_next_rows(spark):
-    for ids in ([5], [1, 2, 3, 9, 1000, 1001, 5000], [7, 7, 3, None, None, 2], list(range(0, 300, 3)), [None], [10**15, 4, -10**15, 12]):
+    for ids in ([5], [1, 2, 3, 9, 1000, 1001, 5000], [7, 7, 3, None, None, 2], list(range(0, 300, 3)), [None], [10**15, 4, -10**15, 12], [2**63 - 1, 0, -2**63]):
         frame = spark.createDataFrame([(i, f"t{i}") for i in ids], "doc_id long, text string")
-        dealt, run = winnow.in_runs(frame, "doc_id", [F.xxhash64("text")])
+        dealt, run = winnow.in_runs(frame, "doc_id", F.xxhash64("text"))
         got = dealt.withColumn("next", F.lead("doc_id").over(run)).where("_guest = 0").collect()
         order = sorted(ids, key=lambda i: (i is None, -(i or 0)))
         wanted = list(zip(order, order[1:] + order[:1], strict=True))
@@ -93,5 +108,5 @@ def test_next_rows(spark):
 
 
 def test_empty_table(none):
-    dealt, run = winnow.in_runs(none, "doc_id", [])
+    dealt, run = winnow.in_runs(none, "doc_id", F.lit(0).cast("long"))
     assert winnow.fingerprints(dealt, "text", "fp").count() == 0
