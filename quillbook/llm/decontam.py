@@ -88,10 +88,8 @@ def _kinds(data: np.ndarray) -> np.ndarray:
     return kinds
 
 
-def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the words (A-Z in lower case) of all rows, and where each row's start."""
-    data, offsets = utf8(column)
-    data = lowered(data)
+def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each word; in runs without blanks, two characters are a word, and words overlap."""
     kinds = _kinds(data)
     starts, ends, row = spans(kinds == LETTER, offsets)
     wide = ends - starts > LONG
@@ -109,6 +107,14 @@ def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         starts, ends, row = (np.concatenate([x[~wide], y[kept]]) for x, y in ((starts, at), (ends, end), (row, runs_row[run])))
         order = np.argsort(starts, kind="stable")
         starts, ends, row = starts[order], ends[order], row[order]
+    return starts, ends, row
+
+
+def words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words (A-Z in lower case) of all rows, and where each row's start."""
+    data, offsets = utf8(column)
+    data = lowered(data)
+    starts, ends, row = word_spans(data, offsets)
     return hashes(data, starts, ends), np.searchsorted(row, np.arange(len(offsets)))
 
 

@@ -1,6 +1,7 @@
 """Toxicity of texts by a bidirectional gated recurrent network with attention.
 
-A word is read as an embedding of the word itself and one of its characters:
+Words are runs of letters and digits of any script; where a script has no blanks
+between words, any two characters in a row are one. A word is read as an embedding of the word itself and one of its characters:
 the embeddings of the runs of three and of five bytes around each of its bytes
 (both tables are addressed by hash, so their size is fixed, and unknown or
 inflected words still have their runs). A window of WINDOW words
@@ -30,14 +31,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillbook.llm.batches import MIX1, chunks, hashes, lowered, mixed, spans, utf8
-from quillbook.llm.decontam import ALNUM
+from quillbook.llm.batches import MIX1, chunks, hashes, lowered, mixed, utf8
+from quillbook.llm.decontam import word_spans
 
 WINDOW, STRIDE = 64, 32
 WORDS, GRAMS = 1 << 15, 1 << 15
 EMBEDDED, HIDDEN, POOLED = 8, 8, 8
-#: Texts of either label that are learned from, and windows of one text among them.
-ROWS, WINDOWS = 2500, 24
+#: Texts of either label that are learned from, with all their windows.
+ROWS = 2500
 EPOCHS, BATCH, RATE = 10, 128, 0.01
 SCORED = 2048
 
@@ -58,7 +59,7 @@ class Words:
 def words(column: pa.Array) -> Words:
     data, offsets = utf8(column)
     data = lowered(data)
-    starts, ends, row = spans(ALNUM[data], offsets)
+    starts, ends, row = word_spans(data, offsets)
     value, at, index = np.unique(hashes(data, starts, ends), return_index=True, return_inverse=True)
     starts, ends = starts[at], ends[at]
     size = ends - starts
@@ -270,14 +271,6 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7, epoch
     row, start, size = windows(w.first)
     count = np.bincount(row, minlength=len(texts))
     first = np.cumsum(count) - count
-    inside = np.arange(len(row)) - first[row]
-    held = inside < WINDOWS  # of a text with more windows, as many at random
-    for r in np.flatnonzero(count > WINDOWS):
-        held[first[r] : first[r] + count[r]] = False
-        held[first[r] + rng.choice(count[r], WINDOWS, replace=False)] = True
-    row, start, size = row[held], start[held], size[held]
-    first, count = np.searchsorted(row, np.arange(len(texts))), np.bincount(row, minlength=len(texts))
-    seq = sequences(w.index, start, size, len(w.word))
     p = initial(seed)
     adam = Adam(p, RATE)
     for epoch in range(epochs):
@@ -294,7 +287,8 @@ def fit(texts: list[str], labels: np.ndarray, share: float, seed: int = 7, epoch
         adam.rate = RATE * (1 - epoch / (epochs + 1))
         for i in range(0, len(at), BATCH):
             part = at[i : i + BATCH]
-            _step(p, adam, w, seq[part], labels[row[part]].astype(np.float32))
+            seq = sequences(w.index, start[part], size[part], len(w.word))
+            _step(p, adam, w, seq, labels[row[part]].astype(np.float32))
     top = highest(logits(p, w, start, size), row, len(texts)).astype(np.float64)
     weight = np.where(labels == 1, share / max(labels.mean(), 1e-9), (1 - share) / max(1 - labels.mean(), 1e-9))
     slope, shift = 1.0, 0.0

@@ -29,6 +29,81 @@ def test_gradients():
     assert on_inputs.shape == inputs.shape
 
 
+def plain_logit(p, seq, inputs):
+    """One window by a loop over its words, as the gates are written in books."""
+    h, states = toxicity.HIDDEN, []
+    sig = lambda x: 1 / (1 + np.exp(-x))
+    real = [t for t in range(toxicity.WINDOW) if seq[t] < len(inputs) - 1]
+    for d, order in ((0, range(toxicity.WINDOW)), (1, range(toxicity.WINDOW - 1, -1, -1))):
+        state, found = np.zeros(h), {}
+        for t in order:
+            if t in real:
+                x, r = inputs[seq[t]] @ p["w"][d] + p["b"][d], state @ p["u"][d]
+                z, g = sig(x[:h] + r[:h]), sig(x[h : 2 * h] + r[h : 2 * h])
+                new = np.tanh(x[2 * h :] + g * r[2 * h :])
+                state = (1 - z) * new + z * state
+            else:
+                state = np.zeros(h)
+            found[t] = state
+        states.append(found)
+    flat = np.array([np.concatenate([states[0][t], states[1][t]]) for t in range(toxicity.WINDOW)])
+    score = np.tanh(flat @ p["a"]) @ p["v"]
+    score = np.exp(np.array([score[t] if t in real else -30.0 for t in range(toxicity.WINDOW)]))
+    return (score / score.sum()) @ flat @ p["o"] + p["c"][0]
+
+
+def test_forward_against_a_loop():
+    rng = np.random.default_rng(5)
+    p = {k: v.astype(np.float64) for k, v in toxicity.initial(2).items()}
+    inputs = np.concatenate([rng.standard_normal((30, 16)), np.zeros((1, 16))])
+    seq = rng.integers(0, 30, (6, toxicity.WINDOW))
+    for i, n in enumerate((64, 63, 10, 1, 0, 40)):
+        seq[i, n:] = 30
+    found = toxicity.forward(p, inputs, seq)
+    assert found == pytest.approx([plain_logit(p, s, inputs) for s in seq], abs=1e-4)
+
+
+def test_words_of_every_script():
+    seen = lambda t: np.diff(toxicity.words(pa.array([t])).first)[0]
+    assert seen("Привет мир дурак") == 3 and seen("größer als müßig") == 3 and seen("café naïve") == 2
+    assert seen("你是白痴") == 3 and seen("مرحبا بالعالم") == 2 and seen("?! --") == 0
+    one, two = (toxicity.words(pa.array([t])) for t in ("Привет мир", "Привет дом"))
+    assert set(one.word) & set(two.word) and set(one.word) != set(two.word)
+
+
+def test_toxic_words_of_other_scripts_are_learned():
+    rng = np.random.default_rng(6)
+    words = ["привет", "мир", "дом", "größe", "straße", "время", "человек", "день", "白天", "文字"]
+    made, label = [], []
+    for i in range(400):
+        found = list(rng.choice(words, rng.integers(5, 120)))
+        if i % 2:
+            found[rng.integers(len(found))] = ["дурак", "白痴"][i // 2 % 2]
+        made.append(" ".join(found))
+        label.append(i % 2)
+    label = np.array(label)
+    fitted = toxicity.fit(made[:300], label[:300], 0.5, epochs=40)
+    assert ((fitted.scores(pa.array(made[300:])) >= 0.7) == (label[300:] == 1)).mean() > 0.9
+
+
+def test_a_late_passage_of_a_long_text_is_learned():
+    """All windows of a training text count, not only some of them."""
+    rng = np.random.default_rng(7)
+    words = [a + b for a in "bdfgklmnprst" for b in ("an", "ore", "ist", "um")]
+    made, label = [], []
+    for i in range(160):
+        found = list(rng.choice(words, 3000 if i % 4 == 1 else 100))
+        if i % 2:
+            found[-3 if i % 4 == 1 else 5] = "zorking"
+        made.append(" ".join(found))
+        label.append(i % 2)
+    fitted = toxicity.fit(made, np.array(label), 0.5, epochs=60)
+    right = (fitted.scores(pa.array(made)) >= 0.7) == (np.array(label) == 1)
+    assert right[1::4].mean() > 0.9 and right.mean() > 0.9
+    clean = [t.replace("zorking", words[0]) for t in made[1::4]]
+    assert (fitted.scores(pa.array(clean)) < 0.7).mean() > 0.9
+
+
 def test_windows_cover_every_word():
     first = np.array([0, 0, 1, 64, 65 + 64, 500])
     row, start, size = toxicity.windows(first)
