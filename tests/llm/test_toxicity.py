@@ -92,7 +92,7 @@ def test_a_late_passage_of_a_long_text_is_learned():
     words = [a + b for a in "bdfgklmnprst" for b in ("an", "ore", "ist", "um")]
     made, label = [], []
     for i in range(160):
-        found = list(rng.choice(words, 3000 if i % 4 == 1 else 100))
+        found = list(rng.choice(words, 3000 if i % 4 < 2 else 100))
         if i % 2:
             found[-3 if i % 4 == 1 else 5] = "zorking"
         made.append(" ".join(found))
