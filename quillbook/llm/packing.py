@@ -33,15 +33,16 @@ def encoded(df: DataFrame, path: str, end: int = 0) -> DataFrame:
     """First pass, written: ``doc_id, part, first, doc_tokens, ids`` (4 bytes an id)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, last, part, first = encoder(path).encode, end.to_bytes(4, "little"), TaskContext.get().partitionId(), 0
+        encode, part, first = encoder(path).encode, TaskContext.get().partitionId(), 0
         for batch in chunks(batches, "text"):
-            ids = [x + last for x in encode(batch.column("text").to_pylist())]
-            sizes = np.fromiter((len(x) // 4 for x in ids), np.int64, len(ids))
+            sizes, ids = encode(batch.column("text").to_pylist(), end)
             starts = first + np.cumsum(sizes) - sizes
             first += int(sizes.sum())
+            ends = np.concatenate([[0], np.cumsum(sizes * 4)]).astype(np.int32)
+            column = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(ids.astype("<i4"))])
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(np.full(len(ids), part, np.int32)), pa.array(starts), pa.array(sizes),
-                 pa.array(ids, pa.binary())], ["doc_id", "part", "first", "doc_tokens", "ids"])
+                [batch.column("doc_id"), pa.array(np.full(len(sizes), part, np.int32)), pa.array(starts), pa.array(sizes), column],
+                ["doc_id", "part", "first", "doc_tokens", "ids"])
 
     spark = df.sparkSession
     rows = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))

@@ -1,12 +1,18 @@
-"""Token counts of texts for a byte-level BPE vocabulary.
+"""Tokens of texts for a byte-level BPE vocabulary.
 
 A pre-token that is itself an entry of the vocabulary and encodes alone as
 that entry is one token; which entries do so is proved once, by encoding
 them all. Only the other pre-tokens are merged, all new ones of a run at once.
+A task numbers the pre-tokens it meets and keeps their tokens in arrays, so a
+run of text is one look-up per pre-token and one gather; when too many are
+kept, those that came once go first.
+
+Where a text is cut depends on the class of its code points (letter, number,
+space, other), which is read off the library's own pre-tokenizer: for a whole
+block of code points when the first of them comes up.
 
 Null and empty texts have no tokens. A string of a special token inside a
-text is that token, as the library reads it. Texts with code points outside
-``PROVED`` are left to the library as a whole. Rows are counted one by one,
+text is that token, as the library reads it. Rows are counted one by one,
 so repeated rows, ties and skew do not matter.
 """
 
@@ -17,6 +23,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +33,21 @@ from pyspark.sql import functions as F
 
 from quillbook.llm.batches import chunks
 
-#: Code points whose class (letter, number, space, other) is read off the library's own pre-tokenizer.
-PROVED = (range(0x250), range(0x2000, 0x2070))
-#: Entries a task remembers, and characters it splits at once.
-REMEMBERED, RUN = 400_000, 1 << 20
+#: Code points whose class is learned together.
+BLOCK = 256
+#: Pre-tokens a task remembers, characters it splits at once, and pre-tokens it looks up at once.
+REMEMBERED, RUN, LOOKED_UP = 600_000, 1 << 20, 250_000
 #: Bytes of the pre-tokens that are merged together; longer ones are left to the library.
 WIDTHS = (8, 16, 32)
+SURROGATES = range(0xD800, 0xE000)
 
 
 def _class(found: list[int]) -> str:
-    return "".join(re.escape(chr(c)) for c in found)
+    """Code points (sorted) as ranges of a character class."""
+    points = np.array(found, np.int64)
+    cuts = np.flatnonzero(np.diff(points) > 1)
+    first, last = points[np.append(0, cuts + 1)], points[np.append(cuts, len(points) - 1)]
+    return "".join(f"{re.escape(chr(a))}-{re.escape(chr(b))}" for a, b in zip(first, last, strict=True))
 
 
 class PreTokens:
@@ -46,22 +58,34 @@ class PreTokens:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.kinds: dict[str, list[int]] = {"letter": [], "number": [], "space": [], "other": []}
+        self.blocks: set[int] = set()
+        added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
+        self.special = added
+        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.learn(map(chr, range(BLOCK)))
+
+    def learn(self, characters: Iterator[str]) -> None:
+        """Classes of the blocks that the characters are in, and the patterns for all that are known."""
         pieces = lambda s: len(self.library.pre_tokenizer.pre_tokenize_str(s))
-        proved = [c for r in PROVED for c in r]
-        kinds: dict[str, list[int]] = {"letter": [], "number": [], "space": [], "other": []}
-        for c in proved:
-            x = chr(c)
-            kind = ("letter" if pieces(f"a{x}b") == 1 else "number" if pieces(f"1{x}2") == 1
-                    else "other" if pieces(f"#{x}#") == 1 else "space")
-            kinds[kind].append(c)
-        letter, number, space = (_class(kinds[k]) for k in ("letter", "number", "space"))
+        for block in sorted({ord(x) // BLOCK for x in characters} - self.blocks):
+            self.blocks.add(block)
+            for c in range(block * BLOCK, (block + 1) * BLOCK):
+                x = chr(c) if c not in SURROGATES else "?"
+                kind = ("letter" if pieces(f"a{x}b") == 1 else "number" if pieces(f"1{x}2") == 1
+                        else "other" if pieces(f"#{x}#") == 1 else "space")
+                self.kinds[kind].append(c)
+        letter, number, space = (_class(sorted(self.kinds[k])) for k in ("letter", "number", "space"))
         self.pattern = re.compile(
             f"'(?:s|t|re|ve|m|ll|d)| ?[{letter}]+| ?[{number}]+| ?[^{space}{letter}{number}]+"
             f"|[{space}]+(?![^{space}])|[{space}]+")
-        self.unproved = re.compile(f"[^{_class(proved)}]")
-        added = {t.content: i for i, t in self.library.get_added_tokens_decoder().items()}
-        self.special = added
-        self.cut = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")") if added else None
+        self.unknown = re.compile(f"[^{_class(sorted(c for k in self.kinds.values() for c in k))}]")
+
+    def split(self, text: str) -> list[str]:
+        """The pre-tokens of a stretch of text."""
+        if not text.isascii() and self.unknown.search(text):
+            self.learn(set(self.unknown.findall(text)))
+        return self.pattern.findall(text)
 
     def alone(self) -> dict[str, int]:
         """The vocabulary's strings that encode alone as one token, and the token."""
@@ -71,9 +95,10 @@ class PreTokens:
         strings = {}
         for entry, number in self.library.get_vocab(with_added_tokens=False).items():
             text = decode([entry])
-            if "�" not in text and not self.unproved.search(text) and self.pattern.findall(text) == [text]:
+            if "\ufffd" not in text:
                 strings[text] = number
-        texts = list(strings)
+        self.learn(set("".join(strings)))
+        texts = [t for t in strings if self.split(t) == [t]]
         coded = self.library.encode_batch(texts, add_special_tokens=False)
         return {t: strings[t] for t, e in zip(texts, coded, strict=True) if e.ids == [strings[t]]}
 
@@ -163,12 +188,11 @@ class Merges:
             ranks[row[inner], at[inner] - 1] = self._ranks(ids[row[inner], at[inner] - 1], ids[row[inner], at[inner]])
         return out
 
-    def encode(self, words: list[str]) -> dict[str, bytes]:
-        """Ids of each pre-token as little-endian 32-bit numbers."""
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Number of ids of each pre-token, and all ids in order."""
         raw = [w.encode("utf-8", "replace") for w in words]
         sizes = np.fromiter(map(len, raw), np.int64, len(raw))
-        found: dict[str, bytes] = {}
-        low = 0
+        count, found, low = np.zeros(len(words), np.int64), [], 0
         for width in self.widths:
             own = np.flatnonzero((sizes > low) & (sizes <= width))
             low = width
@@ -180,85 +204,130 @@ class Merges:
             ids[filled] = self.byte[data]
             ids = self._merged(ids)
             kept = ids >= 0
-            flat, ends = ids[kept].astype("<u4").tobytes(), np.cumsum(kept.sum(axis=1)) * 4
-            start = 0
-            for i, end in zip(own.tolist(), ends.tolist(), strict=True):
-                found[words[i]] = flat[start:end]
-                start = end
-        rest = [words[i] for i in np.flatnonzero(sizes > low)]
-        coded = self.library.encode_batch(rest, add_special_tokens=False)
-        found.update((t, np.array(e.ids, "<u4").tobytes()) for t, e in zip(rest, coded, strict=True))
-        return found
+            count[own] = kept.sum(axis=1)
+            found.append((own, ids[kept]))
+        own = np.flatnonzero(sizes > low)
+        coded = [e.ids for e in self.library.encode_batch([words[i] for i in own], add_special_tokens=False)]
+        count[own] = [len(c) for c in coded]
+        found.append((own, np.fromiter(chain.from_iterable(coded), np.int32)))
+        out = np.empty(count.sum(), np.int32)
+        first = np.cumsum(count) - count
+        for own, ids in found:
+            out[_places(first[own], count[own])] = ids
+        return count, out
+
+
+def _places(first: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The numbers from each ``first`` on, ``count`` of them, one stretch after the other."""
+    return np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+
+
+class Numbers(dict):
+    """Pre-tokens (and ids, as whole numbers, that stand for themselves) and their numbers; new ones are noted."""
+
+    def __init__(self, known: list) -> None:
+        super().__init__(zip(known, range(len(known))))
+        self.new: list = []
+
+    def __missing__(self, piece) -> int:
+        self[piece] = number = len(self)
+        self.new.append(piece)
+        return number
 
 
 class Encoder:
-    """Ids of texts as little-endian 32-bit numbers; remembers those of pre-tokens."""
+    """Ids of texts; remembers those of pre-tokens."""
 
     def __init__(self, path: str) -> None:
         self.pre = pre_tokens(path)
         self.merges = Merges(self.pre.library)
-        self.shortcut = {t: self.value(i.to_bytes(4, "little")) for t, i in self.pre.alone().items()}
-        self.known = dict(self.shortcut)
-
-    @staticmethod
-    def value(ids: bytes):
-        return ids
-
-    total = staticmethod(b"".join)
-
-    def _pieces(self, text: str | None) -> list:
-        """Pre-tokens of a text; what does not have to be looked up stands as a list of one value."""
-        out: list = []
-        for part, special in self.pre.parts(text or ""):
-            if special:
-                out.append([self.value(self.pre.special[part].to_bytes(4, "little"))])
-            elif self.pre.unproved.search(part):
-                ids = self.pre.library.encode(part, add_special_tokens=False).ids
-                out.append([self.value(np.array(ids, "<u4").tobytes())])
-            else:
-                for run in self.pre.runs(part):
-                    out.append(tuple(self.pre.pattern.findall(run)))
-        return out
-
-    def encode(self, texts: list[str | None]) -> list:
-        cut = [self._pieces(t) for t in texts]
-        met = set().union(*[part for parts in cut for part in parts if isinstance(part, tuple)])
-        known = self.known
-        new = [p for p in met if p not in known]
-        if len(known) + len(new) > REMEMBERED:
-            self.known = known = dict(self.shortcut)
-            new = [p for p in met if p not in known]
+        alone = self.pre.alone()
+        self.fixed = len(alone)
+        self.numbers = Numbers(list(alone))
+        self.ids = np.fromiter(alone.values(), np.int32, len(alone))
+        self.first, self.count = np.arange(self.fixed), np.ones(self.fixed, np.int64)
+        self.used = np.zeros(self.fixed, np.int64)
+
+    def _forget(self) -> None:
+        """Keep the shortcuts, and of the others at most half as many as are remembered, those that came most often."""
+        names, least = list(self.numbers), 1
+        while True:
+            least *= 2
+            keep = np.flatnonzero((np.arange(len(names)) < self.fixed) | (self.used >= least))
+            if len(keep) - self.fixed <= REMEMBERED // 2:
+                break
+        self.numbers = Numbers([names[i] for i in keep])
+        self.ids = self.ids[_places(self.first[keep], self.count[keep])]
+        self.count, self.used = self.count[keep], self.used[keep] // least
+        self.first = np.cumsum(self.count) - self.count
+
+    def _look_up(self, pieces: list) -> np.ndarray:
+        found = np.fromiter(map(self.numbers.__getitem__, pieces), np.int64, len(pieces))
+        new = self.numbers.new
         if new:
-            known.update((t, self.value(ids)) for t, ids in self.merges.encode(new).items())
-        get, total = known.__getitem__, self.total
-        return [total([total(map(get, part)) if isinstance(part, tuple) else part[0] for part in parts]) for parts in cut]
-
-
-class Counter(Encoder):
-    """Numbers of tokens instead of the tokens."""
-
-    @staticmethod
-    def value(ids: bytes):
-        return len(ids) // 4
+            own = [i for i, p in enumerate(new) if isinstance(p, int)]
+            count, ids = self.merges.encode(["" if isinstance(p, int) else p for p in new])
+            if own:  # these stand for themselves
+                where = (np.cumsum(count) - count)[own]
+                ids = np.insert(ids, where, [new[i] for i in own])
+                count[own] = 1
+            self.first = np.append(self.first, len(self.ids) + np.cumsum(count) - count)
+            self.ids, self.count = np.append(self.ids, ids), np.append(self.count, count)
+            self.used = np.append(self.used, np.zeros(len(new), np.int64))
+            new.clear()
+        self.used += np.bincount(found, minlength=len(self.used))
+        return found
 
-    total = staticmethod(sum)
+    def _numbered(self, texts: list[str | None], end: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the pre-tokens of all texts, and where each text's begin."""
+        if len(self.numbers) - self.fixed > REMEMBERED:
+            self._forget()
+        found, bounds, pieces, done = [], [0], [], 0
+        for text in texts:
+            for part, special in self.pre.parts(text or ""):
+                if special:
+                    pieces.append(self.pre.special[part])
+                    continue
+                for run in self.pre.runs(part):
+                    pieces.extend(self.pre.split(run))
+                    if len(pieces) > LOOKED_UP:
+                        found.append(self._look_up(pieces))
+                        done += len(pieces)
+                        pieces = []
+            if end is not None:
+                pieces.append(end)
+            bounds.append(done + len(pieces))
+        found.append(self._look_up(pieces))
+        return np.concatenate(found), np.array(bounds)
+
+    def counts(self, texts: list[str | None]) -> np.ndarray:
+        """Tokens of each text."""
+        numbers, bounds = self._numbered(texts, None)
+        return np.diff(np.concatenate([[0], np.cumsum(self.count[numbers])])[bounds])
+
+    def encode(self, texts: list[str | None], end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Number of tokens of each text, with ``end`` behind each if given, and all tokens in order."""
+        numbers, bounds = self._numbered(texts, end)
+        count = self.count[numbers]
+        sizes = np.diff(np.concatenate([[0], np.cumsum(count)])[bounds])
+        return sizes, self.ids[_places(self.first[numbers], count)]
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(path: str, kind: type[Encoder] = Encoder) -> Encoder:
-    return kind(path)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def count_tokens(df: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` of every row. No shuffle; other columns are not read."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = encoder(path, Counter).encode
+        counts = encoder(path).counts
         for batch in chunks(batches, "text"):
             column = batch.column("text")
             sizes = pc.fill_null(pc.binary_length(column), 0).cast(pa.int64())
-            found = np.array(count(column.to_pylist()), np.int64)
-            yield pa.record_batch([batch.column("doc_id"), sizes, pa.array(found)], ["doc_id", "n_bytes", "n_tokens"])
+            found = pa.array(counts(column.to_pylist()))
+            yield pa.record_batch([batch.column("doc_id"), sizes, found], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(counted, "doc_id long, n_bytes long, n_tokens long")
