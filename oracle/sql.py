@@ -396,6 +396,29 @@ select user_id, event_type, cast(d as varchar) as pointofviewstartdate, cast(end
 union all select user_id, event_type, cast(d as varchar), cast(stop as varchar), b, marked, s from e3 where marked = 'UNCHANGED'""", DAILY + ",")
 sql("scd2_deletes", """select user_id, event_type, cast(d as varchar) as pointofviewstartdate, cast(case when stop = date '9999-12-31'
   and user_id in (select user_id from versions where event_type = 'error') then date '2024-02-15' else stop end as varchar) as pointofviewstopdate, b as batchid from versions""", DAILY)
+sql("compacted_history", """gone as (select *, case when stop = date '9999-12-31' and user_id in (select user_id from versions where event_type = 'error')
+  then date '2024-02-15' else stop end as ends from versions)
+ select user_id, event_type, cast(d as varchar) as pointofviewstartdate, cast(case when ends = date '9999-12-31' and event_type = 'click' then date '2024-02-20' else ends end as varchar)
+  as pointofviewstopdate, b as batchid from gone""", DAILY + ",")
+sql("history_loads", """l as (select *, case when d <= date '2024-01-10' then 20240110 when d <= date '2024-01-20' then 20240120 else 20240231 end as batch from daily),
+ c as (select user_id, d, case when d <= date '2024-01-10' then 20240110 when d <= date '2024-01-20' then 20240120 else 20240231 end as batch from changes),
+ e as (select batch, count(*) as versions, count(distinct user_id) filter (user_id in (select x.user_id from c x where x.batch < c.batch)) as closures from c group by 1)
+ select 'load' as kind, cast(batch as bigint) as batch, cast(max(d) as varchar) as cycle, max(b) as newest, any_value(versions) as versions, any_value(closures) as closures
+ from l join e using (batch) group by batch""", DAILY + ",")
+_REPLAY = [("Total Count", "recordcount", None, "count(*)"), ("DistinctCount", "event_type", None, "count(distinct event_type)"),
+           ("Sum Total", "user_id", None, "sum(user_id)"), ("Sum Total on Year", "pointofviewstartdate", None, "sum(year(start))"),
+           ("Count grouped by distinct value", None, "event_type", "count(*)")]
+sql("replay_balance", f"""select batchid, cast(cycledate as varchar) as cycledate, operation, 'users_' || coalesce(f, g) as control_id, f as fact_col_name, g as group_col_name, v as group_col_val,
+ {", ".join(f"cast(coalesce(sum(n) filter (tag = '{t}'), 0) as double) as {t.lower()}_value" for t in ("S", "T", "SA", "TA", "SI"))},
+ cast(0 as double) as variance, cast(0 as double) as ended_variance, 'Y' as is_match from m group by all""", DAILY + """,
+tagged as (select case when a = 'INSERT' then 'S' else 'SI' end as tag, b as batchid, d as cycledate, user_id, event_type, d as start from working where s = 'Staging'
+  union all select 'SA', cast(strftime(stop + 1, '%Y%m%d') as bigint), stop + 1, user_id, event_type, d from working where a = 'UPDATE'
+  union all select 'T', b, d, user_id, event_type, d from versions where d >= date '2024-01-16'
+  union all select 'TA', cast(strftime(stop + 1, '%Y%m%d') as bigint), stop + 1, user_id, event_type, d from versions
+   where d < date '2024-01-16' and stop >= date '2024-01-15' and stop < date '9999-12-31'),
+m as (""" + " union all ".join(
+    f"select tag, batchid, cycledate, '{op}' as operation, {repr(f) if f else 'cast(null as varchar)'} as f, {repr(g) if g else 'cast(null as varchar)'} as g, "
+    f"{g or 'cast(null as varchar)'} as v, {agg} as n from tagged group by all" for op, f, g, agg in _REPLAY) + ")")
 sql("deleted_parents", """select user_id as documentid, '2024-02-15' as pointofviewstopdate from versions group by 1 having bool_or(event_type = 'click')""", DAILY)
 sql("closed_by_batch", f"""select cast(strftime(stop + 1, '%Y%m%d') as bigint) as closing_batch, {_V}
  from working where a = 'UPDATE' and stop + 1 in (select d from daily)""", DAILY)

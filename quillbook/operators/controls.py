@@ -179,6 +179,18 @@ def warehouse_balance(log: DataFrame, keys: list[str], value: str = "fact_val")
         F.when(left == right + _value("SI"), "Y").otherwise("N").alias("is_match"))
 
 
+def replay_balance(log: DataFrame, keys: list[str], value: str = "fact_val") -> DataFrame:
+    """New versions (S) against those in history (T), ended ones (SA) against theirs (TA); rows left alone (SI) besides.
+
+    Both have to agree by themselves, as not every measure can be added up.
+    """
+    wide = by_tag(log, keys, value)
+    new, ended = _value("S") - _value("T"), _value("SA") - _value("TA")
+    return wide.select(
+        *keys, *[_value(t).alias(f"{t.lower()}_value") for t in ("S", "T", "SA", "TA", "SI")], new.alias("variance"),
+        ended.alias("ended_variance"), F.when((new == 0) & (ended == 0), "Y").otherwise("N").alias("is_match"))
+
+
 def adjustments(log: DataFrame, keys: list[str], value: str = "fact_val") -> DataFrame:
     """Signed sum of the adjustment rows of each side."""
     sign = F.when(F.col("tag").isin(*NEGATIVE, *TAG_ALIASES), -1).otherwise(1)

@@ -16,37 +16,38 @@ def level_paths(nodes: DataFrame, extra: list[str]) -> DataFrame:
     There are as many level columns as the deepest path has levels. A node
     with several parents is listed once per path. Raises ``ValueError`` where
     a node lies below itself.
+
+    A row starts with the path of one node, itself, and the node above. In
+    each round the paths that have not reached a root are put below those of
+    the node above, of whatever length these are by then, so paths double: a
+    tree of depth d takes log2(d) rounds. Rows that have reached a root are
+    written once and only looked up from then on.
     """
     columns = ["name", "parent", *extra, "cycle_date"]
-    label = F.col("description_us").cast("string")
-    # Read once per level, so written, and without the columns no one asks for.
-    nodes = materialise(nodes.select(*columns, "description_us"), "nodes")
-    roots = nodes.where(F.col("parent").isNull()).select(
-        *columns, F.lit(1).alias("level"), F.array(label).alias("_path"), F.array("name").alias("_names"))
-
-    def children(above: DataFrame) -> DataFrame:
-        up = above.select(
-            F.col("name").alias("parent"), "cycle_date", F.col("level").alias("_level"),
-            F.col("_path").alias("_up"), F.col("_names").alias("_above"))
-        joined = nodes.join(up, ["parent", "cycle_date"])
-        return joined.select(
-            *columns, (F.col("_level") + 1).alias("level"), F.concat("_up", F.array(label)).alias("_path"),
-            F.concat("_above", F.array("name")).alias("_names"))
-
-    # Each level is written once, so lineage does not grow with depth.
-    levels = [materialise(roots, "level")]
+    step = F.struct(F.col("name").alias("name"), F.col("description_us").cast("string").alias("label"))
+    own = materialise(nodes.select(*columns, F.col("parent").alias("_top"), F.array(step).alias("_path")), "paths")
+    parts, deepest = [], 1
     while True:
-        following = materialise(children(levels[-1]), "level")
-        looped = F.size("_names") > F.size(F.array_distinct("_names"))
-        count, loop = following.agg(F.count(F.lit(1)), F.max(F.when(looped, F.array_join("_names", " > ")))).first()
+        done, going = own.where(F.col("_top").isNull()), own.where(F.col("_top").isNotNull())
+        parts.append(done)
+        names = F.transform("_path", lambda s: s["name"])
+        # Named by a path from a root where there is one.
+        looped = F.when(F.size(names) > F.size(F.array_distinct(names)), F.struct(
+            F.col("_top").isNull().alias("whole"), F.array_join(names, " > ").alias("names")))
+        left, loop, depth = own.agg(F.count("_top"), F.max(looped), F.max(F.when(F.col("_top").isNull(), F.size("_path")))).first()
         if loop is not None:
-            raise ValueError(f"a node lies below itself: {loop}")
-        if not count:
+            raise ValueError(f"a node lies below itself: {loop['names']}")
+        deepest = max(deepest, depth or 0)
+        if not left:
             break
-        levels.append(following)
-    everything = reduce(DataFrame.unionByName, levels)
-    return everything.select(
-        *columns, "level", *[F.get("_path", F.lit(i)).alias(f"level_{i + 1}") for i in range(len(levels))])
+        above = reduce(DataFrame.unionByName, [*parts, going]).select(
+            F.col("name").alias("_top"), "cycle_date", F.col("_path").alias("_above"), F.col("_top").alias("_next"))
+        longer = going.join(above, ["_top", "cycle_date"]).select(
+            *columns, F.col("_next").alias("_top"), F.concat("_above", "_path").alias("_path"))
+        own = materialise(longer, "paths")
+    everything = reduce(DataFrame.unionByName, parts)
+    return everything.select(*columns, F.size("_path").alias("level"), *[
+        F.get("_path", F.lit(i))["label"].alias(f"level_{i + 1}") for i in range(deepest)])
 
 
 def leaves_below(nodes: DataFrame, description: str) -> DataFrame:

@@ -93,11 +93,15 @@ def is_open(steps: Steps = Steps()) -> Column:
 
 
 def _actions(staging: DataFrame, history: DataFrame, steps: Steps) -> tuple[DataFrame, Large]:
-    """Staged versions and the open ones they meet, with the action each would take by itself."""
+    """Staged versions and the open ones they meet, with the action each would take by itself.
+
+    Of the open ones key, hash, dates and batch are enough.
+    """
     current = history.where(is_open(steps)).join(staging.select(KEY).distinct(), KEY, "left_semi")
-    rows = staging.withColumn(SOURCE, F.lit("Staging")).unionByName(current.withColumn(SOURCE, F.lit("Target")))
+    rows = staging.withColumn(SOURCE, F.lit("Staging")).unionByName(
+        current.withColumn(SOURCE, F.lit("Target")), allowMissingColumns=True)
     # A key has at most one open version, so the staged rows tell how large it is.
-    large = find_large(staging, [KEY])
+    large = find_large(staging, [KEY], within=[staging])
     rows = neighbour(rows, [KEY], [START, BATCH, SOURCE], "_previous", F.col(HASH), large=large)
     rows = rows.withColumn(ACTION, (
         F.when(F.col(SOURCE) == "Target", UPDATE)

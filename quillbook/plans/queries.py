@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from quillbook.functions import codes, groups, identity, rules
 from quillbook.operators import batches, cdc, classify, controls, errors, hierarchy, lookups, reshape, scd2
 from quillbook.operators.batch import Batch
-from quillbook.plans import load
+from quillbook.plans import load, warehouse
 from quillbook.plans import workload as w
 from quillbook.session import configure, materialise, stage_path
 from quillbook.sources import extracts as ex
@@ -554,11 +554,63 @@ def scd2_working(spark, folder):
     return working.select(*VERSION_OUT, scd2.ACTION, scd2.SOURCE)
 
 
+FIRST_LOAD, SECOND_LOAD = 20240115, 20240131
+
+
+def _logged(spark, folder) -> warehouse.History:
+    """History of the first half as a log of loads."""
+    first = _first_half(spark, folder)
+    history = warehouse.History.create(spark, stage_path(spark, "history-log"), first.schema)
+    history.adopt(first, FIRST_LOAD)
+    return history
+
+
 @query
 def scd2_history(spark, folder):
-    history = _first_half(spark, folder)
-    working = scd2.working_type2(_second_half(spark, folder), history)
-    return scd2.apply_working(history, working).select(*VERSION_OUT)
+    """The second half loaded on top of the first; open versions meet their closures when read."""
+    history = _logged(spark, folder)
+    history.load(_second_half(spark, folder), SECOND_LOAD)
+    return history.versions().select(*VERSION_OUT)
+
+
+@query
+def history_loads(spark, folder):
+    """Three loads, and what each of them wrote: versions and closures."""
+    staging = materialise(_staged(_daily(spark, folder)), "staging")
+    history = warehouse.History.create(spark, stage_path(spark, "history-log"), staging.schema)
+    for low, high in ((0, 20240110), (20240110, 20240120), (20240120, 20240231)):
+        history.load(staging.where((F.col(scd2.BATCH) > low) & (F.col(scd2.BATCH) <= high)), high)
+    return history.commits().where("kind = 'load'").select("kind", "batch", "cycle", "newest", "versions", "closures")
+
+
+@query
+def compacted_history(spark, folder):
+    """Loads, deletes and a compaction; then another delete, which meets compacted versions."""
+    history = _logged(spark, folder)
+    history.load(_second_half(spark, folder), SECOND_LOAD)
+    versions = history.versions()
+    history.delete(versions.where("event_type = 'error'").select(
+        F.col(scd2.KEY).alias("documentid"), F.lit(date(2024, 2, 15)).alias("pointofviewstopdate")), 20240215)
+    history.compact()
+    history.vacuum()
+    history.delete(history.in_force().where("event_type = 'click'").select(
+        F.col(scd2.KEY).alias("documentid"), F.lit(date(2024, 2, 20)).alias("pointofviewstopdate")), 20240220)
+    return history.versions().select(*VERSION_OUT)
+
+
+@query
+def replay_balance(spark, folder):
+    """The load of the second half measured against its replay, per batch: new, ended and repeated versions."""
+    history, staging = _logged(spark, folder), materialise(_second_half(spark, folder), "staging")
+    before = history.in_force()
+    history.load(staging, SECOND_LOAD)
+    named = staging.select(F.col(scd2.CYCLE).alias("cycle_date"), F.col(scd2.BATCH).alias("batch_id")).distinct()
+    fields = ["user_id", "event_type", scd2.START]
+    rows = warehouse.replayed(staging, before, history, history.closed_by([SECOND_LOAD]), named, fields)
+    measures = [controls.Measure(controls.TOTAL_COUNT), controls.Measure(controls.DISTINCT_COUNT, "event_type"),
+                controls.Measure(controls.SUM_TOTAL, "user_id"), controls.Measure(controls.SUM_YEAR, scd2.START),
+                controls.Measure(controls.GROUPED_COUNT, "event_type")]
+    return warehouse.balance_replay(rows, measures, "users")
 
 
 @query
@@ -586,10 +638,11 @@ def scd2_expected(spark, folder):
 
 @query
 def scd2_deletes(spark, folder):
-    history = _history(spark, folder)
-    gone = history.where(F.col("event_type") == "error").select(
-        F.col(scd2.KEY).alias("documentid"), F.lit(date(2024, 2, 15)).alias("pointofviewstopdate"))
-    return scd2.close_deleted(history, gone).select(*VERSION_OUT)
+    history = _logged(spark, folder)
+    history.load(_second_half(spark, folder), SECOND_LOAD)
+    history.delete(history.versions().where("event_type = 'error'").select(
+        F.col(scd2.KEY).alias("documentid"), F.lit(date(2024, 2, 15)).alias("pointofviewstopdate")), 20240215)
+    return history.versions().select(*VERSION_OUT)
 
 
 @query

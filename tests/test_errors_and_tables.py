@@ -200,11 +200,37 @@ def test_hierarchy(spark):
                                    ("d", "r", "D", "1", 1)], "name string, parent string, description_us string, allow_posting string, cycle_date int")
     paths = hierarchy.level_paths(nodes, ["allow_posting"])
     assert values(paths, "name", "level", "level_1", "level_2", "level_4", "level_3") == [
-        ("a", 2, "Root", "A", None, None), ("b", 3, "Root", "A", None, None), ("c", 4, "Root", "A", "C", None),
+        ("a", 2, "Root", "A", None, None), ("b", 3, "Root", "A", None, "B"), ("c", 4, "Root", "A", "C", "B"),
         ("d", 2, "Root", "D", None, None), ("r", 1, "Root", None, None, None)]
     assert values(hierarchy.leaves_below(nodes, "A"), "name") == [("b",), ("c",)]
 
 
+TREE_ROW = "name string, parent string, description_us string, cycle_date int"
+
+
+def test_paths_double(spark, monkeypatch):
+    """25 levels in five rounds; several parents and cycles; nodes below no root are left out."""
+    rounds = []
+    plain = hierarchy.materialise
+    monkeypatch.setattr(hierarchy, "materialise", lambda df, label: rounds.append(label) or plain(df, label))
+    rows = [(f"n{i}", f"n{i - 1}" if i else None, f"N{i}", 1) for i in range(25)]
+    rows += [("two", "n3", "Two", 1), ("two", "n20", "Two", 1), ("other", "gone", "Other", 1), ("n1", "n0", "Again", 2), ("n0", None, "Zero", 2)]
+    found = hierarchy.level_paths(spark.createDataFrame(rows, TREE_ROW), [])
+    assert len(rounds) == 6  # the rows themselves and five rounds
+    got = {(r["name"], r["cycle_date"], r["level"]): [r[f"level_{i}"] for i in range(1, 26)] for r in found.collect()}
+    assert len(got) == 25 + 2 + 2 and got[("n24", 1, 25)] == [f"N{i}" for i in range(25)]
+    assert got[("two", 1, 5)] == ["N0", "N1", "N2", "N3", "Two"] + [None] * 20 and ("two", 1, 22) in got
+    assert got[("n1", 2, 2)][:3] == ["Zero", "Again", None]
+
+
+@pytest.mark.parametrize("loop", [1, 2, 3, 8, 13])
+def test_loops_are_found(spark, loop):
+    rows = [("root", None, "Root", 1), ("a", "root", "A", 1)]
+    rows += [(f"x{i}", f"x{(i + 1) % loop}", "X", 1) for i in range(loop)] + [("below", "x0", "B", 1), ("below", "a", "B", 1)]
+    with pytest.raises(ValueError, match="below itself"):
+        hierarchy.level_paths(spark.createDataFrame(rows, TREE_ROW), [])
+
+
 def test_schema_reconciliation(spark):
     h, li = spark.createDataFrame([], "a int, b int"), spark.createDataFrame([], "b int, c int")
     assert reshape.schema_differences(h, li) == (["a"], ["c"])
