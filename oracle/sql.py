@@ -439,6 +439,29 @@ sql("touched_documents", """with touched as (select o_orderkey as k from orders
  select o_orderkey as documentid, cast(strftime(o_orderdate, '%Y%m') as bigint) as batchid, cast(199806 as bigint) as for_batch from orders
  where cast(o_orderdate as date) <= date '1998-06-30' and o_orderkey in (select k from touched)""")
 
+sql("touched_by_batches", """with days as (select last_day(cast(o_orderdate as date)) as c, cast(strftime(o_orderdate, '%Y%m') as bigint) as b, o_orderpriority as s from orders
+  where (year(o_orderdate) * 12 + month(o_orderdate)) % 17 = 5 and o_orderpriority <> '3-MEDIUM' group by all),
+ con as (select o_orderkey as k, cast(strftime(o_orderdate, '%Y%m') as bigint) as b, o_orderpriority as s, cast(o_orderdate as date) as f,
+  case when o_orderkey % 3 = 0 then date '9999-12-31' else cast(o_orderdate as date) + cast(90 + o_custkey % 400 as int) end as t from orders),
+ lnk as (select l_orderkey as k, l_suppkey as p, cast(strftime(l_shipdate, '%Y%m') as bigint) as b, o_orderpriority as s, l_linenumber < 3 as pri, cast(l_shipdate as date) as f,
+  cast(l_shipdate as date) + cast(30 * l_linenumber as int) as t from lineitem join orders on l_orderkey = o_orderkey),
+ par as (select distinct s_suppkey as p, 199401 + 100 * (s_suppkey % 6) + s_suppkey % 12 as b, o_orderpriority as s from supplier join orders on s_suppkey % 50 = o_custkey % 50),
+ touched as (select k from con join days using (b, s) union select k from lnk join days using (b, s)
+  union select k from lnk join days on lnk.s = days.s and c between f and t where pri and p in (select p from par join days using (b, s)))
+ select k as documentid, con.b as batchid, days.b as for_batch, con.s as source_system_name from con join days on con.s = days.s and c between f and t where k in (select k from touched)""", "")
+sql("catalogue_by_system", f"""with cat as (select distinct * from ({q.CATALOGUE}) where is_active = 'Y'),
+ rws as (select *, case when l_returnflag = 'R' then 'returns' else 'sales' end as domain_name, l_linestatus as source_system_name, year(l_shipdate) as yr from lineitem),
+ met as (select r.*, c.measure_type as op, c.measure_field as f, case c.measure_field when 'l_suppkey' then cast(l_suppkey as varchar) when 'l_linenumber' then cast(l_linenumber as varchar)
+  when 'l_returnflag' then l_returnflag end as txt from rws r join cat c using (domain_name, source_system_name))
+ select domain_name, source_system_name, yr as year, op as operation, domain_name || '_' || f as control_id, case when op <> 'Count grouped by distinct value' then f end as fact_col_name,
+  case when op = 'Count grouped by distinct value' then f end as group_col_name, case when op = 'Count grouped by distinct value' then txt end as group_col_val,
+  cast(case when op in ('Total Count', 'Count grouped by distinct value') then count(*) when op = 'DistinctCount' then count(distinct txt)
+   when op = 'Sum Total' then case when f = 'l_quantity' then sum(l_quantity) else 0 end else sum(year(l_shipdate)) end as double) as fact_val
+ from met group by domain_name, source_system_name, yr, op, f, case when op = 'Count grouped by distinct value' then txt end""")
+sql("error_report_by_source", f"""select 'tpch_general_ledger_header' as table_name, cast(cast(o_orderdate as date) as varchar) as original_cycle_date, cast({_MONTH} as bigint) as original_batch_id,
+ {_KIND} as error_classification_name, {_TYPE} as error_type, '1-URGENT' as source_system, count(*) as error_record_count from orders where o_orderstatus <> 'P'
+ and cast(o_orderdate as date) in (select cast(o_orderdate as date) from orders where o_orderpriority = '1-URGENT' and o_custkey % 2 = 0 and o_orderkey % 3 <> 0) group by all""")
+
 # Batches.
 
 TRACK = f"""tracking as ({q.TRACKING}), done as (select * from tracking where load_status = 'complete'),

@@ -13,8 +13,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quillbook.functions import codes
+from quillbook.session import control_table
 
 TAGS = ["S", "T", "SA", "SI", "TI", "TA"]
 # The old name of a tag, and the tags that lower the target.
@@ -30,6 +32,7 @@ GROUPED_COUNT = "Count grouped by distinct value"
 
 VALUE = "decimal(38,6)"
 GROUP = "_group"
+ENTRY = "struct<text:string,number:decimal(28,6),year:bigint>"
 
 
 @dataclass(frozen=True)
@@ -121,6 +124,46 @@ def measure(
     return log.withColumns({"domain": F.lit(domain), "hop_name": F.lit(hop)})
 
 
+def measure_by_catalogue(rows: DataFrame, catalogue: DataFrame, fields: list[str], tag: Column | str, hop: str, by: tuple[str, ...] = ()) -> DataFrame:
+    """The active measures of all domains and systems in one pass; the catalogue stays a table.
+
+    ``rows`` and ``catalogue`` have ``domain_name`` and ``source_system_name``.
+    Each row meets the measures of its domain and system as one array, takes
+    the fields that these name and no others, and goes into one aggregation by
+    measure. Fields that are not among ``fields`` are measured as null: counts
+    and sums of them are zero. ``recordcount`` counts rows.
+    """
+    keys = ["domain_name", "source_system_name"]
+    active = catalogue.where(F.col("is_active") == "Y").select(*keys, "measure_type", "measure_field").distinct()
+    listed = control_table(active.groupBy(*keys).agg(F.collect_set(F.struct("measure_type", "measure_field")).alias("_measures")))
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+
+    def entry(f: str) -> Column:
+        number = F.col(f).cast("decimal(28,6)") if isinstance(kinds[f], T.NumericType) else F.lit(None).cast("decimal(28,6)")
+        year = F.year(f) if isinstance(kinds[f], (T.DateType, T.TimestampType, T.TimestampNTZType)) else F.lit(None).cast("int")
+        return F.struct(F.col(f).cast("string").alias("text"), number.alias("number"), year.cast("bigint").alias("year")).cast(ENTRY)
+
+    values = F.create_map(*[x for f in fields for x in (F.lit(f), entry(f))])
+    tag = F.lit(tag) if isinstance(tag, str) else tag
+    met = rows.withColumn("tag", tag).join(listed, keys).select(*keys, *by, "tag", values.alias("_values"), F.explode("_measures").alias("_m"))
+    of = F.try_element_at("_values", F.col("_m.measure_field"))
+    met = met.select(*keys, *by, "tag", F.col("_m.measure_type").alias("operation"), F.col("_m.measure_field").alias("field"),
+                     of["text"].alias("_text"), of["number"].alias("_number"), of["year"].alias("_year"))
+    is_group = F.col("operation") == GROUPED_COUNT
+    found = met.withColumn("group_col_val", F.when(is_group, F.col("_text"))).groupBy(*keys, *by, "tag", "operation", "field", "group_col_val").agg(
+        F.count(F.lit(1)).alias("_count"), F.sum("_number").alias("_sum"), F.sum("_year").alias("_years"),
+        F.countDistinct(F.when(F.col("operation") == DISTINCT_COUNT, F.col("_text"))).alias("_distinct"))
+    value = (F.when(F.col("operation").isin(TOTAL_COUNT, GROUPED_COUNT), F.col("_count").cast(VALUE))
+             .when(F.col("operation") == DISTINCT_COUNT, F.col("_distinct").cast(VALUE))
+             .when(F.col("operation") == SUM_TOTAL, F.col("_sum").cast(VALUE))
+             .when(F.col("operation") == SUM_YEAR, F.col("_years").cast(VALUE)))
+    return found.select(
+        *keys, *by, "tag", "operation",
+        F.concat_ws("_", "domain_name", F.translate("field", ",.", "__")).alias("control_id"),
+        F.when(~is_group, F.col("field")).alias("fact_col_name"), F.when(is_group, F.col("field")).alias("group_col_name"), "group_col_val",
+        F.coalesce(value, F.lit(0).cast(VALUE)).alias("fact_val"), F.lit(hop).alias("hop_name"))
+
+
 def measure_copies(
     rows: DataFrame, keys: list[str], measures: list[Measure], domain: str, hop: str
 ) -> DataFrame:

@@ -300,9 +300,21 @@ def error_type() -> Column:
     )
 
 
-def error_details(errors: DataFrame, batches: DataFrame) -> DataFrame:
-    """Open errors counted by origin, class, type and message."""
+def error_details(
+    errors: DataFrame, batches: DataFrame, source_system: str | None = None, domain: str | None = None, frequency: str | None = None,
+    table_names: list[str] | None = None,
+) -> DataFrame:
+    """Open errors counted by origin, class, type and message, for the days that have a batch.
+
+    A report is on the batches of one source system, domain and frequency, and
+    on the error tables that belong to them; each day counts once.
+    """
+    wanted = {"source_system": source_system, "domain_name": domain, "batch_frequency": frequency}
+    for name, value in wanted.items():
+        batches = batches if value is None else batches.where(F.col(name) == value)
     open_errors = errors.where(F.col("reprocess_flag").isin(SOFT, HARD) & F.col("original_batch_id").isNotNull())
+    if table_names is not None:
+        open_errors = open_errors.where(F.col("table_name").isin(table_names))
     known = control_table(batches.select(F.col("cycle_date").alias("original_cycle_date"), "source_system"))
     return open_errors.join(known, "original_cycle_date").withColumn("error_type", error_type()).groupBy(
         "table_name", "original_cycle_date", "original_batch_id", "error_classification_name", "error_type",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from quillbook.session import materialise
@@ -25,26 +25,28 @@ def level_paths(nodes: DataFrame, extra: list[str]) -> DataFrame:
     """
     columns = ["name", "parent", *extra, "cycle_date"]
     step = F.struct(F.col("name").alias("name"), F.col("description_us").cast("string").alias("label"))
-    own = materialise(nodes.select(*columns, F.col("parent").alias("_top"), F.array(step).alias("_path")), "paths")
+    names = F.transform("_path", lambda s: s["name"])
+    # Named by a path from a root where there is one.
+    looped = F.when(F.size(names) > F.size(F.array_distinct(names)), F.concat(
+        F.col("_top").isNull().cast("int").cast("string"), F.array_join(names, " > ")))
     parts, deepest = [], 1
+    longer = nodes.select(*columns, F.col("parent").alias("_top"), F.array(step).alias("_path"))
     while True:
+        seen = Observation()
+        own = materialise(longer.observe(
+            seen, F.count("_top").alias("left"), F.max(looped).alias("loop"),
+            F.max(F.when(F.col("_top").isNull(), F.size("_path"))).alias("depth")), "paths")
+        if seen.get["loop"] is not None:
+            raise ValueError(f"a node lies below itself: {seen.get['loop'][1:]}")
         done, going = own.where(F.col("_top").isNull()), own.where(F.col("_top").isNotNull())
         parts.append(done)
-        names = F.transform("_path", lambda s: s["name"])
-        # Named by a path from a root where there is one.
-        looped = F.when(F.size(names) > F.size(F.array_distinct(names)), F.struct(
-            F.col("_top").isNull().alias("whole"), F.array_join(names, " > ").alias("names")))
-        left, loop, depth = own.agg(F.count("_top"), F.max(looped), F.max(F.when(F.col("_top").isNull(), F.size("_path")))).first()
-        if loop is not None:
-            raise ValueError(f"a node lies below itself: {loop['names']}")
-        deepest = max(deepest, depth or 0)
-        if not left:
+        deepest = max(deepest, seen.get["depth"] or 0)
+        if not seen.get["left"]:
             break
         above = reduce(DataFrame.unionByName, [*parts, going]).select(
             F.col("name").alias("_top"), "cycle_date", F.col("_path").alias("_above"), F.col("_top").alias("_next"))
         longer = going.join(above, ["_top", "cycle_date"]).select(
             *columns, F.col("_next").alias("_top"), F.concat("_above", "_path").alias("_path"))
-        own = materialise(longer, "paths")
     everything = reduce(DataFrame.unionByName, parts)
     return everything.select(*columns, F.size("_path").alias("level"), *[
         F.get("_path", F.lit(i))["label"].alias(f"level_{i + 1}") for i in range(deepest)])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from quillbook.functions.groups import Large, find_large, neighbour, number_rows
 from quillbook.functions.identity import row_hash
 from quillbook.operators.cdc import INSERT, UNCHANGED, UPDATE
+from quillbook.operators.lookups import in_force_on
 from quillbook.session import control_table, materialise
 from quillbook.sources.extracts import latest
 from quillbook.sources.tables import replace_batches
@@ -256,28 +257,30 @@ def closed_by_batch(history: DataFrame, working: DataFrame, batches: DataFrame,
 
 
 def touched_documents(
-    batches: DataFrame, contracts: DataFrame, relationships: DataFrame, parties: DataFrame, steps: Steps = Steps()
+    batches: DataFrame, contracts: DataFrame, relationships: DataFrame, parties: DataFrame, steps: Steps = Steps(), kind: str | None = None
 ) -> DataFrame:
-    """Contract versions in force on a batch's cycle date that the batch touched.
+    """Contract versions in force on a batch's cycle date that the batches touched.
 
     A contract is touched through itself, through one of its relationships or
-    through the party of one of its relationships.
+    through the party of one of its relationships; with ``kind``, the latter
+    through relationships of that type only (``relationshiptype``).
     """
     batches = control_table(batches.select("cycle_date", "batch_id", "source_system_name"))
+    days = batches.select("cycle_date", "source_system_name", F.col("batch_id").alias("for_batch"))
 
     def loaded_in(df: DataFrame) -> DataFrame:
         named = batches.select(F.col("batch_id").alias(BATCH), "source_system_name")
         return df.join(named, [BATCH, "source_system_name"], "left_semi")
 
     def in_force(df: DataFrame) -> DataFrame:
-        b = batches.select("cycle_date", "source_system_name", F.col("batch_id").alias("for_batch"))
-        return df.join(b, "source_system_name").where(
-            F.col("cycle_date").cast(steps.type).between(F.col(START), F.col(STOP)))
+        return in_force_on(df, days, ["source_system_name"], START, STOP, "cycle_date")
 
     own = loaded_in(contracts).select("documentid")
     linked = loaded_in(relationships).select(F.col("contract_documentid").alias("documentid"))
     changed = loaded_in(parties).select(F.col("documentid").alias("party_documentid"))
-    through = in_force(relationships).join(changed, "party_documentid", "left_semi").select(
+    through = relationships if kind is None else relationships.where(F.col("relationshiptype") == kind)
+    # Both semi joins come before the versions meet the dates, so only what was touched is cut into cells.
+    through = in_force(through.join(changed, "party_documentid", "left_semi")).select(
         F.col("contract_documentid").alias("documentid"))
     touched = own.unionByName(linked).unionByName(through).distinct()
-    return in_force(contracts).join(touched, "documentid", "left_semi")
+    return in_force(contracts.join(touched, "documentid", "left_semi"))

@@ -13,6 +13,7 @@ from quillbook.operators.batch import Batch
 from quillbook.session import control_table, materialise
 from quillbook.sources import extracts as ex
 from quillbook.sources import tables
+from quillbook.sources.journal import APPEND, REPLACE, Journal
 
 
 @dataclass(frozen=True)
@@ -111,17 +112,27 @@ def load_lines(
     )
 
 
+def _journal(spark: SparkSession, batch: Batch, error_table: str, kind: str) -> Journal:
+    name = f"{error_table}-{batch.table_name}-{batch.cycle_date}-{batch.batch_id}-{kind}".replace("/", "_").replace(".", "_")
+    return Journal(spark, name)
+
+
 def store(outcome: Outcome, batch: Batch, table: str, error_table: str) -> None:
-    """Write a load: errors first, then the final set.
+    """Write a load: errors and the final set, all of them or none.
 
     Hard and cleared rows are appended. Soft rows and the batch's partition of
-    the table replace what was there, also when there are none.
+    the table replace what was there, also when there are none. Where an
+    earlier run of this load died after its parts had been written, these are
+    brought to the tables and the outcome given here is not.
     """
-    tables.append(outcome.hard.unionByName(outcome.cleared), error_table)
-    tables.replace_partition(
-        outcome.soft, error_table, {"table_name": batch.table_name, "reprocess_flag": errors.SOFT})
-    tables.replace_partition(
-        outcome.final, table, {"cycle_date": batch.cycle_date, "batch_id": batch.batch_id})
+    journal = _journal(outcome.final.sparkSession, batch, error_table, "store")
+    if journal.recover():
+        return
+    journal.put(outcome.hard.unionByName(outcome.cleared), error_table, APPEND)
+    journal.put(outcome.soft, error_table, REPLACE, {"table_name": batch.table_name, "reprocess_flag": errors.SOFT})
+    journal.put(outcome.final, table, REPLACE, {"cycle_date": batch.cycle_date, "batch_id": batch.batch_id})
+    journal.commit()
+    journal.apply()
 
 
 def carried_errors(error_table: DataFrame, batch: Batch, fields: list[str]) -> DataFrame:
@@ -153,16 +164,20 @@ def prepare_errors(spark: SparkSession, batch: Batch, error_table: str, rerun: b
 
 
 def age_errors(spark: SparkSession, batch: Batch, error_table: str, max_days: int = errors.MAX_AGE_DAYS) -> None:
-    """Turn the soft errors that are too old into hard ones in the table."""
+    """Turn the soft errors that are too old into hard ones in the table; both partitions change or none."""
+    journal = _journal(spark, batch, error_table, "age")
+    if journal.recover():
+        return
     soft = spark.table(error_table).where(
         (F.col("table_name") == batch.table_name) & (F.col("reprocess_flag") == errors.SOFT))
     if soft.isEmpty():
         return
     aged = materialise(errors.age_soft_errors(soft, batch, errors.error_schema(soft), max_days), "aged")
-    tables.append(aged.where(F.col("reprocess_flag") == errors.HARD), error_table)
-    tables.replace_partition(
-        aged.where(F.col("reprocess_flag") == errors.SOFT), error_table,
-        {"table_name": batch.table_name, "reprocess_flag": errors.SOFT})
+    journal.put(aged.where(F.col("reprocess_flag") == errors.HARD), error_table, APPEND)
+    journal.put(aged.where(F.col("reprocess_flag") == errors.SOFT), error_table, REPLACE, {
+        "table_name": batch.table_name, "reprocess_flag": errors.SOFT})
+    journal.commit()
+    journal.apply()
 
 
 def load_log(

@@ -386,6 +386,15 @@ def error_summary(spark, folder):
     return errors.report_order(errors.error_summary(details))
 
 
+@query
+def error_report_by_source(spark, folder):
+    """Errors of the days on which one system has daily batches of the domain."""
+    batches_of = w.query(spark, folder, """select cast(o_orderdate as date) as cycle_date, o_orderpriority as source_system, case when o_custkey % 2 = 0 then 'headers' else 'lines' end as domain_name,
+      case when o_orderkey % 3 = 0 then 'MONTHLY' else 'DAILY' end as batch_frequency from orders""")
+    details = errors.error_details(_order_errors(spark, folder), batches_of, "1-URGENT", "headers", "DAILY", ["tpch_general_ledger_header"])
+    return errors.report_order(errors.error_summary(details))
+
+
 @query
 def missing_references(spark, folder):
     return errors.missing_references(errors.error_details(_order_errors(spark, folder), _error_batches(spark, folder)))
@@ -691,6 +700,25 @@ def touched_documents(spark, folder):
     return scd2.touched_documents(current, contracts, links, parties).select("documentid", "batchid", "for_batch")
 
 
+SYSTEM_CONTRACTS = """select o_orderkey as documentid, cast(year(o_orderdate) * 100 + month(o_orderdate) as bigint) as batchid, o_orderpriority as source_system_name,
+ cast(o_orderdate as date) as pointofviewstartdate, case when o_orderkey % 3 = 0 then date '9999-12-31' else date_add(cast(o_orderdate as date), 90 + cast(o_custkey % 400 as int)) end as pointofviewstopdate from orders"""
+SYSTEM_LINKS = """select l_orderkey as contract_documentid, l_suppkey as party_documentid, cast(year(l_shipdate) * 100 + month(l_shipdate) as bigint) as batchid, o_orderpriority as source_system_name,
+ case when l_linenumber < 3 then 'Primary Insured' else 'Owner' end as relationshiptype, cast(l_shipdate as date) as pointofviewstartdate,
+ date_add(cast(l_shipdate as date), 30 * l_linenumber) as pointofviewstopdate from lineitem join orders on l_orderkey = o_orderkey"""
+SYSTEM_PARTIES = """select distinct s_suppkey as documentid, cast(199401 + 100 * (s_suppkey % 6) + s_suppkey % 12 as bigint) as batchid, o_orderpriority as source_system_name
+ from supplier join orders on s_suppkey % 50 = o_custkey % 50"""
+SYSTEM_BATCHES = """select distinct last_day(cast(o_orderdate as date)) as cycle_date, cast(year(o_orderdate) * 100 + month(o_orderdate) as bigint) as batch_id, o_orderpriority as source_system_name
+ from orders where (year(o_orderdate) * 12 + month(o_orderdate)) % 17 = 5 and o_orderpriority <> '3-MEDIUM'"""
+
+
+@query
+def touched_by_batches(spark, folder):
+    """Several batches of several systems, parties through primary insured only."""
+    contracts, links, parties, current = (w.query(spark, folder, t) for t in (SYSTEM_CONTRACTS, SYSTEM_LINKS, SYSTEM_PARTIES, SYSTEM_BATCHES))
+    found = scd2.touched_documents(current, contracts, links, parties, kind="Primary Insured")
+    return found.select("documentid", "batchid", "for_batch", "source_system_name")
+
+
 # Batches.
 
 TRACKING = """select event_type as source_system_name, 'dom' || cast(user_id % 4 as string) as domain_name,
@@ -878,6 +906,24 @@ def catalogue_measures(spark, folder):
         "operation", "fact_col_name", "fact_val")
 
 
+# Domains, systems and measures: every fifth combination is not active, and some name a field that rows do not have.
+CATALOGUE = """select distinct case when a.n_regionkey < 3 then 'sales' else 'returns' end as domain_name, case when a.n_nationkey % 2 = 0 then 'F' else 'O' end as source_system_name,
+ case b.n_nationkey % 5 when 0 then 'Total Count' when 1 then 'DistinctCount' when 2 then 'Sum Total' when 3 then 'Sum Total on Year' else 'Count grouped by distinct value' end as measure_type,
+ case b.n_nationkey % 5 when 0 then 'recordcount' when 1 then case when b.n_regionkey < 2 then 'l_suppkey' else 'l_linenumber' end when 2 then case when b.n_regionkey < 3 then 'l_quantity' else 'l_tax' end
+  when 3 then 'l_shipdate' else case when b.n_regionkey < 2 then 'l_linenumber' else 'l_returnflag' end end as measure_field,
+ case when (a.n_regionkey + b.n_nationkey) % 5 = 0 then 'N' else 'Y' end as is_active from nation a join nation b on (a.n_nationkey + b.n_nationkey) % 3 = 0"""
+
+
+@query
+def catalogue_by_system(spark, folder):
+    """Two domains with two systems each, measured in one pass by what the catalogue names for them."""
+    lines = w.table(spark, folder, "lineitem").withColumns({
+        "domain_name": F.when(F.col("l_returnflag") == "R", "returns").otherwise("sales"), "source_system_name": F.col("l_linestatus"), "year": F.year("l_shipdate")})
+    fields = ["l_suppkey", "l_linenumber", "l_quantity", "l_shipdate", "l_returnflag"]
+    found = controls.measure_by_catalogue(lines, w.query(spark, folder, CATALOGUE), fields, "S", "staging", by=("year",))
+    return found.drop("hop_name", "tag")
+
+
 LINE_MEASURES = [controls.Measure(controls.TOTAL_COUNT), controls.Measure(controls.SUM_TOTAL, "default_amount", "ignore_negative"),
                  controls.Measure(controls.GROUPED_COUNT, "data_type")]
 

@@ -15,6 +15,7 @@ from quillbook.operators import controls, errors, lookups, scd2
 from quillbook.plans import load as loads
 from quillbook.plans import warehouse
 from quillbook.sources import tables
+from quillbook.sources.journal import APPEND, Journal
 
 
 def files(path):
@@ -214,6 +215,50 @@ def test_ageing_in_the_table(spark, batch, error_table):
     assert values(spark.table(error_table), "reprocess_flag") == [("N",), ("N",)]
 
 
+@pytest.mark.parametrize("dies", ["before the marker", "after the append", "between the partitions"])
+def test_a_store_that_dies(spark, known, batch, error_table, monkeypatch, dies):
+    """A second run ends with the same tables as one that never died."""
+    h, _, _ = both(spark, known, batch, raw_row(), raw_row(source="999X"), raw_row(company="010"))
+    spark.sql("drop table if exists stored")
+    tables.create(spark, "stored", h.final.schema, ["cycle_date", "batch_id"])
+    tables.append(frame(spark, error(flag="N", kind="Hard", day=date(2025, 12, 1), number=5)), error_table)
+    replace_partition, calls = tables.replace_partition, []
+
+    def dying(*args):
+        calls.append(args)
+        if len(calls) == (1 if dies == "after the append" else 2):
+            raise RuntimeError("lost")
+        replace_partition(*args)
+
+    with monkeypatch.context() as m:
+        if dies == "before the marker":
+            m.setattr(Journal, "commit", lambda self: (_ for _ in ()).throw(RuntimeError("lost")))
+        else:
+            m.setattr(tables, "replace_partition", dying)
+        with pytest.raises(RuntimeError, match="lost"):
+            loads.store(h, batch, "stored", error_table)
+    loads.store(h, batch, "stored", error_table)
+    columns = ["reprocess_flag", "original_batch_id", "error_message"]
+    wanted = h.hard.unionByName(h.cleared).unionByName(h.soft).unionByName(
+        frame(spark, error(flag="N", kind="Hard", day=date(2025, 12, 1), number=5)).select(*h.hard.columns), allowMissingColumns=True)
+    assert values(spark.table(error_table), *columns) == values(wanted, *columns)
+    assert spark.table("stored").count() == h.final.count() > 0
+    assert not Journal(spark, "any").committed()
+
+
+def test_part_of_an_append_is_completed(spark, error_table):
+    """Files of an append that came through one by one: the partition is put together anew."""
+    old, new = frame(spark, error(message="old")), frame(spark, error(message="a"), error(message="a"), error(message="b"))
+    tables.append(old, error_table)
+    journal = Journal(spark, "part")
+    journal.put(new, error_table, APPEND)
+    journal.commit()
+    tables.append(new.where("error_message = 'b'"), error_table)
+    journal.apply()
+    assert values(spark.table(error_table), "error_message") == [("a",), ("a",), ("b",), ("old",)]
+    assert journal.recover() is False
+
+
 @pytest.mark.parametrize("limit", ["1000000", "20"])
 def test_as_of_equals_the_range_join(spark, limit):
     spark.conf.set("quillbook.group.rows", limit)
