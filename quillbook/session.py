@@ -65,7 +65,15 @@ def materialise(df: DataFrame, label: str = "stage") -> DataFrame:
     spark = df.sparkSession
     path = stage_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    stage = spark.read.schema(df.schema).parquet(path)
+    stage.stage_path = path
+    return stage
+
+
+def discard(*stages: DataFrame) -> None:
+    """Remove tables that :func:`materialise` wrote, once everything that reads them is stored itself."""
+    for stage in stages:
+        remove(stage.sparkSession, stage.stage_path)
 
 
 def control_table(df: DataFrame) -> DataFrame:
