@@ -1,31 +1,37 @@
 """Near-duplicate documents by an inverted join over MinHash signatures.
 
 Every text is a set of shingles of n words; its signature has one minimum per
-coordinate. A document is posted under each (coordinate, value) pair. Two
-documents with a similarity of 0.8 agree in at least MATCHES of COORDINATES
-coordinates (a pair at the threshold misses that once in three million), which prunes the postings:
+permutation, and a coordinate is GROUP minima together. A document is posted
+under each (coordinate, value) pair. Two documents with a similarity of 0.8
+agree in at least MATCHES of COORDINATES coordinates (a pair at the threshold
+misses that once in a million), while texts that share some common
+shingles hardly ever agree in one, so lists stay short as the corpus grows:
 
 * texts with equal words are one node from the start, whatever their number;
 * postings that only one node has cannot collide, and a node with fewer than
   MATCHES others is dropped (repeated, as each drop makes more such postings);
 * prefix: of a node with c postings left only the c - MATCHES + 1 rarest are
   merged, since two nodes that share MATCHES have one of those in common.
-  Frequent values, as a passage in many texts makes them, are skipped;
-* the agreement of a pair that met is counted on the whole signatures.
-
-* pairs that met agree in at least FINE_MATCHES of FINE coordinates, most of
-  which are kept as one byte only.
+  The most frequent values, as a passage in many texts makes them, are skipped;
+* the agreement of a pair that met is counted on the whole signatures: at
+  least FINE_MATCHES of FINE minima, of which one byte each is kept.
 
 Pairs above the threshold are confirmed on the full shingle sets of the texts.
-No list is turned into all its pairs while that can be avoided: first each
-node of a list meets one hub of the list, confirmed links join nodes to
-components, and lists inside one component are done. In the first round the
-hubs of all lists go by one order, so a group has few; in the later ones each
-list has its own, so a node meets many members of its group. What these rounds
-leave in different components is compared pair by pair, inside the join and
-each pair at its first common list: nodes that agree with one of another
-component stay, and a pair of them may differ in at most BITS_APART of BITS
-one-bit coordinates, which are made for these nodes alone.
+No list is turned into all its pairs while that can be avoided: each node of a
+list meets one hub of the list, confirmed links join nodes to components, and
+lists inside one component are done. In the first round the hubs of all lists
+go by one order, so a group has few; in the later ones each list has its own,
+and a node tries one hub of each other component, the one that it shares most
+lists with. So every round forms pairs in proportion to the nodes. Rounds go on
+while they find links. What they leave in different components is compared pair
+by pair, inside the join and each pair at its first common list: nodes that
+agree with one of another component stay, and a pair of them may differ in at
+most BITS_APART of BITS one-bit coordinates, which are made for these nodes
+alone. Of these pairs the closest one of each two components is tried first,
+again while that finds links; only pairs that then still lie in two components
+are all confirmed.
+
+Every table is removed as soon as what is made of it has been written.
 
 Null, empty and blank texts have no set and link with nothing, and so do rows
 without an id (component null, kept). A text with fewer words than a shingle
@@ -44,13 +50,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillbook.llm.batches import MIX1, chunks, hashes, lowered, mixed, spans, utf8
-from quillbook.session import materialise
+from quillbook.session import discard, materialise
 
-COORDINATES, MATCHES, PERCENT = 64, 34, 80
+#: Minima of a coordinate, coordinates, and how many of them a pair must share.
+GROUP, COORDINATES, MATCHES, PERCENT = 4, 32, 2, 80
 FINE, FINE_MATCHES = 128, 81
 #: Coordinates of which one bit is kept, and bits in which a pair at the threshold may differ (409.6 in the mean).
 BITS, BITS_APART = 4096, 501
-HUB_ROUNDS, PEELS = 2, 2
+HUB_ROUNDS, PEELS = 6, 2
 SEEDS = np.random.default_rng(20240607).integers(1, 1 << 32, size=(2, FINE + BITS), dtype=np.uint32)
 
 
@@ -99,10 +106,19 @@ def _signatures(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
+def _coordinates(table: np.ndarray) -> np.ndarray:
+    """32 bits of each GROUP minima of the signatures (rows, FINE)."""
+    parts = table.view(np.uint32).astype(np.uint64).reshape(len(table), COORDINATES, GROUP)
+    value = np.zeros((len(table), COORDINATES), np.uint64)
+    for j in range(GROUP):
+        value = mixed(value * MIX1 + parts[:, :, j] + np.uint64(j + 1))
+    return (value >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
 def signed(df: DataFrame, size: int) -> DataFrame:
-    """``doc_id, t, n_shingles, node, sig, fine`` of every row; equal words make equal nodes.
+    """``doc_id, t, n_shingles, words, sig, fine`` of every row; equal words have an equal digest.
 
-    ``sig`` has the coordinates that are posted, ``fine`` a byte of each of all.
+    ``sig`` has the coordinates that are posted, ``fine`` a byte of each minimum.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,15 +127,15 @@ def signed(df: DataFrame, size: int) -> DataFrame:
             n = np.diff(bounds)
             table = _signatures(values, bounds) if len(values) else np.zeros((0, FINE), np.int32)
             ends = np.concatenate([[0], np.cumsum((n > 0) * COORDINATES)]).astype(np.int32)
-            sig = pa.ListArray.from_arrays(pa.array(ends), pa.array(table[:, :COORDINATES].ravel()))
+            sig = pa.ListArray.from_arrays(pa.array(ends), pa.array(_coordinates(table).ravel()))
             ends = np.concatenate([[0], np.cumsum((n > 0) * (FINE // 8))]).astype(np.int32)
             fine = pa.ListArray.from_arrays(pa.array(ends), pa.array((table & 255).astype(np.uint8).view(np.int64).ravel()))
             yield pa.record_batch(
                 [batch.column("doc_id"), batch.column("t"), pa.array(n), pa.array(digests, pa.binary()), sig, fine],
-                ["doc_id", "t", "n_shingles", "node", "sig", "fine"])
+                ["doc_id", "t", "n_shingles", "words", "sig", "fine"])
 
     rows = df.withColumn("t", F.xxhash64("text"))
-    return rows.mapInArrow(run, "doc_id long, t long, n_shingles long, node binary, sig array<int>, fine array<long>")
+    return rows.mapInArrow(run, "doc_id long, t long, n_shingles long, words binary, sig array<int>, fine array<long>")
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
@@ -140,7 +156,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
 
     side = lambda n, c: texts.select(F.col("node").alias(n), F.col("text").alias(c))
     return pairs.join(side("a", "x"), "a").join(side("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(
-        run, "a binary, b binary")
+        run, "a long, b long")
 
 
 def _bits(texts: DataFrame, size: int) -> DataFrame:
@@ -156,7 +172,7 @@ def _bits(texts: DataFrame, size: int) -> DataFrame:
             bits = pa.ListArray.from_arrays(ends, pa.array(out.view(np.int64).ravel()))
             yield pa.record_batch([batch.column("node"), bits], ["node", "bits"])
 
-    return texts.select("node", "text").mapInArrow(run, "node binary, bits array<long>")
+    return texts.select("node", "text").mapInArrow(run, "node long, bits array<long>")
 
 
 def _apart(x: str, y: str) -> Column:
@@ -198,103 +214,162 @@ def joined(links: DataFrame, labels: DataFrame) -> DataFrame:
                 F.explode(F.array(F.struct("p", "q"), F.struct(F.col("q").alias("p"), F.col("p").alias("q")))).alias("e"))
             .select("e.*").groupBy("p").agg(F.min("q").alias("q")), "edges")
         if edges.isEmpty():
+            discard(edges)
             return labels
-        up = edges.select("p", F.least("p", "q").alias("to"))
+        up = materialise(edges.select("p", F.least("p", "q").alias("to")), "up")
+        discard(edges)
         while True:  # follow chains
-            up = materialise(up, "up")
             on = up.select(F.col("p").alias("to"), F.col("to").alias("further"))
             longer = up.join(on.where("further <> to"), "to", "left")
             if longer.where("further is not null").isEmpty():
                 break
-            up = longer.select("p", F.coalesce("further", "to").alias("to"))
-        labels = materialise(
+            before, up = up, materialise(longer.select("p", F.coalesce("further", "to").alias("to")), "up")
+            discard(before)
+        before, labels = labels, materialise(
             labels.join(up.withColumnRenamed("p", "comp"), "comp", "left").select("node", F.coalesce("to", "comp").alias("comp")),
             "labels")
+        discard(before, up)
 
 
 def _prefixes(sigs: DataFrame) -> DataFrame:
     """``node, key`` of the postings that have to be merged."""
     key = F.shiftleft(F.col("coord").cast("long"), 32).bitwiseOR(F.col("value").cast("long").bitwiseAND(F.lit(0xFFFFFFFF)))
-    posts = sigs.select("node", F.posexplode("sig").alias("coord", "value")).select("node", key.alias("key"))
+    posts, before = sigs.select("node", F.posexplode("sig").alias("coord", "value")).select("node", key.alias("key")), None
     for _ in range(PEELS):
         shared = posts.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        posts = materialise(posts.select("node", "key").join(shared, "key"), "postings")
-        enough = posts.groupBy("node").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= MATCHES)
-        posts = posts.join(enough, "node")
+        kept = materialise(posts.select("node", "key").join(shared, "key"), "postings")
+        if before is not None:
+            discard(before)
+        enough = kept.groupBy("node").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= MATCHES)
+        before, posts = kept, kept.join(enough, "node")
     # At most COORDINATES rows a node.
     rarest = F.slice(F.array_sort(F.collect_list(F.struct("n", "key"))), F.lit(1), F.size(F.collect_list("n")) - MATCHES + 1)
     merged = posts.groupBy("node").agg(rarest.alias("keys")).select("node", F.explode("keys").alias("k"))
-    return materialise(merged.select("node", "k.key"), "prefixes")
+    out = materialise(merged.select("node", "k.key"), "prefixes")
+    discard(before)
+    return out
+
+
+def _open(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """``key, node, comp`` of the lists that lie in several components."""
+    state = lists.join(labels, "node").select("key", "node", "comp")
+    keys = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    return materialise(state.join(keys.select("key"), "key"), "open")
+
+
+def _with_hubs(state: DataFrame, turn: int) -> DataFrame:
+    """``a, b``: each node with a hub of its lists in each other component."""
+    order = F.xxhash64("node") if turn == 0 else F.xxhash64("node", "key", F.lit(turn))
+    hubs = state.groupBy("key").agg(F.min_by(F.struct("node", "comp"), order).alias("h")).select(
+        "key", F.col("h.node").alias("hub"), F.col("h.comp").alias("hub_comp"))
+    met = state.join(hubs, "key").where("comp <> hub_comp").groupBy("node", "hub_comp", "hub").agg(F.count(F.lit(1)).alias("n"))
+    best = met.groupBy("node", "hub_comp").agg(F.max(F.struct("n", F.xxhash64("hub", "node").alias("o"), "hub"))["hub"].alias("hub"))
+    return best.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
+
+
+def _near(state: DataFrame, few: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``a, ca, b, cb, apart`` (nodes, components, bits) of the pairs in several components that may be similar enough.
+
+    In every list the component with most rows is set against the others, which are few once a group has been joined;
+    its rows are never compared with each other.
+    """
+    most = state.groupBy("key", "comp").agg(F.count(F.lit(1)).alias("n")).groupBy("key").agg(
+        F.max(F.struct("n", "comp"))["comp"].alias("most"))
+    sides = state.join(most, "key").withColumn("minor", F.col("comp") != F.col("most")).drop("most")
+    fields = ["key", "node", "comp", "minor", "n", "fine"]
+    wide = materialise(sides.join(few.select("node", F.col("n_shingles").alias("n"), "fine"), "node").select(*fields), "wide")
+    minor = wide.where("minor")
+
+    def paired(left: DataFrame, right: DataFrame, fields: list[str], met: Column, how: str) -> DataFrame:
+        one, other = (df.select(*[F.col(c).alias(f"{c}{k}") for c in fields]) for k, df in ((1, left), (2, right)))
+        sizes = (F.col("n1") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n1") * percent)
+        return one.join(other, (F.col("key1") == F.col("key2")) & (F.col("comp1") != F.col("comp2")) & sizes & met, how)
+
+    # Nodes that agree with some node of another component; each row of a list comes out once at most.
+    agree = _agreement("fine1", "fine2") >= FINE_MATCHES
+    near = [paired(left, right, fields, agree, "left_semi").select(*[F.col(f"{c}1").alias(c) for c in fields[:-1]])
+            for left, right in ((minor, wide), (wide.where("not minor"), minor))]
+    near = materialise(near[0].unionByName(near[1]), "near")
+    nodes = near.groupBy("node").agg(F.collect_list("key").alias("keys"))  # a node's prefix at most
+    bits = materialise(_bits(texts.join(nodes.select("node"), "node"), size).join(nodes, "node"), "bits")
+    rest = materialise(near.join(bits, "node"), "rest")
+    # Two small components meet in the order of their nodes; each pair counts at its first common list.
+    once = (~F.col("minor2") | (F.col("node1") < F.col("node2"))) & (
+        F.array_min(F.array_intersect("keys1", "keys2")) == F.col("key1"))
+    met = paired(rest.where("minor"), rest, ["key", "node", "comp", "minor", "n", "keys", "bits"],
+                 once & (_apart("bits1", "bits2") <= BITS_APART), "inner")
+    met = materialise(met.select(
+        F.col("node1").alias("a"), F.col("comp1").alias("ca"), F.col("node2").alias("b"), F.col("comp2").alias("cb"),
+        _apart("bits1", "bits2").alias("apart")).distinct(), "alike")
+    discard(wide, near, bits, rest)
+    return met
 
 
 def _links(df: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame:
     """``node, comp`` of the nodes that may have partners."""
-    lists = _prefixes(reps.select("node", "sig"))
-    few = materialise(reps.join(lists.select("node").distinct(), "node").drop("sig"), "candidates")
+    lists = prefixes = _prefixes(reps.select("node", "sig"))
+    few = materialise(reps.join(lists.select("node").distinct(), "node").drop("sig", "words"), "candidates")
     # Rows that repeat an id and its text are on one partition after the join, so no second shuffle drops them.
     rows = df.select("doc_id", "text", F.xxhash64("text").alias("t"))
     named = few.select(F.col("rep.doc_id").alias("doc_id"), F.col("rep.t").alias("t"), "node")
     texts = materialise(rows.join(named, ["doc_id", "t"]).dropDuplicates(["doc_id", "t"]).select("node", "text"), "texts")
     labels = materialise(few.select("node", F.col("node").alias("comp")), "labels")
 
-    def open_lists(lists: DataFrame) -> DataFrame:
-        state = lists.join(labels, "node")
-        keys = state.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
-        return materialise(state.join(keys.select("key"), "key"), "open")
-
-    pair = [F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")]
-    for r in range(HUB_ROUNDS):
-        state = open_lists(lists)
-        lists = state.select("node", "key")
-        order = F.xxhash64("node") if r == 0 else F.xxhash64("node", "key", F.lit(r))
-        hubs = state.groupBy("key").agg(F.min_by(F.struct("node", "comp"), order).alias("h")).select(
-            "key", F.col("h.node").alias("hub"), F.col("h.comp").alias("hub_comp"))
-        met = state.join(hubs, "key").where("comp <> hub_comp").select(*pair).distinct()
-        links = materialise(_confirmed(materialise(_agreeing(met, few), "met"), texts, size, percent), "links")
-        if links.isEmpty():
+    def linked(labels: DataFrame, met: DataFrame) -> tuple[DataFrame, bool]:
+        """Labels after the links among the pairs, and whether there are any."""
+        links = materialise(_confirmed(met, texts, size, percent), "links")
+        found = not links.isEmpty()
+        if found:
+            before, labels = labels, joined(links, labels)
+            discard(before)
+        discard(links)
+        return labels, found
+
+    state = _open(lists, labels)
+    for turn in range(HUB_ROUNDS):
+        met = materialise(_agreeing(_with_hubs(state, turn), few), "met")
+        labels, found = linked(labels, met)
+        before, state = state, _open(state.select("node", "key"), labels)
+        discard(met, before)
+        if not found and turn:
             break
-        labels = joined(links, labels)
-    state = open_lists(lists)
-    # Nodes that agree with some node of another component; each row of a list comes out once at most.
-    fields = ["key", "node", "comp", "n", "fine"]
-    wide = materialise(state.join(few.select("node", F.col("n_shingles").alias("n"), "fine"), "node").select(*fields), "wide")
-    one, other = (wide.select(*[F.col(c).alias(f"{c}{k}") for c in fields]) for k in (1, 2))
-    sizes = ((F.col("n1") * 100 >= F.col("n2") * percent) & (F.col("n2") * 100 >= F.col("n1") * percent))
-    apart = (F.col("key1") == F.col("key2")) & (F.col("comp1") != F.col("comp2")) & sizes
-    near = one.join(other, apart & (_agreement("fine1", "fine2") >= FINE_MATCHES), "left_semi").select(
-        F.col("key1").alias("key"), F.col("node1").alias("node"), F.col("comp1").alias("comp"), F.col("n1").alias("n"))
-    state = materialise(near, "near")
-    nodes = materialise(state.groupBy("node").agg(F.collect_list("key").alias("keys")), "left")  # a node's prefix at most
-    texts_left = materialise(texts.join(nodes.select("node"), "node"), "texts-left")
-    bits = materialise(_bits(texts_left, size).join(nodes, "node"), "bits")
-    rest = materialise(state.join(bits, "node"), "rest")
-    fields = ["key", "node", "bits", "comp", "n", "keys"]
-    left, right = (rest.select(*[F.col(c).alias(f"{c}{k}") for c in fields]) for k in (1, 2))
-    alike = ((F.col("node1") < F.col("node2")) & (F.col("comp1") != F.col("comp2")) & sizes
-             & (_apart("bits1", "bits2") <= BITS_APART)
-             & (F.array_min(F.array_intersect("keys1", "keys2")) == F.col("key1")))
-    met = left.join(right, (F.col("key1") == F.col("key2")) & alike).select(
-        F.col("node1").alias("a"), F.col("node2").alias("b"))
-    links = materialise(_confirmed(materialise(met, "met"), texts_left, size, percent), "links")
-    return joined(links, labels)
+    left = _near(state, few, texts, size, percent)
+    for _ in range(HUB_ROUNDS):  # the closest pair of each two components that has not been tried
+        comp = [labels.select(F.col("node").alias(n), F.col("comp").alias(f"c{n}")) for n in "ab"]
+        still = left.select("a", "b", "apart").join(comp[0], "a").join(comp[1], "b").where("ca <> cb")
+        two = [F.least("ca", "cb").alias("p"), F.greatest("ca", "cb").alias("q")]
+        tried = materialise(still.groupBy(*two).agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b"), "closest")
+        before, left = left, materialise(still.join(tried, ["a", "b"], "left_anti").select("a", "b", "apart"), "left")
+        labels, found = linked(labels, tried)
+        discard(tried, before)
+        if not found:
+            break
+    comp = [labels.select(F.col("node").alias(n), F.col("comp").alias(f"c{n}")) for n in "ab"]
+    rest = materialise(left.join(comp[0], "a").join(comp[1], "b").where("ca <> cb").select("a", "b"), "rest")
+    labels, _ = linked(labels, rest)
+    discard(left, rest, state, texts, few, prefixes)
+    return labels
 
 
 def _grouped(docs: DataFrame, size: int, percent: int) -> DataFrame:
     """``doc_id, t, n_shingles, component_id, first`` of every row; ``first`` is the text (its hash) of the least id."""
-    rows = materialise(signed(docs, size), "signed")
-    linked = rows.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
+    made = materialise(signed(docs, size), "signed")
+    linked = made.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     reps = materialise(
-        linked.groupBy("node").agg(
+        linked.groupBy("words").agg(
             F.min(F.struct("doc_id", "t")).alias("rep"), F.first("sig").alias("sig"),
-            F.first("fine").alias("fine"), F.first("n_shingles").alias("n_shingles")),
-        "nodes")
+            F.first("fine").alias("fine"), F.first("n_shingles").alias("n_shingles"))
+        .withColumn("node", F.monotonically_increasing_id()), "nodes")  # numbers of eight bytes, written once
+    rows = materialise(made.drop("sig", "fine"), "rows")
+    discard(made)
     labels = _links(docs, reps, size, percent)
     comp = F.coalesce(F.col("comp"), F.col("node"))
-    ids = reps.select("node", "rep").join(labels, "node", "left").select("node", "rep", comp.alias("comp"))
+    ids = reps.select("node", "words", "rep").join(labels, "node", "left").select("words", "rep", comp.alias("comp"))
     least = ids.groupBy("comp").agg(F.min("rep").alias("least"))
     found = materialise(ids.join(least, "comp").select(
-        "node", F.col("least.doc_id").alias("component_id"), F.col("least.t").alias("first")), "components")
-    out = rows.select("doc_id", "t", "n_shingles", "node").join(found, "node", "left")
+        "words", F.col("least.doc_id").alias("component_id"), F.col("least.t").alias("first")), "components")
+    discard(reps, labels)
+    out = rows.select("doc_id", "t", "n_shingles", "words").join(found, "words", "left")
     alone = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     component = F.when(alone, F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "t", "n_shingles", component.alias("component_id"),
