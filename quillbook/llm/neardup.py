@@ -22,14 +22,14 @@ list meets one hub of the list, confirmed links join nodes to components, and
 lists inside one component are done. In the first round the hubs of all lists
 go by one order, so a group has few; in the later ones each list has its own,
 and a node tries one hub of each other component, the one that it shares most
-lists with. So every round forms pairs in proportion to the nodes. Rounds go on
-while they find links. What they leave in different components is compared pair
+lists with. So every round forms pairs in proportion to the nodes. There are
+HUB_ROUNDS rounds at most, fewer where one finds no link. What they leave in different components is compared pair
 by pair, inside the join and each pair at its first common list: nodes that
-agree with one of another component stay, and a pair of them may differ in at
-most BITS_APART of BITS one-bit coordinates, which are made for these nodes
-alone. Of these pairs the closest one of each two components is tried first,
-again while that finds links; only pairs that then still lie in two components
-are all confirmed.
+agree with one of another component stay; sets of at most EXACT shingles are
+compared themselves, so that only links come out. Pairs of larger ones may
+differ in at most BITS_APART of BITS one-bit coordinates, which are made for
+these nodes alone; of these pairs the closest one of each two components is
+confirmed first, then those that still lie in two components.
 
 Every table is removed as soon as what is made of it has been written.
 
@@ -57,7 +57,9 @@ GROUP, COORDINATES, MATCHES, PERCENT = 4, 32, 2, 80
 FINE, FINE_MATCHES = 128, 81
 #: Coordinates of which one bit is kept, and bits in which a pair at the threshold may differ (409.6 in the mean).
 BITS, BITS_APART = 4096, 501
-HUB_ROUNDS, PEELS = 6, 2
+HUB_ROUNDS, PEELS = 3, 2
+#: Shingles of the sets that are compared as such in the last step; larger ones are by their bits first.
+EXACT = 256
 SEEDS = np.random.default_rng(20240607).integers(1, 1 << 32, size=(2, FINE + BITS), dtype=np.uint32)
 
 
@@ -159,20 +161,30 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> D
         run, "a long, b long")
 
 
-def _bits(texts: DataFrame, size: int) -> DataFrame:
-    """``node, bits``: one bit of the minimum of each of BITS further coordinates, as 64-bit numbers."""
+def _sketches(texts: DataFrame, size: int, exact: int) -> DataFrame:
+    """``node, members, bits``: the set itself where it is small, and where it is large (or nearly)
+    one bit of the minimum of each of BITS further coordinates, as 64-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in chunks(batches, "text"):
             values, bounds, _ = _shingles(batch, size)
-            out = np.zeros((batch.num_rows, BITS // 64), np.uint64)
-            for c, least in enumerate(_minima(values, bounds[:-1], range(FINE, FINE + BITS))):
-                out[:, c // 64] |= ((least >> np.uint32(c % 8)) & np.uint32(1)).astype(np.uint64) << np.uint64(c % 64)
-            ends = pa.array(np.arange(batch.num_rows + 1, dtype=np.int32) * (BITS // 64))
-            bits = pa.ListArray.from_arrays(ends, pa.array(out.view(np.int64).ravel()))
-            yield pa.record_batch([batch.column("node"), bits], ["node", "bits"])
-
-    return texts.select("node", "text").mapInArrow(run, "node long, bits array<long>")
+            n = np.diff(bounds)
+            large = np.flatnonzero(100 * n > PERCENT * exact)
+            out = np.zeros((len(large), BITS // 64), np.uint64)
+            if len(large):
+                own = np.concatenate([values[bounds[i] : bounds[i + 1]] for i in large])
+                starts = np.cumsum(n[large]) - n[large]
+                for c, least in enumerate(_minima(own, starts, range(FINE, FINE + BITS))):
+                    out[:, c // 64] |= ((least >> np.uint32(c % 8)) & np.uint32(1)).astype(np.uint64) << np.uint64(c % 64)
+            width = np.zeros(len(n), np.int64)
+            width[large] = BITS // 64
+            small = n <= exact
+            kept = values[np.repeat(small, n)].view(np.int64)
+            lists = [pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(w)]).astype(np.int32)), pa.array(v))
+                     for w, v in ((n * small, kept), (width, out.view(np.int64).ravel()))]
+            yield pa.record_batch([batch.column("node"), *lists], ["node", "members", "bits"])
+
+    return texts.select("node", "text").mapInArrow(run, "node long, members array<long>, bits array<long>")
 
 
 def _apart(x: str, y: str) -> Column:
@@ -268,7 +280,8 @@ def _with_hubs(state: DataFrame, turn: int) -> DataFrame:
 
 
 def _near(state: DataFrame, few: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """``a, ca, b, cb, apart`` (nodes, components, bits) of the pairs in several components that may be similar enough.
+    """``a, b, apart`` of the pairs in several components: links where both sets are small (no ``apart``), else pairs whose
+    bits are near enough.
 
     In every list the component with most rows is set against the others, which are few once a group has been joined;
     its rows are never compared with each other.
@@ -291,17 +304,19 @@ def _near(state: DataFrame, few: DataFrame, texts: DataFrame, size: int, percent
             for left, right in ((minor, wide), (wide.where("not minor"), minor))]
     near = materialise(near[0].unionByName(near[1]), "near")
     nodes = near.groupBy("node").agg(F.collect_list("key").alias("keys"))  # a node's prefix at most
-    bits = materialise(_bits(texts.join(nodes.select("node"), "node"), size).join(nodes, "node"), "bits")
-    rest = materialise(near.join(bits, "node"), "rest")
+    made = materialise(_sketches(texts.join(nodes.select("node"), "node"), size, EXACT).join(nodes, "node"), "sketches")
+    rest = materialise(near.join(made, "node"), "rest")
     # Two small components meet in the order of their nodes; each pair counts at its first common list.
     once = (~F.col("minor2") | (F.col("node1") < F.col("node2"))) & (
         F.array_min(F.array_intersect("keys1", "keys2")) == F.col("key1"))
-    met = paired(rest.where("minor"), rest, ["key", "node", "comp", "minor", "n", "keys", "bits"],
-                 once & (_apart("bits1", "bits2") <= BITS_APART), "inner")
+    small = F.greatest("n1", "n2") <= EXACT
+    both = F.size(F.array_intersect("members1", "members2"))
+    alike = F.when(small, 100 * both >= percent * (F.col("n1") + F.col("n2") - both)).otherwise(_apart("bits1", "bits2") <= BITS_APART)
+    fields = ["key", "node", "comp", "minor", "n", "keys", "members", "bits"]
+    met = paired(rest.where("minor"), rest, fields, once & alike, "inner")
     met = materialise(met.select(
-        F.col("node1").alias("a"), F.col("comp1").alias("ca"), F.col("node2").alias("b"), F.col("comp2").alias("cb"),
-        _apart("bits1", "bits2").alias("apart")).distinct(), "alike")
-    discard(wide, near, bits, rest)
+        F.col("node1").alias("a"), F.col("node2").alias("b"), F.when(~small, _apart("bits1", "bits2")).alias("apart")).distinct(), "alike")
+    discard(wide, near, made, rest)
     return met
 
 
@@ -333,21 +348,25 @@ def _links(df: DataFrame, reps: DataFrame, size: int, percent: int) -> DataFrame
         discard(met, before)
         if not found and turn:
             break
-    left = _near(state, few, texts, size, percent)
-    for _ in range(HUB_ROUNDS):  # the closest pair of each two components that has not been tried
-        comp = [labels.select(F.col("node").alias(n), F.col("comp").alias(f"c{n}")) for n in "ab"]
-        still = left.select("a", "b", "apart").join(comp[0], "a").join(comp[1], "b").where("ca <> cb")
-        two = [F.least("ca", "cb").alias("p"), F.greatest("ca", "cb").alias("q")]
-        tried = materialise(still.groupBy(*two).agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b"), "closest")
-        before, left = left, materialise(still.join(tried, ["a", "b"], "left_anti").select("a", "b", "apart"), "left")
-        labels, found = linked(labels, tried)
-        discard(tried, before)
-        if not found:
+    met = _near(state, few, texts, size, percent)
+    links = met.where("apart is null")
+    if not links.isEmpty():
+        before, labels = labels, joined(links, labels)
+        discard(before)
+    # Of the others, first the closest pair of each two components, then what is still in two of them.
+    left = met.where("apart is not null").select("a", "b", "apart")
+    for tries in (1, 2):
+        if left.isEmpty():
             break
-    comp = [labels.select(F.col("node").alias(n), F.col("comp").alias(f"c{n}")) for n in "ab"]
-    rest = materialise(left.join(comp[0], "a").join(comp[1], "b").where("ca <> cb").select("a", "b"), "rest")
-    labels, _ = linked(labels, rest)
-    discard(left, rest, state, texts, few, prefixes)
+        comp = [labels.select(F.col("node").alias(n), F.col("comp").alias(f"c{n}")) for n in "ab"]
+        still = left.join(comp[0], "a").join(comp[1], "b").where("ca <> cb")
+        if tries == 1:
+            two = [F.least("ca", "cb").alias("p"), F.greatest("ca", "cb").alias("q")]
+            still = still.groupBy(*two).agg(F.min(F.struct("apart", "a", "b")).alias("m")).select("m.a", "m.b")
+        tried = materialise(still.select("a", "b"), "tried")
+        labels, _ = linked(labels, tried)
+        discard(tried)
+    discard(met, state, texts, few, prefixes)
     return labels
 
 

@@ -66,6 +66,17 @@ def test_components_are_those_of_all_pairs(spark):
         assert found == brute(rows, size)
 
 
+def test_the_last_step_finds_what_hubs_leave(spark, monkeypatch):
+    """Without rounds of hubs all pairs come from the last step, by sets and by bits."""
+    rows = corpus()[:150]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(neardup, "HUB_ROUNDS", 0)
+    for exact in (neardup.EXACT, 20):
+        monkeypatch.setattr(neardup, "EXACT", exact)
+        found = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in neardup.near_duplicates(frame, size=2).collect()}
+        assert found == brute(rows, 2)
+
+
 def test_one_document_of_each_group_stays(spark):
     rows = corpus()
     frame = spark.createDataFrame(rows, "doc_id long, text string")
