@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quillbook.operators import classify, controls, errors
 from quillbook.operators.batch import Batch
-from quillbook.session import control_table, materialise
+from quillbook.session import control_table, materialise, stages
 from quillbook.sources import extracts as ex
 from quillbook.sources import tables
 from quillbook.sources.journal import APPEND, REPLACE, Journal
@@ -146,6 +146,11 @@ def prepare_errors(spark: SparkSession, batch: Batch, error_table: str, rerun: b
     The new content is written to the shared folder before any partition of
     the table is replaced, as it is computed from that table.
     """
+    with stages(spark):
+        _restore_errors(spark, batch, error_table, rerun)
+
+
+def _restore_errors(spark: SparkSession, batch: Batch, error_table: str, rerun: bool) -> None:
     rows = materialise(spark.table(error_table).where(F.col("table_name") == batch.table_name), "errors")
     if rows.isEmpty():
         return
@@ -172,10 +177,11 @@ def age_errors(spark: SparkSession, batch: Batch, error_table: str, max_days: in
         (F.col("table_name") == batch.table_name) & (F.col("reprocess_flag") == errors.SOFT))
     if soft.isEmpty():
         return
-    aged = materialise(errors.age_soft_errors(soft, batch, errors.error_schema(soft), max_days), "aged")
-    journal.put(aged.where(F.col("reprocess_flag") == errors.HARD), error_table, APPEND)
-    journal.put(aged.where(F.col("reprocess_flag") == errors.SOFT), error_table, REPLACE, {
-        "table_name": batch.table_name, "reprocess_flag": errors.SOFT})
+    with stages(spark):
+        aged = materialise(errors.age_soft_errors(soft, batch, errors.error_schema(soft), max_days), "aged")
+        journal.put(aged.where(F.col("reprocess_flag") == errors.HARD), error_table, APPEND)
+        journal.put(aged.where(F.col("reprocess_flag") == errors.SOFT), error_table, REPLACE, {
+            "table_name": batch.table_name, "reprocess_flag": errors.SOFT})
     journal.commit()
     journal.apply()
 

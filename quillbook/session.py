@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,9 +47,28 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+_scopes: list[str] = []
+
+
 def stage_path(spark: SparkSession, label: str) -> str:
-    """A new path below one folder per application, to be removed when that is done."""
-    return f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+    """A new path below the folder of the innermost :func:`stages`, else of the application, to be removed when that is done."""
+    folder = _scopes[-1] if _scopes else f"{shared_folder(spark)}/{spark.sparkContext.applicationId}"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def stages(spark: SparkSession) -> Iterator[None]:
+    """Owns the stages written within it: they go when it ends, whether the work succeeded or not.
+
+    What is read from them must be stored by then, so a load and its ``store`` belong into one.
+    """
+    folder = stage_path(spark, "stages")
+    _scopes.append(folder)
+    try:
+        yield
+    finally:
+        _scopes.remove(folder)
+        remove(spark, folder)
 
 
 def remove(spark: SparkSession, path: str) -> bool:

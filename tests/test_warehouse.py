@@ -11,10 +11,11 @@ from test_classify import both, known, raw, raw_row  # noqa: F401
 from test_errors_and_tables import error, error_table, frame  # noqa: F401
 from test_history import STEPS, WANTED, empty, load, staged, versions
 
+from quillbook import session
 from quillbook.operators import controls, errors, lookups, scd2
 from quillbook.plans import load as loads
 from quillbook.plans import warehouse
-from quillbook.sources import tables
+from quillbook.sources import journal, tables
 from quillbook.sources.journal import APPEND, Journal
 
 
@@ -250,13 +251,31 @@ def test_part_of_an_append_is_completed(spark, error_table):
     """Files of an append that came through one by one: the partition is put together anew."""
     old, new = frame(spark, error(message="old")), frame(spark, error(message="a"), error(message="a"), error(message="b"))
     tables.append(old, error_table)
-    journal = Journal(spark, "part")
-    journal.put(new, error_table, APPEND)
-    journal.commit()
+    entry = Journal(spark, "part")
+    entry.put(new, error_table, APPEND)
+    entry.commit()
     tables.append(new.where("error_message = 'b'"), error_table)
-    journal.apply()
+    entry.apply()
     assert values(spark.table(error_table), "error_message") == [("a",), ("a",), ("b",), ("old",)]
-    assert journal.recover() is False
+    assert entry.recover() is False
+
+
+def test_stages_go_with_their_owner(spark, known, batch, error_table, tmp_path, monkeypatch):
+    """A load within ``stages`` leaves its tables and nothing else in the shared folder."""
+    for module in (session, journal):
+        monkeypatch.setattr(module, "shared_folder", lambda _: str(tmp_path / "shared"))
+    spark.sql("drop table if exists staged")
+    with session.stages(spark):
+        h, _, _ = both(spark, known, batch, raw_row(), raw_row(source="999X"))
+        tables.create(spark, "staged", h.final.schema, ["cycle_date", "batch_id"])
+        loads.store(h, batch, "staged", error_table)
+        assert files(tmp_path / "shared")
+    assert not files(tmp_path / "shared") and spark.table("staged").count() == 1
+    with pytest.raises(RuntimeError), session.stages(spark):
+        session.materialise(spark.range(3), "lost")
+        raise RuntimeError
+    loads.age_errors(spark, replace(batch, batch_id=8), error_table, max_days=-1)
+    assert not files(tmp_path / "shared") and not session._scopes
 
 
 @pytest.mark.parametrize("limit", ["1000000", "20"])
