@@ -1,15 +1,17 @@
 """The same results in ANSI SQL, written apart from the Spark operators.
 
-Only the derivation of the ledger inputs is shared, so that both sides start
-from the same rows.
+Shared are the derivation of the ledger inputs, so that both sides start from
+the same rows, and the lists of columns that records and views have.
 """
 
 from __future__ import annotations
 
+import re
+
 from quillbook.operators import errors
 from quillbook.plans import queries as q
 from quillbook.plans import workload as w
-from quillbook.sources.tables import HEADER_VIEW
+from quillbook.sources.tables import HEADER_ERROR_VIEW, HEADER_VIEW, LINE_ERROR_VIEW, LINE_VIEW
 
 ORACLE: dict[str, str] = {}
 
@@ -87,12 +89,12 @@ h4 as (select a.*, b.txn,
   || case when {_LEDGER_BAD} then coalesce(secondary_ledger_code,'blank/null') || ' secondary_ledger_code is invalid from source;' else '' end as own_raw
   from h3 a left join keys b on {_SAME}),
 h5 as (select *, trim(own_raw) as own, trim(case when trim(own_raw) <> '' then '' else
-  case when sys is null or evt is null then 'source_system_nm/event_type_code is missing in rdm table lkp_actvty_gl_sblgdr_nm for key combination ' || {_PAIR} else '' end
-  || case when ledger is null then 'ledger_name is missing in rdm table lkp_actvty_gl_ldgr_nm for key combination actvty_gl_ldgr_cd/secondary_ledger_code_drvd ('
+  case when sys is null or evt is null then 'source_system_nm/event_type_code is missing in rdm table subledger_names for key combination ' || {_PAIR} else '' end
+  || case when ledger is null then 'ledger_name is missing in rdm table ledger_names for key combination actvty_gl_ldgr_cd/secondary_ledger_code_drvd ('
       || coalesce(substr(secondary_ledger_code,3,2),'') || ') and secondary_ledger_code (' || coalesce(secondary_ledger_code,'') || ');' else '' end
-  || case when sub is null then 'subledger_short_name is missing in rdm table lkp_actvty_gl_sblgdr_nm for key combination ' || {_PAIR} else '' end
+  || case when sub is null then 'subledger_short_name is missing in rdm table subledger_names for key combination ' || {_PAIR} else '' end
   || case when txn is null then 'transaction_number is invalid;' else '' end
-  || case when flag = '@' then 'reinsuranceassumedcededflag is missing in rdm table lkp_reinsurance_attributes for key combination secondary_ledger_code ('
+  || case when flag = '@' then 'reinsuranceassumedcededflag is missing in rdm table reinsurance_attributes for key combination secondary_ledger_code ('
       || coalesce(substr(secondary_ledger_code,1,2),'') || ') and orig_gl_center (' || coalesce(orig_gl_center,'') || ');' else '' end
   end) as soft from h4),
 hpairs as (select gl_application_area_code as f_area, src as f_src from h5 where gl_application_area_code is not null and src is not null
@@ -280,9 +282,10 @@ sql("classify_lines", """select orig_gl_source_document_id, gl_full_source_code,
  txn as transaction_number, cast(line_number as varchar) as line_number, hard as hard_error_message, soft as soft_error_message, outcome as error_cleared from lfinal""", LINES)
 sql("classify_lines_summary", """select outcome as error_cleared, gl_application_area_code, src as gl_source_code_drvd, count(*) as rows,
  cast(sum(cast(amount as decimal(18,2))) as double) as amount, cast(max(line_number) as varchar) as last_line from lfinal group by 1, 2, 3""", LINES)
-sql("line_attributes", f"""select 'core' as source_system_name, txn as transaction_number, line_number, amount as default_amount, debit_credit_indicator, gl_full_source_code,
+_LINE_TABLE = f"""select 'core' as source_system_name, txn as transaction_number, line_number, amount as default_amount, debit_credit_indicator, gl_full_source_code,
  orig_gl_source_document_id, orig_gl_company, orig_gl_account, orig_gl_center, orig_gl_description_1, orig_gl_description_2, orig_gl_description_3, orig_gl_project_code,
- {', '.join(_REINS_COLUMNS)}, {_attributes_sql()}, '2025-12-05' as cycle_date, cast(700042 as bigint) as batch_id from lforced where outcome = 'Good'""", LINES_FORCED)
+ {', '.join(_REINS_COLUMNS)}, {_attributes_sql()}, '2025-12-05' as cycle_date, cast(700042 as bigint) as batch_id from lforced where outcome = 'Good'"""
+sql("line_attributes", _LINE_TABLE, LINES_FORCED)
 sql("accounting_ids", "select count(*) as lines, count(*) as ids, count(*) as well_formed from lforced where outcome = 'Good'", LINES_FORCED)
 sql("line_numbering", """select l_orderkey, l_extendedprice, cast(l_linenumber as bigint) as l_linenumber, l_partkey, l_suppkey, l_quantity, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') as l_shipdate,
  cast(row_number() over (partition by l_orderkey order by l_extendedprice, l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) as bigint) as line_number from lineitem""")
@@ -307,6 +310,41 @@ sql("reprocess_errors", f"""subledgers2 as ({w.COMPLETE_SUBLEDGER_SQL}),
  select case when ledger is not null and sys is not null and evt is not null and sub is not null and bad = 0 then 'Good - Reprocessed Error' else 'Soft Error' end as error_cleared,
  src as gl_source_code_drvd, cast(700042 as bigint) as original_batch_id, count(*) as rows from s2 group by 1, 2""", FORCED_HEADERS + ",")
 
+# A second batch: headers0 again and the soft errors of the first one, classified apart from each other.
+_CHAIN = HEADERS[HEADERS.index("h1 as ("):]
+_CHAIN = re.sub(r"\b(h[1-6]|keys|hpairs|hfinal|headers0)\b", r"n_\1", _CHAIN)
+_CHAIN = _CHAIN.replace("from subledgers", "from subledgers2").replace("join ledgers", "join ledgers2")
+_CHAIN = _CHAIN.replace(_ORDER, _ORDER + ", orig").replace(_GRAIN, _GRAIN + ", orig").replace(_SAME, _SAME + " and a.orig = b.orig").replace(
+    "and src is not null\n  group by", "and src is not null and orig = 700043\n  group by").replace(
+    "src = f_src)", "src = f_src and orig = 700043)")
+sql("reprocessed_with_new", f"""subledgers2 as ({w.COMPLETE_SUBLEDGER_SQL}),
+ ledgers2 as ({w.COMPLETE_LEDGER_SQL}),
+ n_headers0 as (select *, cast(700043 as bigint) as orig from headers0 union all
+  select transaction_date, gl_reversal_date, gl_application_area_code, gl_source_code, secondary_ledger_code, gl_full_source_code, orig_gl_center, data_type, 700042
+  from hforced where outcome = 'Soft Error'),
+ {_CHAIN}
+ select transaction_date, gl_reversal_date, gl_application_area_code, gl_source_code, secondary_ledger_code, orig_gl_center, data_type, txn as transaction_number_drvd,
+ hard as hard_error_message, soft as soft_error_message, case when outcome = 'Good' and orig = 700042 then 'Good - Reprocessed Error' else outcome end as error_cleared,
+ orig as original_batch_id from n_hfinal""", FORCED_HEADERS + ",")
+
+
+def _error_view_sql(table: str, columns: list[str], present: list[str]) -> str:
+    """Open errors with all columns of their view; a forced row has the forced message once."""
+    return f"""select '2025-12-08 08:30:15' as recorded_timestamp, '2025-12-05' as original_cycle_date, cast(700042 as bigint) as original_batch_id,
+ '2025-12-08 08:30:15' as original_recorded_timestamp, 'core' as source_system_name, 'core_{table}' as table_name,
+ case when outcome = 'Hard Error' then 'Hard' else 'Soft' end as error_classification_name,
+ case when any_rdm and not own_rdm then msg || trim(substr(hard, length(msg) + 1) || substr(soft, length(msg) + 1)) else trim(hard || soft) end as error_message,
+ cast(0 as bigint) as error_record_aging_days, case when outcome = 'Hard Error' then 'N' else 'Y' end as reprocess_flag,
+ {', '.join(c if c in present else f'cast(null as varchar) as "{c}"' for c in columns)}, ledger as ledger_name_drvd, sys as source_system_nm_drvd"""
+
+
+sql("header_error_view", _error_view_sql("general_ledger_header", HEADER_ERROR_VIEW, errors.HEADER_FIELDS) + " from hforced where outcome <> 'Good'", FORCED_HEADERS)
+sql("line_error_view", _error_view_sql("general_ledger_line_item", LINE_ERROR_VIEW, errors.LINE_FIELDS) + " from lforced where outcome <> 'Good'", LINES_FORCED)
+sql("aged_pairs", """select s as source_system_name, cast(sum(h) as bigint) as aged_headers, cast(sum(l) as bigint) as aged_lines, cast((sum(h) > 0) = (sum(l) > 0) as varchar) as consistent from (
+ select o_orderpriority as s, cast(o_orderstatus <> 'F' and datediff('day', cast(o_orderdate as date), date '2001-08-05') > 400 as int) as h, 0 as l from orders
+ union all select o_orderpriority, 0, cast(l_linestatus <> 'F' and o_orderpriority not in ('2-HIGH', '5-LOW') and datediff('day', cast(l_shipdate as date), date '2001-08-05') > 400 as int)
+ from lineitem join orders on l_orderkey = o_orderkey) group by 1""")
+
 _AGE = "datediff('day', cast(o_orderdate as date), date '2001-08-05')"
 _KIND = "case o_orderstatus when 'O' then 'Soft' when 'F' then 'Hard' else 'Cleared' end"
 _MESSAGE = "case when o_orderstatus = 'P' then null else o_orderpriority end"
@@ -614,6 +652,12 @@ _PRESENT = """transaction_number secondary_ledger_code ledger_name subledger_sho
 sql("current_view", "select " + ", ".join(
     f"{_VIEW.get(c, c)} as {c}" if c in _PRESENT else f"cast(null as varchar) as {c}" for c in HEADER_VIEW if c not in ("inserttimestamp", "updatetimestamp"))
     + f" from ({_FINAL})", FORCED_HEADERS)
+_LINE_PRESENT = """source_system_name transaction_number line_number default_amount debit_credit_indicator gl_full_source_code
+ orig_gl_source_document_id orig_gl_company orig_gl_account orig_gl_center orig_gl_description_1 orig_gl_description_2 orig_gl_description_3 orig_gl_project_code""".split()
+_LINE_PRESENT += [*_REINS_COLUMNS, *_ATTRIBUTES]
+sql("current_line_view", "select " + ", ".join(
+    f"{_VIEW[c]} as {c}" if c in _VIEW else c if c in _LINE_PRESENT else f'cast(null as varchar) as "{c}"'
+    for c in LINE_VIEW if c not in ("inserttimestamp", "updatetimestamp", "activity_accounting_id")) + f" from ({_LINE_TABLE})", LINES_FORCED)
 _TREE = f"tree as ({q.TREE}), "
 sql("hierarchy_levels", """walk as (select name, parent, summary, allow_posting, cycle_date, 1 as level, [description_us] as p from tree where parent is null
   union all select t.name, t.parent, t.summary, t.allow_posting, t.cycle_date, w.level + 1, list_append(w.p, t.description_us) from tree t join walk w on t.parent = w.name)
@@ -622,6 +666,11 @@ sql("hierarchy_levels", """walk as (select name, parent, summary, allow_posting,
 sql("leaves_below", """walk as (select * from tree where description_us = 'ASIA' union select t.* from tree t join walk w on t.parent = w.name)
  select name, parent, description_us, cast(cycle_date as bigint) as cycle_date from walk where allow_posting = 1""", "recursive " + _TREE)
 sql("row_hashes", """select o_orderkey, sha256(o_orderstatus || '|' || o_orderpriority) as header_hash, sha256(cast(o_custkey as varchar) || '|' || cast(o_orderkey as varchar)) as line_hash from orders""")
+_LINE_HASH = "sha256(concat_ws('|', {}))"
+sql("pattern_hashes", f"""select l_orderkey, cast(l_linenumber as bigint) as l_linenumber, l_partkey, l_suppkey, sha256(concat_ws('|', o_orderkey, o_orderstatus)) as header_hash,
+ case when o_orderpriority in ('1-URGENT', '2-HIGH') then {_LINE_HASH.format("l_linenumber, l_returnflag, l_linestatus, l_partkey")}
+  when o_orderpriority = '3-MEDIUM' then {_LINE_HASH.format("l_linenumber, l_returnflag, l_partkey")}
+  else {_LINE_HASH.format("l_linenumber, l_returnflag, o_orderstatus, l_partkey")} end as line_hash from lineitem join orders on l_orderkey = o_orderkey""")
 _UUID = "substr(h,1,8) || '-' || substr(h,9,4) || '-{v}' || substr(h,14,3) || '-' || translate(substr(h,17,1), '0123456789abcdef', '89ab89ab89ab89ab') || substr(h,18,3) || '-' || substr(h,21,12)"
 sql("document_ids", f"""select c_custkey, (select {_UUID.format(v=3)} from (select md5(c_name) as h)) as uuid3,
  (select {_UUID.format(v=5)} from (select sha1(unhex('6ba7b8149dad11d180b400c04fd430c8') || encode(c_name)) as h)) as uuid5 from customer""")

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: the X.500 namespace of RFC 4122.
@@ -30,6 +31,47 @@ def row_hash(columns: Iterable[str], separator: str = "|", nulls: bool = False)
     return F.sha2(joined(columns, separator, nulls), 256)
 
 
+@dataclass(frozen=True)
+class HashPattern:
+    """How lines of some source systems are hashed.
+
+    The code that only some systems fill comes from the ``line``, from the
+    ``header``, or there is ``none``, and then it is not hashed.
+    """
+
+    systems: tuple[str, ...]
+    code_from: str = "line"
+
+
+def pattern_of(patterns: dict[str, HashPattern], system: str) -> str:
+    """The pattern a source system belongs to: there must be exactly one."""
+    found = sorted(name for name, p in patterns.items() if system in p.systems)
+    if len(found) != 1:
+        raise ValueError(f"source system {system!r} is in {'no pattern' if not found else ', '.join(found)}")
+    return found[0]
+
+
+def pattern_hashes(
+    rows: DataFrame, system: str, patterns: dict[str, HashPattern], header: list[str], line: list[str], code: str,
+    header_code: str, ignored: Iterable[str] = (),
+) -> DataFrame:
+    """Rows of any systems with ``header_hash`` and ``line_hash``, the columns chosen by the system's pattern.
+
+    Every pattern is an expression over the same row, so all systems are hashed
+    in one pass. A row of a system without a pattern stops the job.
+    """
+    for name in sorted({s for p in patterns.values() for s in p.systems}):
+        pattern_of(patterns, name)
+    kept = [c for c in line if c not in set(ignored)]
+    columns = {"line": kept, "none": [c for c in kept if c != code],
+               "header": [header_code if c == code else c for c in kept]}
+    chosen = F.raise_error(F.concat(F.lit("no pattern for source system "), F.coalesce(F.col(system), F.lit("null"))))
+    for p in patterns.values():
+        chosen = F.when(F.col(system).isin(*p.systems), row_hash(columns[p.code_from])).otherwise(chosen)
+    return rows.withColumns({
+        "header_hash": row_hash([c for c in header if c not in set(ignored)]), "line_hash": chosen})
+
+
 def header_key(columns: list[str], complete: Column, spread: Column) -> Column:
     """One text that stands for a header in joins and windows.
 

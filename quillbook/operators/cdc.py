@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillbook.functions.identity import row_hash
@@ -80,9 +80,13 @@ def without_deletes(rows: DataFrame, code: str = "operationcode") -> DataFrame:
 
 
 def one_per_document(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """The first row of each document by ascending order."""
-    window = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("_n", F.row_number().over(window)).where(F.col("_n") == 1).drop("_n")
+    """The first row of each document by ascending order, nulls first.
+
+    A partial aggregate: a document with very many rows is reduced before the
+    shuffle.
+    """
+    first = F.min_by(F.struct(*rows.columns), F.struct(*order)).alias("_first")
+    return rows.groupBy(*keys).agg(first).select("_first.*")
 
 
 def dropped_copies(rows: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -273,7 +274,16 @@ def _forced_message(source: str) -> Column:
         FORCED_DATE, _text("gl_application_area_code"), ") and gl_source_code (", _text(source), ");")
 
 
-def classify_headers(prepared: DataFrame, batch: Batch) -> DataFrame:
+@dataclass(frozen=True)
+class LookupNames:
+    """What messages call the lookups."""
+
+    subledgers: str = "subledger_names"
+    ledgers: str = "ledger_names"
+    reinsurance: str = "reinsurance_attributes"
+
+
+def classify_headers(prepared: DataFrame, batch: Batch, names: LookupNames = LookupNames()) -> DataFrame:
     """Messages, transaction number and outcome of every header row.
 
     The rows are read twice, for their groups and for themselves, so they are
@@ -296,17 +306,17 @@ def classify_headers(prepared: DataFrame, batch: Batch) -> DataFrame:
     subledger_key = ["gl_application_area_code (", _text("gl_application_area_code"), ") and gl_source_code (", prefix]
     soft = messages(
         _when(clean & (F.col("source_system_nm_drvd").isNull() | F.col("event_type_code_drvd").isNull()),
-              *missing("source_system_nm/event_type_code", "lkp_actvty_gl_sblgdr_nm", *subledger_key)),
+              *missing("source_system_nm/event_type_code", names.subledgers, *subledger_key)),
         _when(clean & F.col("ledger_name_drvd").isNull(),
-              *missing("ledger_name", "lkp_actvty_gl_ldgr_nm",
+              *missing("ledger_name", names.ledgers,
                        "actvty_gl_ldgr_cd/secondary_ledger_code_drvd (",
                        _text(F.substring("secondary_ledger_code", 3, 2)),
                        ") and secondary_ledger_code (", _text("secondary_ledger_code"))),
         _when(clean & F.col("subledger_short_name_drvd").isNull(),
-              *missing("subledger_short_name", "lkp_actvty_gl_sblgdr_nm", *subledger_key)),
+              *missing("subledger_short_name", names.subledgers, *subledger_key)),
         _when(clean & F.col("transaction_number_drvd").isNull(), "transaction_number is invalid;"),
         _when(clean & (F.col("reinsuranceassumedcededflag_drvd") == codes.MISSING),
-              *missing("reinsuranceassumedcededflag", "lkp_reinsurance_attributes",
+              *missing("reinsuranceassumedcededflag", names.reinsurance,
                        "secondary_ledger_code (", _text(F.substring("secondary_ledger_code", 1, 2)),
                        ") and orig_gl_center (", _text("orig_gl_center"))),
     )

@@ -234,6 +234,27 @@ def check_aged_pair(headers: DataFrame, lines: DataFrame, max_days: int = MAX_AG
     _require(header == line, f"aged soft errors for headers: {header}, for lines: {line}")
 
 
+def aged_pairs(errors: DataFrame, cycle: Column, max_days: int = MAX_AGE_DAYS) -> DataFrame:
+    """Soft errors too old at ``cycle``, counted for headers and lines of each source system in one pass.
+
+    A system is consistent if both have some or neither has.
+    """
+    old = (F.col("reprocess_flag") == SOFT) & (F.datediff(cycle, "original_cycle_date") > max_days)
+    system = F.split_part("table_name", F.lit("_"), F.lit(1))
+    return errors.groupBy(system.alias("source_system_name")).agg(
+        F.count_if(old & F.endswith("table_name", F.lit("_header"))).alias("aged_headers"),
+        F.count_if(old & F.endswith("table_name", F.lit("_line_item"))).alias("aged_lines"),
+    ).withColumn("consistent", (F.col("aged_headers") > 0) == (F.col("aged_lines") > 0))
+
+
+def require_aged_pairs(errors: DataFrame, cycle: Column, max_days: int = MAX_AGE_DAYS) -> None:
+    """Refuse to age one side of a source system whose other side has nothing to age."""
+    # A row per source system.
+    apart = aged_pairs(errors, cycle, max_days).where(~F.col("consistent")).orderBy("source_system_name").collect()
+    _require(not apart, "aged soft errors on one side only: " + ", ".join(
+        f"{r['source_system_name']} {r['aged_headers']} headers, {r['aged_lines']} lines" for r in apart))
+
+
 # Edits of a single JSON field.
 
 
@@ -272,14 +293,21 @@ def update_field(
 
 
 def error_view(errors: DataFrame, like: str, fields: list[str]) -> DataFrame:
-    """Open errors of a kind of table with their JSON fields as columns."""
+    """Open errors of a kind of table with fields of their records as text columns, and the record as a variant.
+
+    Records are parsed once and need no common schema. A field that a record
+    lacks is null, and so are all fields of a text that is no JSON.
+    """
     rows = errors.where(F.col("reprocess_flag").isin(SOFT, HARD) & F.col("table_name").like(like))
-    schema = StructType([StructField(f, StringType()) for f in fields])
-    return rows.withColumn("_json", F.from_json("error_record", schema)).select(
+
+    def field(name: str) -> Column:
+        return F.try_variant_get("_record", f"$['{name}']", "string").alias(name)
+
+    return rows.withColumn("_record", F.try_parse_json("error_record")).select(
         "recorded_timestamp", "original_cycle_date", "original_batch_id", "original_recorded_timestamp",
         F.split_part("table_name", F.lit("_"), F.lit(1)).alias("source_system_name"),
         "table_name", "error_classification_name", "error_message", "error_record_aging_days", "reprocess_flag",
-        *[F.col(f"_json.`{f}`").alias(f) for f in fields], "error_record",
+        *[field(f) for f in fields], F.col("_record").alias("error_record"),
     )
 
 

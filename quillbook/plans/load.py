@@ -168,11 +168,20 @@ def _restore_errors(spark: SparkSession, batch: Batch, error_table: str, rerun:
             {"table_name": batch.table_name, "reprocess_flag": flag})
 
 
-def age_errors(spark: SparkSession, batch: Batch, error_table: str, max_days: int = errors.MAX_AGE_DAYS) -> None:
-    """Turn the soft errors that are too old into hard ones in the table; both partitions change or none."""
+def age_errors(
+    spark: SparkSession, batch: Batch, error_table: str, max_days: int = errors.MAX_AGE_DAYS, paired: bool = False
+) -> None:
+    """Turn the soft errors that are too old into hard ones in the table; both partitions change or none.
+
+    With ``paired``, for the headers of a domain that has lines as well: refused
+    where only headers or only lines of the source system have errors that old.
+    """
     journal = _journal(spark, batch, error_table, "age")
     if journal.recover():
         return
+    if paired:
+        system = F.split_part("table_name", F.lit("_"), F.lit(1)) == batch.source_system
+        errors.require_aged_pairs(spark.table(error_table).where(system), batch.cycle(), max_days)
     soft = spark.table(error_table).where(
         (F.col("table_name") == batch.table_name) & (F.col("reprocess_flag") == errors.SOFT))
     if soft.isEmpty():

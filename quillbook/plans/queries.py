@@ -287,7 +287,7 @@ def error_records(spark, folder):
 def reprocess_errors(spark, folder):
     """The next batch: no new rows, all soft header errors tried again with complete lookups."""
     headers = w.loaded_headers(spark, folder)
-    nxt = Batch("core", "general_ledger_header", date(2025, 12, 8), 651150, w.RUN_TS)
+    nxt = Batch("core", "general_ledger_header", date(2025, 12, 8), 700043, w.RUN_TS)
     carried = load.carried_errors(headers.soft, nxt, errors.HEADER_FIELDS)
     known = w.lookups(spark, folder)
     complete = load.Lookups(
@@ -299,6 +299,48 @@ def reprocess_errors(spark, folder):
     return rows.groupBy("error_cleared", "gl_source_code_drvd", "original_batch_id").agg(F.count(F.lit(1)).alias("rows"))
 
 
+NEXT_BATCH = Batch("core", "general_ledger_header", w.CYCLE, 700043, w.RUN_TS)
+
+
+@query
+def reprocessed_with_new(spark, folder):
+    """A second batch of the day, by complete lookups: all its new headers and the soft errors of the first batch."""
+    carried = load.carried_errors(w.loaded_headers(spark, folder).soft, NEXT_BATCH, errors.HEADER_FIELDS)
+    complete = load.Lookups(w.query(spark, folder, w.COMPLETE_SUBLEDGER_SQL), w.query(spark, folder, w.COMPLETE_LEDGER_SQL),
+                            w.lookups(spark, folder)["reinsurance"])
+    rows = classify.classify_headers(load.header_rows(_raw(spark, folder), complete, NEXT_BATCH, carried), NEXT_BATCH)
+    return rows.select(*[c for c in HEADER_OUT if c != "reprocess_flag"], "original_batch_id")
+
+
+def _error_view(rows: DataFrame, like: str, fields: list[str]) -> DataFrame:
+    """The view, its record replaced by two of the derived codes that are nested in it."""
+    derived = F.try_parse_json(F.try_variant_get("error_record", "$.drvd_data", "string"))
+    return errors.error_view(rows, like, fields).select(
+        "*", *[F.try_variant_get(derived, f"$.{n}", "string").alias(n) for n in ("ledger_name_drvd", "source_system_nm_drvd")],
+    ).drop("error_record")
+
+
+@query
+def header_error_view(spark, folder):
+    headers = w.loaded_headers(spark, folder)
+    return _error_view(headers.hard.unionByName(headers.soft), "%general_ledger_header%", tables.HEADER_ERROR_VIEW)
+
+
+@query
+def line_error_view(spark, folder):
+    lines = w.loaded_lines(spark, folder)
+    return _error_view(lines.hard.unionByName(lines.soft), "%general_ledger_line_item%", tables.LINE_ERROR_VIEW)
+
+
+AGED_ERRORS = """select o_orderpriority || '_general_ledger_header' as table_name, cast(o_orderdate as date) as original_cycle_date, case when o_orderstatus = 'F' then 'N' else 'Y' end as reprocess_flag from orders
+ union all select o_orderpriority || '_general_ledger_line_item', cast(l_shipdate as date), case when l_linestatus = 'F' or o_orderpriority in ('2-HIGH', '5-LOW') then 'N' else 'Y' end from lineitem join orders on l_orderkey = o_orderkey"""
+
+
+@query
+def aged_pairs(spark, folder):
+    return errors.aged_pairs(w.query(spark, folder, AGED_ERRORS), F.lit(date(2001, 8, 5)), max_days=400)
+
+
 ERROR_BATCH = Batch("tpch", "general_ledger_header", date(2001, 8, 5), 200108, w.RUN_TS)
 
 
@@ -1098,14 +1140,21 @@ def current_view(spark, folder):
     return _text(view, "original_batch_id")
 
 
+@query
+def current_line_view(spark, folder):
+    lines = w.loaded_lines(spark, folder).final.withColumnsRenamed({"cycle_date": "cycledate", "batch_id": "batchid"})
+    view = tables.projection(lines, tables.LINE_VIEW).drop("inserttimestamp", "updatetimestamp", "activity_accounting_id")
+    return _text(view, "original_batch_id")
+
+
 TREE = """select 'world' as name, cast(null as string) as parent, 'World' as description_us, 'Y' as summary, 0 as allow_posting, 1 as cycle_date from region where r_regionkey = 0
  union all select 'r' || cast(r_regionkey as string), 'world', r_name, 'Y', 0, 1 from region
  union all select 'n' || cast(n_nationkey as string), 'r' || cast(n_regionkey as string), n_name, 'Y', 0, 1 from nation
  union all select 's' || cast(s_suppkey as string), 'n' || cast(s_nationkey as string), s_name, 'N', 1, 1 from supplier
  union all select 'c' || cast(c_custkey as string), 'n' || cast(c_nationkey as string), c_name, 'N', 1, 1 from customer
  union all select 'c' || cast(c_custkey as string), 'r' || cast(c_custkey % 5 as string), c_name, 'N', 1, 1 from customer where c_custkey % 9 = 0
- union all select 'k' || cast(p_partkey as string), case when p_partkey = 1 then 'n8' else 'k' || cast(p_partkey - 1 as string) end, 'Chain ' || cast(p_partkey as string), 'N', 1, 1
-  from part where p_partkey <= 25"""
+ union all select 'k' || cast(p_partkey as string), case when p_partkey % 25 = 0 then 'n8' else 'k' || cast(p_partkey - 1 as string) end, 'Chain ' || cast(p_partkey as string), 'N', 1, 1
+  from part"""
 
 
 @query
@@ -1126,6 +1175,24 @@ def row_hashes(spark, folder):
         identity.row_hash(["o_custkey", "o_orderkey"]).alias("line_hash"))
 
 
+PATTERNS = {
+    "line code": identity.HashPattern(("1-URGENT", "2-HIGH")),
+    "no code": identity.HashPattern(("3-MEDIUM",), "none"),
+    "header code": identity.HashPattern(("4-NOT SPECIFIED", "5-LOW"), "header"),
+}
+
+
+@query
+def pattern_hashes(spark, folder):
+    """Lines of all systems hashed together, each by the columns of its system's pattern."""
+    orders = w.table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    rows = w.table(spark, folder, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    hashed = identity.pattern_hashes(
+        rows, "o_orderpriority", PATTERNS, ["o_orderkey", "o_custkey", "o_orderstatus"],
+        ["l_linenumber", "l_returnflag", "l_linestatus", "l_partkey"], "l_linestatus", "o_orderstatus", ignored=["o_custkey"])
+    return hashed.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "header_hash", "line_hash")
+
+
 @query
 def document_ids(spark, folder):
     customers = w.table(spark, folder, "customer")

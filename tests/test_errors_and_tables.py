@@ -60,6 +60,31 @@ def test_aged_pairs(spark):
         errors.check_aged_pair(old, young)
 
 
+def test_aged_pairs_by_source_system(spark, batch):
+    day = date(2025, 11, 1)
+    rows = frame(
+        spark, error(day=day), error(day=day, table="core_general_ledger_line_item"), error(day=day, table="side_general_ledger_header"),
+        error(table="side_general_ledger_line_item"), error(day=day, flag="N", table="late_general_ledger_line_item"))
+    found = errors.aged_pairs(rows, batch.cycle())
+    assert values(found, "source_system_name", "aged_headers", "aged_lines", "consistent") == [
+        ("core", 1, 1, True), ("late", 0, 0, True), ("side", 1, 0, False)]
+    errors.require_aged_pairs(rows.where("table_name not like 'side%'"), batch.cycle())
+    errors.require_aged_pairs(rows.limit(0), batch.cycle())
+    with pytest.raises(ValueError, match="side 1 headers, 0 lines"):
+        errors.require_aged_pairs(rows, batch.cycle())
+
+
+def test_error_view_reads_records_of_any_fields(spark):
+    """Records without a common schema, a field name with a digit in front, a number, and a text that is no JSON."""
+    rows = frame(spark, error(record={"a": "1", "1035x": "y"}), error(record={"a": {"b": 2}}), error(record={"n": 3}))
+    broken = rows.limit(1).withColumn("error_record", F.lit("no json"))
+    view = errors.error_view(rows.unionByName(broken), "%header%", ["a", "1035x", "n"])
+    assert "from_json" not in view._jdf.queryExecution().optimizedPlan().toString()
+    assert values(view, "a", "1035x", "n") == [
+        (None, None, None), (None, None, "3"), ("1", "y", None), ('{"b":2}', None, None)]
+    assert dict(view.dtypes)["error_record"] == "variant"
+
+
 def test_reinstating_after_a_run_gives_the_rows_before_it(spark, batch):
     cleared = error(flag="R", kind="Cleared", message=None, age=0, record={
         "a": "1", "cycle_date": "2025-12-05", "batch_id": 7, "old_error_message": "m"})

@@ -174,3 +174,34 @@ def test_attribute_rules(spark, code, account, attribute, wanted):
     row = (code, account, "0123456789abcdefghij 0123 DTCCK", "TA second", "third", "D0000000012345", "PRJ", "C001")
     df = spark.createDataFrame([row], LINE)
     assert df.select(rules.derived_attributes()[attribute]).first()[0] == wanted
+
+
+def test_pattern_hashes(spark):
+    """The code of a line counts under one pattern, that of the header under another, none under a third."""
+    patterns = {"own": identity.HashPattern(("A",)), "none": identity.HashPattern(("B",), "none"), "header": identity.HashPattern(("C",), "header")}
+    rows = spark.createDataFrame(
+        [(s, h, code, line) for s in "ABC" for h in ("x", None) for code in ("1", None) for line in ("l",)],
+        "system string, h string, code string, line string")
+
+    def hashed(df):
+        return identity.pattern_hashes(df, "system", patterns, ["h", "audit"], ["line", "code"], "code", "h", ignored=["audit"])
+
+    found = hashed(rows)
+    by_hand = {"A": ["line", "code"], "B": ["line"], "C": ["line", "h"]}
+    for system, columns in by_hand.items():
+        own = found.where(F.col("system") == system)
+        assert own.where(F.col("line_hash") != identity.row_hash(columns)).isEmpty()
+        assert own.where(F.col("header_hash") != identity.row_hash(["h"])).isEmpty()
+    assert found.select("system", "line_hash").distinct().groupBy("system").count().orderBy("system").collect() == [("A", 2), ("B", 1), ("C", 2)]
+    assert hashed(rows.limit(0)).isEmpty()
+    with pytest.raises(Exception, match="no pattern for source system D"):
+        hashed(rows.withColumn("system", F.lit("D"))).collect()
+
+
+def test_a_system_has_one_pattern():
+    patterns = {"one": identity.HashPattern(("A", "B")), "two": identity.HashPattern(("B",), "none")}
+    assert identity.pattern_of(patterns, "A") == "one"
+    with pytest.raises(ValueError, match="one, two"):
+        identity.pattern_of(patterns, "B")
+    with pytest.raises(ValueError, match="no pattern"):
+        identity.pattern_of(patterns, "C")

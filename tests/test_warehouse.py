@@ -216,6 +216,19 @@ def test_ageing_in_the_table(spark, batch, error_table):
     assert values(spark.table(error_table), "reprocess_flag") == [("N",), ("N",)]
 
 
+def test_ageing_needs_the_other_side(spark, batch, error_table):
+    """Headers alone are old: nothing moves. Once lines are old too, the headers move."""
+    old = date(2025, 11, 1)
+    tables.append(frame(spark, error(age=34, day=old), error(age=34, day=old, table="side_general_ledger_line_item")), error_table)
+    with pytest.raises(ValueError, match="core 1 headers, 0 lines"):
+        loads.age_errors(spark, batch, error_table, paired=True)
+    assert values(spark.table(error_table), "reprocess_flag") == [("Y",), ("Y",)]
+    tables.append(frame(spark, error(age=34, day=old, table="core_general_ledger_line_item")), error_table)
+    loads.age_errors(spark, batch, error_table, paired=True)
+    assert values(spark.table(error_table), "table_name", "reprocess_flag") == [
+        ("core_general_ledger_header", "N"), ("core_general_ledger_line_item", "Y"), ("side_general_ledger_line_item", "Y")]
+
+
 @pytest.mark.parametrize("dies", ["before the marker", "after the append", "between the partitions"])
 def test_a_store_that_dies(spark, known, batch, error_table, monkeypatch, dies):
     """A second run ends with the same tables as one that never died."""
