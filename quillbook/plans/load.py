@@ -21,6 +21,7 @@ class Lookups:
     subledgers: DataFrame
     ledgers: DataFrame
     reinsurance: DataFrame
+    names: classify.LookupNames = classify.LookupNames()
 
     def written(self) -> Lookups:
         """The same tables in the shared folder.
@@ -28,7 +29,7 @@ class Lookups:
         For lookups read from a database: their size is unknown to the planner
         until they are written, and they are fetched once.
         """
-        return Lookups(*[materialise(t, "lookup") for t in (self.subledgers, self.ledgers, self.reinsurance)])
+        return Lookups(*[materialise(t, "lookup") for t in (self.subledgers, self.ledgers, self.reinsurance)], self.names)
 
     def in_force(self, batch: Batch) -> tuple[DataFrame, DataFrame, DataFrame]:
         return (
@@ -65,7 +66,8 @@ def line_rows(raw: list[DataFrame], lookups: Lookups, batch: Batch, carried: Dat
 def load_headers(
     raw: list[DataFrame], lookups: Lookups, batch: Batch, carried: DataFrame | None = None
 ) -> Outcome:
-    classified = materialise(classify.classify_headers(header_rows(raw, lookups, batch, carried), batch), "headers")
+    prepared = header_rows(raw, lookups, batch, carried)
+    classified = materialise(classify.classify_headers(prepared, batch, lookups.names), "headers")
     rows = classify.force_transactions(classified, batch, "transaction_number_drvd")
     fields, derived = errors.HEADER_FIELDS, errors.HEADER_DERIVED
     return Outcome(

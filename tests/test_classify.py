@@ -55,6 +55,15 @@ def test_copies_make_one_header(spark, known, batch):
     assert values(rows, "error_cleared", "transaction_number_drvd") == [("Good", "EV041A20251208083015000_1")]
 
 
+def test_messages_name_the_lookups_of_the_caller(spark, known, batch):
+    named = replace(known, names=classify.LookupNames("sub_t", "led_t", "rei_t"))
+    rows = [raw_row(source="999X"), raw_row(company="0199"), raw_row(source="903X", center="C9")]
+    texts = [r["error_message"] for r in load.load_headers(raw(spark, *rows), named.written(), batch).rows.collect()]
+    assert len(texts) == 3
+    for name in ("sub_t", "led_t", "rei_t"):
+        assert any(f"is missing in rdm table {name} for key combination" in t for t in texts)
+
+
 def test_other_cycles_stay_out(spark, known, batch):
     assert headers(spark, known, batch, raw_row(cycle=20251204)).isEmpty()
 

@@ -3,6 +3,7 @@ from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+import xxhash
 from conftest import values
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -205,3 +206,18 @@ def test_a_system_has_one_pattern():
         identity.pattern_of(patterns, "B")
     with pytest.raises(ValueError, match="no pattern"):
         identity.pattern_of(patterns, "C")
+
+
+def test_accounting_ids_digit_by_digit(spark):
+    """Against the hash of a library, over nulls, separators and backslashes."""
+    rows = [(i, t) for i, t in enumerate(["x", None, "", "a|b", "c\\d", "é" * 40, "0"])]
+    found = spark.createDataFrame(rows, "id int, text string").select(
+        "id", identity.accounting_id(["id", "text"], datetime(2025, 12, 8), False).alias("number"))
+
+    def by_hand(i, text):
+        text = (text or "").replace("\\", "\\\\").replace("|", "\\|")
+        value = xxhash.xxh64(f"1|{i}|{text}".encode(), seed=42).intdigest()
+        value -= (value >> 63) << 64
+        return f"202512080{'0' if value < 0 else '1'}{abs(value):020d}"
+
+    assert dict(found.collect()) == {i: by_hand(i, t) for i, t in rows}

@@ -176,3 +176,11 @@ def test_completeness_of_current_batches(spark):
 def test_batch_identity():
     b = Batch("core", "general_ledger_header", date(2025, 12, 5), 7, datetime(2025, 12, 8))
     assert (b.table_name, b.cycle_number) == ("core_general_ledger_header", 20251205)
+
+
+def test_one_per_document_with_nulls_and_ties(spark):
+    rows = spark.createDataFrame(
+        [("a", 2, "x"), ("a", None, "y"), ("b", 1, "z"), ("b", 1, "w"), (None, 5, "u"), (None, 4, "v")], "d string, n int, v string")
+    found = cdc.one_per_document(rows, ["d"], ["n", "v"])
+    assert {tuple(r) for r in found.collect()} == {("a", None, "y"), ("b", 1, "w"), (None, 4, "v")} and found.count() == 3
+    assert cdc.one_per_document(rows.limit(0), ["d"], ["n"]).isEmpty()
