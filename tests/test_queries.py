@@ -3,11 +3,11 @@
 import duckdb
 import pytest
 from check import TABLES, rows
-from conftest import FOLDER
+from conftest import FOLDER, values
 
 import __spark_entry__ as contract
 from oracle.sql import ORACLE
-from quillbook.plans import load, workload
+from quillbook.plans import load, queries, workload
 from quillbook.plans.queries import QUERIES
 from quillbook.sources import extracts as ex
 
@@ -79,3 +79,33 @@ def test_line_loads_read_each_extract_once_and_prune(spark):
     plan = plan_of(ex.header_rows(workload.extracts(spark, FOLDER), 20251205))
     assert "PartitionFilters: [isnotnull(cycle_date" in plan
     assert "fsi_gl_pt_description_1" not in plan
+
+
+def rows_of_joins(df):
+    """Rows that each join of a plan has made, once it ran."""
+    df.collect()
+    todo, made = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.finalPhysicalPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        if "Join" in name:
+            made.append(node.metrics().apply("numOutputRows").value())
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return made
+
+
+def test_parties_do_not_meet_every_order(spark, tmp_path):
+    """Ten times the orders of both signs and without a customer: the same parties, and no more rows on the way."""
+    orders = workload.table(spark, FOLDER, "orders")
+    copies = orders.crossJoin(spark.range(10)).drop("id")
+    signed = copies.unionByName(copies.withColumn("o_custkey", -copies["o_custkey"]))
+    signed.unionByName(orders.selectExpr("o_orderkey", "null as o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+                       ).write.parquet(str(tmp_path / "orders.parquet"))
+    workload.table(spark, FOLDER, "supplier").write.parquet(str(tmp_path / "supplier.parquet"))
+    found = queries._system_parties(spark, str(tmp_path))
+    assert values(found) == values(workload.query(spark, str(tmp_path), queries.SYSTEM_PARTIES))
+    assert rows_of_joins(found) == [found.count()]
